@@ -155,3 +155,45 @@ def with_ctes(sql: str, *names: str) -> str:
         visit(n)
     ctes = ",\n".join(f"{n} AS ({BINDINGS[n]}\n)" for n in order)
     return f"WITH {ctes}\n{sql}"
+
+BINDINGS["ods_client_acid"] = """
+  SELECT c_custkey AS client_id, 'CL' || CAST(c_custkey AS VARCHAR) AS client_code, c_name AS client_name,
+         c_mktsegment AS industry, CAST(c_nationkey AS VARCHAR) AS hq_country, 'ACTIVE' AS status
+  FROM customer"""
+
+BINDINGS["ods_agent_acid"] = """
+  SELECT c_custkey AS agent_id, 'E' || CAST(c_custkey AS VARCHAR) AS employee_no, c_name AS full_name,
+         CAST(c_nationkey AS BIGINT) AS org_unit_id, c_mktsegment AS job_grade, 'ACTIVE' AS status
+  FROM customer"""
+
+BINDINGS["ods_ticket_acid"] = """
+  SELECT o_orderkey AS ticket_id, 'T' || CAST(o_orderkey AS VARCHAR) AS ticket_no, o_orderkey % 10 AS program_id,
+         o_orderpriority AS priority, o_orderstatus AS status, o_orderdate AS created_ts
+  FROM orders"""
+
+BINDINGS["ods_invoice_acid"] = """
+  SELECT o_orderkey AS invoice_id, 'INV' || CAST(o_orderkey AS VARCHAR) AS invoice_no, o_custkey AS client_id,
+         strftime(o_orderdate, '%Y-%m') AS period_month, CAST(o_totalprice AS DECIMAL(14,2)) AS total_amount,
+         o_orderstatus AS status
+  FROM orders"""
+
+
+def scd2_sql(src: str, key: str, ts: str, attrs: list[str], seq: str, id_col: str) -> str:
+    """Type-2 history over ``src`` (a subquery with key, ts, attrs, seq) in DuckDB."""
+    a = ", ".join(attrs)
+    prev = " OR ".join(f"prev_{x} IS DISTINCT FROM {x}" for x in attrs)
+    lags = ", ".join(f"LAG({x}) OVER w AS prev_{x}" for x in attrs)
+    return f"""
+  SELECT CAST({key} AS VARCHAR) || ':' || CAST(epoch_us({ts}) AS VARCHAR) AS {id_col}, {key}, {a},
+         CAST({ts} AS TIMESTAMP) AS eff_from_ts,
+         CAST(LEAD({ts}) OVER (PARTITION BY {key} ORDER BY {ts}, {seq}) AS TIMESTAMP) AS eff_to_ts,
+         LEAD({ts}) OVER (PARTITION BY {key} ORDER BY {ts}, {seq}) IS NULL AS is_current
+  FROM (SELECT *, ROW_NUMBER() OVER w AS rn, {lags}
+        FROM ({src}) s WINDOW w AS (PARTITION BY {key} ORDER BY {ts}, {seq})) t
+  WHERE rn = 1 OR {prev}"""
+
+
+BINDINGS["ods_agent_scd2"] = scd2_sql(
+    "SELECT o_custkey AS agent_id, o_orderstatus AS status, o_orderdate AS changed_at, o_orderkey AS seq FROM orders",
+    "agent_id", "changed_at", ["status"], "seq", "agent_history_id").replace(
+    "SELECT CAST(agent_id", "SELECT CAST(agent_id", 1)

@@ -1 +1,137 @@
-"""Registered queries."""
+"""Registered queries: the reference's smoke scans and joins, key checks, as-of join."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from switchboard.operators import checks as K
+from switchboard.operators import history as H
+from switchboard.operators import joins as J
+from switchboard.plans import bindings as B
+from switchboard.plans.catalog import register
+from switchboard.plans.oracle import scd2_sql, with_ctes
+from switchboard.plans.warehouse import EVENT_DAY, wh
+from switchboard.sources.tables import table
+
+DAY = EVENT_DAY.isoformat()
+
+# ---------------------------------------------------------------- S2
+# The reference's LIMIT 10 has no ORDER BY; a total order makes it comparable.
+S2_SQL = with_ctes(f"""
+SELECT * FROM stg_tel_call WHERE load_date = DATE '{DAY}' ORDER BY call_id LIMIT 10""", "stg_tel_call")
+
+
+@register("scan_partition_filter", S2_SQL)
+def scan_partition_filter(spark, sf):
+    t = wh(spark, sf, "stg_tel_call")
+    return t.filter(F.col("load_date") == F.lit(EVENT_DAY)).orderBy("call_id").limit(10)
+
+
+# ---------------------------------------------------------------- J2
+J2_SQL = with_ctes("""
+SELECT c.call_id, q.queue_name FROM ods_call c JOIN ods_queue q ON c.queue_id = q.queue_id
+ORDER BY c.call_id, q.queue_name LIMIT 10""", "ods_call", "ods_queue")
+
+
+@register("ods_join_queue", J2_SQL)
+def ods_join_queue(spark, sf):
+    return J.ods_join_queue(B.ods_call(spark, sf), B.ods_queue(spark, sf)) \
+        .orderBy("call_id", "queue_name").limit(10)
+
+
+# ---------------------------------------------------------------- J3
+J3_SQL = with_ctes(f"""
+SELECT f.interaction_id, a.full_name, p.program_name
+FROM fact_interaction f JOIN dim_agent a ON f.agent_sk = a.agent_sk
+JOIN dim_program p ON f.program_sk = p.program_sk
+WHERE f.event_date = DATE '{DAY}'
+ORDER BY f.interaction_id, a.full_name, p.program_name LIMIT 10""",
+                   "fact_interaction", "dim_agent", "dim_program")
+
+
+@register("dm_star_join", J3_SQL)
+def dm_star_join(spark, sf):
+    out = J.star_join(wh(spark, sf, "fact_interaction"), B.dim_agent(spark, sf), B.dim_program(spark, sf),
+                      F.col("event_date") == F.lit(EVENT_DAY))
+    return out.orderBy("interaction_id", "full_name", "program_name").limit(10)
+
+
+# ---------------------------------------------------------------- J4 / K2
+# Documented key paths; the agent/client parents are restricted to
+# c_nationkey < 20 so that orphans exist.
+ORPHAN_SQL = with_ctes("""
+, parent_agent AS (SELECT agent_sk FROM dim_agent WHERE org_unit_id < 20)
+, paths AS (
+  SELECT 'fact_agent_activity.agent_sk' AS path, agent_sk AS k FROM fact_agent_activity
+  UNION ALL SELECT 'fact_interaction.agent_sk', agent_sk FROM fact_interaction
+  UNION ALL SELECT 'fact_csat_survey.agent_sk', agent_sk FROM fact_csat_survey
+  UNION ALL SELECT 'fact_billing_line.client_sk', client_sk FROM fact_billing_line
+  UNION ALL SELECT 'fact_billing_line.program_sk', program_sk FROM fact_billing_line)
+SELECT path, CAST(COUNT(*) AS BIGINT) AS child_rows,
+       CAST(COUNT(*) FILTER (WHERE k IS NULL) AS BIGINT) AS null_key_rows,
+       CAST(COUNT(*) FILTER (WHERE k IS NOT NULL AND hit IS NULL) AS BIGINT) AS orphan_rows,
+       CAST(COUNT(DISTINCT CASE WHEN k IS NOT NULL AND hit IS NULL THEN k END) AS BIGINT) AS orphan_keys
+FROM (
+  SELECT p.path, p.k, par.hit FROM paths p LEFT JOIN (
+    SELECT 'fact_agent_activity.agent_sk' AS path, agent_sk AS k, 1 AS hit FROM parent_agent
+    UNION ALL SELECT 'fact_interaction.agent_sk', agent_sk, 1 FROM parent_agent
+    UNION ALL SELECT 'fact_csat_survey.agent_sk', agent_sk, 1 FROM parent_agent
+    UNION ALL SELECT 'fact_billing_line.client_sk', agent_sk, 1 FROM parent_agent
+    UNION ALL SELECT DISTINCT 'fact_billing_line.program_sk', program_sk, 1 FROM dim_program) par
+  ON p.path = par.path AND p.k = par.k) x
+GROUP BY path""", "fact_agent_activity", "fact_interaction", "fact_csat_survey", "fact_billing_line",
+                       "dim_agent", "dim_program").replace("\n, parent_agent", ", parent_agent", 1)
+
+
+@register("fk_orphans", ORPHAN_SQL)
+def fk_orphans(spark, sf):
+    parent_agent = B.dim_agent(spark, sf).filter(F.col("org_unit_id") < 20).select("agent_sk")
+    program = B.dim_program(spark, sf).select("program_sk")
+    paths = [
+        ("fact_agent_activity.agent_sk", B.fact_agent_activity(spark, sf), "agent_sk", parent_agent, "agent_sk"),
+        ("fact_interaction.agent_sk", B.fact_interaction(spark, sf), "agent_sk", parent_agent, "agent_sk"),
+        ("fact_csat_survey.agent_sk", B.fact_csat_survey(spark, sf), "agent_sk", parent_agent, "agent_sk"),
+        ("fact_billing_line.client_sk", B.fact_billing_line(spark, sf), "client_sk", parent_agent, "agent_sk"),
+        ("fact_billing_line.program_sk", B.fact_billing_line(spark, sf), "program_sk", program, "program_sk"),
+    ]
+    return K.fk_orphans(paths)
+
+
+DUP_SQL = """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(COUNT(*) AS BIGINT) AS copies
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"""
+
+
+@register("pk_duplicates", DUP_SQL)
+def pk_duplicates(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("bigint"))
+    return K.pk_duplicates(li, ["l_orderkey", "l_linenumber"])
+
+
+# ---------------------------------------------------------------- J5
+# Each shipped line with the status its customer had at ship time
+# (history: orders as status changes of o_custkey).
+ASOF_SQL = f"""
+WITH hist AS ({scd2_sql(
+    "SELECT o_custkey AS agent_id, o_orderstatus AS status, o_orderdate AS changed_at, o_orderkey AS seq "
+    "FROM orders", "agent_id", "changed_at", ["status"], "seq", "agent_history_id")}),
+probe AS (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, o_custkey AS agent_id,
+                 l_shipdate AS ship_ts
+          FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT p.l_orderkey, p.l_linenumber, p.agent_id, p.ship_ts, h.eff_from_ts, h.status
+FROM probe p LEFT JOIN hist h ON p.agent_id = h.agent_id AND p.ship_ts >= h.eff_from_ts
+  AND (h.eff_to_ts IS NULL OR p.ship_ts < h.eff_to_ts)"""
+
+
+@register("scd2_asof_join", ASOF_SQL)
+def scd2_asof_join(spark, sf):
+    o = table(spark, sf, "orders")
+    li = table(spark, sf, "lineitem")
+    changes = o.select(F.col("o_custkey").alias("agent_id"), F.col("o_orderstatus").alias("status"),
+                       F.col("o_orderdate").alias("changed_at"), F.col("o_orderkey").alias("seq"))
+    hist = H.scd2_history(changes, "agent_id", "changed_at", ["status"], tie_col="seq")
+    probe = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
+        F.col("o_custkey").alias("agent_id"), F.col("l_shipdate").alias("ship_ts"))
+    out = H.asof_join(probe, hist, "agent_id", "ship_ts", ["status"])
+    return out.select("l_orderkey", "l_linenumber", "agent_id", "ship_ts", "eff_from_ts", "status")

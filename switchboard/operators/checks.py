@@ -42,14 +42,14 @@ def pk_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
             .filter(F.col("copies") > 1))
 
 
-def cast_loss_audit(df: DataFrame, targets: dict[str, str]) -> DataFrame:
+def cast_loss_audit(df: DataFrame, targets: list[tuple[str, str]]) -> DataFrame:
     """Per (column, target type): rows, NULLs, values the cast cannot hold, values that lose scale.
 
     One pass: every counter is a conditional count in a single global
     aggregate; the result is unpivoted with ``stack``.
     """
     aggs, names = [], []
-    for i, (c, target) in enumerate(targets.items()):
+    for i, (c, target) in enumerate(targets):
         src = F.col(c)
         tried = src.try_cast(target)
         lossy = F.lit(False)

@@ -124,3 +124,13 @@ def exact_mean(total: Column, count: Column) -> Column:
 def safe_ratio_numeric(num: Column, den: Column) -> Column:
     """CAST(SAFE_DIVIDE(num, NULLIF(den, 0)) AS NUMERIC): FLOAT64 division, then NUMERIC."""
     return F.try_divide(num.cast("double"), F.nullif(den, F.lit(0)).cast("double")).cast(NUMERIC)
+
+
+def exact_ratio(num: Column, den: Column, scale: int = 2, precision: int = 5) -> Column:
+    """num / den (non-negative), rounded HALF_UP at ``scale``, as DECIMAL(precision, scale); NULL when den is 0.
+
+    The quotient is taken at scale 10 before the final rounding, which is
+    exact for denominators below 10^8.
+    """
+    q = num.cast("decimal(38,10)") / F.nullif(den, F.lit(0)).cast("decimal(20,0)")
+    return F.round(q, scale).cast(f"decimal({precision},{scale})")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from switchboard.functions import decode as X
+from switchboard.operators import sessions as S
 from switchboard.sources.tables import table
 
 # Binding vocabularies (test-table codes → reference codes).
@@ -58,21 +59,13 @@ def site_code(nationkey: str | Column) -> Column:
 
 def fact_agent_activity(spark: SparkSession, sf: str) -> DataFrame:
     ev = table(spark, sf, "events")
-    return (
-        ev.groupBy(
-            F.col("user_id").alias("agent_sk"),
-            mapped("event_type", STATE_OF_EVENT).alias("state_code"),
-            F.to_date("ts").alias("event_date"),
-        )
-        .agg(
-            F.sum(X.cents("value")).alias("state_seconds"),
-            F.count(F.lit(1)).alias("occurrence_count"),
-            F.min("ts").alias("first_state_ts"),
-            F.max("ts").alias("last_state_ts"),
-        )
-        .select("agent_sk", "state_code", "state_seconds", "occurrence_count",
-                "first_state_ts", "last_state_ts", "event_date")
+    state_events = ev.select(
+        F.col("user_id").alias("agent_sk"),
+        mapped("event_type", STATE_OF_EVENT).alias("state_code"),
+        F.col("ts").alias("state_ts"),
+        X.cents("value").alias("state_seconds"),
     )
+    return S.agent_activity_daily(state_events)
 
 
 def dim_agent(spark: SparkSession, sf: str) -> DataFrame:
@@ -91,24 +84,13 @@ def dim_agent(spark: SparkSession, sf: str) -> DataFrame:
 
 def fact_queue_interval(spark: SparkSession, sf: str) -> DataFrame:
     ev = table(spark, sf, "events")
-    answered = F.col("event_type") != "error"
-    return (
-        ev.groupBy(
-            (F.col("user_id") % QUEUE_COUNT).alias("queue_sk"),
-            F.window("ts", f"{INTERVAL_MINUTES} minutes").start.alias("interval_start_ts"),
-        )
-        .agg(
-            F.count(F.lit(1)).alias("offered"),
-            F.count_if(answered).alias("answered"),
-            F.count_if(~answered).alias("abandoned"),
-            F.count_if(answered & (F.col("value") < SL_THRESHOLD_SEC)).alias("answered_in_sl"),
-        )
-        .select(
-            "queue_sk", "interval_start_ts", "offered", "answered", "abandoned", "answered_in_sl",
-            F.lit(SL_THRESHOLD_SEC).cast("bigint").alias("sl_threshold_sec"),
-            F.to_date("interval_start_ts").alias("event_date"),
-        )
+    calls = ev.select(
+        (F.col("user_id") % QUEUE_COUNT).alias("queue_sk"),
+        F.col("ts").alias("call_ts"),
+        (F.col("event_type") == "error").alias("abandoned"),
+        F.col("value").alias("wait_sec"),
     )
+    return S.queue_intervals(calls, INTERVAL_MINUTES, SL_THRESHOLD_SEC)
 
 
 def fact_interaction(spark: SparkSession, sf: str) -> DataFrame:
@@ -158,20 +140,49 @@ def fact_csat_survey(spark: SparkSession, sf: str) -> DataFrame:
 def fact_billing_line(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")
     o = table(spark, sf, "orders")
-    return (
-        li.join(o, li.l_orderkey == o.o_orderkey, "inner")
-        .select(
-            F.col("l_orderkey").alias("invoice_id"),
-            F.col("o_custkey").alias("client_sk"),
-            F.col("l_suppkey").alias("program_sk"),
-            F.col("l_linenumber").cast("bigint").alias("line_no"),
-            F.col("l_quantity").cast("decimal(12,2)").alias("qty"),
-            F.col("l_extendedprice").cast("decimal(14,2)").alias("line_amount"),
-            (F.col("l_returnflag") == "R").alias("adjustment_flag"),
-            F.col("o_orderstatus").alias("invoice_status"),
-            X.month_start(F.to_date("o_orderdate")).alias("period_month_date"),
-        )
+    lines = li.select(
+        F.col("l_orderkey").alias("invoice_id"),
+        F.col("l_suppkey").alias("program_sk"),
+        F.col("l_linenumber").cast("bigint").alias("line_no"),
+        F.col("l_quantity").cast("decimal(12,2)").alias("qty"),
+        F.col("l_extendedprice").cast("decimal(14,2)").alias("line_amount"),
+        (F.col("l_returnflag") == "R").alias("adjustment_flag"),
     )
+    headers = o.select(
+        F.col("o_orderkey").alias("invoice_id"),
+        F.col("o_custkey").alias("client_sk"),
+        F.col("o_orderstatus").alias("invoice_status"),
+        F.col("o_orderdate").alias("invoice_ts"),
+    )
+    return S.billing_lines(lines, headers)
+
+
+def program_lob(spark: SparkSession, sf: str) -> DataFrame:
+    """Line of business of a program: the region of its supplier's nation."""
+    s = table(spark, sf, "supplier")
+    n = table(spark, sf, "nation")
+    r = table(spark, sf, "region")
+    return (s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+            .select(F.col("s_suppkey").alias("program_sk"), F.col("r_name").alias("line_of_business")))
+
+
+def sla_credits(spark: SparkSession, sf: str) -> DataFrame:
+    """Returned lines as SLA credits: price × discount in cents."""
+    li = table(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
+    o = table(spark, sf, "orders")
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("o_custkey").alias("client_sk"), F.col("l_suppkey").alias("program_sk"),
+        X.month_start(F.to_date("o_orderdate")).alias("period_month_date"),
+        X.cents(F.col("l_extendedprice") * F.col("l_discount")).alias("credit_cents"))
+
+
+def telco_costs(spark: SparkSession, sf: str) -> DataFrame:
+    """Carrier cost per client and month: 1 % of the order total, whole cents; no program."""
+    o = table(spark, sf, "orders")
+    return o.select(
+        F.col("o_custkey").alias("client_sk"), F.lit(None).cast("bigint").alias("program_sk"),
+        X.month_start(F.to_date("o_orderdate")).alias("period_month_date"),
+        F.floor(X.cents("o_totalprice") / 100).cast("bigint").alias("telco_cents"))
 
 
 def fact_ticket(spark: SparkSession, sf: str) -> DataFrame:

@@ -197,3 +197,11 @@ BINDINGS["ods_agent_scd2"] = scd2_sql(
     "SELECT o_custkey AS agent_id, o_orderstatus AS status, o_orderdate AS changed_at, o_orderkey AS seq FROM orders",
     "agent_id", "changed_at", ["status"], "seq", "agent_history_id").replace(
     "SELECT CAST(agent_id", "SELECT CAST(agent_id", 1)
+
+
+def exact_ratio(num: str, den: str, scale: int = 2, precision: int = 5) -> str:
+    """num / den (non-negative integers), HALF_UP at ``scale``; NULL when den is 0."""
+    mult = 10 ** scale
+    q = f"((CAST({num} AS HUGEINT) * {2 * mult} + ({den})) // NULLIF(2 * ({den}), 0))"
+    unit = f"CAST({1 / mult:.{scale}f} AS DECIMAL({scale + 1},{scale}))"
+    return f"CAST(CAST({q} AS DECIMAL(28,0)) * {unit} AS DECIMAL({precision},{scale}))"

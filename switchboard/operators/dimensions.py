@@ -34,6 +34,9 @@ def resolve_keys(fact: DataFrame, dims: list[tuple[DataFrame, str, list[str]]])
     return out
 
 
+# Fixed-date US holidays as (month, day): New Year's Day, Independence Day, Christmas Day.
+US_FIXED_HOLIDAYS = [(1, 1), (7, 4), (12, 25)]
+
 # Org unit id ranges per level (level * 10^12 + natural key).
 ORG_LEVEL_BASE = 1_000_000_000_000
 
@@ -105,11 +108,19 @@ def calendar_columns() -> list[Column]:
         F.quarter(d).cast("bigint").alias("quarter_no"),
         F.year(d).cast("bigint").alias("year_no"),
         F.dayofweek(d).isin(1, 7).alias("is_weekend"),
+        _holiday(d).alias("is_holiday_us"),
         F.concat(F.year(d).cast("string"), F.lit("-P"), F.lpad(F.month(d).cast("string"), 2, "0"))
         .alias("fiscal_period"),
     ]
 
 
+def _holiday(d: Column) -> Column:
+    out = F.lit(False)
+    for m, day in US_FIXED_HOLIDAYS:
+        out = out | ((F.month(d) == m) & (F.dayofmonth(d) == day))
+    return out
+
+
 def date_spine(bounds: DataFrame, first_col: str, last_col: str) -> DataFrame:
     """One row per day between the bounds (inclusive), generated per bounds row."""
     return bounds.select(F.explode(F.sequence(F.col(first_col), F.col(last_col),

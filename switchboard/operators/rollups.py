@@ -76,16 +76,26 @@ def csat_rollup_monthly(surveys: DataFrame) -> DataFrame:
 def billing_monthly_net(billed: DataFrame, credits: DataFrame, telco: DataFrame) -> DataFrame:
     """agg_billing_monthly: billed − SLA credits − carrier cost per (client, program, month).
 
-    Each input is pre-aggregated to its own grain, then the three are
-    full-outer joined on (client_sk, program_sk, period_month_date); a side
-    with no row counts as 0. Carrier cost has no program (program_sk NULL), so
-    it stays on its own rows: NULL keys never match.
+    The three inputs are stacked (union by name, the other measures NULL) and
+    summed per (client_sk, program_sk, period_month_date): one shuffle with
+    map-side combining, where chained full outer joins would shuffle every
+    side twice and cannot split a hot key. A side with no row counts as 0.
+    Carrier cost has no program (program_sk NULL), so it forms its own rows.
+    This equals a full outer join on the keys whenever the billed and credit
+    sides have no NULL key (they come from line items, which always carry one).
     """
     keys = ["client_sk", "program_sk", "period_month_date"]
-    b = billed.groupBy(*keys).agg(F.sum("line_amount").alias("b"))
-    c = credits.groupBy(*keys).agg(F.sum("credit_cents").alias("c"))
-    t = telco.groupBy(*keys).agg(F.sum("telco_cents").alias("t"))
-    j = b.join(c, keys, "full").join(t, keys, "full")
+
+    def side(df: DataFrame, col: str, name: str) -> DataFrame:
+        vals = {"b": F.lit(None).cast("decimal(14,2)"), "c": F.lit(None).cast("bigint"),
+                "t": F.lit(None).cast("bigint")}
+        vals[name] = F.col(col)
+        return df.select(*keys, *[vals[k].alias(k) for k in ("b", "c", "t")])
+
+    stacked = (side(billed, "line_amount", "b")
+               .unionByName(side(credits, "credit_cents", "c"))
+               .unionByName(side(telco, "telco_cents", "t")))
+    j = stacked.groupBy(*keys).agg(F.sum("b").alias("b"), F.sum("c").alias("c"), F.sum("t").alias("t"))
     billed_amt = F.coalesce(F.col("b"), F.lit(0)).cast("decimal(14,2)")
     credit_amt = (F.coalesce(F.col("c"), F.lit(0)).cast("decimal(20,0)") / 100).cast("decimal(12,2)")
     telco_amt = (F.coalesce(F.col("t"), F.lit(0)).cast("decimal(20,0)") / 100).cast("decimal(12,2)")

@@ -196,39 +196,25 @@ def partition_values(spark: SparkSession, path: str, partition_col: str) -> list
 
 
 def drop_expired_partitions(spark: SparkSession, path: str, partition_col: str, as_of: dt.date,
-                            days: int = 90) -> list[str]:
+                            days: int = 90, parallelism: int = 16) -> list[str]:
     """Apply ``partition_expiration_days``: delete day partitions dated on or before as_of - days.
 
     Works on the directory listing only; the rows of kept partitions are
-    never read or rewritten.
+    never read or rewritten. A daily run drops one directory; a first run on
+    a long history drops many, so the deletes are issued concurrently.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     cutoff = as_of - dt.timedelta(days=days)
     fs, root = _fs(spark, path)
     jvm = spark.sparkContext._jvm
-    dropped = []
-    for value in partition_values(spark, path, partition_col):
-        if dt.date.fromisoformat(value) <= cutoff:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{partition_col}={value}"), True)
-            dropped.append(value)
-    return dropped
-
-
-def refresh_aggregate(spark: SparkSession, fact_path: str, agg_path: str, delta: DataFrame,
-                      partition_col: str, aggregate, fact_cluster: list[str],
-                      agg_cluster: list[str]) -> list:
-    """Incremental maintenance of an aggregate stored by day partition.
-
-    1. The delta's day partitions replace those of the stored fact (dynamic
-       partition overwrite; other days are not touched).
-    2. The aggregate is recomputed from the stored fact for those days only
-       (a partition filter on the fact scan) and overwrites the same day
-       partitions of the stored aggregate.
-    Returns the touched partition values. Only that list -- one value per
-    touched day, bounded by the number of partitions, not by rows -- comes to
-    the driver, to become a static partition filter.
-    """
-    touched = sorted(r[0] for r in delta.select(partition_col).distinct().collect())
-    write_layout(delta, fact_path, partition_col, fact_cluster, mode="overwrite")
-    fact = spark.read.parquet(fact_path).filter(F.col(partition_col).isin(touched))
-    write_layout(aggregate(fact), agg_path, partition_col, agg_cluster, mode="overwrite")
-    return touched
+    expired = [v for v in partition_values(spark, path, partition_col) if dt.date.fromisoformat(v) <= cutoff]
+
+    def delete(value: str) -> str:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{partition_col}={value}"), True)
+        return value
+
+    if not expired:
+        return []
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(expired)))) as pool:
+        return sorted(pool.map(delete, expired))

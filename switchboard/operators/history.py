@@ -62,58 +62,104 @@ def upsert(base: DataFrame, delta: DataFrame, keys: list[str], order: list[str]
     return out.select(*cols)
 
 
+# Time bucket of the two-level windows below: rows are windowed per (key, bucket)
+# and values cross bucket boundaries through one summary row per (key, bucket).
+DEFAULT_BUCKET = "day"
+
+
+def _bucket(ts: Column, bucket: str) -> Column:
+    return F.date_trunc(bucket, ts.cast("timestamp"))
+
+
 def scd2_history(df: DataFrame, key: str, ts_col: str, attrs: list[str], tie_col: str | None = None,
-                 id_col: str = "history_id") -> DataFrame:
+                 id_col: str = "history_id", bucket: str = DEFAULT_BUCKET) -> DataFrame:
     """Type-2 history: one validity row per change of ``attrs``.
 
     Consecutive rows with equal attributes (NULL-safe) collapse into the
     first; ``eff_to_ts`` is the next kept row's start, ``is_current`` marks the
-    open row. The windows are partitioned by the business key.
+    open row.
+
+    The ``lag`` / ``lead`` windows run per (key, time bucket), not per key, so
+    a key holding a third of all changes is spread over many tasks. What a
+    window cannot see across a bucket edge -- the last attributes of the
+    previous bucket, the first kept start of the next one -- comes from one
+    summary row per (key, bucket): an aggregate (map-side combined), then a
+    window over the key's buckets (one row per bucket, bounded by the time
+    span, not by the row count).
     """
-    order = [F.col(ts_col)] + ([F.col(tie_col)] if tie_col else [])
-    w = Window.partitionBy(key).orderBy(*order)
-    attr = F.struct(*[F.col(a) for a in attrs])
-    changed = (df.withColumn("_prev", F.lag(attr).over(w))
-               .filter(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(attr))
-               .drop("_prev"))
-    w2 = Window.partitionBy(key).orderBy(*order)
-    out = (changed
+    order = [ts_col] + ([tie_col] if tie_col else [])
+    rows = (df.withColumn("_b", _bucket(F.col(ts_col), bucket))
+            .withColumn("_a", F.struct(*[F.col(a) for a in attrs]))
+            .withColumn("_o", F.struct(*[F.col(c) for c in order])))
+    by_bucket = Window.partitionBy(key).orderBy("_b")
+    # last attributes of the previous non-empty bucket
+    last = rows.groupBy(key, "_b").agg(F.max(F.struct("_o", "_a")).alias("_last"))
+    carry = last.select(key, "_b", F.lag(F.col("_last._a")).over(by_bucket).alias("_carry"))
+    w = Window.partitionBy(key, "_b").orderBy(*order)
+    with_prev = rows.withColumn("_prev_in", F.lag("_a").over(w)).join(carry, [key, "_b"], "left")
+    prev = F.coalesce(F.col("_prev_in"), F.col("_carry"))
+    kept = (with_prev.filter(prev.isNull() | ~prev.eqNullSafe(F.col("_a")))
+            .drop("_prev_in", "_carry"))
+    # first kept start of the next non-empty bucket
+    first = kept.groupBy(key, "_b").agg(F.min("_o").alias("_first"))
+    nxt = first.select(key, "_b", F.lead(F.col(f"_first.{ts_col}")).over(by_bucket).alias("_next"))
+    out = (kept.withColumn("_lead_in", F.lead(F.col(ts_col)).over(w))
+           .join(nxt, [key, "_b"], "left")
            .withColumn("eff_from_ts", F.col(ts_col).cast("timestamp"))
-           .withColumn("eff_to_ts", F.lead(F.col(ts_col).cast("timestamp")).over(w2))
+           .withColumn("eff_to_ts", F.coalesce(F.col("_lead_in"), F.col("_next")).cast("timestamp"))
            .withColumn("is_current", F.col("eff_to_ts").isNull())
            .withColumn(id_col, F.concat_ws(":", F.col(key).cast("string"),
-                                           F.unix_micros(F.col("eff_from_ts")).cast("string"))))
+                                           F.unix_micros(F.col("eff_from_ts")).cast("string")))
+           .drop("_b", "_a", "_o", "_lead_in", "_next"))
     return out
 
 
 def asof_join(events: DataFrame, history: DataFrame, key: str, ts_col: str,
-              hist_cols: list[str]) -> DataFrame:
+              hist_cols: list[str], bucket: str = DEFAULT_BUCKET) -> DataFrame:
     """Each event with the ``hist_cols`` of the history row valid at its time.
 
     Valid means ``eff_from_ts <= ts < eff_to_ts`` (open end when NULL).
-    Written as one ordered pass, not a range join: history rows and events are
-    unioned, sorted by (key, time) with a history row before an event at the
-    same instant, and each event takes the last history row seen so far. That
-    is linear in the rows of a key, where an equi-join on the key plus a range
-    filter would pair every event of a hot key with every history row of it.
+    Written as an ordered pass, not a range join: history rows and events are
+    unioned, sorted by time with a history row before an event at the same
+    instant, and each event takes the last history row seen so far -- linear
+    in the rows, where an equi-join on the key plus a range filter would pair
+    every event of a hot key with every history row of it.
+
+    The pass runs per (key, time bucket); an event whose bucket has no
+    earlier history row takes the last history row of the key's previous
+    buckets, found from one summary row per (key, bucket).
     """
     ev_cols = events.columns
+    h_struct = F.struct(*[F.col(c) for c in ["eff_from_ts", "eff_to_ts"] + hist_cols])
     h = history.select(
-        F.col(key), F.col("eff_from_ts").alias("_t"), F.lit(0).alias("_kind"),
-        F.struct(*[F.col(c) for c in ["eff_from_ts", "eff_to_ts"] + hist_cols]).alias("_h"),
+        F.col(key), F.col("eff_from_ts").cast("timestamp").alias("_t"), F.lit(0).alias("_kind"),
+        F.col("eff_to_ts").isNull().alias("_open"), F.col("eff_to_ts").alias("_end"), h_struct.alias("_h"),
         *[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in ev_cols if c != key])
     e = events.select(
         F.col(key), F.col(ts_col).cast("timestamp").alias("_t"), F.lit(1).alias("_kind"),
+        F.lit(None).cast("boolean").alias("_open"), F.lit(None).cast("timestamp").alias("_end"),
         F.lit(None).cast(h.schema["_h"].dataType).alias("_h"),
         *[F.col(c) for c in ev_cols if c != key])
-    w = (Window.partitionBy(key).orderBy("_t", "_kind")
+    u = h.unionByName(e).withColumn("_b", _bucket(F.col("_t"), bucket))
+    order = [F.col("_t"), F.col("_kind"), F.col("_open"), F.col("_end")]
+    w = (Window.partitionBy(key, "_b").orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    seen = h.unionByName(e).withColumn("_cur", F.last("_h", ignorenulls=True).over(w))
-    valid = F.col("_cur").isNotNull() & (
-        F.col("_cur.eff_to_ts").isNull() | (F.col("_t") < F.col("_cur.eff_to_ts")))
-    return (seen.filter(F.col("_kind") == 1)
+    seen = u.withColumn("_cur_in", F.last("_h", ignorenulls=True).over(w))
+    # last history row of each (key, bucket), carried to later buckets
+    hb = (u.filter(F.col("_kind") == 0).groupBy(key, "_b")
+          .agg(F.max(F.struct("_t", "_open", "_end", "_h")).alias("_m"))
+          .select(key, "_b", F.lit(1).alias("_k2"), F.col("_m._h").alias("_hl")))
+    eb = (u.filter(F.col("_kind") == 1).select(key, "_b").distinct()
+          .select(key, "_b", F.lit(0).alias("_k2"), F.lit(None).cast(h.schema["_h"].dataType).alias("_hl")))
+    wb = (Window.partitionBy(key).orderBy("_b", "_k2")
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carry = (hb.unionByName(eb).withColumn("_carry", F.last("_hl", ignorenulls=True).over(wb))
+             .filter(F.col("_k2") == 0).select(key, "_b", "_carry"))
+    cur = F.coalesce(F.col("_cur_in"), F.col("_carry"))
+    valid = cur.isNotNull() & (cur.getField("eff_to_ts").isNull() | (F.col("_t") < cur.getField("eff_to_ts")))
+    return (seen.filter(F.col("_kind") == 1).join(carry, [key, "_b"], "left")
             .select(*[F.col(c) for c in ev_cols],
-                    *[F.when(valid, F.col(f"_cur.{c}")).alias(c) for c in ["eff_from_ts"] + hist_cols]))
+                    *[F.when(valid, cur.getField(c)).alias(c) for c in ["eff_from_ts"] + hist_cols]))
 
 
 def pick_max(df: DataFrame, group: list[str], order: list[Column], payload: list[str]) -> DataFrame:

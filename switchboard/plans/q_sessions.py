@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from switchboard.functions import decode as X
 from switchboard.operators import dimensions as D
@@ -10,7 +11,8 @@ from switchboard.operators import sessions as S
 from switchboard.plans import bindings as B
 from switchboard.plans.catalog import register
 from switchboard.plans.oracle import cents, epoch_ms, exact_ratio, with_ctes
-from switchboard.sources.tables import table
+from switchboard.session import fresh_path
+from switchboard.sources.tables import read_nested, table
 
 # event_type → call segment type for the segment binding.
 SEGMENT_OF_EVENT = {"signup": "RING", "error": "IVR", "click": "TALK", "view": "HOLD", "purchase": "ACW"}
@@ -64,9 +66,21 @@ def chat_transcripts(spark, sf):
                                              x.text.alias("text"))).alias("messages"))
 
 
+CHAT_SCHEMA = T.StructType([
+    T.StructField("chat_ref", T.StringType()),
+    T.StructField("messages", T.ArrayType(T.StructType([
+        T.StructField("sender", T.StringType()), T.StructField("ts_ms", T.LongType()),
+        T.StructField("text", T.StringType())]))),
+])
+
+
+# The transcripts are landed as JSON lines and read back with the declared
+# nested schema (S4), then measured with array functions.
 @register("chat_session", C10_SQL)
 def chat_session(spark, sf):
-    return S.chat_metrics(chat_transcripts(spark, sf))
+    path = fresh_path(spark, "chat_transcripts_json")
+    chat_transcripts(spark, sf).write.json(path)
+    return S.chat_metrics(read_nested(spark, path, CHAT_SCHEMA, fmt="json"))
 
 
 # ---------------------------------------------------------------- C11

@@ -23,15 +23,23 @@ from pyspark.sql import functions as F
 
 from switchboard.functions import decode as X
 
-A1_COLUMNS = ["agent_sk", "site_code", "interactions_handled", "avg_handle_seconds", "talk_seconds",
-              "acw_seconds", "aux_seconds", "adherence_pct", "occupancy_pct", "event_date"]
-A2_COLUMNS = ["agent_sk", "site_code", "days_worked", "interactions_handled", "avg_handle_seconds",
-              "adherence_pct", "occupancy_pct", "week_start_date"]
-A3_COLUMNS = ["queue_sk", "hour_of_day", "offered", "answered", "abandoned", "sl_pct", "forecast_volume",
-              "volume_variance_pct", "event_date"]
-A4_COLUMNS = ["site_code", "agents_active", "interactions", "avg_handle_seconds", "sl_pct", "adherence_pct",
-              "event_date"]
-
+# Declared output schemas of the four materialized aggregates
+# (column order as declared, partition column last).
+DECLARED = {
+    "agg_agent_daily": "agent_sk bigint, site_code string, interactions_handled bigint, "
+                       "avg_handle_seconds decimal(38,9), talk_seconds bigint, acw_seconds bigint, "
+                       "aux_seconds bigint, adherence_pct decimal(38,9), occupancy_pct decimal(38,9), "
+                       "event_date date",
+    "agg_agent_weekly": "agent_sk bigint, site_code string, days_worked bigint, interactions_handled bigint, "
+                        "avg_handle_seconds decimal(38,9), adherence_pct decimal(38,9), "
+                        "occupancy_pct decimal(38,9), week_start_date date",
+    "agg_queue_hourly": "queue_sk bigint, hour_of_day bigint, offered bigint, answered bigint, abandoned bigint, "
+                        "sl_pct decimal(38,9), forecast_volume bigint, volume_variance_pct decimal(38,9), "
+                        "event_date date",
+    "agg_site_daily": "site_code string, agents_active bigint, interactions bigint, "
+                      "avg_handle_seconds decimal(38,9), sl_pct decimal(38,9), adherence_pct decimal(38,9), "
+                      "event_date date",
+}
 
 def _state_sum(code_match, value: str = "state_seconds"):
     # SUM(CASE WHEN cond THEN x ELSE 0 END): 0, not NULL, when nothing matches;

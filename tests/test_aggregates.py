@@ -81,3 +81,23 @@ def test_decimal_tie_rounds_half_up(spark):
     assert got == Decimal("0.000976563")  # 0.0009765625 → HALF_UP at 9 places
     got2 = df.select(X.exact_ratio(F.lit(1), F.lit(8), 2, 5).alias("m")).collect()[0].m
     assert got2 == Decimal("0.13")        # 0.125 → 0.13
+
+
+def test_declared_output_schemas(spark):
+    """Column names, order and types of A1-A4 as declared (the data side of the schema specs)."""
+    from pyspark.sql.types import _parse_datatype_string  # noqa: PLC0415 - test-only parser
+
+    from switchboard.plans import bindings as B
+    sf = "/root/testdata/sf0.001"
+    fact, dim = B.fact_agent_activity(spark, sf), B.dim_agent(spark, sf)
+    produced = {
+        "agg_agent_daily": A.agg_agent_daily(fact, dim),
+        "agg_agent_weekly": A.agg_agent_weekly(fact, dim),
+        "agg_queue_hourly": A.agg_queue_hourly(B.fact_queue_interval(spark, sf)),
+        "agg_site_daily": A.agg_site_daily(fact, dim),
+    }
+    for name, df in produced.items():
+        want = _parse_datatype_string(A.DECLARED[name])
+        got = [(f.name, f.dataType) for f in df.schema.fields]
+        assert got == [(f.name, f.dataType) for f in want.fields], name
+        assert df.limit(0).count() == 0     # SELECT * ... LIMIT 0 runs

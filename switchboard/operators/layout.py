@@ -156,14 +156,21 @@ def table_ready(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def materialized_path(spark: SparkSession, name: str, sf_dir: str, sources: list[str], df: DataFrame,
+                      partition_col: str | None, cluster_keys: list[str], grain: str = "day") -> str:
+    """Location of a warehouse table in the shared folder, written once per input version."""
+    path = table_path(spark, "warehouse", f"{name}-{source_fingerprint(sf_dir, sources)}")
+    if not table_ready(spark, path):
+        write_layout(df, path, partition_col, cluster_keys, grain)
+    return path
+
+
 def materialized(spark: SparkSession, name: str, sf_dir: str, sources: list[str], build,
                  partition_col: str | None, cluster_keys: list[str], grain: str = "day") -> DataFrame:
     """A warehouse table laid out in the shared folder, written once per input version."""
-    path = table_path(spark, "warehouse", f"{name}-{source_fingerprint(sf_dir, sources)}")
     df = build()
     schema = df.schema
-    if not table_ready(spark, path):
-        write_layout(df, path, partition_col, cluster_keys, grain)
+    path = materialized_path(spark, name, sf_dir, sources, df, partition_col, cluster_keys, grain)
     out = spark.read.parquet(path)
     # keep the declared column order; the derived partition column stays last
     extra = [c for c in out.columns if c not in schema.names]

@@ -16,7 +16,6 @@ from switchboard.plans.catalog import register
 from switchboard.plans.oracle import BINDINGS, with_ctes
 from switchboard.plans.q_aggregates import A1_SQL
 from switchboard.session import fresh_path
-from switchboard.sources.tables import table
 
 DAY = W.EVENT_DAY.isoformat()
 
@@ -76,18 +75,18 @@ RETENTION_KEEP_FROM = RETENTION_AS_OF - dt.timedelta(days=90)
 
 
 def _orders_by_day(spark, sf):
-    o = table(spark, sf, "orders")
-    return o.withColumn("order_date", F.to_date("o_orderdate"))
+    return W.orders_by_day(spark, sf)
 
 
 @register("retention_90d", f"""
 SELECT *, CAST(o_orderdate AS DATE) AS order_date FROM orders
 WHERE CAST(o_orderdate AS DATE) > DATE '{RETENTION_KEEP_FROM.isoformat()}'""")
 def retention_90d(spark, sf):
-    df = _orders_by_day(spark, sf)
-    path, _ = L.write_fresh(spark, "orders_by_day", df, "order_date", ["o_custkey"])
+    """Expire the day partitions of the stored orders_by_day table (idempotent: a
+    second run finds nothing left to drop) and return what remains."""
+    path = W.wh_path(spark, sf, "orders_by_day")
     L.drop_expired_partitions(spark, path, "order_date", RETENTION_AS_OF, 90)
-    return _readback(spark, path, df)
+    return _readback(spark, path, _orders_by_day(spark, sf))
 
 
 # ---------------------------------------------------------------- K3

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from switchboard.functions import decode as X
 from switchboard.operators import aggregates as A
 from switchboard.operators import history as H
-from switchboard.operators.layout import materialized
+from switchboard.operators.layout import materialized, materialized_path
 from switchboard.plans import bindings as B
 from switchboard.sources.tables import table
 
@@ -80,6 +80,11 @@ def ods_agent_scd2(spark: SparkSession, sf: str) -> DataFrame:
     return hist.select("agent_history_id", "agent_id", "status", "eff_from_ts", "eff_to_ts", "is_current")
 
 
+def orders_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """orders as a day-partitioned table (retention and profile input)."""
+    return table(spark, sf, "orders").withColumn("order_date", F.to_date("o_orderdate"))
+
+
 @dataclass(frozen=True)
 class Spec:
     build: object
@@ -118,9 +123,16 @@ SPECS: dict[str, Spec] = {
     "ods_agent_acid": Spec(ods_agent_acid, ("customer",), None, "day", ("agent_id",)),
     "ods_ticket_acid": Spec(ods_ticket_acid, ("orders",), None, "day", ("ticket_id",)),
     "ods_invoice_acid": Spec(ods_invoice_acid, ("orders",), None, "day", ("invoice_id",)),
+    "orders_by_day": Spec(orders_by_day, ("orders",), "order_date", "day", ("o_custkey",)),
 }
 
 
+def wh_path(spark: SparkSession, sf: str, name: str) -> str:
+    s = SPECS[name]
+    return materialized_path(spark, name, sf, list(s.sources), s.build(spark, sf), s.partition,
+                             list(s.cluster), s.grain)
+
+
 def wh(spark: SparkSession, sf: str, name: str) -> DataFrame:
     s = SPECS[name]
     return materialized(spark, name, sf, list(s.sources), lambda: s.build(spark, sf),

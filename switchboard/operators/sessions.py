@@ -1,9 +1,11 @@
 """Per-call / per-session / per-interval operators.
 
-Everything is a built-in expression or aggregate. Where the staged input
-already carries an array per record (chat messages, QA sections) the
-metrics are array higher-order functions on that row -- no explode, no
-shuffle.
+Everything is a built-in expression or aggregate. Two forms exist for chat
+and QA metrics: over staged records that already carry an array (array
+higher-order functions on the row -- no explode, no shuffle), and over one
+row per message / section (plain aggregates, map-side combined). Arrays are
+never built from rows here: gathering a key's rows into one value would put
+a hot key into one task.
 """
 
 from __future__ import annotations
@@ -22,22 +24,20 @@ PATH_SEPARATOR = ">"
 
 
 def call_durations(segments: DataFrame) -> DataFrame:
-    """Seconds per segment type per call, pivoted over the fixed type list.
-
-    The value list is given, so the pivot needs no extra distinct job, and it
-    is one hash aggregate (map-side combined) per call. A call without a TALK
-    segment is abandoned.
+    """Seconds per segment type per call: the pivot over the fixed type list,
+    written as conditional sums so that it and the segment count are one hash
+    aggregate (map-side combined) per call. A call without a TALK segment is
+    abandoned.
     """
-    piv = (segments.groupBy("call_id")
-           .pivot("segment_type", SEGMENT_TYPES)
-           .agg(F.sum("duration_seconds")))
-    counts = segments.groupBy("call_id").agg(F.count(F.lit(1)).alias("segment_count"))
-    out = piv.join(counts, "call_id")
+    t = F.col("segment_type")
+    sums = [F.sum(F.when(t == v, F.col("duration_seconds"))).alias(v) for v in SEGMENT_TYPES]
+    out = segments.groupBy("call_id").agg(*sums, F.count(F.lit(1)).alias("segment_count"),
+                                          F.count_if(t == "TALK").alias("_talks"))
     return out.select(
         "call_id",
-        *[F.coalesce(F.col(t), F.lit(0)).cast("bigint").alias(f"{t.lower()}_seconds") for t in SEGMENT_TYPES],
+        *[F.coalesce(F.col(v), F.lit(0)).cast("bigint").alias(f"{v.lower()}_seconds") for v in SEGMENT_TYPES],
         "segment_count",
-        F.col("TALK").isNull().alias("abandoned_flag"),
+        (F.col("_talks") == 0).alias("abandoned_flag"),
     )
 
 
@@ -61,6 +61,39 @@ def chat_metrics(chats: DataFrame) -> DataFrame:
     )
 
 
+def chat_metrics_rows(messages: DataFrame) -> DataFrame:
+    """The same metrics from one row per message (chat_ref, sender, ts_ms).
+
+    Counts and the first customer time are one aggregate per chat (map-side
+    combined); the first agent reply after it needs that time on every
+    message row, a join that meets exactly one row per chat (a hot chat is
+    split by AQE's skew handling, never fanned out).
+    """
+    sender, ts = F.col("sender"), F.col("ts_ms")
+    counts = messages.groupBy("chat_ref").agg(
+        F.count(F.lit(1)).alias("message_count"),
+        F.count_if(sender == CHAT_AGENT).alias("agent_message_count"),
+        F.count_if(sender == CHAT_CUSTOMER).alias("customer_message_count"),
+        F.min(F.when(sender == CHAT_CUSTOMER, ts)).alias("_first_c"))
+    replies = (messages.filter(sender == CHAT_AGENT)
+               .join(counts.select("chat_ref", "_first_c"), "chat_ref")
+               .filter(ts > F.col("_first_c"))
+               .groupBy("chat_ref").agg(F.min(ts).alias("_reply")))
+    return counts.join(replies, "chat_ref", "left").select(
+        "chat_ref", "message_count", "agent_message_count", "customer_message_count",
+        F.floor((F.col("_reply") - F.col("_first_c")) / 1000).cast("bigint").alias("first_response_seconds"))
+
+
+def qa_totals_rows(sections: DataFrame) -> DataFrame:
+    """QA totals from one row per section (qa_form_id, max_points, scored_points): one aggregate."""
+    agg = sections.groupBy("qa_form_id").agg(
+        F.count(F.lit(1)).alias("section_count"),
+        F.sum("scored_points").alias("scored_points"),
+        F.sum("max_points").alias("max_points"))
+    return agg.select("qa_form_id", "section_count", "scored_points", "max_points",
+                      X.exact_ratio(F.col("scored_points") * 100, F.col("max_points"), 2, 5).alias("overall_pct"))
+
+
 def qa_totals(forms: DataFrame) -> DataFrame:
     """ods_qa_evaluation totals from ``sections`` ARRAY<STRUCT<section_code, max_points, scored_points>>."""
     s = F.col("sections")
@@ -75,28 +108,36 @@ def qa_totals(forms: DataFrame) -> DataFrame:
     )
 
 
-def ivr_sessions(events: DataFrame) -> DataFrame:
+def ivr_sessions(events: DataFrame, chunk: str = "minute") -> DataFrame:
     """ods_ivr_session / fact_ivr_path per session_ref.
 
-    Bounds and hop counts are plain aggregates. The ordered menu path is
-    ``array_sort`` of (event_ms, menu_path) structs, joined with '>' -- the
-    path of a session is one output value by definition, so its steps are
-    gathered for that session only.
+    Bounds, hop counts, exit key and containment are plain aggregates. The
+    ordered menu path is built in two levels: steps are ordered and joined per
+    (session, minute), then the minute pieces are ordered and joined per
+    session. No level gathers more than one minute of steps or one piece per
+    minute, so a hot session is spread over many tasks; its full path is one
+    output value by definition.
     """
+    e = events.withColumn("_chunk", F.date_trunc(chunk, X.decode_epoch_millis("event_ms")))
+    pieces = e.groupBy("session_ref", "_chunk").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_ms", "menu_path"))),
+                                 lambda x: x.menu_path), PATH_SEPARATOR).alias("_piece"))
+    paths = pieces.groupBy("session_ref").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_chunk", "_piece"))),
+                                 lambda x: x._piece), PATH_SEPARATOR).alias("menu_path_full"))
     agg = events.groupBy("session_ref").agg(
         F.min("event_ms").alias("_first"),
         F.max("event_ms").alias("_last"),
         F.count(F.lit(1)).alias("hops"),
         F.max_by("menu_path", "event_ms").alias("exit_key"),
         F.count_if(F.col("menu_path") == IVR_AGENT_MENU).alias("_to_agent"),
-        F.array_sort(F.collect_list(F.struct("event_ms", "menu_path"))).alias("_steps"),
         F.min("event_date").alias("event_date"),
     )
-    return agg.select(
+    return agg.join(paths, "session_ref").select(
         "session_ref",
         X.decode_epoch_millis("_first").alias("first_event_ts"),
         X.decode_epoch_millis("_last").alias("last_event_ts"),
-        F.array_join(F.transform("_steps", lambda x: x.menu_path), PATH_SEPARATOR).alias("menu_path_full"),
+        "menu_path_full",
         "hops",
         (F.col("_to_agent") == 0).alias("contained_flag"),
         "exit_key",

@@ -62,6 +62,34 @@ def apply_defaults(spark: SparkSession) -> None:
                 pass
 
 
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def scale_settings(input_bytes: int, executors_cores: int,
+                   target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` on ``executors_cores`` cores.
+
+    Scan splits and shuffle partitions both target ~256 MB so a task's input
+    fits comfortably in executor memory (with room for sort and aggregation
+    buffers before spilling); the shuffle partition count is at least a few
+    waves of the cluster's cores, and AQE coalesces small ones and splits
+    skewed ones (a partition 5x the median and over 1 GB) at run time. The
+    count is capped at 100k: past that the driver's map-status bookkeeping
+    (mappers x reducers) dominates, and full-data shuffles simply get larger,
+    spilling partitions. For 100 TB on 1,000 executors x 8 cores: 400k scan
+    splits (50 waves of 8,000 tasks) and 100k shuffle partitions.
+    """
+    parts = min(MAX_SHUFFLE_PARTITIONS,
+                max(3 * executors_cores, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * 1024 * 1024),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 

@@ -229,20 +229,35 @@ def drop_expired_partitions(spark: SparkSession, path: str, partition_col: str,
 
 def refresh_aggregate(spark: SparkSession, fact_path: str, agg_path: str, delta: DataFrame,
                       partition_col: str, aggregate, fact_cluster: list[str],
-                      agg_cluster: list[str]) -> list:
-    """Incremental maintenance of an aggregate stored by day partition.
+                      agg_cluster: list[str], agg_partition: str | None = None,
+                      agg_partition_of=None) -> list:
+    """Incremental maintenance of an aggregate stored by partition.
 
     1. The delta's day partitions replace those of the stored fact (dynamic
        partition overwrite; other days are not touched).
-    2. The aggregate is recomputed from the stored fact for those days only
-       (a partition filter on the fact scan) and overwrites the same day
-       partitions of the stored aggregate.
-    Returns the touched partition values. Only that list -- one value per
-    touched day, bounded by the number of partitions, not by rows -- comes to
-    the driver, to become a static partition filter.
+    2. The aggregate is recomputed from the stored fact for the touched
+       aggregate partitions only (a partition filter on the fact scan) and
+       overwrites the same partitions of the stored aggregate.
+
+    When the aggregate is partitioned at a coarser grain (``agg_partition``,
+    e.g. ``week_start_date``), ``agg_partition_of`` maps the fact's partition
+    column to it (e.g. ISO-week truncation); every fact day of a touched week
+    is re-read, so distinct counts are recomputed from rows, never merged.
+    Returns the touched aggregate partition values. Only those values -- one
+    per touched partition, bounded by the partition count, not by rows --
+    come to the driver, to become a static partition filter.
     """
-    touched = sorted(r[0] for r in delta.select(partition_col).distinct().collect())
+    agg_partition = agg_partition or partition_col
+    to_agg = agg_partition_of or (lambda c: c)
+    touched = sorted(r[0] for r in delta.select(to_agg(F.col(partition_col)).alias("_p")).distinct().collect())
     write_layout(delta, fact_path, partition_col, fact_cluster, mode="overwrite")
-    fact = spark.read.parquet(fact_path).filter(F.col(partition_col).isin(touched))
-    write_layout(aggregate(fact), agg_path, partition_col, agg_cluster, mode="overwrite")
+    fact = spark.read.parquet(fact_path).filter(to_agg(F.col(partition_col)).isin(touched))
+    write_layout(aggregate(fact), agg_path, agg_partition, agg_cluster, mode="overwrite")
     return touched
+
+
+def full_refresh(df: DataFrame, path: str, partition_col: str | None, cluster_keys: list[str],
+                 grain: str = "day") -> str:
+    """Rebuild a table in full (``allow_non_incremental_definition``): a static
+    overwrite, so partitions absent from the new result disappear too."""
+    return write_layout(df, path, partition_col, cluster_keys, grain, mode="overwrite", dynamic=False)

@@ -84,3 +84,26 @@ def test_cast_loss_audit(spark):
     assert (s.row_count, s.null_count, s.failed_casts) == (3, 1, 1)
     v = out[("v", "decimal(4,1)")]
     assert (v.failed_casts, v.scale_losses) == (1, 1)   # 1000.5 overflows; 1.25 rounds
+
+
+def test_weekly_refresh_recomputes_touched_weeks(spark):
+    from switchboard.functions import decode as X
+    schema = ("agent_sk bigint, state_code string, state_seconds bigint, occurrence_count bigint, "
+              "first_state_ts timestamp, last_state_ts timestamp, event_date date")
+    days = [dt.date(2026, 1, d) for d in (1, 2, 5, 6, 12)]        # weeks of 12-29, 01-05, 01-12
+    rows = [(a, "TALK", 10 * a + i, 1 + a, None, None, d) for i, d in enumerate(days) for a in (1, 2)]
+    fact = spark.createDataFrame(rows, schema)
+    dim = spark.createDataFrame([(1, "S1"), (2, "S2")], "agent_sk bigint, site_code string")
+    fact_path, agg_path = fresh_path(spark, "wf"), fresh_path(spark, "wa")
+    base = fact.filter(F.col("event_date") < days[3])
+    L.write_layout(base, fact_path, "event_date", ["agent_sk"])
+    L.full_refresh(A.agg_agent_weekly(spark.read.parquet(fact_path), dim), agg_path, "week_start_date", ["agent_sk"])
+    delta = fact.filter(F.col("event_date") >= days[3])            # day 6 joins the week of 01-05
+    touched = L.refresh_aggregate(spark, fact_path, agg_path, delta, "event_date",
+                                  lambda f: A.agg_agent_weekly(f, dim), ["agent_sk"], ["agent_sk"],
+                                  agg_partition="week_start_date", agg_partition_of=X.iso_week_start)
+    assert touched == [dt.date(2026, 1, 5), dt.date(2026, 1, 12)]
+    cols = ["agent_sk", "week_start_date", "days_worked", "interactions_handled", "avg_handle_seconds"]
+    got = sorted(map(tuple, spark.read.parquet(agg_path).select(*cols).collect()))
+    want = sorted(map(tuple, A.agg_agent_weekly(fact, dim).select(*cols).collect()))
+    assert got == want

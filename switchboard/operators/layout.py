@@ -78,11 +78,6 @@ def write_layout(df: DataFrame, path: str, partition_col: str | None = None,
     return phys
 
 
-def read_layout(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read a layout back with its declared schema (partition columns included)."""
-    return spark.read.schema(schema).parquet(path)
-
-
 def implied_partition_filter(predicate_col: str, grain: str, op: str, value) -> Column | None:
     """Predicate on the derived partition column implied by one on its source.
 
@@ -117,21 +112,6 @@ def expire_partitions(df: DataFrame, partition_col: str, as_of: dt.date, days: i
     return df.filter(F.col(partition_col) > F.date_sub(F.lit(as_of), days))
 
 
-def refresh_partitions(base: DataFrame, delta: DataFrame, partition_col: str,
-                       aggregate) -> DataFrame:
-    """Incremental refresh: the aggregate recomputed only for partitions the delta touches.
-
-    The touched partition values are a tiny distinct set from the delta; the
-    base is semi-joined on them (Catalyst turns this into a partition filter
-    on the base scan when dynamic partition pruning applies) and unioned with
-    the delta before re-aggregating. Distinct counts (A2, A4) are therefore
-    recomputed from rows, never merged from stored totals.
-    """
-    touched = delta.select(partition_col).distinct()
-    affected = base.join(touched, partition_col, "left_semi").unionByName(delta)
-    return aggregate(affected)
-
-
 def source_fingerprint(sf_dir: str, tables: list[str]) -> str:
     h = hashlib.sha1(sf_dir.encode())
     for t in tables:

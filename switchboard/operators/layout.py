@@ -72,8 +72,7 @@ def write_layout(df: DataFrame, path: str, partition_col: str | None = None,
     writer = ordered.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if phys:
         writer = writer.partitionBy(phys)
-        if dynamic:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     writer.parquet(path)
     return phys
 

@@ -3,6 +3,8 @@
 Every operator here is plain DataFrame / SQL code; the session only pins the
 settings whose values change results (UTC time zone, ANSI arithmetic) and
 the ones that matter for scale (AQE, skew-join splitting, partition sizes).
+Writers set their own options (e.g. dynamic partition overwrite) per write
+instead of changing the session.
 """
 
 from __future__ import annotations
@@ -21,8 +23,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.parquet.filterPushdown": "true",
 }
 
 

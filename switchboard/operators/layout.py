@@ -111,8 +111,11 @@ def expire_partitions(df: DataFrame, partition_col: str, as_of: dt.date, days: i
     return df.filter(F.col(partition_col) > F.date_sub(F.lit(as_of), days))
 
 
-def source_fingerprint(sf_dir: str, tables: list[str]) -> str:
+def source_fingerprint(sf_dir: str, tables: list[str], version: str = "") -> str:
+    """Identity of a derived table: input location, input file stats, and the
+    version of the code that builds it (so a code change never reuses a table)."""
     h = hashlib.sha1(sf_dir.encode())
+    h.update(version.encode())
     for t in tables:
         p = local_path(f"{sf_dir.rstrip('/')}/{t}.parquet")
         if p and os.path.exists(p):
@@ -136,20 +139,23 @@ def table_ready(spark: SparkSession, path: str) -> bool:
 
 
 def materialized_path(spark: SparkSession, name: str, sf_dir: str, sources: list[str], df: DataFrame,
-                      partition_col: str | None, cluster_keys: list[str], grain: str = "day") -> str:
-    """Location of a warehouse table in the shared folder, written once per input version."""
-    path = table_path(spark, "warehouse", f"{name}-{source_fingerprint(sf_dir, sources)}")
+                      partition_col: str | None, cluster_keys: list[str], grain: str = "day",
+                      version: str = "") -> str:
+    """Location of a warehouse table in the shared folder, written once per input and code version."""
+    fp = source_fingerprint(sf_dir, sources, f"{version}|{partition_col}|{grain}|{cluster_keys}")
+    path = table_path(spark, "warehouse", f"{name}-{fp}")
     if not table_ready(spark, path):
         write_layout(df, path, partition_col, cluster_keys, grain)
     return path
 
 
 def materialized(spark: SparkSession, name: str, sf_dir: str, sources: list[str], build,
-                 partition_col: str | None, cluster_keys: list[str], grain: str = "day") -> DataFrame:
-    """A warehouse table laid out in the shared folder, written once per input version."""
+                 partition_col: str | None, cluster_keys: list[str], grain: str = "day",
+                 version: str = "") -> DataFrame:
+    """A warehouse table laid out in the shared folder, written once per input and code version."""
     df = build()
     schema = df.schema
-    path = materialized_path(spark, name, sf_dir, sources, df, partition_col, cluster_keys, grain)
+    path = materialized_path(spark, name, sf_dir, sources, df, partition_col, cluster_keys, grain, version)
     out = spark.read.parquet(path)
     # keep the declared column order; the derived partition column stays last
     extra = [c for c in out.columns if c not in schema.names]

@@ -127,16 +127,39 @@ SPECS: dict[str, Spec] = {
 }
 
 
+def _code_version() -> str:
+    """Hash of the modules whose code decides the warehouse tables' rows."""
+    global _CODE_VERSION
+    if _CODE_VERSION is None:
+        import hashlib
+        import inspect
+        import sys
+
+        h = hashlib.sha1()
+        for mod in ("switchboard.plans.bindings", "switchboard.plans.warehouse", "switchboard.operators.history",
+                    "switchboard.operators.aggregates", "switchboard.operators.sessions",
+                    "switchboard.functions.decode", "switchboard.operators.layout"):
+            try:
+                h.update(inspect.getsource(sys.modules[mod]).encode())
+            except (KeyError, OSError, TypeError):
+                h.update(mod.encode())
+        _CODE_VERSION = h.hexdigest()[:12]
+    return _CODE_VERSION
+
+
+_CODE_VERSION: str | None = None
+
+
 def wh_path(spark: SparkSession, sf: str, name: str) -> str:
     s = SPECS[name]
     return materialized_path(spark, name, sf, list(s.sources), s.build(spark, sf), s.partition,
-                             list(s.cluster), s.grain)
+                             list(s.cluster), s.grain, _code_version())
 
 
 def wh(spark: SparkSession, sf: str, name: str) -> DataFrame:
     s = SPECS[name]
     return materialized(spark, name, sf, list(s.sources), lambda: s.build(spark, sf),
-                        s.partition, list(s.cluster), s.grain)
+                        s.partition, list(s.cluster), s.grain, _code_version())
 
 
 # Filter literals: the reference's 2026 dates moved into the test data's range.

@@ -29,8 +29,13 @@ def start_refresh(spark: SparkSession, landing_path: str, fact_schema: T.StructT
                   agg_path: str, aggregate: Callable[[DataFrame], DataFrame], partition_col: str,
                   fact_cluster: list[str], agg_cluster: list[str], name: str = "refresh",
                   checkpoint: str | None = None, available_now: bool = True,
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the refresh stream; ``available_now`` processes what has landed and stops."""
+                  max_files_per_trigger: int | None = None, agg_partition: str | None = None,
+                  agg_partition_of=None) -> StreamingQuery:
+    """Start the refresh stream; ``available_now`` processes what has landed and stops.
+
+    ``agg_partition`` / ``agg_partition_of`` refresh an aggregate partitioned
+    coarser than the fact (e.g. by ISO week), as in ``refresh_aggregate``.
+    """
     reader = spark.readStream.schema(fact_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -41,7 +46,7 @@ def start_refresh(spark: SparkSession, landing_path: str, fact_schema: T.StructT
         try:
             if not batch.isEmpty():
                 refresh_aggregate(spark, fact_path, agg_path, batch, partition_col, aggregate,
-                                  fact_cluster, agg_cluster)
+                                  fact_cluster, agg_cluster, agg_partition, agg_partition_of)
         finally:
             batch.unpersist()
 

@@ -92,7 +92,7 @@ def week_key_to_date(spark, sf):
 SELECT event_id, k AS key, CAST(json_extract(props, '$."' || k || '"') AS BIGINT) AS value
 FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events)""")
 def map_to_entries(spark, sf):
-    """Hive MAP<string,bigint> → ARRAY<STRUCT<key,value>>, returned one entry per row."""
+    """Legacy MAP<string,bigint> → ARRAY<STRUCT<key,value>>, returned one entry per row."""
     e = table(spark, sf, "events").select(
         "event_id", F.from_json("props", "map<string,bigint>").alias("props_map"))
     entries = e.select("event_id", F.map_entries("props_map").alias("entries"))

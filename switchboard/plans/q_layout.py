@@ -44,26 +44,26 @@ def layout_month(spark, sf):
 
 
 # ---------------------------------------------------------------- S8 + T8
-# Hive shape carries eff_from_year; it is dropped and the year partition is
+# The legacy shape carries eff_from_year; it is dropped and the year partition is
 # re-derived from eff_from_ts.
 @register("layout_year", f"""
 WITH h AS ({BINDINGS['ods_agent_scd2']})
 SELECT *, CAST(year(eff_from_ts) AS BIGINT) AS eff_from_ts_year FROM h""")
 def layout_year(spark, sf):
-    hive = W.ods_agent_scd2(spark, sf).withColumn("eff_from_year", F.year("eff_from_ts"))
-    df = hive.drop("eff_from_year")
+    legacy = W.ods_agent_scd2(spark, sf).withColumn("eff_from_year", F.year("eff_from_ts"))
+    df = legacy.drop("eff_from_year")
     path, phys = L.write_fresh(spark, "ods_agent_scd2", df, "eff_from_ts", ["agent_id"], grain="year")
     return _readback(spark, path, df, [F.col(phys).cast("bigint")])
 
 
 # ---------------------------------------------------------------- S10
-# Hive (date_key, channel) partitions → partition by event_date, channel
+# Legacy (date_key, channel) partitions → partition by event_date, channel
 # becomes the first cluster key.
 @register("layout_demoted_partition", with_ctes("SELECT * FROM fact_interaction", "fact_interaction"))
 def layout_demoted_partition(spark, sf):
-    hive = B.fact_interaction(spark, sf).withColumn("date_key", X.encode_date_key("event_date")) \
+    legacy = B.fact_interaction(spark, sf).withColumn("date_key", X.encode_date_key("event_date")) \
         .drop("event_date")
-    df = (hive.withColumn("event_date", X.decode_date_key("date_key")).drop("date_key")
+    df = (legacy.withColumn("event_date", X.decode_date_key("date_key")).drop("date_key")
           .select(*B.fact_interaction(spark, sf).columns))
     path, _ = L.write_fresh(spark, "fact_interaction_demoted", df, "event_date", ["channel", "agent_sk", "client_sk"])
     return _readback(spark, path, df)

@@ -7,33 +7,32 @@ Each returns a small DataFrame of findings computed in one distributed pass
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def fk_orphans(paths: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+def key_path(path: str, df: DataFrame, key: str) -> DataFrame:
+    """(path, k) rows of one documented key path."""
+    return df.select(F.lit(path).alias("path"), F.col(key).alias("k"))
+
+
+def fk_orphans(children: DataFrame, parents: DataFrame) -> DataFrame:
     """Per documented key path: child rows, NULL keys, orphan rows and orphan keys.
 
-    ``paths`` holds (name, child, child_key, parent, parent_key). The parent
-    side is reduced to its distinct keys with a marker and left-joined, so a
-    hot child key meets exactly one parent row (no fan-out), and the counts
-    come from one aggregate over the joined rows.
+    ``children`` and ``parents`` hold (path, k) rows of every path, stacked.
+    The parent side is reduced to distinct (path, k) with a marker and
+    left-joined once for all paths, so a hot child key meets exactly one
+    parent row (no fan-out) and all counts come from one aggregate by path.
     """
-    parts = []
-    for name, child, ckey, parent, pkey in paths:
-        keys = parent.select(F.col(pkey).alias("_k")).distinct().withColumn("_hit", F.lit(True))
-        c = child.select(F.col(ckey).alias("_k"))
-        j = c.join(keys, "_k", "left")
-        parts.append(j.groupBy().agg(
-            F.count(F.lit(1)).alias("child_rows"),
-            F.count_if(F.col("_k").isNull()).alias("null_key_rows"),
-            F.count_if(F.col("_k").isNotNull() & F.col("_hit").isNull()).alias("orphan_rows"),
-            F.countDistinct(F.when(F.col("_k").isNotNull() & F.col("_hit").isNull(), F.col("_k")))
-            .alias("orphan_keys"),
-        ).select(F.lit(name).alias("path"), "*"))
-    return reduce(DataFrame.unionByName, parts)
+    keys = parents.filter(F.col("k").isNotNull()).distinct().withColumn("_hit", F.lit(True))
+    j = children.join(keys, ["path", "k"], "left")
+    orphan = F.col("k").isNotNull() & F.col("_hit").isNull()
+    return j.groupBy("path").agg(
+        F.count(F.lit(1)).alias("child_rows"),
+        F.count_if(F.col("k").isNull()).alias("null_key_rows"),
+        F.count_if(orphan).alias("orphan_rows"),
+        F.countDistinct(F.when(orphan, F.col("k"))).alias("orphan_keys"),
+    )
 
 
 def pk_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -85,16 +85,24 @@ GROUP BY path""", "fact_agent_activity", "fact_interaction", "fact_csat_survey",
 
 @register("fk_orphans", ORPHAN_SQL)
 def fk_orphans(spark, sf):
-    parent_agent = B.dim_agent(spark, sf).filter(F.col("org_unit_id") < 20).select("agent_sk")
-    program = B.dim_program(spark, sf).select("program_sk")
-    paths = [
-        ("fact_agent_activity.agent_sk", B.fact_agent_activity(spark, sf), "agent_sk", parent_agent, "agent_sk"),
-        ("fact_interaction.agent_sk", B.fact_interaction(spark, sf), "agent_sk", parent_agent, "agent_sk"),
-        ("fact_csat_survey.agent_sk", B.fact_csat_survey(spark, sf), "agent_sk", parent_agent, "agent_sk"),
-        ("fact_billing_line.client_sk", B.fact_billing_line(spark, sf), "client_sk", parent_agent, "agent_sk"),
-        ("fact_billing_line.program_sk", B.fact_billing_line(spark, sf), "program_sk", program, "program_sk"),
-    ]
-    return K.fk_orphans(paths)
+    parent_agent = B.dim_agent(spark, sf).filter(F.col("org_unit_id") < 20)
+    program = B.dim_program(spark, sf)
+    billing = B.fact_billing_line(spark, sf).select(
+        F.explode(F.array(
+            F.struct(F.lit("fact_billing_line.client_sk").alias("path"), F.col("client_sk").alias("k")),
+            F.struct(F.lit("fact_billing_line.program_sk").alias("path"), F.col("program_sk").alias("k")),
+        )).alias("e")).select("e.path", "e.k")
+    children = (K.key_path("fact_agent_activity.agent_sk", B.fact_agent_activity(spark, sf), "agent_sk")
+                .unionByName(K.key_path("fact_interaction.agent_sk", B.fact_interaction(spark, sf), "agent_sk"))
+                .unionByName(K.key_path("fact_csat_survey.agent_sk", B.fact_csat_survey(spark, sf), "agent_sk"))
+                .unionByName(billing))
+    parents = (K.key_path("fact_agent_activity.agent_sk", parent_agent, "agent_sk")
+               .unionByName(K.key_path("fact_interaction.agent_sk", parent_agent, "agent_sk"))
+               .unionByName(K.key_path("fact_csat_survey.agent_sk", parent_agent, "agent_sk"))
+               .unionByName(K.key_path("fact_billing_line.client_sk", parent_agent, "agent_sk"))
+               .unionByName(K.key_path("fact_billing_line.program_sk", program, "program_sk")))
+    return K.fk_orphans(children, parents).select(
+        "path", "child_rows", "null_key_rows", "orphan_rows", "orphan_keys")
 
 
 DUP_SQL = """

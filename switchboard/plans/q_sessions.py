@@ -183,14 +183,14 @@ def interaction_union(spark, sf):
         F.concat(F.lit("C"), F.col("conv_id").cast("string")).alias("customer_ref"),
         F.lit(None).cast("timestamp_ntz").alias("start_ts"), F.lit(None).cast("timestamp_ntz").alias("end_ts"),
         "handle_seconds", F.lit("conversations").alias("source_system"))
-    tickets = B.fact_ticket(spark, sf)
-    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    email = tickets.join(o, tickets.ticket_id == o.o_orderkey).select(
-        F.concat(F.lit("E"), F.col("ticket_id").cast("string")).alias("interaction_id"),
+    o = table(spark, sf, "orders")
+    first_ship = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.min("l_shipdate").alias("first_ship"))
+    email = o.join(first_ship, o.o_orderkey == first_ship.l_orderkey, "left").select(
+        F.concat(F.lit("E"), F.col("o_orderkey").cast("string")).alias("interaction_id"),
         F.lit("EMAIL").alias("channel"),
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("customer_ref"),
-        F.col("created_ts").alias("start_ts"), F.col("resolved_ts").alias("end_ts"),
-        F.lit("orders").alias("source_system"), "event_date")
+        F.col("o_orderdate").alias("start_ts"), F.col("first_ship").alias("end_ts"),
+        F.lit("orders").alias("source_system"), F.to_date("o_orderdate").alias("event_date"))
     return S.interaction_union(voice.withColumn("agent_id", F.col("agent_id").cast("bigint")),
                                chat.withColumn("agent_id", F.lit(None).cast("bigint"))
                                .withColumn("event_date", F.lit(None).cast("date")),

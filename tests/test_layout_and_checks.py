@@ -70,7 +70,7 @@ def test_incremental_refresh_matches_full(spark):
 def test_fk_orphans_and_duplicates(spark):
     child = spark.createDataFrame([(1,), (2,), (2,), (9,), (None,)], "k bigint")
     parent = spark.createDataFrame([(1,), (2,), (2,)], "k bigint")
-    r = K.fk_orphans([("c.k", child, "k", parent, "k")]).collect()[0]
+    r = K.fk_orphans(K.key_path("c.k", child, "k"), K.key_path("c.k", parent, "k")).collect()[0]
     assert (r.child_rows, r.null_key_rows, r.orphan_rows, r.orphan_keys) == (5, 1, 1, 1)
     d = K.pk_duplicates(parent, ["k"]).collect()
     assert [(x.k, x.copies) for x in d] == [(2, 2)]

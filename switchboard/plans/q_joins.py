@@ -133,11 +133,11 @@ FROM probe p LEFT JOIN hist h ON p.agent_id = h.agent_id AND p.ship_ts >= h.eff_
 
 @register("scd2_asof_join", ASOF_SQL)
 def scd2_asof_join(spark, sf):
+    """Probes against the stored type-2 table (``ods_agent_scd2``: the same
+    history, written once in its year layout) rather than a recomputed one."""
     o = table(spark, sf, "orders")
     li = table(spark, sf, "lineitem")
-    changes = o.select(F.col("o_custkey").alias("agent_id"), F.col("o_orderstatus").alias("status"),
-                       F.col("o_orderdate").alias("changed_at"), F.col("o_orderkey").alias("seq"))
-    hist = H.scd2_history(changes, "agent_id", "changed_at", ["status"], tie_col="seq")
+    hist = wh(spark, sf, "ods_agent_scd2")
     probe = li.join(o, li.l_orderkey == o.o_orderkey).select(
         "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
         F.col("o_custkey").alias("agent_id"), F.col("l_shipdate").alias("ship_ts"))

@@ -153,3 +153,27 @@ def fill_agent_daily(daily: DataFrame, adherence: DataFrame) -> DataFrame:
         "agent_sk", "site_code", "interactions_handled", "avg_handle_seconds", "talk_seconds", "acw_seconds",
         "aux_seconds", F.col("_adh").cast(X.NUMERIC).alias("adherence_pct"),
         F.col("_occ").cast(X.NUMERIC).alias("occupancy_pct"), "event_date")
+
+
+def fill_site_daily(site_daily: DataFrame, adherence: DataFrame, dim: DataFrame,
+                    queue_intervals: DataFrame) -> DataFrame:
+    """Fill A4's placeholders (C8): ``adherence_pct`` is the mean adherence % of the
+    site's agents that day, ``sl_pct`` the day's service level
+    Σanswered_in_sl / Σoffered × 100 over all queues. Both are left joins of
+    small pre-aggregates (one row per site-day / per day); NUMERIC, HALF_UP once.
+    """
+    adh = (adherence.join(dim.select("agent_sk", "site_code"), "agent_sk", "inner")
+           .groupBy("site_code", "event_date")
+           .agg(F.sum((F.col("adherence_pct") * 100).cast("bigint")).alias("_adh_cents"),
+                F.count("adherence_pct").alias("_adh_n")))
+    sl = queue_intervals.groupBy("event_date").agg(
+        F.sum("answered_in_sl").alias("_in_sl"), F.sum("offered").alias("_offered"))
+    j = (site_daily.drop("sl_pct", "adherence_pct")
+         .join(adh, ["site_code", "event_date"], "left")
+         .join(sl, "event_date", "left"))
+    head = [c for c in ("site_code", "agents_active") if c in site_daily.columns]
+    return j.select(
+        *head, "interactions", "avg_handle_seconds",
+        X.exact_mean(F.col("_in_sl") * 100, F.nullif(F.col("_offered"), F.lit(0))).alias("sl_pct"),
+        X.exact_mean(F.col("_adh_cents"), F.col("_adh_n") * 100).alias("adherence_pct"),
+        "event_date", *[c for c in site_daily.columns if c.startswith("agents_active_")])

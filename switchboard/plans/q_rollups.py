@@ -6,8 +6,8 @@ from switchboard.operators import aggregates as A
 from switchboard.operators import rollups as R
 from switchboard.plans import bindings as B
 from switchboard.plans.catalog import register
-from switchboard.plans.oracle import BINDINGS, cents, exact_ratio, with_ctes
-from switchboard.plans.q_aggregates import A1_SQL, A3_SQL
+from switchboard.plans.oracle import BINDINGS, cents, exact_mean, exact_ratio, with_ctes
+from switchboard.plans.q_aggregates import A1_SQL, A3_SQL, A4_SQL
 
 PROGRAM_LOB_SQL = """
   SELECT s_suppkey AS program_sk, r_name AS line_of_business
@@ -127,3 +127,27 @@ FROM d LEFT JOIN a ON d.agent_sk = a.agent_sk AND d.event_date = a.event_date"""
 def agent_daily_adherence(spark, sf):
     daily = A.agg_agent_daily(B.fact_agent_activity(spark, sf), B.dim_agent(spark, sf))
     return R.fill_agent_daily(daily, R.adherence_daily(B.fact_adherence_daily(spark, sf)))
+
+
+# ---------------------------------------------------------------- C8, A4 part
+C8_SITE_SQL = f"""
+WITH s AS ({A4_SQL}),
+adh AS (SELECT d.site_code, a.event_date, SUM(CAST(a.adherence_pct * 100 AS BIGINT)) AS c, COUNT(a.adherence_pct) AS n
+        FROM ({C17_SQL}) a JOIN ({BINDINGS['dim_agent']}) d ON a.agent_sk = d.agent_sk
+        GROUP BY d.site_code, a.event_date),
+sl AS (SELECT event_date, SUM(answered_in_sl) AS in_sl, SUM(offered) AS offered
+       FROM ({BINDINGS['fact_queue_interval']}) q GROUP BY event_date)
+SELECT s.site_code, s.interactions, s.avg_handle_seconds,
+       {exact_mean("sl.in_sl * 100", "NULLIF(sl.offered, 0)")} AS sl_pct,
+       {exact_mean("adh.c", "adh.n * 100")} AS adherence_pct,
+       s.event_date, s.agents_active_exact, s.agents_active_within_5pct
+FROM s LEFT JOIN adh ON s.site_code = adh.site_code AND s.event_date = adh.event_date
+LEFT JOIN sl ON s.event_date = sl.event_date"""
+
+
+@register("site_daily_service_level", C8_SITE_SQL)
+def site_daily_service_level(spark, sf):
+    fact, dim = B.fact_agent_activity(spark, sf), B.dim_agent(spark, sf)
+    site = A.agg_site_daily(fact, dim, with_exact=True).drop("agents_active")
+    adherence = R.adherence_daily(B.fact_adherence_daily(spark, sf))
+    return R.fill_site_daily(site, adherence, dim, B.fact_queue_interval(spark, sf))

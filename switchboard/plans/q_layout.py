@@ -180,3 +180,26 @@ def _make_pruned(name: str, pred):
 
 for _name, (_where, _pred) in PRUNED.items():
     register(f"pruned_count_{_name}", _pruned_oracle(_name, _where))(_make_pruned(_name, _pred))
+
+
+# ---------------------------------------------------------------- S12, streaming form
+@register("mv_refresh_on_arrival", A1_SQL)
+def mv_refresh_on_arrival(spark, sf):
+    """The fact lands as files in two batches (days before the split; then the
+    split's previous day restated plus the later days); a file stream refreshes
+    the stored aggregate after each batch (``streaming.refresh``)."""
+    from switchboard.streaming.refresh import start_refresh
+
+    fact = B.fact_agent_activity(spark, sf)
+    dim = B.dim_agent(spark, sf)
+    landing, fact_path, agg_path = (fresh_path(spark, "landing_fact"), fresh_path(spark, "fact_agent_activity"),
+                                    fresh_path(spark, "agg_agent_daily"))
+    batches = [fact.filter(F.col("event_date") < F.lit(REFRESH_SPLIT)),
+               fact.filter(F.col("event_date") >= F.lit(REFRESH_SPLIT - dt.timedelta(days=1)))]
+    for i, batch in enumerate(batches):
+        batch.write.mode("append").parquet(landing)
+        q = start_refresh(spark, landing, fact.schema, fact_path, agg_path, lambda f: A.agg_agent_daily(f, dim),
+                          "event_date", ["agent_sk", "state_code"], ["agent_sk", "site_code"],
+                          name=f"refresh_{landing.rsplit('-', 1)[-1]}_{i}", checkpoint=landing + "_checkpoint")
+        q.awaitTermination()
+    return _readback(spark, agg_path, A.agg_agent_daily(fact, dim))

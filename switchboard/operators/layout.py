@@ -127,6 +127,7 @@ def source_fingerprint(sf_dir: str, tables: list[str], version: str = "") -> str
 
 
 def table_ready(spark: SparkSession, path: str) -> bool:
+    """Whether a table was fully committed (its ``_SUCCESS`` marker exists)."""
     marker = f"{path}/_SUCCESS"
     lp = local_path(marker)
     if lp is not None:
@@ -145,7 +146,10 @@ def materialized_path(spark: SparkSession, name: str, sf_dir: str, sources: list
     fp = source_fingerprint(sf_dir, sources, f"{version}|{partition_col}|{grain}|{cluster_keys}")
     path = table_path(spark, "warehouse", f"{name}-{fp}")
     if not table_ready(spark, path):
-        write_layout(df, path, partition_col, cluster_keys, grain)
+        # Static overwrite: the whole table is (re)created, and the committer
+        # leaves _SUCCESS at its root. A dynamic overwrite commits partition
+        # folders only, so the marker would never appear.
+        write_layout(df, path, partition_col, cluster_keys, grain, dynamic=False)
     return path
 
 

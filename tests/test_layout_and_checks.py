@@ -107,3 +107,14 @@ def test_weekly_refresh_recomputes_touched_weeks(spark):
     got = sorted(map(tuple, spark.read.parquet(agg_path).select(*cols).collect()))
     want = sorted(map(tuple, A.agg_agent_weekly(fact, dim).select(*cols).collect()))
     assert got == want
+
+
+def test_warehouse_table_written_once(spark):
+    """A partitioned warehouse table is committed with its marker and reused, not rewritten."""
+    from switchboard.plans import warehouse as W
+    sf = "/root/testdata/sf0.001"
+    p1 = W.wh_path(spark, sf, "fact_interaction")
+    assert L.table_ready(spark, p1)
+    stamp = os.path.getmtime(os.path.join(p1.replace("file:", ""), "_SUCCESS"))
+    assert W.wh_path(spark, sf, "fact_interaction") == p1
+    assert os.path.getmtime(os.path.join(p1.replace("file:", ""), "_SUCCESS")) == stamp

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,17 +13,18 @@ SMALL_SF = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    from switchboard.session import apply_defaults
+    from switchboard.session import apply_defaults, shared_dir
 
-    ckpt = tempfile.mkdtemp(prefix="switchboard-test-")
     s = (SparkSession.builder.master("local[*]")
          .appName("switchboard-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.checkpoint.dir", ckpt)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     apply_defaults(s)
+    # use the configured shared folder; only when none is configured does
+    # shared_dir() create a private one for the test run
+    shared_dir(s)
     yield s
     s.stop()

@@ -118,3 +118,13 @@ def test_warehouse_table_written_once(spark):
     stamp = os.path.getmtime(os.path.join(p1.replace("file:", ""), "_SUCCESS"))
     assert W.wh_path(spark, sf, "fact_interaction") == p1
     assert os.path.getmtime(os.path.join(p1.replace("file:", ""), "_SUCCESS")) == stamp
+
+
+def test_scale_settings_bounds():
+    from switchboard.session import scale_settings
+    big = scale_settings(100 * 1024 ** 4, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"            # capped
+    assert big["spark.sql.sources.parallelPartitionDiscovery.parallelism"] == "10000"
+    small = scale_settings(1024 ** 3, 8)
+    assert small["spark.sql.shuffle.partitions"] == "24"              # at least 3 waves of cores
+    assert small["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)

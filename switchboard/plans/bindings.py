@@ -1,7 +1,9 @@
 """Bindings: the driver's test tables reshaped into the reference's tables.
 
 Each function returns a DataFrame with the reference table's column names
-(FIXTURES.md Part 2 / Part 3). They are lazy projections and aggregates over
+and declared types (FIXTURES.md Part 2 / Part 3; ``plans/schemas.py``). The
+test Parquet stores local date-times (TIMESTAMP_NTZ); declared TIMESTAMP
+columns are instants, so they are cast under the UTC session. They are lazy projections and aggregates over
 the Parquet inputs, so Catalyst prunes columns and pushes filters through
 them into the scan. ``plans/oracle.py`` holds the same bindings as SQL.
 """
@@ -62,7 +64,7 @@ def fact_agent_activity(spark: SparkSession, sf: str) -> DataFrame:
     state_events = ev.select(
         F.col("user_id").alias("agent_sk"),
         mapped("event_type", STATE_OF_EVENT).alias("state_code"),
-        F.col("ts").alias("state_ts"),
+        X.as_instant("ts").alias("state_ts"),
         X.cents("value").alias("state_seconds"),
     )
     return S.agent_activity_daily(state_events)
@@ -86,7 +88,7 @@ def fact_queue_interval(spark: SparkSession, sf: str) -> DataFrame:
     ev = table(spark, sf, "events")
     calls = ev.select(
         (F.col("user_id") % QUEUE_COUNT).alias("queue_sk"),
-        F.col("ts").alias("call_ts"),
+        X.as_instant("ts").alias("call_ts"),
         (F.col("event_type") == "error").alias("abandoned"),
         F.col("value").alias("wait_sec"),
     )
@@ -102,7 +104,7 @@ def fact_interaction(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("user_id") % QUEUE_COUNT).alias("queue_sk"),
         F.col("user_id").alias("agent_sk"),
         F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("customer_ref"),
-        F.col("ts").alias("start_ts"),
+        X.as_instant("ts").alias("start_ts"),
         F.round("value").cast("bigint").alias("handle_seconds"),
         (F.col("event_type") == "purchase").alias("resolved_flag"),
         F.lit("events").alias("source_system"),
@@ -129,7 +131,7 @@ def fact_csat_survey(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("user_id") % QUEUE_COUNT).alias("client_sk"),
         (F.col("event_id") % PROGRAM_COUNT).alias("program_sk"),
         F.col("user_id").alias("agent_sk"),
-        F.col("ts").alias("survey_ts"),
+        X.as_instant("ts").alias("survey_ts"),
         (F.lit(1) + F.col("event_id") % 5).alias("csat_score"),
         (F.col("event_id") % 11).alias("nps_score"),
         F.col("event_type").alias("site_code"),
@@ -197,8 +199,8 @@ def fact_ticket(spark: SparkSession, sf: str) -> DataFrame:
             (F.col("o_orderkey") % PROGRAM_COUNT).alias("program_sk"),
             F.col("o_orderpriority").alias("priority"),
             F.col("o_orderstatus").alias("status"),
-            F.col("o_orderdate").alias("created_ts"),
-            F.col("resolved_ts"),
+            X.as_instant("o_orderdate").alias("created_ts"),
+            X.as_instant("resolved_ts").alias("resolved_ts"),
             (F.lit(24) * (F.lit(1) + F.col("o_orderkey") % 60)).alias("sla_hours"),
             F.to_date("o_orderdate").alias("event_date"),
         )
@@ -257,7 +259,7 @@ def ods_call(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("user_id") % QUEUE_COUNT).alias("queue_id"),
         F.col("user_id").alias("agent_id"),
         (F.col("event_id") % PROGRAM_COUNT).alias("program_id"),
-        F.col("ts").alias("start_ts"),
+        X.as_instant("ts").alias("start_ts"),
         F.to_date("ts").alias("call_date"),
     )
 

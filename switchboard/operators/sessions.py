@@ -164,7 +164,10 @@ def interaction_union(*feeds: DataFrame) -> DataFrame:
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    diff = F.unix_seconds(F.col("end_ts").cast("timestamp")) - F.unix_seconds(F.col("start_ts").cast("timestamp"))
+    # declared TIMESTAMP columns are instants (local date-times are read in the UTC session)
+    u = u.withColumn("start_ts", F.col("start_ts").cast("timestamp")) \
+        .withColumn("end_ts", F.col("end_ts").cast("timestamp"))
+    diff = F.unix_seconds(F.col("end_ts")) - F.unix_seconds(F.col("start_ts"))
     return u.withColumn("handle_seconds", F.coalesce(diff, F.col("handle_seconds").cast("bigint")))
 
 

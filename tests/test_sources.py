@@ -28,3 +28,13 @@ def test_nested_json_with_declared_schema(spark, tmp_path):
         T.StructType([T.StructField("sender", T.StringType()), T.StructField("ts_ms", T.LongType())])))])
     r = read_nested(spark, str(d), schema, fmt="json").collect()[0]
     assert r.chat_ref == "c1" and r.messages[0].ts_ms == 5 and "extra" not in r.asDict()
+
+
+def test_shared_dir_is_the_configured_checkpoint_dir(spark):
+    from switchboard.session import fresh_path, shared_dir
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    d = shared_dir(spark)
+    if configured:
+        assert d == configured.rstrip("/")
+    assert fresh_path(spark, "x").startswith(d + "/tables/x-")
+    assert fresh_path(spark, "x") != fresh_path(spark, "x")

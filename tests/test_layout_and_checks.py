@@ -128,3 +128,18 @@ def test_scale_settings_bounds():
     small = scale_settings(1024 ** 3, 8)
     assert small["spark.sql.shuffle.partitions"] == "24"              # at least 3 waves of cores
     assert small["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
+
+
+def test_implied_year_filter_keeps_partial_year(spark):
+    """eff_from_ts >= mid-year keeps that year's partition (the row filter then trims it)."""
+    ts = [dt.datetime(1997, 12, 31, 23, 59), dt.datetime(1998, 3, 1), dt.datetime(1998, 9, 1),
+          dt.datetime(1999, 1, 1)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ts)], "id bigint, eff_from_ts timestamp")
+    path = fresh_path(spark, "year")
+    L.write_layout(df, path, "eff_from_ts", ["id"], grain="year")
+    bound = dt.datetime(1998, 6, 1)
+    q = spark.read.parquet(path).filter(
+        (F.col("eff_from_ts") >= F.lit(bound)) & L.implied_partition_filter("eff_from_ts", "year", ">=", bound))
+    assert sorted(r.id for r in q.collect()) == [2, 3]
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "eff_from_ts_year" in plan.split("PartitionFilters:")[-1].split("]")[0]

@@ -204,7 +204,13 @@ def drop_expired_partitions(spark: SparkSession, path: str, partition_col: str,
     cutoff = as_of - dt.timedelta(days=days)
     fs, root = _fs(spark, path)
     jvm = spark.sparkContext._jvm
-    expired = [v for v in partition_values(spark, path, partition_col) if dt.date.fromisoformat(v) <= cutoff]
+    def expires(value: str) -> bool:
+        try:
+            return dt.date.fromisoformat(value) <= cutoff
+        except ValueError:      # NULL partition (no date): never expires
+            return False
+
+    expired = [v for v in partition_values(spark, path, partition_col) if expires(v)]
 
     def delete(value: str) -> str:
         fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{partition_col}={value}"), True)

@@ -143,3 +143,13 @@ def test_implied_year_filter_keeps_partial_year(spark):
     assert sorted(r.id for r in q.collect()) == [2, 3]
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "eff_from_ts_year" in plan.split("PartitionFilters:")[-1].split("]")[0]
+
+
+def test_retention_keeps_null_partition(spark):
+    as_of = dt.date(2026, 4, 1)
+    df = spark.createDataFrame([(1, as_of - dt.timedelta(days=200)), (2, None), (3, as_of)],
+                               "id bigint, load_date date")
+    path = fresh_path(spark, "ret_null")
+    L.write_layout(df, path, "load_date", ["id"])
+    assert L.drop_expired_partitions(spark, path, "load_date", as_of, 90) == [(as_of - dt.timedelta(days=200)).isoformat()]
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [2, 3]

@@ -246,7 +246,11 @@ def refresh_aggregate(spark: SparkSession, fact_path: str, agg_path: str, delta:
     to_agg = agg_partition_of or (lambda c: c)
     touched = sorted(r[0] for r in delta.select(to_agg(F.col(partition_col)).alias("_p")).distinct().collect())
     write_layout(delta, fact_path, partition_col, fact_cluster, mode="overwrite")
-    fact = spark.read.parquet(fact_path).filter(to_agg(F.col(partition_col)).isin(touched))
+    part = to_agg(F.col(partition_col))
+    cond = part.isin([t for t in touched if t is not None])
+    if any(t is None for t in touched):      # the NULL partition is touched too
+        cond = cond | part.isNull()
+    fact = spark.read.parquet(fact_path).filter(cond)
     write_layout(aggregate(fact), agg_path, agg_partition, agg_cluster, mode="overwrite")
     return touched
 

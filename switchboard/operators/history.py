@@ -58,8 +58,12 @@ def upsert(base: DataFrame, delta: DataFrame, keys: list[str], order: list[str]
     cols = [c for c in base.columns]
     tagged = (base.select(*cols).withColumn("_prio", F.lit(0))
               .unionByName(delta.select(*cols).withColumn("_prio", F.lit(1))))
-    out = latest_per_key(tagged, keys, ["_prio"] + order)
-    return out.select(*cols)
+    # A NULL key matches nothing in a MERGE: such rows pass through unmerged.
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    merged = latest_per_key(tagged.filter(~null_key), keys, ["_prio"] + order).select(*cols)
+    return merged.unionByName(tagged.filter(null_key).select(*cols))
 
 
 # Time bucket of the two-level windows below: rows are windowed per (key, bucket)

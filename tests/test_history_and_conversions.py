@@ -103,3 +103,10 @@ def test_chat_and_qa_array_forms_equal_row_forms(spark):
                                  "qa_form_id string, max_points bigint, scored_points bigint")
     forms = secs.groupBy("qa_form_id").agg(F.collect_list(F.struct("max_points", "scored_points")).alias("sections"))
     assert sorted(map(tuple, S.qa_totals(forms).collect())) == sorted(map(tuple, S.qa_totals_rows(secs).collect()))
+
+
+def test_upsert_null_keys_never_match(spark):
+    base = spark.createDataFrame([(None, "b1"), (1, "old")], "k bigint, v string")
+    delta = spark.createDataFrame([(None, "d1"), (1, "new")], "k bigint, v string")
+    got = sorted(H.upsert(base, delta, ["k"]).collect(), key=lambda r: (r.k is not None, r.k, r.v))
+    assert [(r.k, r.v) for r in got] == [(None, "b1"), (None, "d1"), (1, "new")]

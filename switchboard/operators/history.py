@@ -135,6 +135,7 @@ def asof_join(events: DataFrame, history: DataFrame, key: str, ts_col: str,
     """
     ev_cols = events.columns
     h_struct = F.struct(*[F.col(c) for c in ["eff_from_ts", "eff_to_ts"] + hist_cols])
+    history = history.filter(F.col(key).isNotNull())      # a NULL key matches no event
     h = history.select(
         F.col(key), F.col("eff_from_ts").cast("timestamp").alias("_t"), F.lit(0).alias("_kind"),
         F.col("eff_to_ts").isNull().alias("_open"), F.col("eff_to_ts").alias("_end"), h_struct.alias("_h"),

@@ -110,3 +110,13 @@ def test_upsert_null_keys_never_match(spark):
     delta = spark.createDataFrame([(None, "d1"), (1, "new")], "k bigint, v string")
     got = sorted(H.upsert(base, delta, ["k"]).collect(), key=lambda r: (r.k is not None, r.k, r.v))
     assert [(r.k, r.v) for r in got] == [(None, "b1"), (None, "d1"), (1, "new")]
+
+
+def test_asof_null_key_matches_nothing(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    hist = spark.createDataFrame([(None, "X", t0, None), (1, "A", t0, None)],
+                                 "agent_id bigint, status string, eff_from_ts timestamp, eff_to_ts timestamp")
+    probes = spark.createDataFrame([(None, dt.datetime(2024, 1, 2)), (1, dt.datetime(2024, 1, 2))],
+                                   "agent_id bigint, at timestamp")
+    got = {r.agent_id: r.status for r in H.asof_join(probes, hist, "agent_id", "at", ["status"]).collect()}
+    assert got == {None: None, 1: "A"}

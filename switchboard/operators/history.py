@@ -71,12 +71,38 @@ def upsert(base: DataFrame, delta: DataFrame, keys: list[str], order: list[str]
 DEFAULT_BUCKET = "day"
 
 
+# A (key, day) with more rows than this is windowed per minute instead.
+HOT_BUCKET_ROWS = 2_000_000
+FINE_BUCKET = "minute"
+
+
 def _bucket(ts: Column, bucket: str) -> Column:
     return F.date_trunc(bucket, ts.cast("timestamp"))
 
 
+def _with_bucket(df: DataFrame, key: str, ts: Column, bucket: str, hot_rows: int | None) -> DataFrame:
+    """Add ``_b``: the time bucket of each row's window.
+
+    Buckets only need to be time-ordered and disjoint per key, so they may mix
+    grains: a (key, bucket) holding more than ``hot_rows`` rows is split into
+    minute buckets. The hot list comes from one aggregate and is broadcast:
+    it has at most (rows / hot_rows) entries, a bound that does not grow
+    with the number of keys.
+    """
+    coarse = _bucket(ts, bucket)
+    if hot_rows is None:
+        return df.withColumn("_b", coarse)
+    d = df.withColumn("_bc", coarse)
+    hot = (d.groupBy(key, "_bc").agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > hot_rows).select(key, "_bc", F.lit(True).alias("_hot")))
+    d = d.join(F.broadcast(hot), [key, "_bc"], "left")
+    return (d.withColumn("_b", F.when(F.col("_hot"), _bucket(ts, FINE_BUCKET)).otherwise(F.col("_bc")))
+            .drop("_bc", "_hot"))
+
+
 def scd2_history(df: DataFrame, key: str, ts_col: str, attrs: list[str], tie_col: str | None = None,
-                 id_col: str = "history_id", bucket: str = DEFAULT_BUCKET) -> DataFrame:
+                 id_col: str = "history_id", bucket: str = DEFAULT_BUCKET,
+                 hot_rows: int | None = HOT_BUCKET_ROWS) -> DataFrame:
     """Type-2 history: one validity row per change of ``attrs``.
 
     Consecutive rows with equal attributes (NULL-safe) collapse into the
@@ -84,7 +110,8 @@ def scd2_history(df: DataFrame, key: str, ts_col: str, attrs: list[str], tie_col
     open row.
 
     The ``lag`` / ``lead`` windows run per (key, time bucket), not per key, so
-    a key holding a third of all changes is spread over many tasks. What a
+    a key holding a third of all changes is spread over many tasks; a day
+    holding more than ``hot_rows`` rows of one key is split into minutes. What a
     window cannot see across a bucket edge -- the last attributes of the
     previous bucket, the first kept start of the next one -- comes from one
     summary row per (key, bucket): an aggregate (map-side combined), then a
@@ -92,7 +119,7 @@ def scd2_history(df: DataFrame, key: str, ts_col: str, attrs: list[str], tie_col
     span, not by the row count).
     """
     order = [ts_col] + ([tie_col] if tie_col else [])
-    rows = (df.withColumn("_b", _bucket(F.col(ts_col), bucket))
+    rows = (_with_bucket(df, key, F.col(ts_col), bucket, hot_rows)
             .withColumn("_a", F.struct(*[F.col(a) for a in attrs]))
             .withColumn("_o", F.struct(*[F.col(c) for c in order])))
     by_bucket = Window.partitionBy(key).orderBy("_b")
@@ -119,7 +146,8 @@ def scd2_history(df: DataFrame, key: str, ts_col: str, attrs: list[str], tie_col
 
 
 def asof_join(events: DataFrame, history: DataFrame, key: str, ts_col: str,
-              hist_cols: list[str], bucket: str = DEFAULT_BUCKET) -> DataFrame:
+              hist_cols: list[str], bucket: str = DEFAULT_BUCKET,
+              hot_rows: int | None = HOT_BUCKET_ROWS) -> DataFrame:
     """Each event with the ``hist_cols`` of the history row valid at its time.
 
     Valid means ``eff_from_ts <= ts < eff_to_ts`` (open end when NULL).
@@ -145,7 +173,7 @@ def asof_join(events: DataFrame, history: DataFrame, key: str, ts_col: str,
         F.lit(None).cast("boolean").alias("_open"), F.lit(None).cast("timestamp").alias("_end"),
         F.lit(None).cast(h.schema["_h"].dataType).alias("_h"),
         *[F.col(c) for c in ev_cols if c != key])
-    u = h.unionByName(e).withColumn("_b", _bucket(F.col("_t"), bucket))
+    u = _with_bucket(h.unionByName(e), key, F.col("_t"), bucket, hot_rows)
     order = [F.col("_t"), F.col("_kind"), F.col("_open"), F.col("_end")]
     w = (Window.partitionBy(key, "_b").orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -47,3 +47,18 @@ def test_asof_same_for_any_bucket(spark):
     assert any(r[2] is not None for r in coarse)
     for b in ("minute", "hour", "day"):
         assert run(b) == coarse
+
+
+def test_hot_buckets_split_to_minutes_give_same_rows(spark):
+    """With a tiny hot threshold every busy (key, day) is windowed per minute; rows are unchanged."""
+    df = _events(spark)
+    base = sorted(map(tuple, _hist(df, "day").collect()), key=repr)
+    hot = H.scd2_history(df, "k", "ts", ["status"], tie_col="seq", bucket="day", hot_rows=5)
+    assert sorted(map(tuple, hot.select("k", "status", "eff_from_ts", "eff_to_ts", "is_current").collect()),
+                  key=repr) == base
+    hist = _hist(df, "year")
+    probes = spark.createDataFrame([(0, dt.datetime(2024, 1, 2, 12, m)) for m in range(60)] +
+                                   [(3, dt.datetime(2024, 1, 3, 1, 0))], "k bigint, at timestamp")
+    a = sorted(map(tuple, H.asof_join(probes, hist, "k", "at", ["status"], hot_rows=None).collect()), key=repr)
+    b = sorted(map(tuple, H.asof_join(probes, hist, "k", "at", ["status"], hot_rows=5).collect()), key=repr)
+    assert a == b

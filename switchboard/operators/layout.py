@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import os
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,10 +147,18 @@ def materialized_path(spark: SparkSession, name: str, sf_dir: str, sources: list
     fp = source_fingerprint(sf_dir, sources, f"{version}|{partition_col}|{grain}|{cluster_keys}")
     path = table_path(spark, "warehouse", f"{name}-{fp}")
     if not table_ready(spark, path):
-        # Static overwrite: the whole table is (re)created, and the committer
-        # leaves _SUCCESS at its root. A dynamic overwrite commits partition
-        # folders only, so the marker would never appear.
-        write_layout(df, path, partition_col, cluster_keys, grain, dynamic=False)
+        # Written under a unique name, then renamed into place: a concurrent
+        # run building the same table never sees or overwrites a half-written
+        # one. Static overwrite, so the committer leaves _SUCCESS at the root
+        # (a dynamic overwrite commits partition folders only).
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+        write_layout(df, tmp, partition_col, cluster_keys, grain, dynamic=False)
+        fs, target = _fs(spark, path)
+        jvm = spark.sparkContext._jvm
+        if fs.exists(target) and not table_ready(spark, path):
+            fs.delete(target, True)          # leftover of a run that died before its rename
+        if table_ready(spark, path) or not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), target):
+            fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)   # another run finished first
     return path
 
 

@@ -101,3 +101,9 @@ def test_declared_output_schemas(spark):
         got = [(f.name, f.dataType) for f in df.schema.fields]
         assert got == [(f.name, f.dataType) for f in want.fields], name
         assert df.limit(0).count() == 0     # SELECT * ... LIMIT 0 runs
+
+
+def test_safe_ratio_negative_and_zero(spark):
+    df = spark.createDataFrame([(-50, 4), (7, 0), (1, 3)], "n bigint, d bigint")
+    got = [r.v for r in df.select(X.safe_ratio_numeric(F.col("n") * 100, F.col("d")).alias("v")).collect()]
+    assert got == [Decimal("-1250.000000000"), None, Decimal("33.333333333")]

@@ -10,8 +10,10 @@ import pytest
 from conftest import SMALL_SF
 
 import __spark_entry__ as E
+from switchboard.plans import catalog
 
 QUERIES = E.queries()
+CATALOG = catalog.QUERIES  # the queries outside the llm subpackage, which has its own tests
 ORACLE = E.oracle_sql()
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
@@ -46,8 +48,8 @@ def duck():
 
 
 def test_inventory_complete():
-    assert len(QUERIES) == 68
-    assert set(ORACLE) <= set(QUERIES)
+    assert len(CATALOG) == 68 and set(CATALOG) <= set(QUERIES)
+    assert set(catalog.ORACLE) <= set(CATALOG)
 
 
 def test_entry_runs(spark):
@@ -57,7 +59,7 @@ def test_entry_runs(spark):
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL_SF), reason="test tables missing")
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SMALL_SF)
     got = _canon(df.columns, [tuple(r) for r in df.collect()])

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchboard.llm import near_dup, quality
+from switchboard.llm import line_dedup, near_dup, quality
 from switchboard.llm.common import ship_package
 from switchboard.sources.tables import table
 
@@ -32,6 +32,28 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+_LINE_SQL = r"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (SELECT doc_id, r, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line FROM docs),
+keyed AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+repeated AS (SELECT k, max(doc_id) AS stays FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT r) >= 3),
+judged AS (SELECT keyed.*, stays IS NOT NULL AND doc_id IS DISTINCT FROM stays AS dropped
+           FROM keyed LEFT JOIN repeated USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id, r
+"""
+
+
+@query("op4_line_dedup", _LINE_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of all documents without those found in three or more documents."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.col("_line_n").alias("n_lines"), F.col("_line_dropped").alias("n_dropped"),
+        F.sha2(F.col("_line_text"), 256).alias("kept_sha256"))
+
+
 @query("op9_minhash_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents at a similarity of 85 percent or more."""

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchboard.llm import line_dedup, near_dup, quality
+from switchboard.llm import decontaminate, line_dedup, near_dup, quality
 from switchboard.llm.common import ship_package
 from switchboard.sources.tables import table
 
@@ -54,6 +54,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("_line_text"), 256).alias("kept_sha256"))
 
 
+@query("op8_decontamination")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that leak a benchmark item, one row per document and item."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
+
+
 @query("op9_minhash_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents at a similarity of 85 percent or more."""

@@ -6,12 +6,13 @@ those that SQL can express.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchboard.llm import decontaminate, line_dedup, near_dup, quality
+from switchboard.llm import decontaminate, line_dedup, near_dup, quality, sentencepiece_bpe
 from switchboard.llm.common import ship_package
 from switchboard.sources.tables import table
 
@@ -32,6 +33,19 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+# Folder of the public tokenizer files; set SWITCHBOARD_TOKENIZERS to read them from elsewhere.
+TOKENIZERS = os.environ.get("SWITCHBOARD_TOKENIZERS", "/opt/tokenizers")
+
+
+@query("op3_sentencepiece")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of all documents, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_bpe.encode_documents(docs, f"{TOKENIZERS}/piece_bpe_32k.model").select(
+        "doc_id", F.col("_sp_n").alias("n_tokens"), F.col("_sp_ids_sha256").alias("ids_sha256"),
+        F.col("_sp_text_sha256").alias("decoded_sha256"))
+
+
 _LINE_SQL = r"""
 WITH docs AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 lines AS (SELECT doc_id, r, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line FROM docs),

@@ -6,7 +6,6 @@ those that SQL can express.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,15 +32,17 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-# Folder of the public tokenizer files; set SWITCHBOARD_TOKENIZERS to read them from elsewhere.
-TOKENIZERS = os.environ.get("SWITCHBOARD_TOKENIZERS", "/opt/tokenizers")
+def _tokenizer(name: str) -> str:
+    """Place of a public tokenizer file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 
 @query("op3_sentencepiece")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of all documents, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return sentencepiece_bpe.encode_documents(docs, f"{TOKENIZERS}/piece_bpe_32k.model").select(
+    return sentencepiece_bpe.encode_documents(docs, _tokenizer("piece_bpe_32k.model")).select(
         "doc_id", F.col("_sp_n").alias("n_tokens"), F.col("_sp_ids_sha256").alias("ids_sha256"),
         F.col("_sp_text_sha256").alias("decoded_sha256"))
 

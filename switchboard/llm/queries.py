@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchboard.llm import decontaminate, line_dedup, near_dup, quality, sentencepiece_bpe
+from switchboard.llm import decontaminate, line_dedup, near_dup, quality, sentencepiece_bpe, sharding
 from switchboard.llm.common import ship_package
 from switchboard.sources.tables import table
 
@@ -69,6 +69,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("_line_text"), 256).alias("kept_sha256"))
 
 
+@query("op5_feistel_sharding")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards whose row counts are at most one apart."""
+    return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=24)
+
+
 @query("op8_decontamination")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that leak a benchmark item, one row per document and item."""

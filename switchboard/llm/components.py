@@ -29,7 +29,7 @@ def connected_components(links: DataFrame, u: str, v: str) -> DataFrame:
     now = settle(links.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).where("u != v").distinct(), "star")
     mark = _mark(now)
     while True:
-        now = settle(_star(settle(_star(now, True).distinct(), "star-large"), False).distinct(), "star")
+        now = settle(_star(settle(_star(now, True), "star-large"), False).distinct(), "star")
         after = _mark(now)
         if after == mark:
             break

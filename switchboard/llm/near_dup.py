@@ -5,18 +5,19 @@
    signature of the low BITS bits of each minimum, packed into longs.
 2. Rows of equal sets become one node (a plain grouping), so a group of
    copies, whatever its size, takes part in the search as one row.
-3. Rows of a band bucket are compared with the bucket's smallest node by
-   their signatures; the estimate is corrected for chance agreement of the
-   low bits. Rows unlike that node go on to another round with a new smallest
-   node, so every bucket is used up. Nearby rows form candidate clusters.
+3. Rows of a band bucket are compared with four nodes of the bucket, its hubs,
+   by their signatures; the estimate is corrected for chance agreement of the
+   low bits. Rows like none of the hubs are compared with each other, in
+   blocks of bounded size. Nearby rows form candidate clusters.
 4. Inside a cluster the full shingle sets are compared, in blocks of bounded
    size, and only links that join what a block has not yet joined are kept:
    no pair lists, no group in one task. Connected links give the components.
 
 Why no link is lost in step 3: if two texts are as similar as the threshold,
 their distances to any third one differ by at most 1 - threshold (Jaccard
-distance is a metric). A row leaves a bucket only at an estimate of LEAVE or
-more, and its partner is then above JOIN, with room for the estimate's error.
+distance is a metric). A row is done with a bucket only at an estimate of
+LEAVE or more to a hub, and its partner is then above JOIN of the same hub,
+with room for the estimate's error.
 A pair with similarity s shares no band with probability (1 - s**ROWS)**BANDS,
 1e-9 at s = 0.85.
 
@@ -50,10 +51,13 @@ K = 256          # minima; BANDS * ROWS of them make the bands, all of them the
 BITS = 2
 JOIN, LEAVE = 0.45, 0.70
 VERIFY_SLACK = 0.15
-BLOCK = 256      # rows of a cluster compared at once
+BLOCK = 256      # rows of a cluster whose sets are compared at once
+SIGNATURE_BLOCK = 1024  # rows of a bucket whose signatures are compared at once
 
 _SEED = np.random.default_rng(20240229).integers(0, 2**63, K + ROWS, dtype=np.uint64)
 _FACTOR = (_SEED[:K] | np.uint64(1)).astype(np.uint32)
+_ORDERS = [0, 0x2C9277B5A1E3D64F, 0x5851F42D4C957F2D, 0x13198A2E03707344]  # four orders of ids: by id XOR constant
+_LOW = np.uint64(0x5555555555555555)  # the low bit of every two-bit field
 _BAND = (np.arange(1, BANDS + 1, dtype=np.uint64) << np.uint64(32))[:, None]
 _ROW = _SEED[K:] | np.uint64(1)
 
@@ -112,7 +116,7 @@ def _signature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 
 def estimate(a: Column, b: Column) -> Column:
     """Similarity from two packed signatures: share of equal low-bit groups, less what chance gives."""
-    fields = F.lit(int("01" * (64 // BITS // 1), 2) if BITS == 2 else -1)
+    fields = F.lit(int(_LOW))
     differ = F.zip_with(a, b, lambda x, y: F.bit_count(
         (x.bitwiseXOR(y).bitwiseOR(F.shiftrightunsigned(x.bitwiseXOR(y), 1))).bitwiseAND(fields)).cast("long"))
     equal = 1 - F.aggregate(differ, F.lit(0).cast("long"), lambda total, d: total + d) / K
@@ -120,28 +124,78 @@ def estimate(a: Column, b: Column) -> Column:
     return (equal - chance) / (1 - chance)
 
 
+def _dealt(rows: DataFrame, blocks: str = "blocks") -> DataFrame:
+    """Each row once for every pair of blocks of its group that its own block is in: block_a <= block_b, and its side."""
+    own = F.pmod(F.xxhash64("node"), F.col(blocks)).cast("int")
+    pairs = F.transform(F.sequence(F.lit(0), F.col(blocks) - 1), lambda other: F.struct(
+        F.least(F.col("_own"), other).alias("block_a"), F.greatest(F.col("_own"), other).alias("block_b"),
+        (other < F.col("_own")).cast("int").alias("side")))
+    rest = [c for c in rows.columns if c != blocks]
+    return rows.withColumn("_own", own).select(*rest, F.explode(pairs).alias("_p")).select(*rest, "_p.*")
+
+
 def _candidate_edges(nodes: DataFrame) -> DataFrame:
-    """(node, hub) pairs whose estimate reaches JOIN, from all rounds over the band buckets."""
-    spark = nodes.sparkSession
+    """(u, v) pairs that make candidate clusters connected: estimates of JOIN or more within a band bucket."""
     sigs = nodes.select("node", "sig")
-    left = nodes.select("node", F.explode("bands").alias("bucket"))
-    found = None
-    while True:
-        hubs = settle(left.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("rows"))
-                      .where("rows > 1").drop("rows"), "near-hubs")
-        if hubs.isEmpty():
-            break
-        rows = settle(left.join(hubs, "bucket").where("node != hub"), "near-rows")
-        pairs = rows.select("node", "hub").distinct()
-        judged = settle(
-            pairs.join(sigs.withColumnRenamed("sig", "_a"), "node")
-            .join(sigs.select(F.col("node").alias("hub"), F.col("sig").alias("_b")), "hub")
-            .select("node", "hub", estimate(F.col("_a"), F.col("_b")).alias("similarity")), "near-judged")
-        near = judged.where(F.col("similarity") >= JOIN).select("node", "hub")
-        found = near if found is None else found.union(near)
-        left = rows.join(judged.where(F.col("similarity") < LEAVE).select("node", "hub"), ["node", "hub"]).select(
-            "node", "bucket")
-    return found if found is not None else spark.createDataFrame([], "node long, hub long")
+    rows = nodes.select("node", F.explode("bands").alias("bucket"))
+    hubs = settle(rows.groupBy("bucket").agg(
+        F.count("*").alias("rows"), *(F.min(F.col("node").bitwiseXOR(F.lit(c))).alias(f"h{k}") for k, c in enumerate(_ORDERS)))
+        .where("rows > 1").select("bucket", F.array_distinct(F.array(
+            *(F.col(f"h{k}").bitwiseXOR(F.lit(c)) for k, c in enumerate(_ORDERS)))).alias("hubs")), "near-hubs")
+    shared = settle(rows.join(hubs, "bucket"), "near-rows")
+    pairs = shared.select("node", F.explode("hubs").alias("hub")).where("node != hub").distinct()
+    judged = settle(
+        pairs.join(sigs.withColumnRenamed("sig", "_a"), "node")
+        .join(sigs.select(F.col("node").alias("hub"), F.col("sig").alias("_b")), "hub")
+        .select("node", "hub", estimate(F.col("_a"), F.col("_b")).alias("similarity")), "near-judged")
+    near = judged.where(F.col("similarity") >= JOIN).select(F.col("node").alias("u"), F.col("hub").alias("v"))
+    # rows that no hub of the bucket is like; hubs themselves have met the whole bucket
+    left = shared.where(~F.array_contains("hubs", F.col("node"))).select("bucket", "node", F.explode("hubs").alias("hub")).join(
+        judged.select("node", "hub", "similarity"), ["node", "hub"]).groupBy("bucket", "node").agg(
+        F.max("similarity").alias("most")).where(F.col("most") < LEAVE).select("bucket", "node")
+    left = settle(left, "near-left")
+    sizes = left.groupBy("bucket").agg(F.ceil(F.count("*") / SIGNATURE_BLOCK).cast("int").alias("blocks"),
+                                       F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    rest = _dealt(left.join(settle(sizes, "near-left-sizes"), "bucket").join(sigs, "node"), ).groupBy(
+        "bucket", "block_a", "block_b").applyInArrow(_similar, "u long, v long")
+    return near.unionByName(rest)
+
+
+def _block_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bool]:
+    """Node ids, signatures, and the row numbers of both sides of a pair of blocks, which may be one block twice."""
+    ids = table.column("node").to_numpy()
+    sigs = np.array(table.column("sig").to_pylist(), dtype=np.int64).reshape(len(ids), -1).view(np.uint64)
+    side = table.column("side").to_numpy()
+    same = table.column("block_a")[0].as_py() == table.column("block_b")[0].as_py()
+    rows = np.arange(len(ids)) if same else np.flatnonzero(side == 0)
+    return ids, sigs, rows, rows if same else np.flatnonzero(side == 1), same
+
+
+def _guess(sigs: np.ndarray, one: int, others: np.ndarray) -> np.ndarray:
+    """``estimate`` of one row against others."""
+    x = sigs[others] ^ sigs[one]
+    x |= x >> np.uint64(1)
+    chance = 2.0 ** -BITS
+    return (1 - np.bitwise_count(x & _LOW).sum(axis=1) / K - chance) / (1 - chance)
+
+
+def _link_table(out: list[tuple[int, int]]) -> pa.Table:
+    u, v = zip(*out) if out else ((), ())
+    return pa.Table.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=_LINK)
+
+
+def _similar(table: pa.Table) -> pa.Table:
+    """Pairs of one pair of blocks with estimates of JOIN or more that join what is not joined yet."""
+    ids, sigs, rows, cols, same = _block_pairs(table)
+    root, out = np.arange(len(ids)), []
+    for i in rows:
+        others = cols[cols > i] if same else cols
+        others = others[root[others] != root[i]]
+        for j in others[_guess(sigs, i, others) >= JOIN]:
+            if root[i] != root[j]:
+                out.append((ids[i], ids[j]))
+                root[root == root[j]] = root[i]
+    return _link_table(out)
 
 
 _LINK = pa.schema([("u", pa.int64()), ("v", pa.int64())])
@@ -151,34 +205,25 @@ def _compare(percent: int):
     """Links of one pair of blocks of a cluster that join what is not joined yet."""
 
     def links(table: pa.Table) -> pa.Table:
-        ids = table.column("node").to_numpy()
+        ids, sigs, rows, cols, same = _block_pairs(table)
         sets = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in table.column("hashes")]
-        sigs = np.array(table.column("sig").to_pylist(), dtype=np.int64).view(np.uint64)
-        side, same = table.column("side").to_numpy(), table.column("block_a")[0].as_py() == table.column("block_b")[0].as_py()
-        rows = np.arange(len(ids)) if same else np.flatnonzero(side == 0)
-        cols = rows if same else np.flatnonzero(side == 1)
         size = np.array([len(s) for s in sets], dtype=np.int64)
-        root = np.arange(len(ids))
-        low = np.uint64(0x5555555555555555) if BITS == 2 else np.uint64(2**64 - 1)
-        chance = 2.0 ** -BITS
-        out = []
+        root, out = np.arange(len(ids)), []
         for i in rows:
             others = cols[cols > i] if same else cols
-            x = sigs[others] ^ sigs[i]
-            if BITS == 2:
-                x |= x >> np.uint64(1)
-            guess = (1 - np.bitwise_count(x & low).sum(axis=1) / K - chance) / (1 - chance)
+            others = others[root[others] != root[i]]
             small, large = np.minimum(size[others], size[i]), np.maximum(size[others], size[i])
-            others = others[(guess >= percent / 100 - VERIFY_SLACK) & (100 * small >= percent * large)]
-            for j in others[root[others] != root[i]]:
+            others = others[100 * small >= percent * large]
+            others = others[_guess(sigs, i, others) >= percent / 100 - VERIFY_SLACK]
+            for j in others:
                 if root[i] == root[j]:
                     continue
-                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                both = np.sort(np.concatenate([sets[i], sets[j]]), kind="stable")
+                common = int((both[1:] == both[:-1]).sum())
                 if 100 * common >= percent * (size[i] + size[j] - common):
                     out.append((ids[i], ids[j]))
                     root[root == root[j]] = root[i]
-        u, v = zip(*out) if out else ((), ())
-        return pa.Table.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=_LINK)
+        return _link_table(out)
 
     return links
 
@@ -200,13 +245,8 @@ def _verified_links(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, perc
     sets = members.join(texts, ["node", "key"]).dropDuplicates(["node"]).select(
         "node", "cluster", "blocks", "sig", "text").mapInArrow(
         _hash_batches, "node long, cluster long, blocks int, sig array<long>, hashes binary")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
-        F.least(F.col("_own"), other).alias("block_a"), F.greatest(F.col("_own"), other).alias("block_b"),
-        (other < F.col("_own")).cast("int").alias("side")))
-    dealt = (sets.withColumn("_own", own).select("node", "cluster", "sig", "hashes", F.explode(pairs).alias("p"))
-             .select("node", "cluster", "sig", "hashes", "p.*"))
-    return dealt.groupBy("cluster", "block_a", "block_b").applyInArrow(_compare(percent), "u long, v long")
+    return _dealt(sets).groupBy("cluster", "block_a", "block_b").applyInArrow(
+        _compare(percent), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -220,7 +260,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
                              ["doc_id", "key"], "left_semi").where("n_shingles > 0")
                    .dropDuplicates(["doc_id", "key"])
                    .select(F.col("doc_id").alias("node"), "key", "bands", "sig"), "near-nodes")
-    clusters = connected_components(_candidate_edges(nodes), "node", "hub").select(
+    clusters = connected_components(_candidate_edges(nodes), "u", "v").select(
         "node", F.col("component").alias("cluster"))
     links = settle(_verified_links(docs, nodes, clusters, percent), "near-links")
     components = connected_components(links, "u", "v")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchboard.llm import decontaminate, line_dedup, near_dup, quality, sentencepiece_bpe, sharding
+from switchboard.llm import decontaminate, line_dedup, near_dup, quality, secret_scan, sentencepiece_bpe, sharding
 from switchboard.llm.common import ship_package
 from switchboard.sources.tables import table
 
@@ -75,6 +75,19 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=24)
 
 
+@query("op7_secret_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: fixed patterns and random tokens."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                        F.sha2(secret_scan.spans_text("base"), 256).alias("base_sha256"),
+                        secret_scan.spans_text("spans").alias("spans"))
+
+
 @query("op8_decontamination")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that leak a benchmark item, one row per document and item."""

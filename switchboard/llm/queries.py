@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchboard.llm import decontaminate, line_dedup, near_dup, quality, secret_scan, sentencepiece_bpe, sharding
+from switchboard.llm import decontaminate, language_id, line_dedup, near_dup, quality, secret_scan, sentencepiece_bpe, sharding
 from switchboard.llm.common import ship_package
 from switchboard.sources.tables import table
 
@@ -75,6 +75,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=24)
 
 
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learnt from those that are not held out."""
+    return language_id.identify(table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "lang_pred", F.round("score", 6).alias("score"), "ambiguous")
+
+
 @query("op7_secret_scan")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents: fixed patterns and random tokens."""

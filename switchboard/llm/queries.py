@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchboard.llm import decontaminate, language_id, line_dedup, near_dup, quality, secret_scan, sentencepiece_bpe, sharding
+from switchboard.llm import decontaminate, language_id, line_dedup, near_dup, quality, secret_scan, sentencepiece_bpe, sharding, warc
 from switchboard.llm.common import ship_package
 from switchboard.sources.tables import table
 
@@ -38,6 +38,23 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+_WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT html, max(page_id) AS first FROM p WHERE strlen(html) >= 1000 GROUP BY html)
+SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN d USING (html)
+"""
+
+
+@query("op1_warc", _WARC_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives and read back."""
+    folder = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.page_records(warc.read_archives(spark, folder, with_payload=False))
+
+
 @query("op3_sentencepiece")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of all documents, as digests."""

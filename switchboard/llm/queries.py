@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchboard.llm import decontaminate, language_id, line_dedup, near_dup, quality, secret_scan, sentencepiece_bpe, sharding, warc
+from switchboard.llm import decontaminate, language_id, line_dedup, near_dup, preference, quality, secret_scan, sentencepiece_bpe, sharding, warc
 from switchboard.llm.common import ship_package
 from switchboard.sources.tables import table
 
@@ -55,6 +55,27 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(warc.read_archives(spark, folder, with_payload=False))
 
 
+_PREFERENCE_SQL = """
+WITH t AS (SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, coalesce(role, '') AS role,
+                  '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10) AS rendered,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS position
+           FROM conversations),
+places AS (SELECT pair_id, position, count(DISTINCT side) = 2 AND min(rendered) = max(rendered) AS agree FROM t GROUP BY ALL),
+prefix AS (SELECT pair_id, coalesce(min(position) FILTER (NOT agree), max(position) + 1) AS n FROM places GROUP BY ALL),
+sides AS (SELECT pair_id, count(DISTINCT side) = 2 AS paired FROM t GROUP BY ALL)
+SELECT pair_id, CASE WHEN position < n THEN 'prompt' WHEN side = 0 THEN 'chosen' ELSE 'rejected' END AS part, position, role,
+       rendered, CASE WHEN position >= n AND role = 'assistant' THEN length(role) + 5 ELSE 0 END AS train_start,
+       CASE WHEN position >= n AND role = 'assistant' THEN length(rendered) ELSE 0 END AS train_end, paired
+FROM t JOIN prefix USING (pair_id) JOIN sides USING (pair_id) WHERE position >= n OR side = 0
+"""
+
+
+@query("op2_preference_pairs", _PREFERENCE_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, paired by neighbouring ids, as prompts and masked completions, one row per rendered turn."""
+    return preference.format_pairs(preference.adjacent_pairs(table(spark, sf_dir, "conversations")))
+
+
 @query("op3_sentencepiece")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of all documents, as digests."""

@@ -94,10 +94,6 @@ def month_start(c: str | Column) -> Column:
     return F.trunc(col(c), "month")
 
 
-def year_start(c: str | Column) -> Column:
-    return F.date_trunc("year", col(c))
-
-
 def hour_of_day(c: str | Column) -> Column:
     """EXTRACT(HOUR FROM ts) as INT64 (UTC session)."""
     return F.hour(col(c)).cast("bigint")
@@ -108,10 +104,6 @@ def cents(c: str | Column) -> Column:
     return F.round(col(c) * 100).cast("bigint")
 
 
-def numeric(c: str | Column) -> Column:
-    return col(c).cast(NUMERIC)
-
-
 def zero_numeric() -> Column:
     return F.lit(0).cast(NUMERIC)
 
@@ -127,10 +119,12 @@ def safe_ratio_numeric(num: Column, den: Column) -> Column:
 
 
 def exact_ratio(num: Column, den: Column, scale: int = 2, precision: int = 5) -> Column:
-    """num / den (non-negative), rounded HALF_UP at ``scale``, as DECIMAL(precision, scale); NULL when den is 0.
+    """num / den (non-negative integers), rounded HALF_UP at ``scale``, as DECIMAL(precision, scale); NULL when den is 0.
 
-    The quotient is taken at scale 10 before the final rounding, which is
-    exact for denominators below 10^8.
+    Integer division of doubled operands, so the rounding is exact for any denominator.
     """
-    q = num.cast("decimal(38,10)") / F.nullif(den, F.lit(0)).cast("decimal(20,0)")
-    return F.round(q, scale).cast(f"decimal({precision},{scale})")
+    whole = T.DecimalType(38, 0)
+    n, d = num.cast(whole), F.nullif(den, F.lit(0)).cast(whole)
+    units = F.call_function("div", n * F.lit(2 * 10 ** scale).cast("decimal(9,0)") + d, d * F.lit(2).cast("decimal(1,0)"))
+    return (units.cast("decimal(20,0)") * F.lit(10 ** -scale).cast(T.DecimalType(scale + 1, scale))).cast(
+        T.DecimalType(precision, scale))

@@ -23,131 +23,138 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in order + payload])
 
 
-def cdc_latest_wins(feed: DataFrame, keys: list[str], change_col: str = "change_ms",
-                    tie_col: str = "change_id", op_col: str = "op") -> DataFrame:
-    """Current state of a change feed: last change per key, deletes removed.
+def cdc_state(feed: DataFrame, keys: list[str], change_col: str = "change_ms",
+              tie_col: str = "change_id") -> DataFrame:
+    """Last change per key, deletes included: the state that later deltas merge into."""
+    return latest_per_key(feed, keys, [change_col, tie_col])
+
+
+def cdc_current(state: DataFrame, change_col: str = "change_ms", op_col: str = "op") -> DataFrame:
+    """What a reader of a state sees: no deleted keys; a NULL op is no delete.
 
     ``last_change_ts`` is the change time decoded from epoch milliseconds.
     """
-    latest = latest_per_key(feed, keys, [change_col, tie_col])
-    return (latest.filter(F.col(op_col) != OP_DELETE)
+    return (state.filter(~F.col(op_col).eqNullSafe(OP_DELETE))
             .withColumn("last_change_ts", F.timestamp_millis(change_col)))
 
 
+def cdc_latest_wins(feed: DataFrame, keys: list[str], change_col: str = "change_ms",
+                    tie_col: str = "change_id", op_col: str = "op") -> DataFrame:
+    """Current rows of a whole change feed: last change per key, deletes removed."""
+    return cdc_current(cdc_state(feed, keys, change_col, tie_col), change_col, op_col)
+
+
 def cdc_merge_into_base(state: DataFrame, delta: DataFrame, keys: list[str],
-                        change_col: str = "change_ms", tie_col: str = "change_id",
-                        op_col: str = "op") -> DataFrame:
-    """Merge a delta feed into a current-state table (which keeps its own last change).
+                        change_col: str = "change_ms", tie_col: str = "change_id") -> DataFrame:
+    """The state after a delta feed: latest-wins over state and delta rows, deletes included.
 
-    State rows and delta rows are unioned and latest-wins decides per key, so
-    an update after a delete re-creates the key and a delete removes it.
+    A key's delete stays in the state, so an update that is older than the
+    delete and arrives after it does not bring the key back.
     """
     cols = delta.columns
-    merged = state.select(*cols).unionByName(delta.select(*cols))
-    return cdc_latest_wins(merged, keys, change_col, tie_col, op_col)
+    return cdc_state(state.select(*cols).unionByName(delta.select(*cols)), keys, change_col, tie_col)
 
 
 def upsert(base: DataFrame, delta: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """MERGE: delta rows replace base rows with the same key, new keys are inserted.
 
-    Expressed as union + per-key max on (source priority, order...), which
-    Spark aggregates map-side; equivalent to a full outer join where the
-    delta side wins.
+    Only the delta is reduced to one row per key (the greatest ``order``); a
+    base row goes only if the delta has its key, so base rows that share a
+    key all stay. A NULL key matches nothing in a MERGE: such rows of either
+    side pass through.
     """
-    order = list(order or [])
-    cols = [c for c in base.columns]
-    tagged = (base.select(*cols).withColumn("_prio", F.lit(0))
-              .unionByName(delta.select(*cols).withColumn("_prio", F.lit(1))))
-    # A NULL key matches nothing in a MERGE: such rows pass through unmerged.
+    cols = list(base.columns)
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(k).isNull()
-    merged = latest_per_key(tagged.filter(~null_key), keys, ["_prio"] + order).select(*cols)
-    return merged.unionByName(tagged.filter(null_key).select(*cols))
+    incoming = delta.select(*cols)
+    last = latest_per_key(incoming.filter(~null_key), keys, list(order or [])).select(*cols)
+    kept = base.select(*cols).join(last.select(*keys), keys, "left_anti").select(*cols)
+    return kept.unionByName(last).unionByName(incoming.filter(null_key))
 
 
-# Time bucket of the two-level windows below: rows are windowed per (key, bucket)
-# and values cross bucket boundaries through one summary row per (key, bucket).
-DEFAULT_BUCKET = "day"
+# Time buckets of the windows below: rows are windowed per (key, fine bucket);
+# values cross fine buckets of a coarse one, and coarse buckets of a key,
+# through one summary row per bucket. The grains are the same for every key.
+FINE_BUCKET, COARSE_BUCKET = "minute", "day"
 
 
-# A (key, day) with more rows than this is windowed per minute instead.
-HOT_BUCKET_ROWS = 2_000_000
-FINE_BUCKET = "minute"
+def _with_buckets(df: DataFrame, ts: Column, fine: str, coarse: str) -> DataFrame:
+    t = ts.cast("timestamp")
+    return df.withColumn("_f", F.date_trunc(fine, t)).withColumn("_c", F.date_trunc(coarse, t))
 
 
-def _bucket(ts: Column, bucket: str) -> Column:
-    return F.date_trunc(bucket, ts.cast("timestamp"))
+def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Left join on columns where NULL equals NULL, as in PARTITION BY."""
+    cond = F.lit(True)
+    for c in on:
+        right = right.withColumnRenamed(c, f"_on_{c}")
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
+    return left.join(right, cond, "left").drop(*[f"_on_{c}" for c in on])
 
 
-def _with_bucket(df: DataFrame, key: str, ts: Column, bucket: str, hot_rows: int | None) -> DataFrame:
-    """Add ``_b``: the time bucket of each row's window.
+def _neighbour(summaries: DataFrame, key: str, value: str, name: str, forward: bool = False) -> DataFrame:
+    """Per (key, fine bucket): the nearest non-NULL ``value`` of an earlier (``forward``: later) bucket.
 
-    Buckets only need to be time-ordered and disjoint per key, so they may mix
-    grains: a (key, bucket) holding more than ``hot_rows`` rows is split into
-    minute buckets. The hot list comes from one aggregate and is broadcast:
-    it has at most (rows / hot_rows) entries, a bound that does not grow
-    with the number of keys.
+    Looked for first within the coarse bucket, then in the key's other coarse
+    buckets through one row each. No window holds more rows than a coarse
+    bucket has fine ones, or a key has coarse ones.
     """
-    coarse = _bucket(ts, bucket)
-    if hot_rows is None:
-        return df.withColumn("_b", coarse)
-    d = df.withColumn("_bc", coarse)
-    hot = (d.groupBy(key, "_bc").agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > hot_rows).select(key, "_bc", F.lit(True).alias("_hot")))
-    d = d.join(F.broadcast(hot), [key, "_bc"], "left")
-    return (d.withColumn("_b", F.when(F.col("_hot"), _bucket(ts, FINE_BUCKET)).otherwise(F.col("_bc")))
-            .drop("_bc", "_hot"))
+    def near(order: str, partition: list[str]):
+        w = Window.partitionBy(*partition).orderBy(order)
+        return (F.first(value, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)) if forward
+                else F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+
+    best = F.min if forward else F.max
+    days = summaries.groupBy(key, "_c").agg(
+        best(F.when(F.col(value).isNotNull(), F.struct("_f", value))).getField(value).alias(value))
+    days = days.select(key, "_c", near("_c", [key]).alias("_far"))
+    inside = summaries.select(key, "_c", "_f", near("_f", [key, "_c"]).alias("_near"))
+    return _join_null_safe(inside, days, [key, "_c"]).select(
+        key, "_c", "_f", F.coalesce("_near", "_far").alias(name))
 
 
 def scd2_history(df: DataFrame, key: str, ts_col: str, attrs: list[str], tie_col: str | None = None,
-                 id_col: str = "history_id", bucket: str = DEFAULT_BUCKET,
-                 hot_rows: int | None = HOT_BUCKET_ROWS) -> DataFrame:
+                 id_col: str = "history_id", fine: str = FINE_BUCKET, coarse: str = COARSE_BUCKET) -> DataFrame:
     """Type-2 history: one validity row per change of ``attrs``.
 
     Consecutive rows with equal attributes (NULL-safe) collapse into the
     first; ``eff_to_ts`` is the next kept row's start, ``is_current`` marks the
-    open row.
-
-    The ``lag`` / ``lead`` windows run per (key, time bucket), not per key, so
-    a key holding a third of all changes is spread over many tasks; a day
-    holding more than ``hot_rows`` rows of one key is split into minutes. What a
-    window cannot see across a bucket edge -- the last attributes of the
-    previous bucket, the first kept start of the next one -- comes from one
-    summary row per (key, bucket): an aggregate (map-side combined), then a
-    window over the key's buckets (one row per bucket, bounded by the time
-    span, not by the row count).
+    open row. NULL keys form one history, as in PARTITION BY. The id holds
+    the tie column, so two changes at one instant have ids of their own.
+
+    The ``lag`` / ``lead`` windows run per (key, minute), not per key, so a key
+    holding a third of all changes is spread over many tasks. What a window
+    cannot see across a bucket edge -- the last attributes before it, the
+    first kept start after it -- comes from one summary row per bucket, an
+    aggregate (map-side combined), and from ``_neighbour`` over those.
     """
     order = [ts_col] + ([tie_col] if tie_col else [])
-    rows = (_with_bucket(df, key, F.col(ts_col), bucket, hot_rows)
+    on = [key, "_c", "_f"]
+    rows = (_with_buckets(df, F.col(ts_col), fine, coarse)
             .withColumn("_a", F.struct(*[F.col(a) for a in attrs]))
             .withColumn("_o", F.struct(*[F.col(c) for c in order])))
-    by_bucket = Window.partitionBy(key).orderBy("_b")
-    # last attributes of the previous non-empty bucket
-    last = rows.groupBy(key, "_b").agg(F.max(F.struct("_o", "_a")).alias("_last"))
-    carry = last.select(key, "_b", F.lag(F.col("_last._a")).over(by_bucket).alias("_carry"))
-    w = Window.partitionBy(key, "_b").orderBy(*order)
-    with_prev = rows.withColumn("_prev_in", F.lag("_a").over(w)).join(carry, [key, "_b"], "left")
+    last = rows.groupBy(*on).agg(F.max(F.struct("_o", "_a")).getField("_a").alias("_last"))
+    w = Window.partitionBy(*on).orderBy(*order)
+    with_prev = _join_null_safe(rows.withColumn("_prev_in", F.lag("_a").over(w)),
+                                _neighbour(last, key, "_last", "_carry"), on)
     prev = F.coalesce(F.col("_prev_in"), F.col("_carry"))
-    kept = (with_prev.filter(prev.isNull() | ~prev.eqNullSafe(F.col("_a")))
-            .drop("_prev_in", "_carry"))
-    # first kept start of the next non-empty bucket
-    first = kept.groupBy(key, "_b").agg(F.min("_o").alias("_first"))
-    nxt = first.select(key, "_b", F.lead(F.col(f"_first.{ts_col}")).over(by_bucket).alias("_next"))
-    out = (kept.withColumn("_lead_in", F.lead(F.col(ts_col)).over(w))
-           .join(nxt, [key, "_b"], "left")
-           .withColumn("eff_from_ts", F.col(ts_col).cast("timestamp"))
-           .withColumn("eff_to_ts", F.coalesce(F.col("_lead_in"), F.col("_next")).cast("timestamp"))
-           .withColumn("is_current", F.col("eff_to_ts").isNull())
-           .withColumn(id_col, F.concat_ws(":", F.col(key).cast("string"),
-                                           F.unix_micros(F.col("eff_from_ts")).cast("string")))
-           .drop("_b", "_a", "_o", "_lead_in", "_next"))
-    return out
-
-
-def asof_join(events: DataFrame, history: DataFrame, key: str, ts_col: str,
-              hist_cols: list[str], bucket: str = DEFAULT_BUCKET,
-              hot_rows: int | None = HOT_BUCKET_ROWS) -> DataFrame:
+    kept = with_prev.filter(prev.isNull() | ~prev.eqNullSafe(F.col("_a"))).drop("_prev_in", "_carry")
+    first = kept.groupBy(*on).agg(F.min("_o").getField(ts_col).alias("_first"))
+    out = _join_null_safe(kept.withColumn("_lead_in", F.lead(F.col(ts_col)).over(w)),
+                          _neighbour(first, key, "_first", "_next", forward=True), on)
+    id_parts = [F.col(key).cast("string"), F.unix_micros(F.col("eff_from_ts")).cast("string")]
+    if tie_col:
+        id_parts.append(F.col(tie_col).cast("string"))
+    return (out.withColumn("eff_from_ts", F.col(ts_col).cast("timestamp"))
+            .withColumn("eff_to_ts", F.coalesce(F.col("_lead_in"), F.col("_next")).cast("timestamp"))
+            .withColumn("is_current", F.col("eff_to_ts").isNull())
+            .withColumn(id_col, F.concat_ws(":", *id_parts))
+            .drop("_f", "_c", "_a", "_o", "_lead_in", "_next"))
+
+
+def asof_join(events: DataFrame, history: DataFrame, key: str, ts_col: str, hist_cols: list[str],
+              fine: str = FINE_BUCKET, coarse: str = COARSE_BUCKET) -> DataFrame:
     """Each event with the ``hist_cols`` of the history row valid at its time.
 
     Valid means ``eff_from_ts <= ts < eff_to_ts`` (open end when NULL).
@@ -157,13 +164,13 @@ def asof_join(events: DataFrame, history: DataFrame, key: str, ts_col: str,
     in the rows, where an equi-join on the key plus a range filter would pair
     every event of a hot key with every history row of it.
 
-    The pass runs per (key, time bucket); an event whose bucket has no
-    earlier history row takes the last history row of the key's previous
-    buckets, found from one summary row per (key, bucket).
+    The pass runs per (key, minute); an event whose minute has no earlier
+    history row takes the key's last one before, by ``_neighbour``. A NULL
+    key matches no history.
     """
     ev_cols = events.columns
     h_struct = F.struct(*[F.col(c) for c in ["eff_from_ts", "eff_to_ts"] + hist_cols])
-    history = history.filter(F.col(key).isNotNull())      # a NULL key matches no event
+    history = history.filter(F.col(key).isNotNull())
     h = history.select(
         F.col(key), F.col("eff_from_ts").cast("timestamp").alias("_t"), F.lit(0).alias("_kind"),
         F.col("eff_to_ts").isNull().alias("_open"), F.col("eff_to_ts").alias("_end"), h_struct.alias("_h"),
@@ -173,26 +180,18 @@ def asof_join(events: DataFrame, history: DataFrame, key: str, ts_col: str,
         F.lit(None).cast("boolean").alias("_open"), F.lit(None).cast("timestamp").alias("_end"),
         F.lit(None).cast(h.schema["_h"].dataType).alias("_h"),
         *[F.col(c) for c in ev_cols if c != key])
-    u = _with_bucket(h.unionByName(e), key, F.col("_t"), bucket, hot_rows)
-    order = [F.col("_t"), F.col("_kind"), F.col("_open"), F.col("_end")]
-    w = (Window.partitionBy(key, "_b").orderBy(*order)
+    on = [key, "_c", "_f"]
+    u = _with_buckets(h.unionByName(e), F.col("_t"), fine, coarse)
+    w = (Window.partitionBy(*on).orderBy("_t", "_kind", "_open", "_end")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    seen = u.withColumn("_cur_in", F.last("_h", ignorenulls=True).over(w))
-    # last history row of each (key, bucket), carried to later buckets
-    hb = (u.filter(F.col("_kind") == 0).groupBy(key, "_b")
-          .agg(F.max(F.struct("_t", "_open", "_end", "_h")).alias("_m"))
-          .select(key, "_b", F.lit(1).alias("_k2"), F.col("_m._h").alias("_hl")))
-    eb = (u.filter(F.col("_kind") == 1).select(key, "_b").distinct()
-          .select(key, "_b", F.lit(0).alias("_k2"), F.lit(None).cast(h.schema["_h"].dataType).alias("_hl")))
-    wb = (Window.partitionBy(key).orderBy("_b", "_k2")
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carry = (hb.unionByName(eb).withColumn("_carry", F.last("_hl", ignorenulls=True).over(wb))
-             .filter(F.col("_k2") == 0).select(key, "_b", "_carry"))
+    seen = u.withColumn("_cur_in", F.last("_h", ignorenulls=True).over(w)).filter(F.col("_kind") == 1)
+    last = u.groupBy(*on).agg(F.max(F.when(F.col("_kind") == 0, F.struct("_t", "_open", "_end", "_h")))
+                              .getField("_h").alias("_last"))
     cur = F.coalesce(F.col("_cur_in"), F.col("_carry"))
     valid = cur.isNotNull() & (cur.getField("eff_to_ts").isNull() | (F.col("_t") < cur.getField("eff_to_ts")))
-    return (seen.filter(F.col("_kind") == 1).join(carry, [key, "_b"], "left")
-            .select(*[F.col(c) for c in ev_cols],
-                    *[F.when(valid, cur.getField(c)).alias(c) for c in ["eff_from_ts"] + hist_cols]))
+    return _join_null_safe(seen, _neighbour(last, key, "_last", "_carry"), on).select(
+        *[F.col(c) for c in ev_cols],
+        *[F.when(valid, cur.getField(c)).alias(c) for c in ["eff_from_ts"] + hist_cols])
 
 
 def pick_max(df: DataFrame, group: list[str], order: list[Column], payload: list[str]) -> DataFrame:

@@ -184,7 +184,8 @@ def scd2_sql(src: str, key: str, ts: str, attrs: list[str], seq: str, id_col: st
     prev = " OR ".join(f"prev_{x} IS DISTINCT FROM {x}" for x in attrs)
     lags = ", ".join(f"LAG({x}) OVER w AS prev_{x}" for x in attrs)
     return f"""
-  SELECT CAST({key} AS VARCHAR) || ':' || CAST(epoch_us({ts}) AS VARCHAR) AS {id_col}, {key}, {a},
+  SELECT CAST({key} AS VARCHAR) || ':' || CAST(epoch_us({ts}) AS VARCHAR) || ':' || CAST({seq} AS VARCHAR) AS {id_col},
+         {key}, {a},
          CAST({ts} AS TIMESTAMP) AS eff_from_ts,
          CAST(LEAD({ts}) OVER (PARTITION BY {key} ORDER BY {ts}, {seq}) AS TIMESTAMP) AS eff_to_ts,
          LEAD({ts}) OVER (PARTITION BY {key} ORDER BY {ts}, {seq}) IS NULL AS is_current
@@ -195,8 +196,7 @@ def scd2_sql(src: str, key: str, ts: str, attrs: list[str], seq: str, id_col: st
 
 BINDINGS["ods_agent_scd2"] = scd2_sql(
     "SELECT o_custkey AS agent_id, o_orderstatus AS status, o_orderdate AS changed_at, o_orderkey AS seq FROM orders",
-    "agent_id", "changed_at", ["status"], "seq", "agent_history_id").replace(
-    "SELECT CAST(agent_id", "SELECT CAST(agent_id", 1)
+    "agent_id", "changed_at", ["status"], "seq", "agent_history_id")
 
 
 def exact_ratio(num: str, den: str, scale: int = 2, precision: int = 5) -> str:

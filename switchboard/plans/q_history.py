@@ -12,8 +12,7 @@ from switchboard.plans import bindings as B
 from switchboard.plans.catalog import register
 from switchboard.plans.oracle import scd2_sql, with_ctes
 from switchboard.plans.warehouse import ods_ticket_acid
-from switchboard.session import fresh_path
-from switchboard.sources.tables import read_pipe_feed, table
+from switchboard.sources.tables import table
 
 # ---------------------------------------------------------------- C1
 LATEST_SQL = with_ctes("""
@@ -21,7 +20,7 @@ SELECT entity_id, change_ms, change_id, op, status, amount_cents, extract_ts,
        make_timestamp(change_ms * 1000) AS last_change_ts
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY entity_id ORDER BY change_ms DESC, change_id DESC) AS rn
       FROM change_feed) x
-WHERE rn = 1 AND op <> 'D'""", "change_feed")
+WHERE rn = 1 AND op IS DISTINCT FROM 'D'""", "change_feed")
 
 
 @register("cdc_latest_wins", LATEST_SQL)
@@ -29,18 +28,12 @@ def cdc_latest_wins(spark, sf):
     return H.cdc_latest_wins(B.change_feed(spark, sf), ["entity_id"])
 
 
-# Current state built from the feed before the split, then the delta -- landed
-# as a pipe-delimited file and read back with its declared schema (S3) --
-# merged in: the same final state as latest-wins over the whole feed.
+# The state (deletes included) of the feed before the split, the delta merged
+# in, read as current rows: the same as latest-wins over the whole feed.
 @register("cdc_merge_into_base", LATEST_SQL)
 def cdc_merge_into_base(spark, sf):
-    state = H.cdc_latest_wins(B.feed_base(spark, sf), ["entity_id"]).drop("last_change_ts")
-    delta = B.feed_delta(spark, sf)
-    path = fresh_path(spark, "feed_delta_pipe")
-    delta.write.option("sep", "|").option("header", "false").csv(path)
-    landed = read_pipe_feed(spark, path, delta.schema)
-    good = landed.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    return H.cdc_merge_into_base(state, good, ["entity_id"])
+    state = H.cdc_state(B.feed_base(spark, sf), ["entity_id"])
+    return H.cdc_current(H.cdc_merge_into_base(state, B.feed_delta(spark, sf), ["entity_id"]))
 
 
 # ---------------------------------------------------------------- C2

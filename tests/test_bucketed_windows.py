@@ -1,6 +1,6 @@
-"""The (key, bucket) windows of scd2_history / asof_join give the same rows whatever
-the bucket size: fine buckets force many cross-bucket carries, a year bucket is
-one window per key. A hot key holds a third of the rows."""
+"""The windows of scd2_history / asof_join give the same rows whatever the bucket
+grains: fine buckets force many carries, a year bucket is one window per key.
+A hot key and NULL keys hold a third of the rows each."""
 
 import datetime as dt
 import random
@@ -13,52 +13,71 @@ def _events(spark, n=600, seed=7):
     t0 = dt.datetime(2024, 1, 1)
     rows = []
     for i in range(n):
-        key = 0 if i % 3 == 0 else rnd.randint(1, 12)          # key 0: a third of all rows
+        key = (0, None, rnd.randint(1, 12))[i % 3]
         ts = t0 + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 5))
         status = rnd.choice(["A", "B", None])
         rows.append((key, status, ts, i))
     return spark.createDataFrame(rows, "k bigint, status string, ts timestamp, seq bigint")
 
 
-def _hist(df, bucket):
-    h = H.scd2_history(df, "k", "ts", ["status"], tie_col="seq", bucket=bucket)
-    return h.select("k", "status", "eff_from_ts", "eff_to_ts", "is_current")
+def _hist(df, fine="year", coarse="year"):
+    h = H.scd2_history(df, "k", "ts", ["status"], tie_col="seq", fine=fine, coarse=coarse)
+    return h.select("history_id", "k", "status", "eff_from_ts", "eff_to_ts", "is_current")
 
 
-def test_scd2_same_for_any_bucket(spark):
+GRAINS = [("minute", "day"), ("minute", "hour"), ("hour", "day"), ("day", "year"), ("minute", "year")]
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def _brute(rows):
+    """Plain loop over each key's changes."""
+    out, by = [], {}
+    for k, status, ts, seq in rows:
+        by.setdefault(k, []).append((ts, seq, status))
+    for k, changes in by.items():
+        kept = []
+        for ts, seq, status in sorted(changes):
+            if not kept or kept[-1][1] != status:
+                kept.append((ts, status))
+        for i, (ts, status) in enumerate(kept):
+            end = kept[i + 1][0] if i + 1 < len(kept) else None
+            out.append((k, status, ts, end, end is None))
+    return sorted(out, key=repr)
+
+
+def test_scd2_same_for_any_grains_and_as_a_plain_loop(spark):
     df = _events(spark)
-    coarse = sorted(map(tuple, _hist(df, "year").collect()), key=repr)
-    for b in ("minute", "hour", "day"):
-        assert sorted(map(tuple, _hist(df, b).collect()), key=repr) == coarse
+    coarse = _rows(_hist(df))
+    assert sorted((r[1:] for r in coarse), key=repr) == _brute(map(tuple, df.collect()))
+    for fine, wide in GRAINS:
+        assert _rows(_hist(df, fine, wide)) == coarse
 
 
-def test_asof_same_for_any_bucket(spark):
+def test_null_keys_collapse_across_days_and_ids_are_unique(spark):
+    t = dt.datetime(2024, 1, 1)
+    day = dt.timedelta(days=1)
+    df = spark.createDataFrame([(None, "A", t, 1), (None, "A", t + day, 2), (5, "A", t, 3), (5, "B", t, 4), (5, "A", t, 5)],
+                               "k bigint, status string, ts timestamp, seq bigint")
+    got = _hist(df, "minute", "day").collect()
+    assert [(r.k, r.is_current) for r in got if r.k is None] == [(None, True)]
+    assert len({r.history_id for r in got}) == len(got) == 4
+
+
+def test_asof_same_for_any_grains(spark):
     df = _events(spark)
-    hist = _hist(df, "year")
+    hist = _hist(df).drop("history_id")
     rnd = random.Random(3)
     probes = spark.createDataFrame(
-        [(rnd.randint(0, 13), dt.datetime(2023, 12, 31) + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 7)))
+        [(rnd.choice([None, *range(14)]), dt.datetime(2023, 12, 31) + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 7)))
          for _ in range(400)], "k bigint, at timestamp")
 
-    def run(b):
-        return sorted(map(tuple, H.asof_join(probes, hist, "k", "at", ["status"], bucket=b).collect()), key=repr)
-
-    coarse = run("year")
-    assert any(r[2] is not None for r in coarse)
-    for b in ("minute", "hour", "day"):
-        assert run(b) == coarse
+    def run(fine, wide):
+        return _rows(H.asof_join(probes, hist, "k", "at", ["status"], fine=fine, coarse=wide))
 
-
-def test_hot_buckets_split_to_minutes_give_same_rows(spark):
-    """With a tiny hot threshold every busy (key, day) is windowed per minute; rows are unchanged."""
-    df = _events(spark)
-    base = sorted(map(tuple, _hist(df, "day").collect()), key=repr)
-    hot = H.scd2_history(df, "k", "ts", ["status"], tie_col="seq", bucket="day", hot_rows=5)
-    assert sorted(map(tuple, hot.select("k", "status", "eff_from_ts", "eff_to_ts", "is_current").collect()),
-                  key=repr) == base
-    hist = _hist(df, "year")
-    probes = spark.createDataFrame([(0, dt.datetime(2024, 1, 2, 12, m)) for m in range(60)] +
-                                   [(3, dt.datetime(2024, 1, 3, 1, 0))], "k bigint, at timestamp")
-    a = sorted(map(tuple, H.asof_join(probes, hist, "k", "at", ["status"], hot_rows=None).collect()), key=repr)
-    b = sorted(map(tuple, H.asof_join(probes, hist, "k", "at", ["status"], hot_rows=5).collect()), key=repr)
-    assert a == b
+    coarse = run("year", "year")
+    assert any(r[2] is not None for r in coarse) and all(r[2] is None for r in coarse if r[0] is None)
+    for fine, wide in GRAINS:
+        assert run(fine, wide) == coarse

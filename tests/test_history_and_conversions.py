@@ -27,15 +27,22 @@ def test_merge_into_base_equals_latest_over_all(spark):
     base = spark.createDataFrame([(1, 1, "I", 10, "a"), (2, 2, "I", 10, "a"), (3, 3, "D", 10, None)], FEED)
     delta = spark.createDataFrame([(1, 4, "U", 20, "b"), (2, 5, "D", 20, None), (3, 6, "U", 20, "c"),
                                    (4, 7, "I", 20, "d")], FEED)
-    state = H.cdc_latest_wins(base, ["entity_id"]).drop("last_change_ts")
-    merged = {r.entity_id: r.status for r in H.cdc_merge_into_base(state, delta, ["entity_id"]).collect()}
-    assert merged == {1: "b", 3: "c", 4: "d"}
+    state = H.cdc_merge_into_base(H.cdc_state(base, ["entity_id"]), delta, ["entity_id"])
+    assert {r.entity_id: r.status for r in H.cdc_current(state).collect()} == {1: "b", 3: "c", 4: "d"}
+    # an update older than the delete arrives late: the key stays deleted; a NULL op deletes nothing
+    late = spark.createDataFrame([(2, 8, "U", 15, "late"), (1, 9, None, 30, "null op")], FEED)
+    state = H.cdc_merge_into_base(state, late, ["entity_id"])
+    assert {r.entity_id: r.status for r in H.cdc_current(state).collect()} == {1: "null op", 3: "c", 4: "d"}
 
 
 def test_upsert_delta_wins(spark):
     base = spark.createDataFrame([(1, "old"), (2, "keep")], "k bigint, v string")
     delta = spark.createDataFrame([(1, "new"), (3, "ins")], "k bigint, v string")
     assert sorted(H.upsert(base, delta, ["k"]).collect()) == [(1, "new"), (2, "keep"), (3, "ins")]
+    # base rows that share a key stay, unless the delta has it; of equal delta keys the greatest order wins
+    base = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "d")], "k bigint, v string")
+    delta = spark.createDataFrame([(2, "x"), (2, "y")], "k bigint, v string")
+    assert sorted(H.upsert(base, delta, ["k"], order=["v"]).collect()) == [(1, "a"), (1, "b"), (2, "y")]
 
 
 def test_scd2_collapses_repeats_and_asof(spark):
@@ -120,3 +127,18 @@ def test_asof_null_key_matches_nothing(spark):
                                    "agent_id bigint, at timestamp")
     got = {r.agent_id: r.status for r in H.asof_join(probes, hist, "agent_id", "at", ["status"]).collect()}
     assert got == {None: None, 1: "A"}
+
+
+def test_exact_ratio_at_any_denominator(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from pyspark.sql import functions as F
+
+    from switchboard.functions import decode as X
+    pairs = [(499999999999, 10**14), (500000000000, 10**14), (1, 3), (2, 3), (5, 1000), (0, 7), (7, 0), (10**17 + 5, 10**18),
+             (123456789, 987654321987)]
+    df = spark.createDataFrame(pairs, "n bigint, d bigint")
+    got = {(r.n, r.d): r.q for r in df.select("n", "d", X.exact_ratio(F.col("n"), F.col("d")).alias("q")).collect()}
+    for n, d in pairs:
+        want = (Decimal(n) / Decimal(d)).quantize(Decimal("0.01"), ROUND_HALF_UP) if d else None
+        assert got[n, d] == want

@@ -9,29 +9,33 @@ from __future__ import annotations
 import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def key_path(path: str, df: DataFrame, key: str) -> DataFrame:
-    """(path, k) rows of one documented key path."""
-    return df.select(F.lit(path).alias("path"), F.col(key).alias("k"))
+def key_paths(df: DataFrame, paths: dict[str, str]) -> DataFrame:
+    """(path, k) rows of documented key paths of one table: path name to key column, in one scan."""
+    return df.select(F.explode(F.array(*[
+        F.struct(F.lit(p).alias("path"), F.col(c).cast("bigint").alias("k")) for p, c in paths.items()])).alias("e")
+    ).select("e.path", "e.k")
 
 
 def fk_orphans(children: DataFrame, parents: DataFrame) -> DataFrame:
     """Per documented key path: child rows, NULL keys, orphan rows and orphan keys.
 
     ``children`` and ``parents`` hold (path, k) rows of every path, stacked.
-    The parent side is reduced to distinct (path, k) with a marker and
-    left-joined once for all paths, so a hot child key meets exactly one
-    parent row (no fan-out) and all counts come from one aggregate by path.
+    Both sides are reduced to one row per (path, k) first, the children with
+    their number of rows: an aggregate that combines map-side, so a hot key
+    reaches the join as one row.
     """
+    counts = children.groupBy("path", "k").agg(F.count(F.lit(1)).alias("n"))
     keys = parents.filter(F.col("k").isNotNull()).distinct().withColumn("_hit", F.lit(True))
-    j = children.join(keys, ["path", "k"], "left")
+    j = counts.join(keys, ["path", "k"], "left")
     orphan = F.col("k").isNotNull() & F.col("_hit").isNull()
     return j.groupBy("path").agg(
-        F.count(F.lit(1)).alias("child_rows"),
-        F.count_if(F.col("k").isNull()).alias("null_key_rows"),
-        F.count_if(orphan).alias("orphan_rows"),
-        F.countDistinct(F.when(orphan, F.col("k"))).alias("orphan_keys"),
+        F.sum("n").alias("child_rows"),
+        F.sum(F.when(F.col("k").isNull(), F.col("n")).otherwise(0)).alias("null_key_rows"),
+        F.sum(F.when(orphan, F.col("n")).otherwise(0)).alias("orphan_rows"),
+        F.count_if(orphan).alias("orphan_keys"),
     )
 
 
@@ -51,10 +55,12 @@ def cast_loss_audit(df: DataFrame, targets: list[tuple[str, str]]) -> DataFrame:
     for i, (c, target) in enumerate(targets):
         src = F.col(c)
         tried = src.try_cast(target)
-        lossy = F.lit(False)
-        if target.replace(" ", "").lower().startswith("decimal("):
-            # the value survives but is rounded: compare with the exact decimal form
-            lossy = tried.isNotNull() & (src.cast("string").try_cast("decimal(38,18)") != tried)
+        # a value that is changed by the cast does not come back; text is compared as an exact decimal
+        if isinstance(df.schema[c].dataType, T.StringType):
+            number = target.replace(" ", "").lower().startswith(("decimal(", "bigint", "int", "double"))
+            lossy = (src.try_cast("decimal(38,18)") != tried.try_cast("decimal(38,18)")) if number else F.lit(False)
+        else:
+            lossy = tried.isNotNull() & ~tried.try_cast(df.schema[c].dataType).eqNullSafe(src)
         aggs += [
             F.count(F.lit(1)).alias(f"r{i}"),
             F.count_if(src.isNull()).alias(f"n{i}"),

@@ -12,18 +12,22 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
-import os
 import uuid
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from switchboard.functions import decode as X
-from switchboard.session import fresh_path, local_path, table_path
+from switchboard.session import fresh_path, table_path
 
 # Rows per output file; keeps files bounded when a partition value is huge.
 MAX_RECORDS_PER_FILE = 5_000_000
 
+# Folder value that Spark gives to NULL partition values.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def derive_partition(df: DataFrame, column: str, grain: str) -> tuple[DataFrame, str]:
     """Add the physical partition column for DAY / MONTH / YEAR grains.
@@ -112,53 +116,72 @@ def expire_partitions(df: DataFrame, partition_col: str, as_of: dt.date, days: i
     return df.filter(F.col(partition_col) > F.date_sub(F.lit(as_of), days))
 
 
-def source_fingerprint(sf_dir: str, tables: list[str], version: str = "") -> str:
-    """Identity of a derived table: input location, input file stats, and the
-    version of the code that builds it (so a code change never reuses a table)."""
+def source_fingerprint(spark: SparkSession, sf_dir: str, tables: list[str], version: str = "") -> str:
+    """Identity of a derived table: input location, status of every input file on whatever file system holds
+    it, and the version of the code that builds it (so changed inputs or code never reuse a table)."""
     h = hashlib.sha1(sf_dir.encode())
     h.update(version.encode())
     for t in tables:
-        p = local_path(f"{sf_dir.rstrip('/')}/{t}.parquet")
-        if p and os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{t}:{st.st_size}:{int(st.st_mtime)}".encode())
-        else:
-            h.update(t.encode())
+        fs, root = _fs(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
+        files = fs.globStatus(root) or []
+        for st in files:
+            inside = fs.listStatus(st.getPath()) if st.isDirectory() else [st]
+            for x in sorted(f"{i.getPath().getName()}:{i.getLen()}:{i.getModificationTime()}" for i in inside):
+                h.update(f"{t}:{x}".encode())
     return h.hexdigest()[:16]
 
 
 def table_ready(spark: SparkSession, path: str) -> bool:
     """Whether a table was fully committed (its ``_SUCCESS`` marker exists)."""
-    marker = f"{path}/_SUCCESS"
-    lp = local_path(marker)
-    if lp is not None:
-        return os.path.exists(lp)
+    fs, marker = _fs(spark, f"{path}/_SUCCESS")
+    return fs.exists(marker)
+
+
+def _read_pointer(spark: SparkSession, pointer: str) -> str | None:
+    """Folder that a pointer file names, or None while there is none (or its writer died before naming one)."""
+    fs, path = _fs(spark, pointer)
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        name = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return f"{pointer.rsplit('/', 1)[0]}/{name}" if name else None
+
+
+def _publish(spark: SparkSession, pointer: str, build: str) -> str:
+    """Name ``build`` in the pointer file; where another run has named its own first, that one counts."""
+    fs, path = _fs(spark, pointer)
+    try:
+        stream = fs.create(path, False)          # fails if the file exists: one writer wins
+    except Py4JJavaError:
+        return _read_pointer(spark, pointer) or build
     try:
-        spark.read.format("binaryFile").load(marker).select("length").limit(1).collect()
-        return True
-    except Exception:  # noqa: BLE001 - missing path
-        return False
+        stream.write(bytearray(build.rsplit("/", 1)[1].encode()))
+    finally:
+        stream.close()
+    return build
 
 
 def materialized_path(spark: SparkSession, name: str, sf_dir: str, sources: list[str], df: DataFrame,
                       partition_col: str | None, cluster_keys: list[str], grain: str = "day",
                       version: str = "") -> str:
-    """Location of a warehouse table in the shared folder, written once per input and code version."""
-    fp = source_fingerprint(sf_dir, sources, f"{version}|{partition_col}|{grain}|{cluster_keys}")
-    path = table_path(spark, "warehouse", f"{name}-{fp}")
-    if not table_ready(spark, path):
-        # Written under a unique name, then renamed into place: a concurrent
-        # run building the same table never sees or overwrites a half-written
-        # one. Static overwrite, so the committer leaves _SUCCESS at the root
-        # (a dynamic overwrite commits partition folders only).
-        tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
-        write_layout(df, tmp, partition_col, cluster_keys, grain, dynamic=False)
-        fs, target = _fs(spark, path)
-        jvm = spark.sparkContext._jvm
-        if fs.exists(target) and not table_ready(spark, path):
-            fs.delete(target, True)          # leftover of a run that died before its rename
-        if table_ready(spark, path) or not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), target):
-            fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)   # another run finished first
+    """Location of a warehouse table in the shared folder, written once per input and code version.
+
+    Every build writes a folder of its own; a pointer file, created by one
+    build only, names the folder that counts. Nothing is renamed or deleted,
+    so concurrent builds cannot disturb each other.
+    """
+    fp = source_fingerprint(spark, sf_dir, sources, f"{version}|{partition_col}|{grain}|{cluster_keys}")
+    base = table_path(spark, "warehouse", f"{name}-{fp}")
+    pointer = f"{base}.ptr"
+    path = _read_pointer(spark, pointer)
+    if path is None:
+        build = f"{base}-{uuid.uuid4().hex[:12]}"
+        # static overwrite, so the committer leaves _SUCCESS at the root
+        write_layout(df, build, partition_col, cluster_keys, grain, dynamic=False)
+        path = _publish(spark, pointer, build)
     return path
 
 
@@ -178,7 +201,7 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, sources: list[str]
 def write_fresh(spark: SparkSession, name: str, df: DataFrame, partition_col: str | None,
                 cluster_keys: list[str], grain: str = "day") -> tuple[str, str | None]:
     path = fresh_path(spark, name)
-    phys = write_layout(df, path, partition_col, cluster_keys, grain)
+    phys = write_layout(df, path, partition_col, cluster_keys, grain, dynamic=False)  # the folder is new
     return path, phys
 
 
@@ -196,7 +219,7 @@ def partition_values(spark: SparkSession, path: str, partition_col: str) -> list
     for st in fs.listStatus(root):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(prefix):
-            out.append(name[len(prefix):])
+            out.append(unquote(name[len(prefix):]))
     return sorted(out)
 
 
@@ -253,14 +276,28 @@ def refresh_aggregate(spark: SparkSession, fact_path: str, agg_path: str, delta:
     """
     agg_partition = agg_partition or partition_col
     to_agg = agg_partition_of or (lambda c: c)
-    touched = sorted(r[0] for r in delta.select(to_agg(F.col(partition_col)).alias("_p")).distinct().collect())
+    values = [r[0] for r in delta.select(to_agg(F.col(partition_col)).alias("_p")).distinct().collect()]
+    touched = sorted(v for v in values if v is not None)
     write_layout(delta, fact_path, partition_col, fact_cluster, mode="overwrite")
     part = to_agg(F.col(partition_col))
-    cond = part.isin([t for t in touched if t is not None])
-    if any(t is None for t in touched):      # the NULL partition is touched too
+    cond = part.isin(touched) if touched else F.lit(False)
+    if len(touched) < len(values):           # the NULL partition is touched too
         cond = cond | part.isNull()
-    fact = spark.read.parquet(fact_path).filter(cond)
-    write_layout(aggregate(fact), agg_path, agg_partition, agg_cluster, mode="overwrite")
+        touched = [*touched, None]
+    fact = spark.read.schema(delta.schema).parquet(fact_path).filter(cond)
+    # the new partitions are laid out apart first: a touched one that is not among them has become empty
+    new_path = fresh_path(spark, "refresh")
+    result = aggregate(fact)
+    write_layout(result, new_path, agg_partition, agg_cluster)
+    written = set(partition_values(spark, new_path, agg_partition))
+    if written:
+        new = spark.read.schema(result.schema).parquet(new_path)
+        write_layout(new, agg_path, agg_partition, agg_cluster, mode="overwrite")
+    fs, root = _fs(spark, agg_path)
+    for value in touched:
+        folder = NULL_PARTITION if value is None else str(value)
+        if folder not in written:
+            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"{agg_partition}={folder}"), True)
     return touched
 
 

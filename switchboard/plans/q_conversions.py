@@ -140,15 +140,16 @@ def decode_oracle_string(spark, sf):
 
 
 # ---------------------------------------------------------------- K1
-AUDIT_TARGETS = [("props", "bigint"), ("value", "decimal(5,2)"), ("value", "decimal(4,1)"),
-                 ("event_type", "date")]
+AUDIT_TARGETS = [("props", "bigint", "varchar"), ("value", "decimal(5,2)", "double"), ("value", "decimal(4,1)", "double"),
+                 ("value", "decimal(38,9)", "double"), ("value", "float", "double"), ("event_id", "int", "bigint"),
+                 ("user_id", "smallint", "bigint"), ("event_type", "date", "varchar")]
 
 
-def _audit_sql(col: str, target: str) -> str:
+def _audit_sql(col: str, target: str, source: str) -> str:
     t = target.upper()
     loss = "FALSE"
-    if t.startswith("DECIMAL"):
-        loss = f"TRY_CAST({col} AS {t}) IS NOT NULL AND TRY_CAST(CAST({col} AS VARCHAR) AS DECIMAL(38,18)) <> TRY_CAST({col} AS {t})"
+    if source != "varchar":
+        loss = f"TRY_CAST({col} AS {t}) IS NOT NULL AND CAST(TRY_CAST({col} AS {t}) AS {source.upper()}) IS DISTINCT FROM {col}"
     return f"""
 SELECT '{col}' AS column_name, '{target}' AS target_type, CAST(COUNT(*) AS BIGINT) AS row_count,
        CAST(COUNT(*) FILTER (WHERE {col} IS NULL) AS BIGINT) AS null_count,
@@ -157,6 +158,6 @@ SELECT '{col}' AS column_name, '{target}' AS target_type, CAST(COUNT(*) AS BIGIN
 FROM events"""
 
 
-@register("cast_loss_audit", " UNION ALL ".join(_audit_sql(c, t) for c, t in AUDIT_TARGETS))
+@register("cast_loss_audit", " UNION ALL ".join(_audit_sql(c, t, src) for c, t, src in AUDIT_TARGETS))
 def cast_loss_audit(spark, sf):
-    return K.cast_loss_audit(table(spark, sf, "events"), AUDIT_TARGETS)
+    return K.cast_loss_audit(table(spark, sf, "events"), [(c, t) for c, t, _ in AUDIT_TARGETS])

@@ -8,6 +8,7 @@ from switchboard.operators import checks as K
 from switchboard.operators import history as H
 from switchboard.operators import joins as J
 from switchboard.plans import bindings as B
+from switchboard.plans import warehouse as W
 from switchboard.plans.catalog import register
 from switchboard.plans.oracle import scd2_sql, with_ctes
 from switchboard.plans.warehouse import EVENT_DAY, wh
@@ -57,52 +58,57 @@ def dm_star_join(spark, sf):
 
 
 # ---------------------------------------------------------------- J4 / K2
-# Documented key paths; the agent/client parents are restricted to
-# c_nationkey < 20 so that orphans exist.
-ORPHAN_SQL = with_ctes("""
-, parent_agent AS (SELECT agent_sk FROM dim_agent WHERE org_unit_id < 20)
-, paths AS (
-  SELECT 'fact_agent_activity.agent_sk' AS path, agent_sk AS k FROM fact_agent_activity
-  UNION ALL SELECT 'fact_interaction.agent_sk', agent_sk FROM fact_interaction
-  UNION ALL SELECT 'fact_csat_survey.agent_sk', agent_sk FROM fact_csat_survey
-  UNION ALL SELECT 'fact_billing_line.client_sk', client_sk FROM fact_billing_line
-  UNION ALL SELECT 'fact_billing_line.program_sk', program_sk FROM fact_billing_line)
-SELECT path, CAST(COUNT(*) AS BIGINT) AS child_rows,
-       CAST(COUNT(*) FILTER (WHERE k IS NULL) AS BIGINT) AS null_key_rows,
-       CAST(COUNT(*) FILTER (WHERE k IS NOT NULL AND hit IS NULL) AS BIGINT) AS orphan_rows,
-       CAST(COUNT(DISTINCT CASE WHEN k IS NOT NULL AND hit IS NULL THEN k END) AS BIGINT) AS orphan_keys
-FROM (
-  SELECT p.path, p.k, par.hit FROM paths p LEFT JOIN (
-    SELECT 'fact_agent_activity.agent_sk' AS path, agent_sk AS k, 1 AS hit FROM parent_agent
-    UNION ALL SELECT 'fact_interaction.agent_sk', agent_sk, 1 FROM parent_agent
-    UNION ALL SELECT 'fact_csat_survey.agent_sk', agent_sk, 1 FROM parent_agent
-    UNION ALL SELECT 'fact_billing_line.client_sk', agent_sk, 1 FROM parent_agent
-    UNION ALL SELECT DISTINCT 'fact_billing_line.program_sk', program_sk, 1 FROM dim_program) par
-  ON p.path = par.path AND p.k = par.k) x
-GROUP BY path""", "fact_agent_activity", "fact_interaction", "fact_csat_survey", "fact_billing_line",
-                       "dim_agent", "dim_program").replace("\n, parent_agent", ", parent_agent", 1)
+# Documented key paths that the test tables can fill: child table -> {path: key column}, and each path's parent.
+KEY_PATHS = {
+    "fact_agent_activity": {"fact_agent_activity.agent_sk": "agent_sk"},
+    "fact_interaction": {f"fact_interaction.{c}": c for c in ("agent_sk", "client_sk", "program_sk", "queue_sk")},
+    "fact_queue_interval": {"fact_queue_interval.queue_sk": "queue_sk"},
+    "fact_csat_survey": {f"fact_csat_survey.{c}": c for c in ("agent_sk", "client_sk", "program_sk")},
+    "fact_billing_line": {f"fact_billing_line.{c}": c for c in ("client_sk", "program_sk")},
+    "fact_adherence_daily": {"fact_adherence_daily.agent_sk": "agent_sk"},
+    "fact_ticket": {"fact_ticket.program_sk": "program_sk"},
+    "ods_invoice_acid": {"ods_invoice_acid.client_id": "client_id"},
+    "ods_ticket_acid": {"ods_ticket_acid.program_id": "program_id"},
+    "ods_agent_scd2": {"ods_agent_scd2.agent_id": "agent_id"},
+}
+# Key name (without _sk / _id) -> parent table and its key.
+PARENTS = {"agent": ("dim_agent", "agent_sk"), "client": ("ods_client_acid", "client_id"),
+           "program": ("dim_program", "program_sk"), "queue": ("ods_queue", "queue_id")}
+
+
+def _parent_paths() -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for paths in KEY_PATHS.values():
+        for path, key in paths.items():
+            out.setdefault(key.rsplit("_", 1)[0], []).append(path)
+    return out
+
+
+ORPHAN_SQL = with_ctes(
+    ", paths AS (\n  " + "\n  UNION ALL ".join(
+        f"SELECT '{path}' AS path, {key} AS k FROM {t}" for t, paths in KEY_PATHS.items() for path, key in paths.items())
+    + "),\nparents AS (\n  " + "\n  UNION ALL ".join(
+        f"SELECT DISTINCT '{path}' AS path, {PARENTS[p][1]} AS k, 1 AS hit FROM {PARENTS[p][0]}"
+        for p, paths in _parent_paths().items() for path in paths) + """)
+SELECT x.path, CAST(COUNT(*) AS BIGINT) AS child_rows,
+       CAST(COUNT(*) FILTER (WHERE x.k IS NULL) AS BIGINT) AS null_key_rows,
+       CAST(COUNT(*) FILTER (WHERE x.k IS NOT NULL AND hit IS NULL) AS BIGINT) AS orphan_rows,
+       CAST(COUNT(DISTINCT CASE WHEN x.k IS NOT NULL AND hit IS NULL THEN x.k END) AS BIGINT) AS orphan_keys
+FROM paths x LEFT JOIN parents p ON x.path = p.path AND x.k = p.k
+GROUP BY x.path""", *KEY_PATHS, *[t for t, _ in PARENTS.values()]).replace("\n, paths", ",\npaths", 1)
 
 
 @register("fk_orphans", ORPHAN_SQL)
 def fk_orphans(spark, sf):
-    parent_agent = B.dim_agent(spark, sf).filter(F.col("org_unit_id") < 20)
-    program = B.dim_program(spark, sf)
-    billing = B.fact_billing_line(spark, sf).select(
-        F.explode(F.array(
-            F.struct(F.lit("fact_billing_line.client_sk").alias("path"), F.col("client_sk").alias("k")),
-            F.struct(F.lit("fact_billing_line.program_sk").alias("path"), F.col("program_sk").alias("k")),
-        )).alias("e")).select("e.path", "e.k")
-    children = (K.key_path("fact_agent_activity.agent_sk", B.fact_agent_activity(spark, sf), "agent_sk")
-                .unionByName(K.key_path("fact_interaction.agent_sk", B.fact_interaction(spark, sf), "agent_sk"))
-                .unionByName(K.key_path("fact_csat_survey.agent_sk", B.fact_csat_survey(spark, sf), "agent_sk"))
-                .unionByName(billing))
-    parents = (K.key_path("fact_agent_activity.agent_sk", parent_agent, "agent_sk")
-               .unionByName(K.key_path("fact_interaction.agent_sk", parent_agent, "agent_sk"))
-               .unionByName(K.key_path("fact_csat_survey.agent_sk", parent_agent, "agent_sk"))
-               .unionByName(K.key_path("fact_billing_line.client_sk", parent_agent, "agent_sk"))
-               .unionByName(K.key_path("fact_billing_line.program_sk", program, "program_sk")))
-    return K.fk_orphans(children, parents).select(
-        "path", "child_rows", "null_key_rows", "orphan_rows", "orphan_keys")
+    children = parents = None
+    for t, paths in KEY_PATHS.items():
+        rows = K.key_paths(getattr(B, t)(spark, sf) if hasattr(B, t) else wh(spark, sf, t), paths)
+        children = rows if children is None else children.unionByName(rows)
+    for p, paths in _parent_paths().items():
+        name, key = PARENTS[p]
+        rows = K.key_paths((getattr(B, name) if hasattr(B, name) else getattr(W, name))(spark, sf), {x: key for x in paths})
+        parents = rows if parents is None else parents.unionByName(rows)
+    return K.fk_orphans(children, parents)
 
 
 DUP_SQL = """

@@ -82,11 +82,11 @@ def _orders_by_day(spark, sf):
 SELECT *, CAST(o_orderdate AS DATE) AS order_date FROM orders
 WHERE CAST(o_orderdate AS DATE) > DATE '{RETENTION_KEEP_FROM.isoformat()}'""")
 def retention_90d(spark, sf):
-    """Expire the day partitions of the stored orders_by_day table (idempotent: a
-    second run finds nothing left to drop) and return what remains."""
-    path = W.wh_path(spark, sf, "orders_by_day")
+    """Expire day partitions of a copy of orders_by_day and return what remains, read with the declared schema."""
+    df = _orders_by_day(spark, sf)
+    path, _ = L.write_fresh(spark, "orders_by_day", df, "order_date", ["o_custkey"])
     L.drop_expired_partitions(spark, path, "order_date", RETENTION_AS_OF, 90)
-    return _readback(spark, path, _orders_by_day(spark, sf))
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # ---------------------------------------------------------------- K3
@@ -124,6 +124,7 @@ def mv_incremental_refresh(spark, sf):
 
 
 # ---------------------------------------------------------------- K4: 14 scan-pruning pairs
+# The objects and the columns of their filters.
 TICKET_DAY = dt.date(1996, 1, 15)
 PRUNED = {
     "fact_interaction": (f"event_date = DATE '{DAY}' AND channel = 'VOICE'",
@@ -188,7 +189,7 @@ def mv_refresh_on_arrival(spark, sf):
     """The fact lands as files in two batches (days before the split; then the
     split's previous day restated plus the later days); a file stream refreshes
     the stored aggregate after each batch (``streaming.refresh``)."""
-    from switchboard.streaming.refresh import start_refresh
+    from switchboard.streaming.refresh import land, start_refresh
 
     fact = B.fact_agent_activity(spark, sf)
     dim = B.dim_agent(spark, sf)
@@ -197,7 +198,7 @@ def mv_refresh_on_arrival(spark, sf):
     batches = [fact.filter(F.col("event_date") < F.lit(REFRESH_SPLIT)),
                fact.filter(F.col("event_date") >= F.lit(REFRESH_SPLIT - dt.timedelta(days=1)))]
     for i, batch in enumerate(batches):
-        batch.write.mode("append").parquet(landing)
+        land(batch, landing, i)
         q = start_refresh(spark, landing, fact.schema, fact_path, agg_path, lambda f: A.agg_agent_daily(f, dim),
                           "event_date", ["agent_sk", "state_code"], ["agent_sk", "site_code"],
                           name=f"refresh_{landing.rsplit('-', 1)[-1]}_{i}", checkpoint=landing + "_checkpoint")

@@ -113,6 +113,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not (master.startswith("local") and not master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="switchboard-ckpt-")
         spark.sparkContext.setCheckpointDir(path)
         try:
@@ -131,12 +134,3 @@ def table_path(spark: SparkSession, *parts: str) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, never-used location under the shared folder."""
     return table_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
-
-
-def local_path(path: str) -> str | None:
-    """Filesystem path for a ``file:`` or bare path, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path if os.path.isabs(path) else None

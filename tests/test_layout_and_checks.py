@@ -67,10 +67,48 @@ def test_incremental_refresh_matches_full(spark):
     assert got == want
 
 
+def test_refresh_with_null_days_and_emptied_days(spark):
+    schema = "k bigint, v bigint, d date"
+    days = [dt.date(2026, 1, d) for d in (1, 2)]
+    agg = lambda f: f.filter("v > 0").groupBy("k", "d").agg(F.sum("v").alias("v")).select("k", "v", "d")
+    fact_path, agg_path = fresh_path(spark, "nf"), fresh_path(spark, "na")
+    base = spark.createDataFrame([(1, 5, days[0]), (1, 6, days[1]), (2, 7, None)], schema)
+    L.write_layout(base, fact_path, "d", ["k"])
+    L.write_layout(agg(base), agg_path, "d", ["k"])
+    # the restated first day has no rows that count; NULL and the second day change
+    delta = spark.createDataFrame([(1, -1, days[0]), (1, 8, days[1]), (2, 9, None), (3, 1, None)], schema)
+    assert L.refresh_aggregate(spark, fact_path, agg_path, delta, "d", agg, ["k"], ["k"]) == [*days, None]
+    got = spark.read.schema(schema).parquet(agg_path).collect()
+    assert sorted(((r.k, r.v, r.d) for r in got), key=repr) == sorted([(1, 8, days[1]), (2, 9, None), (3, 1, None)], key=repr)
+
+
+def test_concurrent_builds_and_changed_inputs(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    src = str(tmp_path / "src")
+    spark.range(10).write.parquet(f"{src}/t.parquet")
+
+    def build(_=None):
+        return L.materialized_path(spark, f"race-{tmp_path.name}", src, ["t"], spark.read.parquet(f"{src}/t.parquet"), None, ["id"])
+
+    with ThreadPoolExecutor(4) as pool:
+        paths = set(pool.map(build, range(4)))
+    assert len(paths) == 1 and spark.read.parquet(paths.pop()).count() == 10
+    first = build()
+    assert build() == first
+    spark.range(12).write.mode("overwrite").parquet(f"{src}/t.parquet")
+    assert build() != first and spark.read.parquet(build()).count() == 12
+
+
+def test_hot_child_key_is_one_row_at_the_join(spark):
+    child = spark.range(3000).selectExpr("CASE WHEN id % 3 < 2 THEN 1 ELSE id END AS k")
+    plan = K.fk_orphans(K.key_paths(child, {"c": "k"}), K.key_paths(child, {"c": "k"}))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Aggregate [path", plan.index("Join"))
+
+
 def test_fk_orphans_and_duplicates(spark):
     child = spark.createDataFrame([(1,), (2,), (2,), (9,), (None,)], "k bigint")
     parent = spark.createDataFrame([(1,), (2,), (2,)], "k bigint")
-    r = K.fk_orphans(K.key_path("c.k", child, "k"), K.key_path("c.k", parent, "k")).collect()[0]
+    r = K.fk_orphans(K.key_paths(child, {"c.k": "k"}), K.key_paths(parent, {"c.k": "k"})).collect()[0]
     assert (r.child_rows, r.null_key_rows, r.orphan_rows, r.orphan_keys) == (5, 1, 1, 1)
     d = K.pk_duplicates(parent, ["k"]).collect()
     assert [(x.k, x.copies) for x in d] == [(2, 2)]
@@ -84,6 +122,11 @@ def test_cast_loss_audit(spark):
     assert (s.row_count, s.null_count, s.failed_casts) == (3, 1, 1)
     v = out[("v", "decimal(4,1)")]
     assert (v.failed_casts, v.scale_losses) == (1, 1)   # 1000.5 overflows; 1.25 rounds
+    df = spark.createDataFrame([(1.7, 2**40), (2.0, 5), (1e30, 6)], "v double, n bigint")
+    out = {(r.column_name, r.target_type): (r.failed_casts, r.scale_losses) for r in K.cast_loss_audit(
+        df, [("v", "bigint"), ("v", "decimal(38,0)"), ("n", "double"), ("n", "int")]).collect()}
+    # 1.7 is cut or rounded; 1e30 does not fit a bigint but does fit the decimal
+    assert out == {("v", "bigint"): (1, 1), ("v", "decimal(38,0)"): (0, 1), ("n", "double"): (0, 0), ("n", "int"): (1, 0)}
 
 
 def test_weekly_refresh_recomputes_touched_weeks(spark):

@@ -135,32 +135,21 @@ def agg_queue_hourly(fact_queue_interval: DataFrame) -> DataFrame:
     )
 
 
-def agg_site_daily(fact: DataFrame, dim: DataFrame, rsd: float = 0.01,
-                   with_exact: bool = False) -> DataFrame:
-    """A4: site/day roll-up; ``agents_active`` is an HLL++ estimate.
+def agg_site_daily(fact: DataFrame, dim: DataFrame, rsd: float | None = None) -> DataFrame:
+    """A4: site/day roll-up with its declared columns.
 
     The joined (agent, day) partials are first combined per (site, day,
     agent) -- no exchange, the (agent, day) partitioning already clusters it --
-    so each agent is one row per site-day: the exact distinct count is then a
-    plain count (no Expand-based distinct rewrite) and the HLL sketch sees
-    each agent once. ``with_exact`` adds that exact count and whether the
-    estimate is within 5 % of it (the only thing an exact oracle can compare).
+    so each agent is one row per site-day and ``agents_active``, declared as an
+    approximate distinct count, is exact at no cost: a plain count. With
+    ``rsd`` it is an HLL++ estimate of that relative error instead.
     """
     joined = _join_dim(agent_day_partials(fact), dim)
     per_agent = joined.groupBy("site_code", "event_date", "agent_sk").agg(
         F.sum("occ").alias("occ"), F.sum("secs").alias("secs"), F.sum("secs_n").alias("secs_n"))
-    aggs = [
-        F.approx_count_distinct("agent_sk", rsd).alias("agents_active"),
-        F.sum("occ").alias("interactions"),
-        X.exact_mean(F.sum("secs"), F.sum("secs_n")).alias("avg_handle_seconds"),
-    ]
-    if with_exact:
-        aggs.append(F.count("agent_sk").alias("agents_active_exact"))
-    out = per_agent.groupBy("site_code", "event_date").agg(*aggs)
-    cols = ["site_code", "agents_active", "interactions", "avg_handle_seconds",
-            X.zero_numeric().alias("sl_pct"), X.zero_numeric().alias("adherence_pct"), "event_date"]
-    if with_exact:
-        cols += ["agents_active_exact",
-                 (F.abs(F.col("agents_active") - F.col("agents_active_exact"))
-                  <= F.col("agents_active_exact") * 0.05).alias("agents_active_within_5pct")]
-    return out.select(*cols)
+    active = F.count("agent_sk") if rsd is None else F.approx_count_distinct("agent_sk", rsd)
+    out = per_agent.groupBy("site_code", "event_date").agg(
+        active.alias("agents_active"), F.sum("occ").alias("interactions"),
+        X.exact_mean(F.sum("secs"), F.sum("secs_n")).alias("avg_handle_seconds"))
+    return out.select("site_code", "agents_active", "interactions", "avg_handle_seconds",
+                      X.zero_numeric().alias("sl_pct"), X.zero_numeric().alias("adherence_pct"), "event_date")

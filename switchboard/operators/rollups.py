@@ -171,9 +171,8 @@ def fill_site_daily(site_daily: DataFrame, adherence: DataFrame, dim: DataFrame,
     j = (site_daily.drop("sl_pct", "adherence_pct")
          .join(adh, ["site_code", "event_date"], "left")
          .join(sl, "event_date", "left"))
-    head = [c for c in ("site_code", "agents_active") if c in site_daily.columns]
     return j.select(
-        *head, "interactions", "avg_handle_seconds",
+        "site_code", "agents_active", "interactions", "avg_handle_seconds",
         X.exact_mean(F.col("_in_sl") * 100, F.nullif(F.col("_offered"), F.lit(0))).alias("sl_pct"),
         X.exact_mean(F.col("_adh_cents"), F.col("_adh_n") * 100).alias("adherence_pct"),
-        "event_date", *[c for c in site_daily.columns if c.startswith("agents_active_")])
+        "event_date")

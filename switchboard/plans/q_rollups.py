@@ -137,10 +137,10 @@ adh AS (SELECT d.site_code, a.event_date, SUM(CAST(a.adherence_pct * 100 AS BIGI
         GROUP BY d.site_code, a.event_date),
 sl AS (SELECT event_date, SUM(answered_in_sl) AS in_sl, SUM(offered) AS offered
        FROM ({BINDINGS['fact_queue_interval']}) q GROUP BY event_date)
-SELECT s.site_code, s.interactions, s.avg_handle_seconds,
+SELECT s.site_code, s.agents_active, s.interactions, s.avg_handle_seconds,
        {exact_mean("sl.in_sl * 100", "NULLIF(sl.offered, 0)")} AS sl_pct,
        {exact_mean("adh.c", "adh.n * 100")} AS adherence_pct,
-       s.event_date, s.agents_active_exact, s.agents_active_within_5pct
+       s.event_date
 FROM s LEFT JOIN adh ON s.site_code = adh.site_code AND s.event_date = adh.event_date
 LEFT JOIN sl ON s.event_date = sl.event_date"""
 
@@ -148,6 +148,6 @@ LEFT JOIN sl ON s.event_date = sl.event_date"""
 @register("site_daily_service_level", C8_SITE_SQL)
 def site_daily_service_level(spark, sf):
     fact, dim = B.fact_agent_activity(spark, sf), B.dim_agent(spark, sf)
-    site = A.agg_site_daily(fact, dim, with_exact=True).drop("agents_active")
+    site = A.agg_site_daily(fact, dim)
     adherence = R.adherence_daily(B.fact_adherence_daily(spark, sf))
     return R.fill_site_daily(site, adherence, dim, B.fact_queue_interval(spark, sf))

@@ -10,6 +10,7 @@ with arrays of structs).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -35,6 +36,13 @@ def read_pipe_feed(spark: SparkSession, path: str, schema: T.StructType,
     )
 
 
+def feed_counts(landed: DataFrame, op_col: str = "op", corrupt_column: str = "_corrupt_record") -> DataFrame:
+    """Lines of a landed feed, malformed ones, and well-formed ones with a NULL op: one row, for a check to look at."""
+    bad = F.col(corrupt_column).isNotNull()
+    return landed.agg(F.count(F.lit(1)).alias("lines"), F.count_if(bad).alias("malformed_lines"),
+                      F.count_if(~bad & F.col(op_col).isNull()).alias("null_ops"))
+
+
 def read_nested(spark: SparkSession, path: str, schema: T.StructType,
                 fmt: str = "parquet") -> DataFrame:
     """Semi-structured feed (arrays of structs) read with its declared schema."""

@@ -68,11 +68,11 @@ def test_queue_hourly_utc_hours_and_mean(spark):
     assert out[(0, dt.date(2026, 1, 1))].offered == 1
 
 
-def test_site_daily_estimate_within_5pct(spark):
+def test_site_daily_agents_exact_and_estimated(spark):
     fact = _fact(spark, [(i, "TALK", 1, 1, dt.date(2026, 1, 1)) for i in range(300)])
     dim = spark.createDataFrame([(i, "S") for i in range(300)], DIM_SCHEMA)
-    r = A.agg_site_daily(fact, dim, with_exact=True).collect()[0]
-    assert r.agents_active_exact == 300 and r.agents_active_within_5pct
+    assert A.agg_site_daily(fact, dim).collect()[0].agents_active == 300
+    assert abs(A.agg_site_daily(fact, dim, rsd=0.01).collect()[0].agents_active - 300) <= 15
 
 
 def test_decimal_tie_rounds_half_up(spark):

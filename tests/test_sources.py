@@ -2,7 +2,7 @@
 
 from pyspark.sql import types as T
 
-from switchboard.sources.tables import read_nested, read_pipe_feed
+from switchboard.sources.tables import feed_counts, read_nested, read_pipe_feed
 
 FEED = T.StructType([T.StructField("entity_id", T.LongType()), T.StructField("change_id", T.LongType()),
                      T.StructField("op", T.StringType()), T.StructField("change_ms", T.LongType()),
@@ -17,6 +17,23 @@ def test_pipe_feed_keeps_corrupt_lines(spark, tmp_path):
     assert (rows[0].entity_id, rows[0].op, rows[0].status, rows[0]._corrupt_record) == (1, "I", "a", None)
     assert rows[1].entity_id is None and rows[1]._corrupt_record == "x|11|U|abc|b"
     assert rows[2].status is None and rows[2]._corrupt_record is None
+    (d / "part-1.csv").write_text("3|30||1000|a\n")
+    # cached, as Spark asks for when only the corrupt-line column is read
+    assert tuple(feed_counts(read_pipe_feed(spark, str(d), FEED).cache()).first()) == (4, 1, 1)
+
+
+def test_delta_merged_from_a_landed_feed(spark, tmp_path):
+    """The change feed written as pipe-delimited lines and read back merges like the frame itself."""
+    from switchboard.operators import history as H
+    from switchboard.plans import bindings as B
+    sf = "/root/testdata/sf0.001"
+    delta = B.feed_delta(spark, sf)
+    path = str(tmp_path / "delta")
+    delta.write.option("sep", "|").csv(path)
+    landed = read_pipe_feed(spark, path, delta.schema).drop("_corrupt_record")
+    state = H.cdc_state(B.feed_base(spark, sf), ["entity_id"])
+    a, b = (H.cdc_merge_into_base(state, d, ["entity_id"]) for d in (landed, delta))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
 def test_nested_json_with_declared_schema(spark, tmp_path):
@@ -38,3 +55,22 @@ def test_shared_dir_is_the_configured_checkpoint_dir(spark):
         assert d == configured.rstrip("/")
     assert fresh_path(spark, "x").startswith(d + "/tables/x-")
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+def test_shared_dir_is_required_on_a_cluster():
+    import pytest
+
+    from switchboard.session import shared_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())

@@ -250,7 +250,8 @@ class BpeModel:
 
     def decode(self, ids: list[int]) -> str:
         text = self.decode_pieces(ids)
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        marked = bool(ids) and self.pieces[ids[0]][0].startswith(SPACE)
+        return text[1:] if self.prefix and marked else text
 
 
 def _utf8(data: bytes) -> str:
@@ -288,8 +289,7 @@ def _rows(name: str, with_ids: bool):
                 parts = model.parts(text or "")
                 ids = ",".join([p[1] for p in parts])
                 surface = "".join([p[2] for p in parts])
-                if model.prefix and surface.startswith(" "):
-                    surface = surface[1:]
+                surface = surface[len(model.prefix):]  # the mark before the text is the first character
                 row = sum([p[0] for p in parts]), sha256(ids.encode()).hexdigest(), sha256(surface.encode()).hexdigest()
                 out.append((*row, [int(i) for i in ids.split(",")] if ids else []) if with_ids else row)
             yield pd.DataFrame(out, columns=["n", "ids_sha256", "text_sha256"] + ["ids"] * with_ids)

@@ -62,6 +62,8 @@ def grams(text: str) -> np.ndarray:
     space = codes == 32
     if space.all():
         return np.empty(0, dtype=np.int64)
+    inner = np.flatnonzero(~space)[[0, -1]]
+    codes, space = codes[inner[0]:inner[1] + 1], space[inner[0]:inner[1] + 1]
     codes = np.concatenate([[32], codes[~space | np.append(True, ~space[:-1])], [32]]).astype(np.uint32)
     found = []
     for n in ORDERS:
@@ -101,6 +103,9 @@ class Classifier:
         """``counts``: n-gram counts by language and bucket."""
         self.languages = languages
         self.code = codewords(len(languages))
+        self.trust = np.ones_like(self.code)
+        if not languages:
+            return
         rates = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True)
         weights = []
         for bit in self.code.T:
@@ -109,7 +114,6 @@ class Classifier:
             minus = rates[bit < 0].mean(axis=0) if (bit < 0).any() else plus
             weights.append(np.log(plus / minus))
         self.weights = np.stack(weights, axis=1).astype(np.float32)
-        self.trust = np.ones_like(self.code)
 
     def margins(self, text: str) -> np.ndarray | None:
         """Each bit's margin in (-1, 1): the mean log-odds, damped for short texts."""

@@ -10,8 +10,8 @@ Reader. Each archive is read in one task, record by record. A gzip member must
 decompress with its checksum, a record must have a version line, well-formed
 headers, a block of the stated length and, if stated, the stated digest. Where
 a check fails the reader searches for the next valid member (or, in
-uncompressed archives and inside a member, the next version line at a line
-start), goes on from there, and logs the bytes between as quarantined.
+uncompressed archives and inside a member, the next version line with a valid
+record), goes on from there, and logs the bytes between as quarantined.
 
 Archives are read whole, so their size bounds a task's memory: the writer
 keeps them near ARCHIVE_BYTES of payload; split larger ones before reading.
@@ -47,7 +47,7 @@ ARCHIVE_BYTES = 32 << 20
 MAGIC = b"\x1f\x8b\x08"
 #: A gzip member without content: the separator between records in the files.
 EMPTY_MEMBER = bytes.fromhex("1f8b0800000000000003" "0300" "00000000" "00000000")
-_VERSION = re.compile(rb"(?:(?<=\n)|\A)WARC/1\.[01]\r\n")
+_VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -142,7 +142,8 @@ def _member(data: bytes, at: int) -> tuple[bytes, int] | str:
 
 def read_archive(data: bytes) -> Iterator[tuple]:
     """Records and gaps of an archive, gzip or uncompressed; offsets are those of the file."""
-    if MAGIC not in data[:1 << 16] and _VERSION.search(data[:1 << 16]):
+    member, plain = data.find(MAGIC), _VERSION.search(data)
+    if member < 0 or (plain and plain.start() < member):
         yield from read_plain(data)
         return
     at, bad, reason = 0, None, ""

@@ -122,11 +122,16 @@ def table_bytes(df: DataFrame) -> int:
     return total
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers once per session, so that they can import the operators' helpers.
+# Bytes of a batch that goes to or comes from a Python worker; a longer text is a batch of its own.
+BATCH_BYTES = 4 << 20
+
 
-    Where the cluster already installs the package this changes nothing.
+def ship_package(spark: SparkSession) -> None:
+    """Bound the batches between Spark and the Python workers, and send this package to the workers once per session,
+    so that they can import the operators' helpers. Where the cluster already installs the package, sending it
+    changes nothing.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if getattr(context, "_switchboard_shipped", False):
         return

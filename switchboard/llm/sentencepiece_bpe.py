@@ -1,7 +1,8 @@
 """SentencePiece BPE encoding by a prefix table, and decoding (operator 3).
 
 For merge-type vocabularies every prefix of a text has one last token. The
-table stores it: an automaton finds the pieces that end at each position, and
+table stores it: an automaton finds the pieces that end at each position (a
+single character is the last resort), and
 a piece is the last token if it is compatible with the last token of the
 prefix before it, that is if merging the two side by side leaves them apart.
 The ids are then read backwards from the end of the table.
@@ -105,17 +106,19 @@ class BpeModel:
         self.pairs: dict[tuple[str, str], bool] = {}
         self.segments: dict[str, tuple[int, str, str]] = {}
         self.older: dict[str, tuple[int, str, str]] = {}
+        self.written: dict[str, tuple[str, str]] = {}
         self.automaton = ahocorasick.Automaton()
         self.left: dict[str, list[tuple[str, float]]] = {}
         self.right: dict[str, list[tuple[str, float]]] = {}
-        # a piece that its own merging does not give never is a token
-        for p in sorted(self.ids, key=len):
-            if len(p) == 1 or self.merge(p) == [p]:
-                self.automaton.add_word(p, p)
-                self._add_spines(p)
-        for c in known - self.ids.keys():
-            self.automaton.add_word(c, c)
+        for c in known:
             self._add_spines(c)
+        # a piece that its own merging does not give never is a token; single characters match everywhere and
+        # stay out, or the automaton's root would have thousands of branches
+        tokens = [p for p in sorted(self.ids, key=len) if len(p) > 1 and self.merge(p) == [p]]
+        for p in tokens:
+            self._add_spines(p)
+        for p in sorted(tokens, key=self.ids.get):
+            self.automaton.add_word(p, p)
         self.automaton.make_automaton()
 
     def _add_spines(self, piece: str) -> None:
@@ -169,25 +172,32 @@ class BpeModel:
 
     def tokens(self, segment: str) -> list[str]:
         """Tokens of a segment from its prefix table."""
-        last: list[str] = [""] * len(segment)
+        last = [""] * len(segment)
         pairs = self.pairs
         if len(pairs) >= CACHED_PAIRS:
             pairs.clear()
+        done = 0
         for end, piece in self.automaton.iter(segment):
             if last[end]:
                 continue
+            # where no longer piece is the last token, the character itself is
+            while done < end:
+                if not last[done]:
+                    last[done] = segment[done]
+                done += 1
             before = end - len(piece)
             if before >= 0:
-                previous = last[before]
-                if not previous:
-                    continue
-                pair = previous, piece
+                pair = last[before], piece
                 fits = pairs.get(pair)
                 if fits is None:
-                    fits = pairs[pair] = self.apart(previous, piece)
+                    fits = pairs[pair] = self.apart(*pair)
                 if not fits:
                     continue
             last[end] = piece
+        while done < len(last):
+            if not last[done]:
+                last[done] = segment[done]
+            done += 1
         out, at = [], len(segment) - 1
         while at >= 0:
             out.append(last[at])
@@ -199,22 +209,24 @@ class BpeModel:
         """Number of ids, the ids as text, and the decoded text of one segment."""
         got = self.older.get(segment)
         if got is None:
-            ids: list[int] = []
-            if segment[0] not in self.known:
-                ids.extend(self.bytes[b] for b in segment.encode())
-            else:
-                for token in self.tokens(segment):
-                    if token in self.ids:
-                        ids.append(self.ids[token])
-                    else:
-                        ids.extend(self.bytes[b] for b in token.encode())
-            got = len(ids), ",".join(map(str, ids)), self.decode_pieces(ids)
+            tokens = self.tokens(segment) if segment[0] in self.known else [segment]
+            written = [self.written.get(t) or self._write(t) for t in tokens]
+            ids = ",".join([w[0] for w in written])
+            got = ids.count(",") + 1, ids, "".join([w[1] for w in written])
         if len(segment) <= CACHED_CHARS:
             if len(self.segments) >= CACHED_SEGMENTS // 2:
                 self.older, self.segments = self.segments, {}
             self.segments[segment] = got
         return got
 
+    def _write(self, token: str) -> tuple[str, str]:
+        """Ids of a token as text, and what they decode to. Remembered for pieces; other characters go as bytes."""
+        ids = [self.ids[token]] if token in self.ids else [self.bytes[b] for b in token.encode()]
+        got = ",".join(map(str, ids)), self.decode_pieces(ids)
+        if token in self.ids:
+            self.written[token] = got
+        return got
+
     def parts(self, text: str) -> list[tuple[int, str, str]]:
         """One entry of ``encode_segment`` per segment of a text."""
         if not text:

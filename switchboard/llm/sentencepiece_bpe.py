@@ -25,11 +25,11 @@ from __future__ import annotations
 
 import re
 import struct
+from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
 
-import ahocorasick
 import pandas as pd
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -38,9 +38,9 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 # Types of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHED_SEGMENTS = 300_000
+CACHED_SEGMENTS = 600_000
 CACHED_CHARS = 64
-CACHED_PAIRS = 1_000_000
+CACHED_PAIRS = 500_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -103,23 +103,57 @@ class BpeModel:
                                   f"|[{re.escape(''.join(sorted(known - {SPACE})))}]+|[^{re.escape(''.join(sorted(known)))}]",
                                   re.DOTALL)
         self.known = known
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.segments: dict[str, tuple[int, str, str]] = {}
-        self.older: dict[str, tuple[int, str, str]] = {}
-        self.written: dict[str, tuple[str, str]] = {}
-        self.automaton = ahocorasick.Automaton()
+        self.pairs: dict[int, bool] = {}
+        self.segments: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+        # what an id alone decodes to: pieces, and the bytes that are characters by themselves
+        self.surface = {str(i): p.replace(SPACE, " ") for p, i in self.ids.items()}
+        self.surface |= {str(i): chr(b) for b, i in self.bytes.items() if b < 0x80}
         self.left: dict[str, list[tuple[str, float]]] = {}
         self.right: dict[str, list[tuple[str, float]]] = {}
         for c in known:
             self._add_spines(c)
-        # a piece that its own merging does not give never is a token; single characters match everywhere and
-        # stay out, or the automaton's root would have thousands of branches
+        # a piece that its own merging does not give never is a token
         tokens = [p for p in sorted(self.ids, key=len) if len(p) > 1 and self.merge(p) == [p]]
         for p in tokens:
             self._add_spines(p)
-        for p in sorted(tokens, key=self.ids.get):
-            self.automaton.add_word(p, p)
-        self.automaton.make_automaton()
+        # tokens by number: the characters, then the longer ones
+        self.tokens_by_number = sorted(known) + tokens
+        self.number = {t: i for i, t in enumerate(self.tokens_by_number)}
+        self.sizes = [len(t) for t in self.tokens_by_number]
+        self.written = [str(self.ids[t]) if t in self.ids else self._bytes_of(t) for t in self.tokens_by_number]
+        self._build_automaton(tokens)
+
+    def _build_automaton(self, tokens: list[str]) -> None:
+        """Aho-Corasick automaton: per state its next states, the state to fall back to, and the tokens that end there.
+
+        Single characters match everywhere and stay out. Dictionaries per state, because states of a large
+        vocabulary have hundreds of branches, which libraries search one after the other.
+        """
+        self.next: list[dict[str, int]] = [{}]
+        self.ends: list[list[tuple[int, int]]] = [[]]
+        for token in tokens:
+            state = 0
+            for c in token:
+                following = self.next[state].get(c)
+                if following is None:
+                    following = self.next[state][c] = len(self.next)
+                    self.next.append({})
+                    self.ends.append([])
+                state = following
+            self.ends[state].append((self.number[token], len(token)))
+        self.fall = [0] * len(self.next)
+        queue = deque(self.next[0].values())
+        while queue:
+            state = queue.popleft()
+            for c, following in self.next[state].items():
+                queue.append(following)
+                back = self.fall[state]
+                while back and c not in self.next[back]:
+                    back = self.fall[back]
+                self.fall[following] = self.next[back].get(c, 0)
+                # longest first
+                self.ends[following] += self.ends[self.fall[following]]
 
     def _add_spines(self, piece: str) -> None:
         """What stands at each end of a piece while it is merged: the parts, and the score at which each is used up.
@@ -170,67 +204,60 @@ class BpeModel:
             else:
                 j += 1
 
-    def tokens(self, segment: str) -> list[str]:
-        """Tokens of a segment from its prefix table."""
-        last = [""] * len(segment)
-        pairs = self.pairs
+    def tokens(self, segment: str) -> list[int]:
+        """Numbers of the tokens of a segment, from its prefix table."""
+        pairs, following, fall, ends, number = self.pairs, self.next, self.fall, self.ends, self.number
         if len(pairs) >= CACHED_PAIRS:
             pairs.clear()
-        done = 0
-        for end, piece in self.automaton.iter(segment):
-            if last[end]:
-                continue
-            # where no longer piece is the last token, the character itself is
-            while done < end:
-                if not last[done]:
-                    last[done] = segment[done]
-                done += 1
-            before = end - len(piece)
-            if before >= 0:
-                pair = last[before], piece
+        last: list[int] = []
+        state, many = 0, len(number)
+        for end, c in enumerate(segment):
+            to = following[state].get(c)
+            while to is None and state:
+                state = fall[state]
+                to = following[state].get(c)
+            state = to or 0
+            for piece, size in ends[state]:
+                before = end - size
+                if before < 0:
+                    last.append(piece)
+                    break
+                pair = last[before] * many + piece
                 fits = pairs.get(pair)
                 if fits is None:
-                    fits = pairs[pair] = self.apart(*pair)
-                if not fits:
-                    continue
-            last[end] = piece
-        while done < len(last):
-            if not last[done]:
-                last[done] = segment[done]
-            done += 1
-        out, at = [], len(segment) - 1
+                    fits = pairs[pair] = self.apart(self.tokens_by_number[last[before]], self.tokens_by_number[piece])
+                if fits:
+                    last.append(piece)
+                    break
+            else:  # where no longer piece is the last token, the character itself is
+                last.append(number[c])
+        out, at, sizes = [], len(segment) - 1, self.sizes
         while at >= 0:
             out.append(last[at])
-            at -= len(last[at])
+            at -= sizes[last[at]]
         out.reverse()
         return out
 
-    def encode_segment(self, segment: str) -> tuple[int, str, str]:
-        """Number of ids, the ids as text, and the decoded text of one segment."""
+    def encode_segment(self, segment: str) -> str:
+        """Ids of one segment, as decimal numbers joined by commas."""
         got = self.older.get(segment)
         if got is None:
-            tokens = self.tokens(segment) if segment[0] in self.known else [segment]
-            written = [self.written.get(t) or self._write(t) for t in tokens]
-            ids = ",".join([w[0] for w in written])
-            got = ids.count(",") + 1, ids, "".join([w[1] for w in written])
+            got = (",".join([self.written[t] for t in self.tokens(segment)]) if segment[0] in self.known
+                   else self._bytes_of(segment))
         if len(segment) <= CACHED_CHARS:
             if len(self.segments) >= CACHED_SEGMENTS // 2:
                 self.older, self.segments = self.segments, {}
             self.segments[segment] = got
         return got
 
-    def _write(self, token: str) -> tuple[str, str]:
-        """Ids of a token as text, and what they decode to. Remembered for pieces; other characters go as bytes."""
-        ids = [self.ids[token]] if token in self.ids else [self.bytes[b] for b in token.encode()]
-        got = ",".join(map(str, ids)), self.decode_pieces(ids)
-        if token in self.ids:
-            self.written[token] = got
-        return got
+    def _bytes_of(self, text: str) -> str:
+        """Ids of a text's bytes, for characters that are no pieces."""
+        return ",".join(str(self.bytes[b]) for b in text.encode())
 
-    def parts(self, text: str) -> list[tuple[int, str, str]]:
-        """One entry of ``encode_segment`` per segment of a text."""
+    def encode_text(self, text: str) -> str:
+        """Ids of a text, as decimal numbers joined by commas."""
         if not text:
-            return []
+            return ""
         out, known = [], self.segments.get
         for s in self.segment.findall(self.prefix + text.replace(" ", SPACE)):
             got = known(s)
@@ -238,10 +265,23 @@ class BpeModel:
                 got = self.encode_segment(s)
                 known = self.segments.get
             out.append(got)
-        return out
+        return ",".join(out)
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for _, ids, _ in self.parts(text) for i in ids.split(",")]
+        ids = self.encode_text(text)
+        return [int(i) for i in ids.split(",")] if ids else []
+
+    def decode_text(self, ids: str) -> str:
+        """``decode`` of ids as ``encode_text`` writes them."""
+        if not ids:
+            return ""
+        numbers = ids.split(",")
+        surface = self.surface.get
+        try:
+            text = "".join([surface(i) for i in numbers])
+        except TypeError:  # bytes of longer characters have a surface only together
+            return self.decode([int(i) for i in numbers])
+        return text[1:] if self.prefix and self.pieces[int(numbers[0])][0].startswith(SPACE) else text
 
     def decode_pieces(self, ids: list[int] | tuple[int, ...]) -> str:
         """Surface of the ids, space marks as spaces; runs of byte pieces are read as UTF-8."""
@@ -298,11 +338,9 @@ def _rows(name: str, with_ids: bool):
         for texts in batches:
             out = []
             for text in texts:
-                parts = model.parts(text or "")
-                ids = ",".join([p[1] for p in parts])
-                surface = "".join([p[2] for p in parts])
-                surface = surface[len(model.prefix):]  # the mark before the text is the first character
-                row = sum([p[0] for p in parts]), sha256(ids.encode()).hexdigest(), sha256(surface.encode()).hexdigest()
+                ids = model.encode_text(text or "")
+                row = (ids.count(",") + 1 if ids else 0, sha256(ids.encode()).hexdigest(),
+                       sha256(model.decode_text(ids).encode()).hexdigest())
                 out.append((*row, [int(i) for i in ids.split(",")] if ids else []) if with_ids else row)
             yield pd.DataFrame(out, columns=["n", "ids_sha256", "text_sha256"] + ["ids"] * with_ids)
 

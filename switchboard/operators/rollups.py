@@ -1,7 +1,7 @@
 """Multi-level and filled monthly / hourly / daily aggregates.
 
-Grouping sets and rollups are one Expand + partial aggregate + one shuffle
-(Catalyst's plan for GROUPING SETS), not one job per level.
+Grouping sets and rollups first reduce the rows to the finest set; the
+Expand of GROUPING SETS and the dimension join then see one row per group.
 """
 
 from __future__ import annotations
@@ -23,17 +23,20 @@ def program_monthly(lines: DataFrame, programs: DataFrame) -> DataFrame:
     ``grouping_level`` is ``grouping_id()``: 0, 3 and 7 for the three levels
     (the month is in every set, so its bit is always 0).
     """
-    j = lines.join(programs.select("program_sk", "line_of_business"), "program_sk", "left")
+    finest = lines.groupBy("period_month_date", "client_sk", "program_sk").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(X.cents("qty")).alias("cents"), F.count("qty").alias("qty_n"),
+        F.sum("line_amount").alias("billed"))
+    j = finest.join(programs.select("program_sk", "line_of_business"), "program_sk", "left")
     sets = [["period_month_date", "client_sk", "program_sk", "line_of_business"],
             ["period_month_date", "client_sk"], ["period_month_date"]]
     agg = j.groupingSets(
         [[F.col(c) for c in s] for s in sets],
         "period_month_date", "client_sk", "program_sk", "line_of_business",
     ).agg(
-        F.count(F.lit(1)).alias("interactions"),
-        F.sum(X.cents("qty")).alias("_qty_cents"),
-        F.count("qty").alias("_qty_n"),
-        F.sum("line_amount").alias("_billed"),
+        F.sum("n").alias("interactions"),
+        F.sum("cents").alias("_qty_cents"),
+        F.sum("qty_n").alias("_qty_n"),
+        F.sum("billed").alias("_billed"),
         F.grouping_id().alias("grouping_level"),
     )
     return agg.select(
@@ -48,21 +51,14 @@ def program_monthly(lines: DataFrame, programs: DataFrame) -> DataFrame:
 
 def csat_rollup_monthly(surveys: DataFrame) -> DataFrame:
     """agg_csat_rollup_monthly: ROLLUP(client_sk, program_sk, site_code) per month."""
-    s = surveys.withColumn("period_month_date", X.month_start("event_date"))
-    agg = s.groupingSets(
-        [[F.col("period_month_date"), F.col("client_sk"), F.col("program_sk"), F.col("site_code")],
-         [F.col("period_month_date"), F.col("client_sk"), F.col("program_sk")],
-         [F.col("period_month_date"), F.col("client_sk")],
-         [F.col("period_month_date")]],
-        "period_month_date", "client_sk", "program_sk", "site_code",
-    ).agg(
-        F.count(F.lit(1)).alias("surveys"),
-        F.sum("csat_score").alias("_csat"),
-        F.count("csat_score").alias("_csat_n"),
-        F.count_if(F.col("nps_score") >= NPS_PROMOTER_MIN).alias("_prom"),
-        F.count_if(F.col("nps_score") <= NPS_DETRACTOR_MAX).alias("_detr"),
-        F.grouping_id().alias("grouping_id"),
-    )
+    finest = surveys.groupBy(X.month_start("event_date").alias("period_month_date"), "client_sk", "program_sk", "site_code").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("csat_score").alias("csat"), F.count("csat_score").alias("csat_n"),
+        F.count_if(F.col("nps_score") >= NPS_PROMOTER_MIN).alias("prom"),
+        F.count_if(F.col("nps_score") <= NPS_DETRACTOR_MAX).alias("detr"))
+    levels = ["period_month_date", "client_sk", "program_sk", "site_code"]
+    agg = finest.groupingSets([[F.col(c) for c in levels[:n]] for n in (4, 3, 2, 1)], *levels).agg(
+        F.sum("n").alias("surveys"), F.sum("csat").alias("_csat"), F.sum("csat_n").alias("_csat_n"),
+        F.sum("prom").alias("_prom"), F.sum("detr").alias("_detr"), F.grouping_id().alias("grouping_id"))
     return agg.select(
         "client_sk", "program_sk", "site_code", "surveys",
         X.exact_ratio(F.col("_csat"), F.col("_csat_n"), 2, 5).alias("avg_csat"),
@@ -73,11 +69,12 @@ def csat_rollup_monthly(surveys: DataFrame) -> DataFrame:
     )
 
 
-def billing_monthly_net(billed: DataFrame, credits: DataFrame, telco: DataFrame) -> DataFrame:
+def billing_monthly_net(lines: DataFrame, telco: DataFrame) -> DataFrame:
     """agg_billing_monthly: billed − SLA credits − carrier cost per (client, program, month).
 
-    The three inputs are stacked (union by name, the other measures NULL) and
-    summed per (client_sk, program_sk, period_month_date): one shuffle with
+    ``lines`` carry the billed ``line_amount`` and, where a line was credited,
+    its ``credit_cents``. Lines and carrier costs are stacked (union by name,
+    the other measures NULL) and summed per (client_sk, program_sk, period_month_date): one shuffle with
     map-side combining, where chained full outer joins would shuffle every
     side twice and cannot split a hot key. A side with no row counts as 0.
     Carrier cost has no program (program_sk NULL), so it forms its own rows.
@@ -86,15 +83,10 @@ def billing_monthly_net(billed: DataFrame, credits: DataFrame, telco: DataFrame)
     """
     keys = ["client_sk", "program_sk", "period_month_date"]
 
-    def side(df: DataFrame, col: str, name: str) -> DataFrame:
-        vals = {"b": F.lit(None).cast("decimal(14,2)"), "c": F.lit(None).cast("bigint"),
-                "t": F.lit(None).cast("bigint")}
-        vals[name] = F.col(col)
-        return df.select(*keys, *[vals[k].alias(k) for k in ("b", "c", "t")])
-
-    stacked = (side(billed, "line_amount", "b")
-               .unionByName(side(credits, "credit_cents", "c"))
-               .unionByName(side(telco, "telco_cents", "t")))
+    stacked = lines.select(*keys, F.col("line_amount").alias("b"), F.col("credit_cents").alias("c"),
+                           F.lit(None).cast("bigint").alias("t")).unionByName(
+        telco.select(*keys, F.lit(None).cast("decimal(14,2)").alias("b"), F.lit(None).cast("bigint").alias("c"),
+                     F.col("telco_cents").alias("t")))
     j = stacked.groupBy(*keys).agg(F.sum("b").alias("b"), F.sum("c").alias("c"), F.sum("t").alias("t"))
     billed_amt = F.coalesce(F.col("b"), F.lit(0)).cast("decimal(14,2)")
     credit_amt = (F.coalesce(F.col("c"), F.lit(0)).cast("decimal(20,0)") / 100).cast("decimal(12,2)")

@@ -61,27 +61,31 @@ def chat_metrics(chats: DataFrame) -> DataFrame:
     )
 
 
-def chat_metrics_rows(messages: DataFrame) -> DataFrame:
+def chat_metrics_rows(messages: DataFrame, chunk: str = "minute") -> DataFrame:
     """The same metrics from one row per message (chat_ref, sender, ts_ms).
 
-    Counts and the first customer time are one aggregate per chat (map-side
-    combined); the first agent reply after it needs that time on every
-    message row, a join that meets exactly one row per chat (a hot chat is
-    split by AQE's skew handling, never fanned out).
+    Two aggregates and no join: per (chat, minute) the counts, the first
+    customer and agent times and the first reply within the minute; per chat
+    these rows together. A hot chat is spread by minutes; no level gathers
+    more than a minute of its messages or one entry per minute.
     """
     sender, ts = F.col("sender"), F.col("ts_ms")
-    counts = messages.groupBy("chat_ref").agg(
-        F.count(F.lit(1)).alias("message_count"),
-        F.count_if(sender == CHAT_AGENT).alias("agent_message_count"),
-        F.count_if(sender == CHAT_CUSTOMER).alias("customer_message_count"),
-        F.min(F.when(sender == CHAT_CUSTOMER, ts)).alias("_first_c"))
-    replies = (messages.filter(sender == CHAT_AGENT)
-               .join(counts.select("chat_ref", "_first_c"), "chat_ref")
-               .filter(ts > F.col("_first_c"))
-               .groupBy("chat_ref").agg(F.min(ts).alias("_reply")))
-    return counts.join(replies, "chat_ref", "left").select(
+    agent, customer = sender == CHAT_AGENT, sender == CHAT_CUSTOMER
+    minutes = messages.groupBy("chat_ref", F.date_trunc(chunk, X.decode_epoch_millis("ts_ms")).alias("_m")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(agent).alias("n_agent"), F.count_if(customer).alias("n_customer"),
+        F.min(F.when(customer, ts)).alias("asked"), F.collect_set(F.when(agent, ts)).alias("_agent"))
+    minutes = minutes.withColumn("reply", F.array_min(F.filter("_agent", lambda x: x > F.col("asked")))).withColumn(
+        "agent", F.array_min("_agent"))
+    chats = minutes.groupBy("chat_ref").agg(
+        F.sum("n").alias("message_count"), F.sum("n_agent").alias("agent_message_count"),
+        F.sum("n_customer").alias("customer_message_count"),
+        F.min(F.when(F.col("asked").isNotNull(), F.struct("_m", "asked", "reply"))).alias("_first"),
+        F.collect_list(F.when(F.col("agent").isNotNull(), F.struct("_m", "agent"))).alias("_agents"))
+    later = F.array_min(F.transform(F.filter("_agents", lambda x: x["_m"] > F.col("_first._m")), lambda x: x["agent"]))
+    first_reply = F.least(F.col("_first.reply"), later)
+    return chats.select(
         "chat_ref", "message_count", "agent_message_count", "customer_message_count",
-        F.floor((F.col("_reply") - F.col("_first_c")) / 1000).cast("bigint").alias("first_response_seconds"))
+        F.floor((first_reply - F.col("_first.asked")) / 1000).cast("bigint").alias("first_response_seconds"))
 
 
 def qa_totals_rows(sections: DataFrame) -> DataFrame:
@@ -111,29 +115,25 @@ def qa_totals(forms: DataFrame) -> DataFrame:
 def ivr_sessions(events: DataFrame, chunk: str = "minute") -> DataFrame:
     """ods_ivr_session / fact_ivr_path per session_ref.
 
-    Bounds, hop counts, exit key and containment are plain aggregates. The
-    ordered menu path is built in two levels: steps are ordered and joined per
-    (session, minute), then the minute pieces are ordered and joined per
-    session. No level gathers more than one minute of steps or one piece per
+    Two aggregates and no join: steps are counted, ordered and joined to a
+    piece per (session, minute), then the minute pieces per session; ties in
+    time go by menu in the path and in the exit key alike. No level gathers more than one minute of steps or one piece per
     minute, so a hot session is spread over many tasks; its full path is one
     output value by definition.
     """
     e = events.withColumn("_chunk", F.date_trunc(chunk, X.decode_epoch_millis("event_ms")))
+    step = F.struct("event_ms", "menu_path")
     pieces = e.groupBy("session_ref", "_chunk").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_ms", "menu_path"))),
-                                 lambda x: x.menu_path), PATH_SEPARATOR).alias("_piece"))
-    paths = pieces.groupBy("session_ref").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(step)), lambda x: x.menu_path), PATH_SEPARATOR).alias("_piece"),
+        F.min("event_ms").alias("_first"), F.max(step).alias("_exit"), F.count(F.lit(1)).alias("hops"),
+        F.count_if(F.col("menu_path") == IVR_AGENT_MENU).alias("_to_agent"), F.min("event_date").alias("event_date"))
+    agg = pieces.groupBy("session_ref").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_chunk", "_piece"))),
-                                 lambda x: x._piece), PATH_SEPARATOR).alias("menu_path_full"))
-    agg = events.groupBy("session_ref").agg(
-        F.min("event_ms").alias("_first"),
-        F.max("event_ms").alias("_last"),
-        F.count(F.lit(1)).alias("hops"),
-        F.max_by("menu_path", "event_ms").alias("exit_key"),
-        F.count_if(F.col("menu_path") == IVR_AGENT_MENU).alias("_to_agent"),
-        F.min("event_date").alias("event_date"),
-    )
-    return agg.join(paths, "session_ref").select(
+                                 lambda x: x._piece), PATH_SEPARATOR).alias("menu_path_full"),
+        F.min("_first").alias("_first"), F.max("_exit").alias("_exit"), F.sum("hops").alias("hops"),
+        F.sum("_to_agent").alias("_to_agent"), F.min("event_date").alias("event_date"))
+    agg = agg.withColumn("_last", F.col("_exit.event_ms")).withColumn("exit_key", F.col("_exit.menu_path"))
+    return agg.select(
         "session_ref",
         X.decode_epoch_millis("_first").alias("first_event_ts"),
         X.decode_epoch_millis("_last").alias("last_event_ts"),

@@ -168,14 +168,15 @@ def program_lob(spark: SparkSession, sf: str) -> DataFrame:
             .select(F.col("s_suppkey").alias("program_sk"), F.col("r_name").alias("line_of_business")))
 
 
-def sla_credits(spark: SparkSession, sf: str) -> DataFrame:
-    """Returned lines as SLA credits: price × discount in cents."""
-    li = table(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
+def billed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Billing lines with their SLA credit: returned lines give back price × discount, in cents."""
+    li = table(spark, sf, "lineitem")
     o = table(spark, sf, "orders")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.col("o_custkey").alias("client_sk"), F.col("l_suppkey").alias("program_sk"),
         X.month_start(F.to_date("o_orderdate")).alias("period_month_date"),
-        X.cents(F.col("l_extendedprice") * F.col("l_discount")).alias("credit_cents"))
+        F.col("l_extendedprice").cast("decimal(14,2)").alias("line_amount"),
+        F.when(F.col("l_returnflag") == "R", X.cents(F.col("l_extendedprice") * F.col("l_discount"))).alias("credit_cents"))
 
 
 def telco_costs(spark: SparkSession, sf: str) -> DataFrame:

@@ -78,8 +78,7 @@ FROM v"""
 
 @register("billing_monthly_net", C6_SQL)
 def billing_monthly_net(spark, sf):
-    return R.billing_monthly_net(B.fact_billing_line(spark, sf), B.sla_credits(spark, sf),
-                                 B.telco_costs(spark, sf))
+    return R.billing_monthly_net(B.billed_lines(spark, sf), B.telco_costs(spark, sf))
 
 
 # ---------------------------------------------------------------- C7

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from switchboard.functions import decode as X
 from switchboard.operators import dimensions as D
@@ -11,8 +10,7 @@ from switchboard.operators import sessions as S
 from switchboard.plans import bindings as B
 from switchboard.plans.catalog import register
 from switchboard.plans.oracle import cents, epoch_ms, exact_ratio, with_ctes
-from switchboard.session import fresh_path
-from switchboard.sources.tables import read_nested, table
+from switchboard.sources.tables import table
 
 # event_type → call segment type for the segment binding.
 SEGMENT_OF_EVENT = {"signup": "RING", "error": "IVR", "click": "TALK", "view": "HOLD", "purchase": "ACW"}
@@ -55,40 +53,34 @@ SELECT CAST(m.conv_id AS VARCHAR) AS chat_ref, CAST(COUNT(*) AS BIGINT) AS messa
 FROM m JOIN fc ON m.conv_id = fc.conv_id GROUP BY m.conv_id, fc.first_c"""
 
 
-def chat_transcripts(spark, sf):
-    """conversations as staged chat files: one row per chat, messages ordered by turn.
-
-    Only for the array-shaped operator (unit tests); it gathers each chat.
-    """
-    c = table(spark, sf, "conversations")
-    msgs = c.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("_m"))
-    return msgs.select(
-        F.col("conv_id").cast("string").alias("chat_ref"),
-        F.transform("_m", lambda x: F.struct(x.role.alias("sender"), (x.turn * B.CHAT_TURN_MS).alias("ts_ms"),
-                                             x.text.alias("text"))).alias("messages"))
-
-
-MESSAGE_SCHEMA = T.StructType([
-    T.StructField("chat_ref", T.StringType()),
-    T.StructField("message", T.StructType([
-        T.StructField("sender", T.StringType()), T.StructField("ts_ms", T.LongType()),
-        T.StructField("text", T.StringType())])),
-])
-
-
-# Messages are landed as JSON lines with a nested struct and read back with the
-# declared schema (S4); the metrics are aggregates over the message rows.
 @register("chat_session", C10_SQL)
 def chat_session(spark, sf):
     c = table(spark, sf, "conversations")
-    landed = c.select(F.col("conv_id").cast("string").alias("chat_ref"),
-                      F.struct(F.col("role").alias("sender"), (F.col("turn") * B.CHAT_TURN_MS).alias("ts_ms"),
-                               F.col("text")).alias("message"))
-    path = fresh_path(spark, "chat_messages_json")
-    landed.write.json(path)
-    m = read_nested(spark, path, MESSAGE_SCHEMA, fmt="json").select("chat_ref", "message.sender", "message.ts_ms")
-    return S.chat_metrics_rows(m)
+    return S.chat_metrics_rows(c.select(F.col("conv_id").cast("string").alias("chat_ref"), F.col("role").alias("sender"),
+                                        (F.col("turn") * B.CHAT_TURN_MS).alias("ts_ms")))
+
+
+# The array form over records that carry their messages: each event opens a chat
+# with the customer, an agent replies after its value in seconds, and a purchase
+# gets one more message of either side a second later each.
+@register("chat_session_nested", """
+SELECT CAST(event_id AS VARCHAR) AS chat_ref, CAST(CASE WHEN event_type = 'purchase' THEN 4 ELSE 2 END AS BIGINT) AS message_count,
+       CAST(CASE WHEN event_type = 'purchase' THEN 2 ELSE 1 END AS BIGINT) AS agent_message_count,
+       CAST(CASE WHEN event_type = 'purchase' THEN 2 ELSE 1 END AS BIGINT) AS customer_message_count,
+       CAST(floor(CASE WHEN round(value) > 0 THEN round(value) WHEN event_type = 'purchase' THEN 2 END) AS BIGINT)
+         AS first_response_seconds
+FROM events""")
+def chat_session_nested(spark, sf):
+    start, reply = X.epoch_millis("ts"), X.epoch_millis("ts") + F.round("value").cast("bigint") * 1000
+
+    def message(sender, ts):
+        return F.struct(F.lit(sender).alias("sender"), ts.alias("ts_ms"))
+
+    opening = F.array(message(S.CHAT_CUSTOMER, start), message(S.CHAT_AGENT, reply))
+    more = F.array(message(S.CHAT_CUSTOMER, reply + 1000), message(S.CHAT_AGENT, reply + 2000))
+    return S.chat_metrics(table(spark, sf, "events").select(
+        F.col("event_id").cast("string").alias("chat_ref"),
+        F.when(F.col("event_type") == "purchase", F.concat(opening, more)).otherwise(opening).alias("messages")))
 
 
 # ---------------------------------------------------------------- C11
@@ -114,6 +106,23 @@ def qa_totals(spark, sf):
     return S.qa_totals_rows(qa_sections(spark, sf))
 
 
+# The array form: a line as a form with three sections.
+@register("qa_totals_nested", f"""
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS qa_form_id, CAST(3 AS BIGINT) AS section_count,
+       s AS scored_points, CAST(70 AS BIGINT) AS max_points, {exact_ratio("s * 100", "70")} AS overall_pct
+FROM (SELECT *, CAST(ROUND(l_quantity) + ROUND(l_discount * 100) + ROUND(l_tax * 100) AS BIGINT) AS s FROM lineitem) x""")
+def qa_totals_nested(spark, sf):
+    def section(code, most, scored):
+        return F.struct(F.lit(code).alias("section_code"), F.lit(most).cast("bigint").alias("max_points"),
+                        F.round(scored).cast("bigint").alias("scored_points"))
+
+    li = table(spark, sf, "lineitem")
+    return S.qa_totals(li.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("qa_form_id"),
+        F.array(section("QTY", 50, F.col("l_quantity")), section("DISC", 10, F.col("l_discount") * 100),
+                section("TAX", 10, F.col("l_tax") * 100)).alias("sections")))
+
+
 # ---------------------------------------------------------------- C12
 C12_SQL = f"""
 SELECT session_ref, make_timestamp(MIN(event_ms) * 1000) AS first_event_ts,

@@ -99,13 +99,15 @@ def test_latest_per_key_uses_partial_aggregation(spark):
 def test_chat_and_qa_array_forms_equal_row_forms(spark):
     from switchboard.operators import sessions as S
     msgs = spark.createDataFrame([("c1", "user", 0), ("c1", "assistant", 30000), ("c1", "assistant", 90000),
-                                  ("c2", "assistant", 0), ("c2", "user", 30000), ("c3", "system", 0)],
+                                  ("c2", "assistant", 0), ("c2", "user", 30000), ("c3", "system", 0),
+                                  ("c4", "assistant", 50), ("c4", "user", 100), ("c4", "assistant", 90), ("c4", "assistant", 5100),
+                                  ("c5", "user", 59000), ("c5", "user", 61000), ("c5", "assistant", 62000), ("c5", None, None)],
                                  "chat_ref string, sender string, ts_ms bigint")
     arrays = msgs.groupBy("chat_ref").agg(F.collect_list(F.struct("sender", "ts_ms")).alias("messages"))
     a = sorted(map(tuple, S.chat_metrics(arrays).collect()))
     r = sorted(map(tuple, S.chat_metrics_rows(msgs).collect()))
     assert a == r
-    assert [x[4] for x in a] == [30, None, None]
+    assert [x[4] for x in a] == [30, None, None, 5, 3]
     secs = spark.createDataFrame([("f1", 50, 40), ("f1", 50, 25), ("f2", 50, 0)],
                                  "qa_form_id string, max_points bigint, scored_points bigint")
     forms = secs.groupBy("qa_form_id").agg(F.collect_list(F.struct("max_points", "scored_points")).alias("sections"))

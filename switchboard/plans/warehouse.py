@@ -123,7 +123,6 @@ SPECS: dict[str, Spec] = {
     "ods_agent_acid": Spec(ods_agent_acid, ("customer",), None, "day", ("agent_id",)),
     "ods_ticket_acid": Spec(ods_ticket_acid, ("orders",), None, "day", ("ticket_id",)),
     "ods_invoice_acid": Spec(ods_invoice_acid, ("orders",), None, "day", ("invoice_id",)),
-    "orders_by_day": Spec(orders_by_day, ("orders",), "order_date", "day", ("o_custkey",)),
 }
 
 

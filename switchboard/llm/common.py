@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from switchboard.session import fresh_path
 
-# The white space of the word and line rules; everything else belongs to words.
-ASCII_SPACE = " \t\n\r\x0b\x0c"
-
 
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back.
@@ -112,16 +109,6 @@ def shingle_codes(words: np.ndarray, size: int) -> np.ndarray:
 _PLACE = np.random.default_rng(6).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def table_bytes(df: DataFrame) -> int:
-    """Size of a settled table by its files, read from the file status only."""
-    spark: SparkSession = df.sparkSession
-    total = 0
-    for f in df.inputFiles():
-        path = spark._jvm.org.apache.hadoop.fs.Path(f)
-        total += path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).getLen()
-    return total
-
-
 # Bytes of a batch that goes to or comes from a Python worker; a longer text is a batch of its own.
 BATCH_BYTES = 4 << 20
 

@@ -91,7 +91,6 @@ def test_estimate_is_corrected_for_chance(corpus):
     from pyspark.sql import functions as F
     a = N.shingle_hashes(words(2000, 1))
     for share in (0.0, 0.5, 0.85):
-        other = np.sort(np.concatenate([a[:int(len(a) * 2 * share / (1 + share))], N.shingle_hashes(words(2000, 2))]))[:]
         other = np.unique(np.concatenate([a[:round(len(a) * 2 * share / (1 + share))],
                                           N.shingle_hashes(words(2000, 2))[:len(a) - round(len(a) * 2 * share / (1 + share))]]))
         exact = len(np.intersect1d(a, other)) / len(np.union1d(a, other))

@@ -9,7 +9,6 @@ instead of changing the session.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,6 +113,25 @@ def shingle_codes(words: np.ndarray, size: int) -> np.ndarray:
 _PLACE = np.random.default_rng(6).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def lean(rows: Callable) -> Callable:
+    """A function over batches that gives unused memory back to the system when its task ends: workers live on and
+    would hold what their largest task has needed."""
+    @functools.wraps(rows)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from rows(batches)
+        finally:
+            release_memory()
+    return run
+
+
+def release_memory() -> None:
+    """Give memory that this process does not use back to the system."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
 # Bytes of a batch that goes to or comes from a Python worker; a longer text is a batch of its own.
 BATCH_BYTES = 4 << 20
 

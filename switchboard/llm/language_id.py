@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from switchboard.llm.common import settle
+from switchboard.llm.common import lean, settle
 
 ORDERS = (2, 3)
 BUCKETS = 1 << 15
@@ -152,7 +152,7 @@ def _count_batches(languages: list[str]):
         yield pa.RecordBatch.from_arrays([pa.array(lang, pa.int32()), pa.array(bucket, pa.int32()),
                                           pa.array(table[lang, bucket], pa.int64())], names=["lang", "bucket", "n"])
 
-    return count
+    return lean(count)
 
 
 def _right_batches(shared):
@@ -191,7 +191,7 @@ def _predict_batches(shared):
                  pa.array(score, pa.float64()), pa.array(close, pa.bool_())],
                 names=["doc_id", "held_out", "lang_pred", "score", "ambiguous"])
 
-    return predict
+    return lean(predict)
 
 
 def fit(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Classifier:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from switchboard.llm.common import row_key, settle
+from switchboard.llm.common import lean, row_key, settle
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -108,7 +108,7 @@ def _fill(bits: int):
                     [pa.array([k], pa.int32()), pa.array([once[part].tobytes()], pa.binary()),
                      pa.array([twice[part].tobytes()], pa.binary())], schema=_SLICE)
 
-    return fill
+    return lean(fill)
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +163,7 @@ def _suspects(shared, bits: int):
                 [batch.column("doc_id").take(rows), batch.column("key").take(rows),
                  pa.array([_digest(keys[i]) for i in hit], pa.binary())], schema=_SUSPECT)
 
-    return find
+    return lean(find)
 
 
 def _rebuild(text: pd.Series, drop: pd.Series) -> pd.DataFrame:

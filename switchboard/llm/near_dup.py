@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from switchboard.llm.common import mix64, row_key, settle, shingle_codes, word_hashes
+from switchboard.llm.common import lean, mix64, row_key, settle, shingle_codes, word_hashes
 from switchboard.llm.components import connected_components
 
 SHINGLE = 5
@@ -92,6 +92,7 @@ def signature(mins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _SIGS = "doc_id long, key long, n_shingles long, set_a long, set_b long, bands array<long>, sig array<long>"
 
 
+@lean
 def _signature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, a, b, bands, sigs = [], [], [], [], []
@@ -228,6 +229,7 @@ def _compare(percent: int):
     return links
 
 
+@lean
 def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [shingle_hashes(t.as_py()).tobytes() for t in batch.column("text")]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from switchboard.llm.common import row_key, settle, shingle_codes, word_hashes
+from switchboard.llm.common import lean, row_key, settle, shingle_codes, word_hashes
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -91,6 +91,7 @@ def text_stats(data: bytes) -> tuple[tuple[int, ...], list[float]]:
     return (n, chars, symbols, dup, repeats), features
 
 
+@lean
 def _stats_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts, features = [], []

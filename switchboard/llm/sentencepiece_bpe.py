@@ -30,17 +30,20 @@ from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
 
+import numpy as np
 import pandas as pd
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from switchboard.llm.common import lean
+
 SPACE = "▁"
 # Types of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHED_SEGMENTS = 600_000
+CACHED_SEGMENTS = 300_000
 CACHED_CHARS = 64
-CACHED_PAIRS = 500_000
+CACHED_PAIRS = 300_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -341,9 +344,10 @@ def _rows(name: str, with_ids: bool):
                 ids = model.encode_text(text or "")
                 row = (ids.count(",") + 1 if ids else 0, sha256(ids.encode()).hexdigest(),
                        sha256(model.decode_text(ids).encode()).hexdigest())
-                out.append((*row, [int(i) for i in ids.split(",")] if ids else []) if with_ids else row)
+                out.append((*row, np.fromstring(ids, dtype=np.int32, sep=",")) if with_ids else row)
             yield pd.DataFrame(out, columns=["n", "ids_sha256", "text_sha256"] + ["ids"] * with_ids)
 
+    rows = lean(rows)
     rows.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     return rows
 

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchboard.llm.common import settle
+from switchboard.llm.common import lean, settle
 from switchboard.session import fresh_path
 
 MIN_REVISIT = 1000
@@ -202,7 +202,7 @@ def _read_batches(with_payload: bool):
                         rows, held = [], 0
                 yield _batch(rows)
 
-    return read
+    return lean(read)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -218,6 +218,7 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -
 
 # ---- writing ----
 
+@lean
 def _member_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []

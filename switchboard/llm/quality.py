@@ -203,7 +203,7 @@ def judge(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, trees: i
           tree_rows: int = TREE_ROWS, max_good_rejected: float = MAX_GOOD_REJECTED) -> DataFrame:
     """Verdict per row of ``docs``: doc_id, key, base counts, base_failed, anomaly, kept.
 
-    The fit reads at most ``fit_rows`` labelled rows (lowest hash of the id):
+    The fit reads at most ``fit_rows`` labelled rows (by hash of the id):
     trees grow on the good ones, in the range of both. The calibration reads
     every labelled row, as counts per score bin.
     """
@@ -215,7 +215,9 @@ def judge(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, trees: i
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
     labelled = settle(stats.where(~F.col("base_failed")).join(marks, "doc_id").select(
         "doc_id", "key", "quality", "features"), "quality-labelled")
-    sample = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "key").limit(fit_rows).select("features", "quality").collect()
+    # thinned by hash to about twice the bound first, so that the ordering does not send a bound's worth from every task
+    thin = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * fit_rows / max(1, labelled.count())))
+    sample = labelled.where(thin).orderBy(F.xxhash64("doc_id"), "doc_id", "key").limit(fit_rows).select("features", "quality").collect()
     domain = np.array([r.features for r in sample], dtype=float)
     good = domain[np.array([r.quality > 0 for r in sample], dtype=bool)] if sample else domain
     if not 0 < len(good) < len(sample):

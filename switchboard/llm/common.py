@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -138,21 +138,27 @@ BATCH_BYTES = 4 << 20
 
 def ship_package(spark: SparkSession) -> None:
     """Bound the batches between Spark and the Python workers, and send this package to the workers once per session,
-    so that they can import the operators' helpers. Where the cluster already installs the package, sending it
-    changes nothing.
+    so that they can import the operators' helpers (from the shared folder). Where the cluster already installs the
+    package, sending it changes nothing.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if getattr(context, "_switchboard_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    folder = tempfile.mkdtemp(prefix="switchboard-package-")  # read by the driver's own file server only
-    archive = os.path.join(folder, "switchboard_package.zip")
-    with zipfile.ZipFile(archive, "w") as out:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
         for top, _, names in os.walk(root):
             for name in sorted(names):
                 if name.endswith(".py"):
                     path = os.path.join(top, name)
                     out.write(path, os.path.join("switchboard", os.path.relpath(path, root)))
+    archive = fresh_path(spark, "switchboard_package") + ".zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(archive)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, False)
+    try:
+        stream.write(bytearray(packed.getvalue()))
+    finally:
+        stream.close()
     context.addPyFile(archive)
     context._switchboard_shipped = True

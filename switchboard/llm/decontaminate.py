@@ -8,11 +8,12 @@ hides nothing. Hashes of windows of WINDOW canonical words
 are joined by equality with the windows of the benchmark, so a question with
 other numbers or names is found as well. Matches of a document and an item are
 counted per diagonal (difference of the two word positions), which needs no
-gathering of windows. Along a diagonal the slots must be consistent: one value
-of the item always stands for one value in the document.
+gathering of windows. The slots must be consistent: one value of the item always
+stands for one value in the document. This is asked of all matching stretches of
+a diagonal together and of each by itself; words equal as they stand need none.
 
-A document leaks an item when a consistent diagonal matches at least COVER
-words of it, or the whole item if that is shorter.
+A document leaks an item when a consistent diagonal or stretch, or what is equal
+word for word, matches at least COVER words of it, or the whole item if that is shorter.
 
 Defined results
   null or empty text, fewer words than a window    no match
@@ -94,6 +95,51 @@ def _windows(frame: DataFrame, words: str, lengths: list[int]) -> DataFrame:
     return run.select(*rest, "pos", window.alias("window")).where("window IS NOT NULL")
 
 
+def _verified(lines: DataFrame, need: Column) -> DataFrame:
+    """The diagonals that leak, with n_windows, first and changed_slots, judged on the words of both sides.
+
+    Stretches are the runs of equal canonical words that hold a window. A
+    diagonal leaks if all its stretches together are consistent and long
+    enough, if one of them is, or if enough windows are equal word for word:
+    a copy with one number edited stays a copy.
+    """
+    width = F.least(F.lit(WINDOW), F.size("tokens"))
+    places = F.sequence(F.lit(0), F.size("tokens") - 1)
+
+    def stretches(equal: str) -> Column:
+        def edge(step: int) -> Column:
+            return F.filter(places, lambda q: F.get(equal, q) & ~F.coalesce(F.get(equal, q + step), F.lit(False)))
+        runs = F.arrays_zip(edge(-1).alias("s"), edge(1).alias("e"))
+        return F.filter(runs, lambda r: r["e"] - r["s"] + 1 >= width)
+
+    def windows(runs: str) -> Column:
+        return F.aggregate(runs, F.lit(0), lambda n, r: n + r["e"] - r["s"] + 2 - width)
+
+    def slots(run: Column) -> Column:
+        return F.transform(F.filter(F.sequence(run["s"], run["e"]), lambda q: F.get("tokens", q).contains("<")), lambda q: F.struct(
+            F.get("raw", q).alias("a"), F.get("_raw", q + F.col("shift")).alias("b")))
+
+    def consistent(pairs: Column) -> Column:
+        distinct = F.array_distinct(pairs)
+        return F.size(F.array_distinct(F.transform(distinct, lambda p: p["a"]))) == F.size(distinct)
+
+    judged = lines.withColumn("_same", F.transform(places, lambda q: F.coalesce(
+        F.get("tokens", q) == F.get("_doc", q + F.col("shift")), F.lit(False)))).withColumn(
+        "_literal", F.transform(places, lambda q: F.coalesce(
+            F.lower(F.get("raw", q)) == F.lower(F.get("_raw", q + F.col("shift"))), F.lit(False)))).withColumn(
+        "_runs", stretches("_same")).withColumn("_copied", stretches("_literal")).withColumn(
+        "_slots", F.transform("_runs", lambda r: F.struct(
+            (r["e"] - r["s"] + 2 - width).alias("n"), slots(r).alias("pairs")))).withColumn(
+        "_pairs", F.flatten(F.transform("_slots", lambda r: r["pairs"]))).withColumn(
+        "n_windows", F.greatest(
+            F.when(consistent(F.col("_pairs")), windows("_runs")).otherwise(F.lit(0)), windows("_copied"),
+            F.coalesce(F.array_max(F.transform("_slots", lambda r: F.when(consistent(r["pairs"]), r["n"]))), F.lit(0))))
+    return judged.where(F.col("n_windows") >= need).select(
+        "doc_id", "key", "item_id", "form", "n_windows", "shift", F.least(
+            F.get("_runs", F.lit(0))["s"], F.get("_copied", F.lit(0))["s"]).alias("first"),
+        F.size(F.filter("_pairs", lambda p: p["a"] != p["b"])).alias("changed_slots"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, key, item_id, n_windows, position, changed_slots: the items that each document leaks."""
     spark = docs.sparkSession
@@ -124,27 +170,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     need = F.least(F.lit(COVER), F.size("tokens")) - F.least(F.lit(WINDOW), F.size("tokens")) + 1
     # equal rows count once: their windows fall on the same positions
     lines = hits.groupBy("doc_id", "key", "item_key", (F.col("pos") - F.col("at")).alias("shift")).agg(
-        F.countDistinct("at").alias("n_windows"), F.min("at").alias("first"), F.max("at").alias("last"))
-    lines = settle(lines, "leak-lines").join(items.select("item_key", "item_id", "raw", "tokens"), "item_key").where(
-        F.col("n_windows") >= need)
-    lines = settle(lines.withColumn("slots", F.filter(
-        F.sequence(F.col("first"), F.least(F.col("last") + WINDOW, F.size("tokens")) - 1),
-        lambda q: F.element_at("tokens", q + 1).contains("<"))), "leak-slots")
-    plain = lines.where(F.size("slots") == 0).withColumn("changed_slots", F.lit(0))
-    raw = own.select("doc_id", "key", _words(F.col("text")).alias("_doc")).join(
-        lines.where(F.size("slots") > 0).select("doc_id", "key").distinct().select(
-            F.col("doc_id").alias("_i"), F.col("key").alias("_k")),
+        F.countDistinct("at").alias("n_windows"))
+    lines = settle(settle(lines, "leak-lines").join(items.select("item_key", "item_id", "form", "raw", "tokens"), "item_key").where(
+        F.col("n_windows") >= need), "leak-candidates")
+    texts = own.select("doc_id", "key", "text").join(
+        lines.select(F.col("doc_id").alias("_i"), F.col("key").alias("_k")).distinct(),
         F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("key") == F.col("_k")), "left_semi").dropDuplicates(
-        ["doc_id", "key"]).select(F.col("doc_id").alias("_i"), F.col("key").alias("_k"), "_doc")
-    pairs = F.transform("slots", lambda q: F.struct(
-        F.element_at("raw", q + 1).alias("a"), F.element_at("_doc", q + F.col("shift") + 1).alias("b")))
-    distinct = F.array_distinct(F.col("_pairs"))
-    slotted = lines.where(F.size("slots") > 0).join(
-        raw, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("key") == F.col("_k"))).withColumn("_pairs", pairs).where(
-        F.size(F.array_distinct(F.transform("_pairs", lambda p: p["a"]))) == F.size(distinct)).withColumn(
-        "changed_slots", F.size(F.filter("_pairs", lambda p: p["a"] != p["b"])))
-    every = plain.select("doc_id", "key", "item_id", "n_windows", "first", "shift", "changed_slots").unionByName(
-        slotted.select("doc_id", "key", "item_id", "n_windows", "first", "shift", "changed_slots"))
+        ["doc_id", "key"]).select(F.col("doc_id").alias("_i"), F.col("key").alias("_k"),
+                                  _words(F.col("text")).alias("_raw"), _templates(F.col("text")).alias("_f"))
+    every = _verified(lines.join(
+        texts.select("_i", "_k", "_raw", F.col("_f.form").alias("_form"), F.col("_f.tokens").alias("_doc")),
+        F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("key") == F.col("_k")) & (F.col("form") == F.col("_form"))), need)
     best = every.groupBy("doc_id", "key", "item_id").agg(F.max(F.struct(
         "n_windows", (-F.col("changed_slots")).alias("same"), (-(F.col("first") + F.col("shift"))).alias("at"))).alias("b"))
     return best.select("doc_id", "key", "item_id", F.col("b.n_windows").alias("n_windows"),

@@ -31,6 +31,19 @@ def test_reparameterised_questions(corpus):
     assert (3, 1) not in got
 
 
+def test_a_conflicting_slot_does_not_hide_a_copy(corpus):
+    left, mid, right = words(20, 31), words(19, 32), words(19, 33)
+    item = f"{left} 12 {mid} 12 {right}"
+    edited = f"{left} 12 {mid} 35 {right}"                      # one of two equal numbers edited, the rest word for word
+    apart = f"{left} 40 {mid} {words(20, 34)}"                  # one consistent stretch, other words on the rest of the diagonal
+    # two stretches that contradict each other, each consistent by itself
+    two = f"{left} 40 {mid.rsplit(' ', 10)[0]} {words(10, 35)} 41 {right}"
+    rows = [(1, f"{words(9, 36)} {edited}"), (2, f"x {apart}"), (3, two), (4, f"{words(30, 37)} 12 {words(19, 38)} 35")]
+    got = found(corpus, rows, [(1, item)])
+    assert set(got) == {(1, 1), (2, 1), (3, 1)}
+    assert got[1, 1].changed_slots == 1 and got[1, 1].position == 9
+
+
 def test_edge_cases(corpus):
     rows = edge_rows() + [(30, "one two three four five"), (31, "1 2 3 4 5 6 7 8 9 10 11 12 13 14"), (32, "a b c d"),
                           (30, "one two three four five")]

@@ -4,7 +4,9 @@ Texts are canonicalised word by word: numbers, units after numbers, and
 capitalised words inside a sentence become the placeholders <n>, <u> and <p>;
 the other words are lower-cased. A text with such names is matched in a second
 form as well that keeps them as lower-cased words, so that changed letter case
-hides nothing. Hashes of windows of WINDOW canonical words
+hides nothing. In a third form every capitalised word is a name, also where a sentence
+or line starts, and runs of names, and numbers with their units, are one placeholder.
+Items with windows of mostly placeholders are matched by their words as they stand, too. Hashes of windows of WINDOW canonical words
 are joined by equality with the windows of the benchmark, so a question with
 other numbers or names is found as well. Matches of a document and an item are
 counted per diagonal (difference of the two word positions), which needs no
@@ -17,7 +19,8 @@ word for word, matches at least COVER words of it, or the whole item if that is
 
 Defined results
   null or empty text, fewer words than a window    no match
-  items of fewer than MIN_WORDS words              never match; windows that are mostly placeholders neither
+  items of fewer than MIN_WORDS words              never match; windows of nothing but placeholders neither
+  mostly placeholders                              found as they stand, or by the other windows of the item
   items shorter than WINDOW                        match as one window of their own length
   very long text                                   processed whole
   repeated rows                                    equal rows give one result row
@@ -45,10 +48,17 @@ UNITS = ("% mm cm dm m km in inch inches ft foot feet yd yard yards mile miles m
          "months year years cent cents dollar dollars euro euros pound pounds mph kmh degrees watt watts volt volts").split()
 
 _NUMBER = r"[0-9]+(?:[.,:/][0-9]+)*"
-_UNIT = r"(?<=<n> ?)(?:" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{N}])"
 _CURRENCY = r"[$€£](?=<n>)"
 # A capitalised word after a word that ends no sentence.
 _NAME = r"\p{Lu}(?<=[\p{Ll}\p{N},;:)] \p{Lu})[\p{L}'’-]*"
+# Runs of capitalised words, and a number with its unit, become one word of the folded form, glued by this character.
+_GLUE = "\x02"
+_UNITS_AT = "(?:" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + r")(?![\p{L}\p{N}])"
+_UNIT = r"(?<=<n> ?)" + _UNITS_AT
+_NAME_RUN = r"(?<![\p{L}\p{N}])(\p{Lu}[\p{L}'’-]*) +(?=\p{Lu})"
+_CAPITAL = rf"(?<![\p{{L}}\p{{N}}{_GLUE}])\p{{Lu}}[\p{{L}}'’{_GLUE}-]*"
+# What is a placeholder in the words as they stand: numbers, with signs or a unit.
+_NOT_A_WORD = rf"^[$€£]?[0-9][0-9_]*(?:{_UNITS_AT})?$|^{_UNITS_AT}$"
 # What separates words besides the space; signs inside a number are replaced before.
 _BREAK = r"[\x09-\x0D.,;:!?]+"
 
@@ -70,13 +80,50 @@ def _canonical(text: Column) -> Column:
     return _split(F.lower(F.when(text.rlike("[0-9]"), marked).otherwise(text)))
 
 
-def _templates(text: Column) -> Column:
-    """The forms of a text to match: 0 with names as plain words (so letter case does not matter), and 1, where it has
-    names, with a placeholder for each. Both have as many words as ``_words`` gives."""
-    t = F.coalesce(text, F.lit(""))
-    plain = F.struct(F.lit(0).alias("form"), _canonical(t).alias("tokens"))
-    named = F.struct(F.lit(1).alias("form"), _canonical(F.regexp_replace(t, _NAME, "<p>")).alias("tokens"))
-    return F.explode(F.when(t.rlike(_NAME), F.array(plain, named)).otherwise(F.array(plain)))
+# Forms of a text: names as plain words, names as placeholders, every capitalised word a name and runs folded, words as they stand.
+PLAIN, NAMED, FOLDED, LITERAL = range(4)
+
+
+def _folded(text: Column) -> Column:
+    """The text with runs of capitalised words, and numbers with their units, glued to one word each."""
+    glued = F.regexp_replace(F.regexp_replace(text, _GLUE, "\x03"), _NAME_RUN, f"$1{_GLUE}")
+    return F.when(text.rlike("[0-9]"), F.regexp_replace(glued, f"(?<=[0-9]) (?={_UNITS_AT})", _GLUE)).otherwise(glued)
+
+
+def _folded_tokens(folded: Column) -> Column:
+    named = F.regexp_replace(folded, _CAPITAL, "<p>")
+    marked = F.regexp_replace(F.regexp_replace(named, f"{_NUMBER}(?:{_GLUE}?{_UNITS_AT})?", "<n>"), _CURRENCY, "<u>")
+    return _split(F.lower(F.when(folded.rlike("[0-9]"), marked).otherwise(named)))
+
+
+def _with_folded(frame: DataFrame) -> DataFrame:
+    """``frame`` with text never null, and its folded text as a column, so that it is computed once."""
+    return frame.withColumn("text", F.coalesce(F.col("text"), F.lit(""))).withColumn("_folded", _folded(F.col("text")))
+
+
+def _tokens(form: int) -> Column:
+    """Canonical words of a row of ``_with_folded`` in a form."""
+    t = F.col("text")
+    if form == FOLDED:
+        return _folded_tokens(F.col("_folded"))
+    return _words(F.lower(t)) if form == LITERAL else _canonical(F.regexp_replace(t, _NAME, "<p>") if form == NAMED else t)
+
+
+def _raw(form: Column) -> Column:
+    """Words as they stand of a row of ``_with_folded``: as many as its canonical ones."""
+    return _words(F.when(form == FOLDED, F.col("_folded")).otherwise(F.col("text")))
+
+
+def _templates(frame: DataFrame, literal: bool) -> DataFrame:
+    """form and tokens for each form of a row of ``_with_folded`` that can match anything the first one does not."""
+    t = F.col("text")
+    need = {NAMED: t.rlike(_NAME), FOLDED: t.rlike(r"\p{Lu}|[0-9]"), LITERAL: t.rlike("[0-9]")}
+    forms = [F.struct(F.lit(PLAIN).alias("form"), _tokens(PLAIN).alias("tokens"))] + [
+        F.when(need[f], F.struct(F.lit(f).alias("form"), _tokens(f).alias("tokens")))
+        for f in ((NAMED, FOLDED, LITERAL) if literal else (NAMED, FOLDED))]
+    rest = [c for c in frame.columns if c not in ("text", "_folded")]
+    return frame.select(*rest, F.explode(F.array(*forms)).alias("_f")).where("_f IS NOT NULL").select(
+        *rest, "_f.form", "_f.tokens")
 
 
 def _windows(frame: DataFrame, words: str, lengths: list[int]) -> DataFrame:
@@ -95,8 +142,14 @@ def _windows(frame: DataFrame, words: str, lengths: list[int]) -> DataFrame:
     return run.select(*rest, "pos", window.alias("window")).where("window IS NOT NULL")
 
 
+def _place(at: Column) -> Column:
+    """Number of words as they stand before word ``at`` of the matched form."""
+    before = F.slice("_raw", F.lit(1), at)
+    return at + F.aggregate(before, F.lit(0), lambda n, w: n + F.length(w) - F.length(F.translate(w, _GLUE, "")))
+
+
 def _verified(lines: DataFrame, need: Column) -> DataFrame:
-    """The diagonals that leak, with n_windows, first and changed_slots, judged on the words of both sides.
+    """The diagonals that leak, with n_windows, at and changed_slots, judged on the words of both sides.
 
     Stretches are the runs of equal canonical words that hold a window. A
     diagonal leaks if all its stretches together are consistent and long
@@ -135,8 +188,8 @@ def _verified(lines: DataFrame, need: Column) -> DataFrame:
             F.when(consistent(F.col("_pairs")), windows("_runs")).otherwise(F.lit(0)), windows("_copied"),
             F.coalesce(F.array_max(F.transform("_slots", lambda r: F.when(consistent(r["pairs"]), r["n"]))), F.lit(0))))
     return judged.where(F.col("n_windows") >= need).select(
-        "doc_id", "key", "item_id", "form", "n_windows", "shift", F.least(
-            F.get("_runs", F.lit(0))["s"], F.get("_copied", F.lit(0))["s"]).alias("first"),
+        "doc_id", "key", "item_id", "n_windows", _place(F.least(
+            F.get("_runs", F.lit(0))["s"], F.get("_copied", F.lit(0))["s"]) + F.col("shift")).alias("at"),
         F.size(F.filter("_pairs", lambda p: p["a"] != p["b"])).alias("changed_slots"))
 
 
@@ -144,9 +197,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, key, item_id, n_windows, position, changed_slots: the items that each document leaks."""
     spark = docs.sparkSession
     items = settle(
-        benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-        .select("item_id", "text", _words(F.col("text")).alias("raw"), _templates(F.col("text")).alias("_f"))
-        .select("item_id", "raw", "_f.form", "_f.tokens", F.xxhash64("item_id", "text", "_f.form").alias("item_key"))
+        _templates(_with_folded(benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").distinct())
+                   .withColumn("item", F.xxhash64("item_id", "text"))
+                   .withColumn("_raws", F.array(_raw(F.lit(PLAIN)), _raw(F.lit(FOLDED)))), literal=True)
+        .select("item_id", "item", "form", "tokens", F.xxhash64("item", "form").alias("item_key"),
+                F.get("_raws", (F.col("form") == FOLDED).cast("int")).alias("raw"),
+                F.exists("tokens", lambda w: w.contains("<")).alias("slotted"))
+        # without placeholders a form is the first one again
+        .where(F.col("form").isin(PLAIN, LITERAL) | F.col("slotted"))
         .where(F.size("tokens") >= MIN_WORDS), "leak-items")
     empty = spark.createDataFrame([], "doc_id long, key long, item_id long, n_windows long, position long, changed_slots int")
     lengths = [r[0] for r in items.select(F.least(F.size("tokens"), F.lit(WINDOW))).distinct().collect()]  # at most WINDOW
@@ -155,35 +213,58 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     own_length = F.least(F.size("tokens"), F.lit(WINDOW))
     runs = None
     for n in lengths:
-        some = _windows(items.where(own_length == n).select("item_key", "form", "tokens", F.col("tokens").alias("_t")), "_t", [n])
-        literal = F.size(F.filter(F.slice("tokens", F.col("pos") + 1, n), lambda w: ~w.contains("<")))
-        some = some.where(2 * literal >= n).select("item_key", F.col("pos").alias("at"), "window")
+        some = _windows(items.where(own_length == n).select(
+            "item", "item_key", "form", "tokens", F.col("tokens").alias("_t")), "_t", [n])
+        words = F.filter(F.slice("tokens", F.col("pos") + 1, n), lambda w: F.when(
+            F.col("form") == LITERAL, ~w.rlike(_NOT_A_WORD)).otherwise(~w.contains("<")))
+        some = some.select("item", "item_key", "form", F.col("pos").alias("at"), "window",
+                           (2 * F.size(words) >= n).alias("wordy"), (F.size(words) > 0).alias("some"))
         runs = some if runs is None else runs.unionByName(some)
-    wanted = settle(runs, "leak-windows")
-    n_wanted = wanted.count()
+    runs = settle(runs, "leak-runs")
+    # words as they stand are matched for items that have windows of mostly placeholders
+    heavy = runs.where((F.col("form") == PLAIN) & ~F.col("wordy")).select("item").distinct()
+    exact = runs.where((F.col("form") == LITERAL) & F.col("some")).join(heavy, "item", "left_semi")
+    wanted = settle(runs.where((F.col("form") != LITERAL) & F.col("wordy")).unionByName(exact).select(
+        "item_key", "form", "at", "window"), "leak-windows")
+    sizes = {r["form"]: r["count"] for r in wanted.groupBy("form").count().collect()}
+    n_wanted = sum(sizes.values())
     if not n_wanted:
         return empty
+    literal = LITERAL in sizes
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), "text")
-    forms = own.select("doc_id", "key", _templates(F.col("text")).alias("_f")).select("doc_id", "key", "_f.form", "_f.tokens")
+    forms = _templates(_with_folded(own), literal)
     found = _windows(forms, "tokens", sorted(lengths)).drop("form")
+    wanted = wanted.drop("form")
     hits = found.join(F.broadcast(wanted) if n_wanted <= BROADCAST_WINDOWS else wanted, "window")
     need = F.least(F.lit(COVER), F.size("tokens")) - F.least(F.lit(WINDOW), F.size("tokens")) + 1
     # equal rows count once: their windows fall on the same positions
     lines = hits.groupBy("doc_id", "key", "item_key", (F.col("pos") - F.col("at")).alias("shift")).agg(
-        F.countDistinct("at").alias("n_windows"))
-    lines = settle(settle(lines, "leak-lines").join(items.select("item_key", "item_id", "form", "raw", "tokens"), "item_key").where(
-        F.col("n_windows") >= need), "leak-candidates")
-    texts = own.select("doc_id", "key", "text").join(
-        lines.select(F.col("doc_id").alias("_i"), F.col("key").alias("_k")).distinct(),
+        F.countDistinct("at").alias("n_windows"), F.min("at").alias("at"))
+    # an item may have fewer windows to find it by than it needs; the words of both sides decide
+    known = items.join(wanted.groupBy("item_key").agg(F.count("*").alias("n_known")), "item_key")
+    lines = settle(settle(lines, "leak-lines").join(
+        known.select("item_key", "item_id", "form", "raw", "tokens", "slotted", "n_known"), "item_key").where(
+        F.col("n_windows") >= F.least(need, F.col("n_known"))), "leak-candidates")
+    # without slots there is nothing to judge
+    plain = lines.where((F.col("form") == PLAIN) & ~F.col("slotted")).select(
+        "doc_id", "key", "item_id", F.col("n_windows").cast("int").alias("n_windows"), (F.col("at") + F.col("shift")).alias("at"),
+        F.lit(0).alias("changed_slots"))
+    slotted = lines.where((F.col("form") != PLAIN) | F.col("slotted")).drop("at", "n_windows")
+    texts = own.join(
+        slotted.select(F.col("doc_id").alias("_i"), F.col("key").alias("_k")).distinct(),
         F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("key") == F.col("_k")), "left_semi").dropDuplicates(
-        ["doc_id", "key"]).select(F.col("doc_id").alias("_i"), F.col("key").alias("_k"),
-                                  _words(F.col("text")).alias("_raw"), _templates(F.col("text")).alias("_f"))
-    every = _verified(lines.join(
-        texts.select("_i", "_k", "_raw", F.col("_f.form").alias("_form"), F.col("_f.tokens").alias("_doc")),
-        F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("key") == F.col("_k")) & (F.col("form") == F.col("_form"))), need)
+        ["doc_id", "key"]).select(F.col("doc_id").alias("_i"), F.col("key").alias("_k"), "text")
+    both = _with_folded(slotted.join(texts, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("key") == F.col("_k"))))
+    form = F.col("form")
+    tokens = F.when(form == PLAIN, _tokens(PLAIN)).when(form == NAMED, _tokens(NAMED)).when(
+        form == FOLDED, _tokens(FOLDED)).otherwise(_tokens(LITERAL))
+    # exploded, so that the optimizer does not move the splitting into the loops over words
+    both = both.withColumn("_d", F.explode(F.array(F.struct(_raw(form).alias("raw"), tokens.alias("doc"))))).withColumn(
+        "_raw", F.col("_d.raw")).withColumn("_doc", F.col("_d.doc")).drop("text", "_folded", "_d")
+    every = plain.unionByName(_verified(both, need))
     best = every.groupBy("doc_id", "key", "item_id").agg(F.max(F.struct(
-        "n_windows", (-F.col("changed_slots")).alias("same"), (-(F.col("first") + F.col("shift"))).alias("at"))).alias("b"))
-    return best.select("doc_id", "key", "item_id", F.col("b.n_windows").alias("n_windows"),
+        "n_windows", (-F.col("changed_slots")).alias("same"), (-F.col("at")).alias("at"))).alias("b"))
+    return best.select("doc_id", "key", "item_id", F.col("b.n_windows").cast("long").alias("n_windows"),
                        (-F.col("b.at")).cast("long").alias("position"), (-F.col("b.same")).cast("int").alias("changed_slots"))
 
 

@@ -44,6 +44,20 @@ def test_a_conflicting_slot_does_not_hide_a_copy(corpus):
     assert got[1, 1].changed_slots == 1 and got[1, 1].position == 9
 
 
+def test_short_items_and_items_of_mostly_placeholders(corpus):
+    arithmetic = "Add 12 kg 7 kg 30 g 5 kg and 9 l now"
+    short = "Tom has 12 red apples and gives 5 away today"
+    sums = words(16, 41) + " 3 + 4 = 7 and 5 + 6 = 11 or 8 - 2 = 6"
+    items = [(1, arithmetic), (2, short), (3, sums)]
+    got = found(corpus, [
+        (1, f"{words(9, 42)} {arithmetic} {words(9, 43)}"), (2, f"{words(9, 44)} {arithmetic.replace('30', '31')}"),
+        (3, f"{words(9, 45)}. {short.replace('Tom', 'Ann')}"), (4, f"{words(9, 46)}\n{short.replace('Tom', 'Mary Ann')}"),
+        (5, f"{words(5, 47)} and {short.replace('Tom', 'Mary Ann').replace('12', '40')}"), (6, words(9, 48) + sums[-34:]),
+        (7, "Ann has 3 green pears and gives 5 away today"), (8, "5 kg 7 kg 30 g 5 kg 9 l")], items)
+    assert set(got) == {(1, 1), (3, 2), (4, 2), (5, 2), (6, 3)}
+    assert got[1, 1].position == 9 and got[4, 2].position == 9 and got[5, 2].position == 6
+
+
 def test_edge_cases(corpus):
     rows = edge_rows() + [(30, "one two three four five"), (31, "1 2 3 4 5 6 7 8 9 10 11 12 13 14"), (32, "a b c d"),
                           (30, "one two three four five")]

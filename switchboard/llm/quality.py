@@ -11,7 +11,8 @@ Defined results
   very long text          processed whole; memory is proportional to one text
   repeated rows, null ids each row is judged by its own text
   empty tables            an empty result; without labelled rows of both kinds
-                          there is no calibration and only the base rule decides
+                          that pass the base rule there is no calibration and
+                          only the base rule decides
   extra columns           ``judge`` returns doc_id and its own columns only;
                           ``keep_good`` returns the columns of its input
 """
@@ -203,8 +204,8 @@ def judge(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, trees: i
           tree_rows: int = TREE_ROWS, max_good_rejected: float = MAX_GOOD_REJECTED) -> DataFrame:
     """Verdict per row of ``docs``: doc_id, key, base counts, base_failed, anomaly, kept.
 
-    The fit reads at most ``fit_rows`` labelled rows (by hash of the id):
-    trees grow on the good ones, in the range of both. The calibration reads
+    The fit reads at most ``fit_rows`` labelled rows (by hash of the id, good
+    and bad ones each for themselves): trees grow on the good ones, in the range of both. The calibration reads
     every labelled row, as counts per score bin.
     """
     spark = docs.sparkSession
@@ -215,13 +216,26 @@ def judge(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, trees: i
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
     labelled = settle(stats.where(~F.col("base_failed")).join(marks, "doc_id").select(
         "doc_id", "key", "quality", "features"), "quality-labelled")
-    # thinned by hash to about twice the bound first, so that the ordering does not send a bound's worth from every task
-    thin = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * fit_rows / max(1, labelled.count())))
-    sample = labelled.where(thin).orderBy(F.xxhash64("doc_id"), "doc_id", "key").limit(fit_rows).select("features", "quality").collect()
-    domain = np.array([r.features for r in sample], dtype=float)
-    good = domain[np.array([r.quality > 0 for r in sample], dtype=bool)] if sample else domain
-    if not 0 < len(good) < len(sample):
+    kinds = {True: 0, False: 0}
+    for r in labelled.groupBy((F.col("quality") > 0).alias("is_good")).count().collect():
+        kinds[r.is_good] += r["count"]
+    if not kinds[True] or not kinds[False]:
         return stats.select(*_BASE, F.lit(0.0).alias("anomaly"), (~F.col("base_failed")).alias("kept"))
+    # each kind has its share of the bound, but not less than an eighth of it if it has as many rows
+    least = fit_rows // 8
+    n_bad = min(kinds[False], max(1, least, fit_rows * kinds[False] // sum(kinds.values())), max(1, fit_rows - min(kinds[True], least)))
+    n_good = min(kinds[True], max(1, fit_rows - n_bad))
+    parts = []
+    for is_good, n in ((True, n_good), (False, n_bad)):
+        # thinned by hash to about twice the bound first, so that the ordering does not send a bound's worth from every task
+        thin = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, (2 * n + 64) / kinds[is_good]))
+        kind = labelled.where((F.col("quality") > 0) == F.lit(is_good))
+        order = F.xxhash64("doc_id"), "doc_id", "key"
+        # rows of few ids may all fall out of the thinned part
+        rows = kind.where(thin).orderBy(*order).limit(n).select("features").collect() or kind.orderBy(*order).limit(n).select(
+            "features").collect()
+        parts.append(np.array([r.features for r in rows], dtype=float))
+    good, domain = parts[0], np.concatenate(parts)
     forest = spark.sparkContext.broadcast(
         Forest(good, domain, trees=trees, tree_rows=tree_rows))
 

@@ -62,6 +62,16 @@ def test_anomalies_go_and_good_rows_stay(corpus):
     assert len(ids & {d for d, _ in bad}) <= 0.05 * len(bad)
 
 
+def test_few_bad_labels_still_calibrate_the_forest(corpus):
+    good, bad = corpus_rows()
+    known = [(d, 1) for d, _ in good] + [(d, 0) for d, _ in bad[:3]]
+    frame = docs(corpus, good + bad)
+    got = Q.judge(frame, labels(corpus, known), fit_rows=32).collect()
+    assert all(r.anomaly > 0 for r in got)
+    assert sum(r.kept for r in got if r.doc_id >= 1000) <= 0.5 * len(bad)
+    assert sum(r.kept for r in got if r.doc_id < 1000) >= 0.98 * len(good)
+
+
 def test_paths_match_a_plain_walk():
     rng = np.random.default_rng(1)
     rows = rng.normal(size=(300, 4))

@@ -9,9 +9,10 @@ empty gzip member (members simply follow each other in a .warc.gz file).
 Reader. Each archive is read in one task, record by record. A gzip member must
 decompress with its checksum, a record must have a version line, well-formed
 headers, a block of the stated length and, if stated, the stated digest. Where
-a check fails the reader searches for the next valid member (or, in
-uncompressed archives and inside a member, the next version line with a valid
-record), goes on from there, and logs the bytes between as quarantined.
+a check fails the reader searches for the next valid member or version line
+with a valid record, whichever is nearer (inside a member the latter), goes on
+from there, and logs the bytes between as quarantined. Of a broken member the
+records in front of the break are kept, if their digests hold.
 
 Archives are read whole, so their size bounds a task's memory: the writer
 keeps them near ARCHIVE_BYTES of payload; split larger ones before reading.
@@ -45,6 +46,7 @@ from switchboard.session import fresh_path
 MIN_REVISIT = 1000
 ARCHIVE_BYTES = 32 << 20
 MAGIC = b"\x1f\x8b\x08"
+CUT_OFF = "member is cut off"
 #: A gzip member without content: the separator between records in the files.
 EMPTY_MEMBER = bytes.fromhex("1f8b0800000000000003" "0300" "00000000" "00000000")
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
@@ -125,8 +127,6 @@ def read_plain(data: bytes) -> Iterator[tuple]:
 
 def _member(data: bytes, at: int) -> tuple[bytes, int] | str:
     """(content, end) of the gzip member at ``at``; its checksum and length are checked."""
-    if data[at:at + 3] != MAGIC:
-        return "no gzip member"
     engine = zlib.decompressobj(wbits=31)
     out, step = [], at
     try:
@@ -136,34 +136,80 @@ def _member(data: bytes, at: int) -> tuple[bytes, int] | str:
     except zlib.error as error:
         return f"gzip: {error}"
     if not engine.eof:
-        return "member is cut off"
+        return CUT_OFF
     return b"".join(out), min(step, len(data)) - len(engine.unused_data)
 
 
+def _before_break(data: bytes, at: int) -> bytes:
+    """What the broken gzip member at ``at`` gives up to the byte that cannot be decompressed."""
+    engine, good = zlib.decompressobj(wbits=31), at
+    try:
+        while good < len(data):
+            engine.decompress(data[good:good + (1 << 16)])
+            good += 1 << 16
+    except zlib.error:
+        pass
+    # an error loses the output of its whole call: the last step again, byte by byte
+    engine = zlib.decompressobj(wbits=31)
+    out = [engine.decompress(data[k:k + (1 << 16)]) for k in range(at, good, 1 << 16)]
+    try:
+        for k in range(good, min(good + (1 << 16), len(data))):
+            out.append(engine.decompress(data[k:k + 1]))
+    except zlib.error:
+        pass
+    return b"".join(out)
+
+
+def _salvaged(content: bytes, reason: str) -> Iterator[tuple]:
+    """Sound records in front of the break of a member. Its checksum cannot vouch for them, so a digest must, unless the
+    file merely ends early; and other bytes must follow, as a member of one record stands or falls with its checksum."""
+    for x in read_plain(content):
+        if x[0] == "record" and x[1] + x[2] < len(content) and (reason == CUT_OFF or any(
+                x[3].get(name, "").lower().startswith("sha1:") for name in ("warc-block-digest", "warc-payload-digest"))):
+            yield x
+
+
 def read_archive(data: bytes) -> Iterator[tuple]:
-    """Records and gaps of an archive, gzip or uncompressed; offsets are those of the file."""
-    member, plain = data.find(MAGIC), _VERSION.search(data)
-    if member < 0 or (plain and plain.start() < member):
-        yield from read_plain(data)
-        return
+    """Records and gaps of an archive of gzip members, plain records or both; offsets are those of the file.
+
+    After a failed check the nearer of the next gzip magic and the next version line is tried.
+    """
     at, bad, reason = 0, None, ""
+    magic = version = -1
     while at < len(data):
-        found = _member(data, at)
-        inside = [] if isinstance(found, str) else list(read_plain(found[0]))
+        zipped = data.startswith(MAGIC, at)
+        found = _member(data, at) if zipped else parse_record(data, at)
+        inside = list(read_plain(found[0])) if zipped and not isinstance(found, str) else []
         if isinstance(found, str) or (inside and all(x[0] == "gap" for x in inside)):
             if bad is None:
                 bad, reason = at, found if isinstance(found, str) else inside[0][3]
-            # after a sound member go on behind it; after a broken one search for the next start
-            following = data.find(MAGIC, at + 1) if isinstance(found, str) else found[1]
-            at = following if following >= 0 else len(data)
+            if magic <= at:
+                magic = data.find(MAGIC, at + 1) % (len(data) + 1)
+            content, seen = _before_break(data, at) if zipped and isinstance(found, str) else b"", 0
+            while version <= at or seen:
+                line = _VERSION.search(data, max(at, version) + 1)
+                version = line.start() if line else len(data)
+                # bytes that a broken member stores as they are belong to it
+                end = data.find(b"\r\n\r\n", version)
+                seen = content.find(data[version:end + 4], seen) + 1 if line and content and end >= 0 else 0
+            # after a sound member go on behind it; after a failed check at the next start
+            following = min(magic, version) if isinstance(found, str) else found[1]
+            for x in _salvaged(content, found) if content else ():
+                yield (x[0], at, following - at, *x[3:])
+            at = following
             continue
         if bad is not None:
             yield "gap", bad, at - bad, reason
             bad = None
-        for x in inside:
-            # part of a member: the whole member is the place in the file
-            yield (x[0], at, found[1] - at, *x[3:])
-        at = found[1]
+        if zipped:
+            for x in inside:
+                # part of a member: the whole member is the place in the file
+                yield (x[0], at, found[1] - at, *x[3:])
+            at = found[1]
+        else:
+            headers, block, end = found
+            yield "record", at, end - at, headers, block
+            at = end
     if bad is not None:
         yield "gap", bad, len(data) - bad, reason
 

@@ -78,6 +78,25 @@ def test_cut_missing_and_foreign_bytes():
     assert covered(plain)
 
 
+def test_plain_and_gzip_records_in_one_file():
+    body = gzip.compress(os.urandom(400))
+    first = record(body).replace(b"WARC/1.1", b"WARX/1.1", 1)
+    data = first + record(b"a" * 40) + gzip.compress(record(b"b" * 40)) + record(b"c" * 40)
+    assert [x[3] for x in read(data) if x[0] == "record"] == [b"a" * 40, b"b" * 40, b"c" * 40]
+    assert [x[1:3] for x in read(data) if x[0] == "gap"] == [(0, len(first))] and covered(data)
+
+
+def test_records_in_front_of_a_break_in_one_member():
+    payloads = [os.urandom(30_000) for _ in range(8)]
+    whole = gzip.compress(b"".join(map(record, payloads)))
+    cut = read(whole[:-45_000])
+    assert [x[3] for x in cut if x[0] == "record"] == payloads[:6] and cut[-1][:3] == ("gap", 0, len(whole) - 45_000)
+    hit = bytearray(whole)
+    hit[105_000] ^= 0xFF
+    got = [x[3] for x in read(bytes(hit) + record(b"after")) if x[0] == "record"]
+    assert got[:3] == payloads[:3] and payloads[3] not in got and got[-1] == b"after"
+
+
 def test_failed_checks():
     good = record(b"payload")
     for bad, reason in ((record(b"payload", digest="0" * 40), "digest differs"),

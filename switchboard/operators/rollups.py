@@ -103,12 +103,12 @@ def billing_monthly_net(lines: DataFrame, telco: DataFrame) -> DataFrame:
 def queue_hourly_forecast(hourly: DataFrame, forecast: DataFrame) -> DataFrame:
     """Fill A3's forecast placeholders from a forecast keyed (queue_sk, hour_of_day, event_date).
 
-    variance % = (offered − forecast) / forecast × 100, FLOAT64 then NUMERIC;
-    NULL when there is no forecast or it is 0.
+    Forecast rows of one key are summed first. variance % = (offered − forecast) / forecast × 100,
+    FLOAT64 then NUMERIC; NULL when there is no forecast or it is 0.
     """
     keys = ["queue_sk", "hour_of_day", "event_date"]
     j = hourly.drop("forecast_volume", "volume_variance_pct").join(
-        forecast.select(*keys, "forecast_volume"), keys, "left")
+        forecast.groupBy(*keys).agg(F.sum("forecast_volume").alias("forecast_volume")), keys, "left")
     variance = X.safe_ratio_numeric((F.col("offered") - F.col("forecast_volume")) * 100, F.col("forecast_volume"))
     return j.select("queue_sk", "hour_of_day", "offered", "answered", "abandoned", "sl_pct",
                     "forecast_volume", variance.alias("volume_variance_pct"), "event_date")

@@ -107,3 +107,16 @@ def test_safe_ratio_negative_and_zero(spark):
     df = spark.createDataFrame([(-50, 4), (7, 0), (1, 3)], "n bigint, d bigint")
     got = [r.v for r in df.select(X.safe_ratio_numeric(F.col("n") * 100, F.col("d")).alias("v")).collect()]
     assert got == [Decimal("-1250.000000000"), None, Decimal("33.333333333")]
+
+
+def test_forecast_rows_of_one_hour_are_summed(spark):
+    from switchboard.operators import rollups
+    hourly = spark.sql("SELECT 1L AS queue_sk, 9L AS hour_of_day, h AS offered, 1L AS answered, 0L AS abandoned, "
+                       "CAST(1 AS DECIMAL(38,9)) AS sl_pct, CAST(NULL AS BIGINT) AS forecast_volume, "
+                       "CAST(NULL AS DECIMAL(38,9)) AS volume_variance_pct, DATE'2024-01-01' + CAST(h AS INT) AS event_date "
+                       "FROM VALUES 30L, 40L AS t(h)")
+    forecast = spark.sql("SELECT 1L AS queue_sk, 9L AS hour_of_day, v AS forecast_volume, DATE'2024-01-01' + 30 AS event_date "
+                         "FROM VALUES 5L, 15L AS t(v)")
+    got = {r.offered: (r.forecast_volume, r.volume_variance_pct) for r in rollups.queue_hourly_forecast(hourly, forecast).collect()}
+    assert got == {30: (20, 50), 40: (None, None)}
+    assert rollups.queue_hourly_forecast(hourly, forecast).count() == 2

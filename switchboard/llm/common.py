@@ -30,6 +30,49 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(frame: DataFrame, *names: str) -> list[str]:
+    """``names`` with as many underscores in front as it takes for ``frame`` to have none of them."""
+    taken, front = {c.lower() for c in frame.columns}, ""
+    while any((front + n).lower() in taken for n in names):
+        front += "_"
+    return [front + n for n in names]
+
+
+# Bits of the filter of touched rows: 2048 buckets of 4 KB, 8 MB in all whatever the number of rows.
+_TOUCHED_BITS, _BUCKET_BITS = 1 << 26, 1 << 15
+
+
+def split_touched(docs: DataFrame, key: Column, touched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` in two parts: rows whose ``key`` (a long) may be in the first column of ``touched``, and rows whose key
+    is not in it. The second part, most of a large table where few rows are touched, needs no shuffle; the keys are
+    folded into a bitmap of fixed size, which is what is broadcast. Past its capacity the first part grows.
+    """
+    place = F.pmod(key, F.lit(_TOUCHED_BITS))
+    bucket, bits = free_names(docs, "bucket", "bits")
+    own = F.pmod(F.col(touched.columns[0]), F.lit(_TOUCHED_BITS))
+    map_ = touched.select(own.alias("p")).groupBy((F.col("p") / _BUCKET_BITS).cast("int").alias(bucket)).agg(
+        F.bitmap_construct_agg(F.pmod("p", F.lit(_BUCKET_BITS))).alias(bits))
+    map_ = settle(map_, "touched")
+    inside = F.pmod(place, F.lit(_BUCKET_BITS)).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col(bits), (inside / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), F.pmod(inside, F.lit(8))).cast("int")) != 0, F.lit(False))
+    marked = docs.join(F.broadcast(map_), (place / _BUCKET_BITS).cast("int") == F.col(bucket), "left")
+    return marked.where(hit).select(*_own(docs)), marked.where(~hit).select(*_own(docs))
+
+
+def _own(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose id and ``row_key`` are in ``gone`` (doc_id, key); only rows that may be are shuffled."""
+    doc_id, key = free_names(docs, "id", "key")
+    gone = settle(gone.select(F.col("doc_id").alias(doc_id), F.col("key").alias(key)).distinct(), "gone")
+    maybe, rest = split_touched(docs, row_key(), gone.select(key))
+    left = maybe.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)) & (row_key() == F.col(key)), "left_anti")
+    return left.unionByName(rest)
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """64-bit key of a row's id and text: tells rows apart that repeat an id."""
     return F.xxhash64(F.col(doc_id), F.col(text))

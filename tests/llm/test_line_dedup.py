@@ -66,19 +66,19 @@ def test_full_filters_change_no_result(corpus, monkeypatch):
 
 
 def test_filters_fold_in_any_grouping():
-    import pyarrow as pa
     rng = np.random.default_rng(1)
-    sets = [rng.integers(0, 2**64, 50, dtype=np.uint64) for _ in range(3)]
-    shared = sets[0][:10]
-    sets[2][:10] = shared
-    parts = []
-    for hashes in sets:
-        once, twice = np.zeros(64, dtype=np.uint64), np.zeros(64, dtype=np.uint64)
-        L._set(once, L._positions(hashes, 4096))
-        parts.append((once, twice))
-    batch = pa.RecordBatch.from_arrays([pa.array([0] * 3, pa.int32()), pa.array([o.tobytes() for o, _ in parts], pa.binary()),
-                                        pa.array([t.tobytes() for _, t in parts], pa.binary())], names=["slice", "once", "twice"])
-    folded = list(L._fold(iter([batch.slice(0, 1), batch.slice(1, 2)])))
-    assert len(folded) == 1
-    twice = np.frombuffer(folded[0].column("twice")[0].as_py(), dtype=np.uint64)
-    assert L._holds(twice, L._positions(shared, 4096)).all()
+    bits = 1 << 20
+    sets = [rng.integers(0, 2**64, n, dtype=np.uint64) for n in (50, 3000, 300_000)]
+    sets[2][:10] = sets[0][:10]
+    sets[1][:5] = sets[1][5:10]
+    # sparse slices as places, dense ones as bits; a task may send several parts
+    parts = [b for s in sets for b in L._partial_slices([s[:20], s[20:]], bits)]
+    sizes = {len(x.as_py()) for b in parts for x in b.column("once")}
+    assert max(sizes) == L.SLICE_BITS // 8 and min(sizes) < 200
+    by_slice = sorted(((r["slice"], b, i) for b in parts for i, r in enumerate(b.select(["slice"]).to_pylist())), key=lambda x: x[0])
+    folded = {r["slice"]: L._unpacked(r["twice"]) for out in L._fold(b.slice(i, 1) for _, b, i in by_slice)
+              for r in out.to_pylist()}
+    whole = np.concatenate([folded.get(k, np.zeros(L.SLICE_BITS // 8, dtype=np.uint8)) for k in range(bits // L.SLICE_BITS)])
+    held = L._holds(whole.view(np.uint64), L._positions(np.concatenate([sets[0][:10], sets[1][:5]]), bits))
+    assert held.all()
+    assert L._holds(whole.view(np.uint64), L._positions(sets[0][10:], bits)).mean() < 0.7

@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from switchboard.llm.common import row_key, settle
+from switchboard.llm.common import row_key, settle, without_rows
 
 WINDOW = 8
 COVER = 13
@@ -270,7 +270,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that leak no item, with their columns."""
-    found = settle(leaks(docs, benchmark).select(F.col("doc_id").alias("_l_id"), F.col("key").alias("_l_key"))
-                   .distinct(), "leak-docs")
-    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(F.col("_l_id")) & (row_key() == F.col("_l_key")),
-                     "left_anti")
+    return without_rows(docs, leaks(docs, benchmark))

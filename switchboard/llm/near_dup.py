@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from switchboard.llm.common import lean, mix64, row_key, settle, shingle_codes, word_hashes
+from switchboard.llm.common import free_names, lean, mix64, row_key, settle, shingle_codes, split_touched, word_hashes
 from switchboard.llm.components import connected_components
 
 SHINGLE = 5
@@ -49,9 +49,10 @@ BANDS = 40
 ROWS = 6
 K = 256          # minima; BANDS * ROWS of them make the bands, all of them the signature
 BITS = 2
-JOIN, LEAVE = 0.45, 0.70
+JOIN, LEAVE = 0.45, 0.80
 VERIFY_SLACK = 0.15
-BLOCK = 256      # rows of a cluster whose sets are compared at once
+BLOCK = 256      # rows of a cluster whose sets are compared at once,
+BLOCK_BYTES = 32 << 20  # and bytes of these sets; a larger set is a block's only one but by chance
 SIGNATURE_BLOCK = 1024  # rows of a bucket whose signatures are compared at once
 
 _SEED = np.random.default_rng(20240229).integers(0, 2**63, K + ROWS, dtype=np.uint64)
@@ -240,11 +241,12 @@ def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _verified_links(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
     """Links between nodes of a cluster, confirmed on full shingle sets, block against block."""
-    sizes = settle(clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "near-sizes")
-    members = (clusters.join(sizes, "cluster").join(nodes.select("node", "key", "sig"), "node")
-               .select("node", "key", "cluster", "blocks", "sig"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), row_key().alias("key"), "text")
-    sets = members.join(texts, ["node", "key"]).dropDuplicates(["node"]).select(
+    sized = settle(clusters.join(nodes.drop("bands"), "node"), "near-members")
+    sizes = settle(sized.groupBy("cluster").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_shingles") * 8 / BLOCK_BYTES)).cast("int").alias("blocks")), "near-sizes")
+    members = sized.join(sizes, "cluster").select("node", "doc_id", "key", "cluster", "blocks", "sig")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), "text")
+    sets = members.join(texts, ["doc_id", "key"]).dropDuplicates(["node"]).select(
         "node", "cluster", "blocks", "sig", "text").mapInArrow(
         _hash_batches, "node long, cluster long, blocks int, sig array<long>, hashes binary")
     return _dealt(sets).groupBy("cluster", "block_a", "block_b").applyInArrow(
@@ -256,18 +258,18 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     sigs = settle(docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("key"), "text")
                   .mapInArrow(_signature_batches, _SIGS), "near-sigs")
     usable = sigs.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    # a set of shingles is a node, named by half its id; the row with the smallest id stands for it
     first = settle(usable.groupBy("set_a", "set_b").agg(F.min(F.struct("doc_id", "key")).alias("f")).select(
-        "set_a", "set_b", F.col("f.doc_id").alias("node"), F.col("f.key").alias("key")), "near-first")
-    nodes = settle(sigs.join(first.select(F.col("node").alias("doc_id"), "key", F.lit(True).alias("_is_node")),
-                             ["doc_id", "key"], "left_semi").where("n_shingles > 0")
-                   .dropDuplicates(["doc_id", "key"])
-                   .select(F.col("doc_id").alias("node"), "key", "bands", "sig"), "near-nodes")
+        F.col("set_a").alias("node"), "set_b", F.col("f.doc_id").alias("doc_id"), F.col("f.key").alias("key")), "near-first")
+    nodes = settle(usable.drop("set_a", "set_b").join(first.drop("set_b"), ["doc_id", "key"]).dropDuplicates(["node"]).select(
+        "node", "doc_id", "key", "n_shingles", "bands", "sig"), "near-nodes")
     clusters = connected_components(_candidate_edges(nodes), "u", "v").select(
         "node", F.col("component").alias("cluster"))
     links = settle(_verified_links(docs, nodes, clusters, percent), "near-links")
-    components = connected_components(links, "u", "v")
-    by_set = settle(first.join(components, "node", "left").select(
-        "set_a", "set_b", F.coalesce("component", "node").alias("component_id")), "near-sets")
+    components = settle(first.join(connected_components(links, "u", "v"), "node", "left").select(
+        F.col("node").alias("set_a"), "set_b", "doc_id", F.coalesce("component", "node").alias("component")), "near-components")
+    least = settle(components.groupBy("component").agg(F.min("doc_id").alias("component_id")), "near-least")
+    by_set = settle(components.drop("doc_id").join(least, "component").select("set_a", "set_b", "component_id"), "near-sets")
     return sigs.join(by_set, ["set_a", "set_b"], "left").select(
         "doc_id", "key", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("_c")).select(
@@ -276,8 +278,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that represent their component, with their columns."""
-    kept = near_duplicates(docs, percent).where("kept").select(
-        F.col("doc_id").alias("_n_id"), F.col("key").alias("_n_key")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("_n_id"))
-                     & (row_key() == F.col("_n_key")), "left_semi")
+    """The rows of ``docs`` that represent their component, with their columns; one of several equal rows with an id."""
+    doc_id, key = free_names(docs, "id", "key")
+    found = settle(near_duplicates(docs, percent).where("doc_id IS NOT NULL").groupBy(
+        F.col("key").alias(key), F.col("doc_id").alias(doc_id)).agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+        .where("NOT kept OR n > 1"), "near-touched")
+    maybe, rest = split_touched(docs, row_key(), found.select(key))
+    left = maybe.join(found.where("NOT kept").select(key, doc_id), (F.col("doc_id").cast("long") == F.col(doc_id))
+                      & (row_key() == F.col(key)), "left_anti").withColumn(key, row_key())
+    one = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", key]).unionByName(left.where("doc_id IS NULL")).drop(key)
+    return one.unionByName(rest)

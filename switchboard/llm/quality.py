@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from switchboard.llm.common import lean, row_key, settle, shingle_codes, word_hashes
+from switchboard.llm.common import lean, row_key, settle, shingle_codes, without_rows, word_hashes
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -260,6 +260,4 @@ _BASE = ["doc_id", "key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules and the forest keep, with their columns."""
-    verdict = judge(docs, labels).where("kept").select(F.col("doc_id").alias("_q_id"), F.col("key").alias("_q_key"))
-    return docs.join(verdict.distinct(), docs["doc_id"].cast("long").eqNullSafe(F.col("_q_id"))
-                     & (row_key() == F.col("_q_key")), "left_semi")
+    return without_rows(docs, judge(docs, labels).where(~F.col("kept")))

@@ -17,7 +17,7 @@ Defined results
   very long text          processed whole; memory is proportional to one text
   repeated rows, null ids each row is encoded by itself
   empty tables            an empty result
-  extra columns           kept; added columns are ``_sp_n``, ``_sp_ids_sha256``, ``_sp_text_sha256``, and with
+  extra columns           kept but those that start with ``_sp_``; added columns are ``_sp_n``, ``_sp_ids_sha256``, ``_sp_text_sha256``, and with
                           ``ids=True`` ``_sp_ids``
 """
 
@@ -36,7 +36,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from switchboard.llm.common import lean
+from switchboard.llm.common import free_names, lean
 
 SPACE = "▁"
 # Types of pieces in a model file.
@@ -362,6 +362,7 @@ def encode_documents(docs: DataFrame, model_path: str, ids: bool = False) -> Dat
     name = model_path.rsplit("/", 1)[-1]
     fields = "n long, ids_sha256 string, text_sha256 string" + (", ids array<int>" if ids else "")
     encode = F.pandas_udf(_rows(name, ids), fields)
-    added = [F.col("_sp.n").alias("_sp_n"), F.col("_sp.ids_sha256").alias("_sp_ids_sha256"),
-             F.col("_sp.text_sha256").alias("_sp_text_sha256")] + ([F.col("_sp.ids").alias("_sp_ids")] if ids else [])
-    return docs.withColumn("_sp", encode("text")).select(*(docs[c] for c in docs.columns), *added)
+    found, = free_names(docs, "_sp")
+    added = [F.col(f"{found}.n").alias("_sp_n"), F.col(f"{found}.ids_sha256").alias("_sp_ids_sha256"),
+             F.col(f"{found}.text_sha256").alias("_sp_text_sha256")] + ([F.col(f"{found}.ids").alias("_sp_ids")] if ids else [])
+    return docs.withColumn(found, encode("text")).select(*(F.col(f"`{c}`") for c in docs.columns if not c.startswith("_sp_")), *added)

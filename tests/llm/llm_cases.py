@@ -8,7 +8,9 @@ SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that the operators use inside; as extra columns of the input they must not clash.
 CLASHING = ["key", "digest", "node", "sig", "bands", "form", "tokens", "window", "number", "position", "kept", "component_id",
-            "n_words", "features", "anomaly", "slot", "shard", "payload", "base", "spans", "cluster", "bucket", "n"]
+            "n_words", "features", "anomaly", "slot", "shard", "payload", "base", "spans", "cluster", "bucket", "n",
+            "_sp", "_line", "_line_id", "_line_key", "_n_id", "_n_key", "_l_id", "_l_key", "_q_id", "_q_key", "id", "lost", "lost_id",
+            "lost_key", "found", "bits", "touched", "fingerprint", "tree", "leaf", "part", "value"]
 
 
 @pytest.fixture

@@ -60,6 +60,14 @@ def test_chains_of_near_copies(corpus):
     check(corpus, chain + [(200 + i, words(200, 50 + i)) for i in range(20)], 85)
 
 
+def test_rows_that_share_an_id(corpus):
+    a, b = words(200, 1), words(200, 2)
+    rows = [(5, a), (5, b), (9, altered(a, 0.005, 1)), (8, altered(b, 0.005, 2)), (7, words(50, 3)), (7, words(50, 3))]
+    check(corpus, rows, 85)
+    kept = N.keep_one(docs(corpus, rows, clashing=True), 85).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(5, a), (5, b), (7, words(50, 3))])
+
+
 @pytest.mark.parametrize("percent", [80, 85])
 def test_a_large_group_around_the_threshold(corpus, percent):
     # more rows than a bucket has hubs, and more than a block holds, with similarities on both sides of the threshold

@@ -28,12 +28,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines found in three or more of them; a document whose every line goes stays with an empty text."""
     _ready(spark)
-    found = line_dedup.dedup_lines(docs)
-    text = F.when(F.col("_line_dropped") > 0, F.col("_line_text")).otherwise(F.col("text"))
+    prefix = "_line"
+    while any(c.lower().startswith(prefix.lower()) for c in docs.columns):
+        prefix = "_" + prefix
+    found, dropped = line_dedup.dedup_lines(docs, prefix=prefix), F.col(f"{prefix}_dropped")
+    text = F.when(dropped > 0, F.col(f"{prefix}_text")).otherwise(F.col("text"))
     return found.select(*(
         text.alias("text") if c == "text"
-        else F.when(F.col("_line_dropped") > 0, F.char_length("_line_text").cast(docs.schema["n_chars"].dataType))
-        .otherwise(F.col("n_chars")).alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns))
+        else F.when(dropped > 0, F.char_length(f"{prefix}_text").cast(docs.schema["n_chars"].dataType))
+        .otherwise(F.col("n_chars")).alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns))
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchboard.llm import decontaminate, language_id, line_dedup, near_dup, preference, quality, secret_scan, sentencepiece_bpe, sharding, warc
+from switchboard.llm import (
+    decontaminate,
+    language_id,
+    line_dedup,
+    merkle,
+    near_dup,
+    preference,
+    quality,
+    secret_scan,
+    sentencepiece_bpe,
+    sharding,
+    simhash,
+    warc,
+    whiten,
+)
 from switchboard.llm.common import ship_package
 from switchboard.sources.tables import table
 
@@ -151,3 +165,73 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("anomaly", 6).alias("anomaly"))
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a short ASCII text, as DuckDB SQL."""
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT)), "
+            "lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], "
+            "lambda x, _: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)")
+
+
+def _merkle_sql(levels: int = 12) -> str:
+    """Trees of fan-out 8 level by level; a tree of one node stays as it is. 8 ** 12 leaves are room enough."""
+    def field(c: str) -> str:
+        return f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def tree(name: str) -> list[str]:
+        steps = []
+        for k in range(levels):
+            steps.append(f"""{name}s{k} AS (SELECT *, coalesce(string_agg(d, '') OVER (PARTITION BY t, i // 8 ORDER BY i
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, coalesce(string_agg(d, '') OVER (PARTITION BY t, i // 8 ORDER BY i
+  ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})""")
+            steps.append(f"""{name}{k + 1} AS (SELECT t, i // 8 AS i, (any_value(n) + 7) // 8 AS n,
+  CASE WHEN any_value(n) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d FROM {name}{k} GROUP BY t, i // 8)""")
+        return steps
+
+    def climb(name: str, source: str, first: str, place: str, group: str) -> list[str]:
+        steps, before = [], source
+        for k in range(levels):
+            steps.append(f"""{first}{k} AS (SELECT w.* EXCLUDE (f, p), p || CASE WHEN s.n > 1 THEN s.l || s.r ELSE '' END AS p,
+  CASE WHEN s.n > 1 THEN sha256(s.l || f || s.r) ELSE f END AS f
+  FROM {before} w JOIN {name}s{k} s ON s.t = w.{group} AND s.i = w.{place} // {8 ** k})""")
+            before = f"{first}{k}"
+        return steps
+
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [
+        f"leaves AS (SELECT doc_id, lang, {leaf('text')} AS leaf, CASE WHEN {_crc32('doc_id::VARCHAR')} % 3 = 0 "
+        f"THEN {leaf(lowered)} END AS tampered FROM documents)",
+        "langs AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS t FROM (SELECT DISTINCT lang FROM documents))",
+        "placed AS (SELECT doc_id, leaf, t, 0 AS z, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, "
+        "count(*) OVER (PARTITION BY t) AS n, coalesce(tampered, leaf) AS f, '' AS p "
+        "FROM leaves JOIN langs ON leaves.lang IS NOT DISTINCT FROM langs.lang)",
+        "a0 AS (SELECT t, i, n, leaf AS d FROM placed)", *tree("a"),
+        f"b0 AS (SELECT 0 AS t, t AS i, count(*) OVER () AS n, d FROM a{levels})", *tree("b"),
+        *climb("a", "placed", "up", "i", "t"), *climb("b", f"up{levels - 1}", "top", "t", "z")]
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT doc_id, leaf, a.d AS subroot, b.d AS root, sha256(p) AS proof_sha256, f AS folded_root, f = b.d AS verified
+FROM top{levels - 1} w JOIN a{levels} a ON a.t = w.t CROSS JOIN b{levels} b
+"""
+
+
+@query("op11_merkle_manifest", _merkle_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of all documents, verified against tampered texts."""
+    return merkle.verify(table(spark, sf_dir, "documents"))
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eight leading whitened components of all usable embeddings; a deviation past a long is null."""
+    return whiten.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+@query("op13_simhash_near_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of all documents, and the classes of those that differ in at most two bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -9,9 +9,13 @@ the table in one sort.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from switchboard.session import fresh_path
+
 # Change-feed op codes (not given by the reference; I/U/D assumed).
 OP_INSERT, OP_UPDATE, OP_DELETE = "I", "U", "D"
 
@@ -73,125 +77,128 @@ def upsert(base: DataFrame, delta: DataFrame, keys: list[str], order: list[str]
     return kept.unionByName(last).unionByName(incoming.filter(null_key))
 
 
-# Time buckets of the windows below: rows are windowed per (key, fine bucket);
-# values cross fine buckets of a coarse one, and coarse buckets of a key,
-# through one summary row per bucket. The grains are the same for every key.
-FINE_BUCKET, COARSE_BUCKET = "minute", "day"
-
+RANGE = "_range"
 
-def _with_buckets(df: DataFrame, ts: Column, fine: str, coarse: str) -> DataFrame:
-    t = ts.cast("timestamp")
-    return df.withColumn("_f", F.date_trunc(fine, t)).withColumn("_c", F.date_trunc(coarse, t))
 
+def in_ranges(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` dealt out by ranges of ``order`` (NULL first), with its range's number in ``_range``.
 
-def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Left join on columns where NULL equals NULL, as in PARTITION BY."""
-    cond = F.lit(True)
-    for c in on:
-        right = right.withColumnRenamed(c, f"_on_{c}")
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
-    return left.join(right, cond, "left").drop(*[f"_on_{c}" for c in on])
+    This is the only shuffle of an ordered pass. The rows are stored under the
+    shared folder as a table bucketed by the range number, so that windows and
+    aggregates per range find their rows together, and several passes read one
+    shuffle's result. A range ends wherever the row counts say, inside a key
+    or inside an instant, so a hot key is spread like any other rows. The
+    catalog entry only carries the bucketing; it is dropped at once.
+    """
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"ranges_{uuid.uuid4().hex}"
+    dealt = df.repartitionByRange(ranges, *[F.col(c).asc_nulls_first() for c in order]).withColumn(RANGE, F.spark_partition_id())
+    dealt.write.format("parquet").bucketBy(ranges, RANGE).option("path", fresh_path(spark, "ranges")).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return out
 
 
-def _neighbour(summaries: DataFrame, key: str, value: str, name: str, forward: bool = False) -> DataFrame:
-    """Per (key, fine bucket): the nearest non-NULL ``value`` of an earlier (``forward``: later) bucket.
+def _beside(edges: DataFrame, value: str, forward: bool = False) -> DataFrame:
+    """(_range, _beside): the non-NULL ``value`` of the nearest earlier (``forward``: later) range.
 
-    Looked for first within the coarse bucket, then in the key's other coarse
-    buckets through one row each. No window holds more rows than a coarse
-    bucket has fine ones, or a key has coarse ones.
+    ``edges`` has one row per range, so this window and the broadcast of its
+    result hold as many rows as there are shuffle partitions.
     """
-    def near(order: str, partition: list[str]):
-        w = Window.partitionBy(*partition).orderBy(order)
-        return (F.first(value, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)) if forward
-                else F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    near = F.expr(f"{'lead' if forward else 'lag'}({value}) IGNORE NULLS OVER (ORDER BY {RANGE})")
+    return F.broadcast(edges.select(RANGE, near.alias("_beside")))
+
 
-    best = F.min if forward else F.max
-    days = summaries.groupBy(key, "_c").agg(
-        best(F.when(F.col(value).isNotNull(), F.struct("_f", value))).getField(value).alias(value))
-    days = days.select(key, "_c", near("_c", [key]).alias("_far"))
-    inside = summaries.select(key, "_c", "_f", near("_f", [key, "_c"]).alias("_near"))
-    return _join_null_safe(inside, days, [key, "_c"]).select(
-        key, "_c", "_f", F.coalesce("_near", "_far").alias(name))
+def scd2_rows(df: DataFrame, key: str, ts_col: str, attrs: list[str], tie_col: str | None = None) -> DataFrame:
+    """Every change with ``eff_from_ts``, ``eff_to_ts``, ``is_current`` and ``kept``.
+
+    ``kept`` rows are the type-2 history: changes of ``attrs`` (NULL-safe)
+    against the change before of the same key. The others confirm what was
+    known; their ``eff_to_ts`` is NULL and ``is_current`` false. NULL keys form
+    one history, as in PARTITION BY.
+
+    One ordered pass: rows lie in ranges of (key, time, tie); ``lag`` and
+    ``lead`` run inside a range, and what they cannot see -- the last change
+    before it, the first kept start after it -- is one row per range.
+    """
+    order = [key, ts_col] + ([tie_col] if tie_col else [])
+    rows = in_ranges(df, order).withColumn("_a", F.struct(*[F.col(a) for a in attrs])).withColumn(
+        "_o", F.struct(*[F.col(c) for c in order])).withColumn("_me", F.struct(F.col(key).alias("k"), F.col("_a").alias("a")))
+    w = Window.partitionBy(RANGE).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    last = rows.groupBy(RANGE).agg(F.max(F.struct("_o", "_me")).getField("_me").alias("_last"))
+    prev = F.coalesce("_before", "_beside")
+    marked = (rows.withColumn("_before", F.lag("_me").over(w)).join(_beside(last, "_last"), RANGE, "left")
+              .withColumn("kept", ~F.coalesce(prev.getField("k").eqNullSafe(F.col(key)) & prev.getField("a").eqNullSafe(F.col("_a"))
+                                              & prev.isNotNull(), F.lit(False)))
+              .drop("_before", "_beside"))
+    start = F.when(F.col("kept"), F.struct(F.col(key).alias("k"), F.col(ts_col).alias("t")))
+    marked = marked.withColumn("_start", start)
+    first = marked.groupBy(RANGE).agg(F.min(F.when(F.col("kept"), F.struct("_o", "_start"))).getField("_start").alias("_first"))
+    # lead, as a frame that ends at UNBOUNDED FOLLOWING is evaluated anew for every row
+    after = F.expr(f"lead(_start) IGNORE NULLS OVER (PARTITION BY {RANGE} ORDER BY "
+                   + ", ".join(f"`{c}` ASC NULLS FIRST" for c in order) + ")")
+    nxt = F.coalesce("_after", "_beside")
+    end = F.when(F.col("kept") & nxt.getField("k").eqNullSafe(F.col(key)), nxt.getField("t"))
+    return (marked.withColumn("_after", after).join(_beside(first, "_first", forward=True), RANGE, "left")
+            .withColumn("eff_from_ts", F.col(ts_col).cast("timestamp"))
+            .withColumn("eff_to_ts", end.cast("timestamp"))
+            .withColumn("is_current", F.col("kept") & F.col("eff_to_ts").isNull())
+            .drop(RANGE, "_a", "_o", "_me", "_start", "_after", "_beside"))
+
+
+def history_id(key: str, tie_col: str | None = None) -> Column:
+    """Id of a validity row: key, start and tie, so two changes at one instant have ids of their own."""
+    parts = [F.col(key).cast("string"), F.unix_micros(F.col("eff_from_ts")).cast("string")]
+    return F.concat_ws(":", *parts, *([F.col(tie_col).cast("string")] if tie_col else []))
 
 
 def scd2_history(df: DataFrame, key: str, ts_col: str, attrs: list[str], tie_col: str | None = None,
-                 id_col: str = "history_id", fine: str = FINE_BUCKET, coarse: str = COARSE_BUCKET) -> DataFrame:
+                 id_col: str = "history_id") -> DataFrame:
     """Type-2 history: one validity row per change of ``attrs``.
 
-    Consecutive rows with equal attributes (NULL-safe) collapse into the
-    first; ``eff_to_ts`` is the next kept row's start, ``is_current`` marks the
-    open row. NULL keys form one history, as in PARTITION BY. The id holds
-    the tie column, so two changes at one instant have ids of their own.
-
-    The ``lag`` / ``lead`` windows run per (key, minute), not per key, so a key
-    holding a third of all changes is spread over many tasks. What a window
-    cannot see across a bucket edge -- the last attributes before it, the
-    first kept start after it -- comes from one summary row per bucket, an
-    aggregate (map-side combined), and from ``_neighbour`` over those.
+    Consecutive rows with equal attributes collapse into the first;
+    ``eff_to_ts`` is the next kept row's start, ``is_current`` marks the open row.
     """
-    order = [ts_col] + ([tie_col] if tie_col else [])
-    on = [key, "_c", "_f"]
-    rows = (_with_buckets(df, F.col(ts_col), fine, coarse)
-            .withColumn("_a", F.struct(*[F.col(a) for a in attrs]))
-            .withColumn("_o", F.struct(*[F.col(c) for c in order])))
-    last = rows.groupBy(*on).agg(F.max(F.struct("_o", "_a")).getField("_a").alias("_last"))
-    w = Window.partitionBy(*on).orderBy(*order)
-    with_prev = _join_null_safe(rows.withColumn("_prev_in", F.lag("_a").over(w)),
-                                _neighbour(last, key, "_last", "_carry"), on)
-    prev = F.coalesce(F.col("_prev_in"), F.col("_carry"))
-    kept = with_prev.filter(prev.isNull() | ~prev.eqNullSafe(F.col("_a"))).drop("_prev_in", "_carry")
-    first = kept.groupBy(*on).agg(F.min("_o").getField(ts_col).alias("_first"))
-    out = _join_null_safe(kept.withColumn("_lead_in", F.lead(F.col(ts_col)).over(w)),
-                          _neighbour(first, key, "_first", "_next", forward=True), on)
-    id_parts = [F.col(key).cast("string"), F.unix_micros(F.col("eff_from_ts")).cast("string")]
-    if tie_col:
-        id_parts.append(F.col(tie_col).cast("string"))
-    return (out.withColumn("eff_from_ts", F.col(ts_col).cast("timestamp"))
-            .withColumn("eff_to_ts", F.coalesce(F.col("_lead_in"), F.col("_next")).cast("timestamp"))
-            .withColumn("is_current", F.col("eff_to_ts").isNull())
-            .withColumn(id_col, F.concat_ws(":", *id_parts))
-            .drop("_f", "_c", "_a", "_o", "_lead_in", "_next"))
-
-
-def asof_join(events: DataFrame, history: DataFrame, key: str, ts_col: str, hist_cols: list[str],
-              fine: str = FINE_BUCKET, coarse: str = COARSE_BUCKET) -> DataFrame:
+    return (scd2_rows(df, key, ts_col, attrs, tie_col).filter("kept").drop("kept")
+            .withColumn(id_col, history_id(key, tie_col)))
+
+
+def asof_join(events: DataFrame, history: DataFrame, key: str, ts_col: str, hist_cols: list[str]) -> DataFrame:
     """Each event with the ``hist_cols`` of the history row valid at its time.
 
     Valid means ``eff_from_ts <= ts < eff_to_ts`` (open end when NULL).
-    Written as an ordered pass, not a range join: history rows and events are
-    unioned, sorted by time with a history row before an event at the same
-    instant, and each event takes the last history row seen so far -- linear
-    in the rows, where an equi-join on the key plus a range filter would pair
-    every event of a hot key with every history row of it.
-
-    The pass runs per (key, minute); an event whose minute has no earlier
-    history row takes the key's last one before, by ``_neighbour``. A NULL
+    Written as one ordered pass, not a range join: history rows and events are
+    unioned and dealt out by ranges of (key, time), with a history row before
+    an event at the same instant; each event takes the last history row seen
+    so far, in its range or, by one row per range, in an earlier one. That is
+    linear in the rows, where an equi-join on the key plus a range filter
+    would pair every event of a hot key with every history row of it. A NULL
     key matches no history.
     """
     ev_cols = events.columns
-    h_struct = F.struct(*[F.col(c) for c in ["eff_from_ts", "eff_to_ts"] + hist_cols])
-    history = history.filter(F.col(key).isNotNull())
-    h = history.select(
+    h_struct = F.struct(F.col(key).alias("k"), *[F.col(c) for c in ["eff_from_ts", "eff_to_ts"] + hist_cols])
+    h = history.filter(F.col(key).isNotNull()).select(
         F.col(key), F.col("eff_from_ts").cast("timestamp").alias("_t"), F.lit(0).alias("_kind"),
         F.col("eff_to_ts").isNull().alias("_open"), F.col("eff_to_ts").alias("_end"), h_struct.alias("_h"),
+        F.lit(0).cast("bigint").alias("_tie"),
         *[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in ev_cols if c != key])
     e = events.select(
         F.col(key), F.col(ts_col).cast("timestamp").alias("_t"), F.lit(1).alias("_kind"),
         F.lit(None).cast("boolean").alias("_open"), F.lit(None).cast("timestamp").alias("_end"),
-        F.lit(None).cast(h.schema["_h"].dataType).alias("_h"),
+        F.lit(None).cast(h.schema["_h"].dataType).alias("_h"), F.xxhash64(*[F.col(c) for c in ev_cols]).alias("_tie"),
         *[F.col(c) for c in ev_cols if c != key])
-    on = [key, "_c", "_f"]
-    u = _with_buckets(h.unionByName(e), F.col("_t"), fine, coarse)
-    w = (Window.partitionBy(*on).orderBy("_t", "_kind", "_open", "_end")
+    order = [key, "_t", "_kind", "_open", "_end", "_tie"]
+    rows = in_ranges(h.unionByName(e), order)
+    w = (Window.partitionBy(RANGE).orderBy(*[F.col(c).asc_nulls_first() for c in order])
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    seen = u.withColumn("_cur_in", F.last("_h", ignorenulls=True).over(w)).filter(F.col("_kind") == 1)
-    last = u.groupBy(*on).agg(F.max(F.when(F.col("_kind") == 0, F.struct("_t", "_open", "_end", "_h")))
-                              .getField("_h").alias("_last"))
-    cur = F.coalesce(F.col("_cur_in"), F.col("_carry"))
-    valid = cur.isNotNull() & (cur.getField("eff_to_ts").isNull() | (F.col("_t") < cur.getField("eff_to_ts")))
-    return _join_null_safe(seen, _neighbour(last, key, "_last", "_carry"), on).select(
-        *[F.col(c) for c in ev_cols],
-        *[F.when(valid, cur.getField(c)).alias(c) for c in ["eff_from_ts"] + hist_cols])
+    last = rows.groupBy(RANGE).agg(F.max(F.when(F.col("_kind") == 0, F.struct(*order, "_h"))).getField("_h").alias("_last"))
+    seen = (rows.withColumn("_seen", F.last("_h", ignorenulls=True).over(w)).filter(F.col("_kind") == 1)
+            .join(_beside(last, "_last"), RANGE, "left"))
+    cur = F.coalesce("_seen", "_beside")
+    valid = (cur.getField("k") == F.col(key)) & (cur.getField("eff_to_ts").isNull() | (F.col("_t") < cur.getField("eff_to_ts")))
+    return seen.select(*[F.col(c) for c in ev_cols],
+                       *[F.when(valid, cur.getField(c)).alias(c) for c in ["eff_from_ts"] + hist_cols])
 
 
 def pick_max(df: DataFrame, group: list[str], order: list[Column], payload: list[str]) -> DataFrame:

@@ -1,10 +1,12 @@
-"""The windows of scd2_history / asof_join give the same rows whatever the bucket
-grains: fine buckets force many carries, a year bucket is one window per key.
+"""The ordered passes of scd2_history / asof_join give the same rows whatever the number of
+ranges: many ranges force many carries, one range is one window over all rows.
 A hot key and NULL keys hold a third of the rows each."""
 
 import datetime as dt
 import random
 
+import pytest
+
 from switchboard.operators import history as H
 
 
@@ -20,12 +22,20 @@ def _events(spark, n=600, seed=7):
     return spark.createDataFrame(rows, "k bigint, status string, ts timestamp, seq bigint")
 
 
-def _hist(df, fine="year", coarse="year"):
-    h = H.scd2_history(df, "k", "ts", ["status"], tie_col="seq", fine=fine, coarse=coarse)
+def _hist(df):
+    h = H.scd2_history(df, "k", "ts", ["status"], tie_col="seq")
     return h.select("history_id", "k", "status", "eff_from_ts", "eff_to_ts", "is_current")
 
 
-GRAINS = [("minute", "day"), ("minute", "hour"), ("hour", "day"), ("day", "year"), ("minute", "year")]
+RANGES = ["1", "3", "64"]
+
+
+@pytest.fixture(params=RANGES)
+def ranged(spark, request):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    yield spark
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def _rows(df):
@@ -48,12 +58,22 @@ def _brute(rows):
     return sorted(out, key=repr)
 
 
-def test_scd2_same_for_any_grains_and_as_a_plain_loop(spark):
-    df = _events(spark)
-    coarse = _rows(_hist(df))
-    assert sorted((r[1:] for r in coarse), key=repr) == _brute(map(tuple, df.collect()))
-    for fine, wide in GRAINS:
-        assert _rows(_hist(df, fine, wide)) == coarse
+def test_scd2_as_a_plain_loop(ranged):
+    df = _events(ranged)
+    assert sorted((r[1:] for r in _rows(_hist(df))), key=repr) == _brute(map(tuple, df.collect()))
+
+
+def test_one_instant_of_one_key_in_many_ranges(ranged):
+    t = dt.datetime(2024, 1, 1)
+    df = ranged.createDataFrame([(1, "AB"[i // 5 % 2], t, i) for i in range(300)], "k bigint, status string, ts timestamp, seq bigint")
+    assert sorted((r[1:] for r in _rows(_hist(df))), key=repr) == _brute(map(tuple, df.collect()))
+
+
+def test_one_full_shuffle(spark):
+    plan = _hist(_events(spark))._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.splitlines() if "Exchange" in x]
+    # what is left once the ranges are stored: one row per range
+    assert exchanges and all("SinglePartition" in x or "BroadcastExchange" in x for x in exchanges)
 
 
 def test_null_keys_collapse_across_days_and_ids_are_unique(spark):
@@ -61,23 +81,21 @@ def test_null_keys_collapse_across_days_and_ids_are_unique(spark):
     day = dt.timedelta(days=1)
     df = spark.createDataFrame([(None, "A", t, 1), (None, "A", t + day, 2), (5, "A", t, 3), (5, "B", t, 4), (5, "A", t, 5)],
                                "k bigint, status string, ts timestamp, seq bigint")
-    got = _hist(df, "minute", "day").collect()
+    got = _hist(df).collect()
     assert [(r.k, r.is_current) for r in got if r.k is None] == [(None, True)]
     assert len({r.history_id for r in got}) == len(got) == 4
 
 
-def test_asof_same_for_any_grains(spark):
-    df = _events(spark)
+def test_asof_as_a_plain_loop(ranged):
+    df = _events(ranged)
     hist = _hist(df).drop("history_id")
     rnd = random.Random(3)
-    probes = spark.createDataFrame(
-        [(rnd.choice([None, *range(14)]), dt.datetime(2023, 12, 31) + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 7)))
-         for _ in range(400)], "k bigint, at timestamp")
-
-    def run(fine, wide):
-        return _rows(H.asof_join(probes, hist, "k", "at", ["status"], fine=fine, coarse=wide))
-
-    coarse = run("year", "year")
-    assert any(r[2] is not None for r in coarse) and all(r[2] is None for r in coarse if r[0] is None)
-    for fine, wide in GRAINS:
-        assert run(fine, wide) == coarse
+    probes = [(rnd.choice([None, *range(14)]), dt.datetime(2023, 12, 31) + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 7)))
+              for _ in range(400)]
+    rows = [tuple(r) for r in hist.select("k", "status", "eff_from_ts", "eff_to_ts").collect()]
+    want = []
+    for k, at in probes:
+        found = [(s, x) for key, x, s, e in rows if k is not None and key == k and s <= at and (e is None or at < e)]
+        want.append((k, at, *(found[0] if found else (None, None))))
+    got = H.asof_join(ranged.createDataFrame(probes, "k bigint, at timestamp"), hist, "k", "at", ["status"])
+    assert _rows(got) == sorted(want, key=repr) and any(r[2] is not None for r in want)

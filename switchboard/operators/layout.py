@@ -211,15 +211,15 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def partition_values(spark: SparkSession, path: str, partition_col: str) -> list[str]:
-    """Partition values of a layout, from its directory listing (no data read)."""
+def partition_values(spark: SparkSession, path: str, partition_col: str, raw: bool = False) -> list[str]:
+    """Partition values of a layout, from its directory listing (no data read); ``raw``: as the folders spell them."""
     fs, root = _fs(spark, path)
     prefix = f"{partition_col}="
     out = []
     for st in fs.listStatus(root):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(prefix):
-            out.append(unquote(name[len(prefix):]))
+            out.append(name[len(prefix):] if raw else unquote(name[len(prefix):]))
     return sorted(out)
 
 
@@ -254,17 +254,55 @@ def drop_expired_partitions(spark: SparkSession, path: str, partition_col: str,
         return sorted(pool.map(delete, expired))
 
 
+def replace_partitions(spark: SparkSession, path: str, rows: DataFrame, partition_col: str,
+                       cluster_keys: list[str], touched: list[str] | None = None, grain: str = "day") -> list[str]:
+    """Put the partitions of ``rows`` in the place of those of a stored layout; other folders stay as they are.
+
+    ``rows`` may read the layout itself: it is evaluated once, into a folder of
+    its own, whose partition folders are then moved in (what Spark's dynamic
+    overwrite does at its commit). Partitions in ``touched`` that ``rows`` does
+    not have have become empty and are removed. Returns the folder values put
+    in place; only such values, one per partition, come to the driver.
+    """
+    apart = fresh_path(spark, "replace")
+    column = write_layout(rows, apart, partition_col, cluster_keys, grain)
+    fs, root = _fs(spark, path)
+    fs.mkdirs(root)
+    _, source = _fs(spark, apart)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    written = partition_values(spark, apart, column, raw=True) if fs.exists(source) else []
+    for value in sorted({*written, *map(_folder, touched or [])}):
+        fs.delete(place(root, f"{column}={value}"), True)
+        if value in written and not fs.rename(place(source, f"{column}={value}"), place(root, f"{column}={value}")):
+            raise OSError(f"cannot move {column}={value} to {path}")
+    return [unquote(v) for v in written]
+
+
+def _folder(value: str) -> str:
+    """Folder name of a partition value (dates and whole numbers need no escapes)."""
+    return NULL_PARTITION if value is None else str(value)
+
+
+def in_partitions(partition_col: str, folders: list[str]) -> Column:
+    """Filter on the partition column by folder values; prunes folders, as it reads no other column."""
+    known = [v for v in folders if v != NULL_PARTITION]
+    cond = F.col(partition_col).cast("string").isin(known) if known else F.lit(False)
+    return cond | F.col(partition_col).isNull() if len(known) < len(folders) else cond
+
+
 def refresh_aggregate(spark: SparkSession, fact_path: str, agg_path: str, delta: DataFrame,
                       partition_col: str, aggregate, fact_cluster: list[str],
                       agg_cluster: list[str], agg_partition: str | None = None,
                       agg_partition_of=None) -> list:
     """Incremental maintenance of an aggregate stored by partition.
 
-    1. The delta's day partitions replace those of the stored fact (dynamic
-       partition overwrite; other days are not touched).
+    1. The delta's day partitions replace those of the stored fact (other days
+       are not touched). The delta is evaluated once; its days are the folders
+       that it has left.
     2. The aggregate is recomputed from the stored fact for the touched
        aggregate partitions only (a partition filter on the fact scan) and
-       overwrites the same partitions of the stored aggregate.
+       replaces the same partitions of the stored aggregate; a touched one
+       that is not among the new ones has become empty.
 
     When the aggregate is partitioned at a coarser grain (``agg_partition``,
     e.g. ``week_start_date``), ``agg_partition_of`` maps the fact's partition
@@ -276,28 +314,18 @@ def refresh_aggregate(spark: SparkSession, fact_path: str, agg_path: str, delta:
     """
     agg_partition = agg_partition or partition_col
     to_agg = agg_partition_of or (lambda c: c)
-    values = [r[0] for r in delta.select(to_agg(F.col(partition_col)).alias("_p")).distinct().collect()]
+    days = replace_partitions(spark, fact_path, delta, partition_col, fact_cluster)
+    names = spark.createDataFrame([(None if d == NULL_PARTITION else d,) for d in days], f"{partition_col} string")
+    typed = names.select(F.col(partition_col).cast(delta.schema[partition_col].dataType).alias(partition_col))
+    values = [r[0] for r in typed.select(to_agg(F.col(partition_col)).alias("_p")).distinct().collect()]
     touched = sorted(v for v in values if v is not None)
-    write_layout(delta, fact_path, partition_col, fact_cluster, mode="overwrite")
     part = to_agg(F.col(partition_col))
     cond = part.isin(touched) if touched else F.lit(False)
     if len(touched) < len(values):           # the NULL partition is touched too
         cond = cond | part.isNull()
         touched = [*touched, None]
     fact = spark.read.schema(delta.schema).parquet(fact_path).filter(cond)
-    # the new partitions are laid out apart first: a touched one that is not among them has become empty
-    new_path = fresh_path(spark, "refresh")
-    result = aggregate(fact)
-    write_layout(result, new_path, agg_partition, agg_cluster)
-    written = set(partition_values(spark, new_path, agg_partition))
-    if written:
-        new = spark.read.schema(result.schema).parquet(new_path)
-        write_layout(new, agg_path, agg_partition, agg_cluster, mode="overwrite")
-    fs, root = _fs(spark, agg_path)
-    for value in touched:
-        folder = NULL_PARTITION if value is None else str(value)
-        if folder not in written:
-            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"{agg_partition}={folder}"), True)
+    replace_partitions(spark, agg_path, aggregate(fact), agg_partition, agg_cluster, touched)
     return touched
 
 

@@ -88,7 +88,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 # Word hashing: a random value per byte, weighted by powers of an odd base, modulo 2**64.
-_CHUNK = 1 << 20
+_CHUNK = 1 << 17
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BYTE = np.random.default_rng(5).integers(1, 2**64, 256, dtype=np.uint64)
@@ -161,6 +161,9 @@ def lean(rows: Callable) -> Callable:
     would hold what their largest task has needed."""
     @functools.wraps(rows)
     def run(batches: Iterator) -> Iterator:
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "mallopt"):
+            libc.mallopt(_MMAP_THRESHOLD, 1 << 20)  # larger blocks go back to the system as soon as they are free
         try:
             yield from rows(batches)
         finally:
@@ -168,6 +171,9 @@ def lean(rows: Callable) -> Callable:
     return run
 
 
+_MMAP_THRESHOLD = -3  # fixed value: M_MMAP_THRESHOLD of the C library
+
+
 def release_memory() -> None:
     """Give memory that this process does not use back to the system."""
     pa.default_memory_pool().release_unused()

@@ -344,7 +344,7 @@ def _rows(name: str, with_ids: bool):
                 ids = model.encode_text(text or "")
                 row = (ids.count(",") + 1 if ids else 0, sha256(ids.encode()).hexdigest(),
                        sha256(model.decode_text(ids).encode()).hexdigest())
-                out.append((*row, np.fromstring(ids, dtype=np.int32, sep=",")) if with_ids else row)
+                out.append((*row, ids) if with_ids else row)
             yield pd.DataFrame(out, columns=["n", "ids_sha256", "text_sha256"] + ["ids"] * with_ids)
 
     rows = lean(rows)
@@ -360,9 +360,12 @@ def encode_documents(docs: DataFrame, model_path: str, ids: bool = False) -> Dat
     context = docs.sparkSession.sparkContext
     context.addFile(model_path)
     name = model_path.rsplit("/", 1)[-1]
-    fields = "n long, ids_sha256 string, text_sha256 string" + (", ids array<int>" if ids else "")
+    fields = "n long, ids_sha256 string, text_sha256 string" + (", ids string" if ids else "")
     encode = F.pandas_udf(_rows(name, ids), fields)
     found, = free_names(docs, "_sp")
+    # ids travel as one text per row: lists of numbers are far larger in a worker
+    written = F.when(F.col(f"{found}.n") == 0, F.array().cast("array<int>")).otherwise(
+        F.split(f"{found}.ids", ",").cast("array<int>"))
     added = [F.col(f"{found}.n").alias("_sp_n"), F.col(f"{found}.ids_sha256").alias("_sp_ids_sha256"),
-             F.col(f"{found}.text_sha256").alias("_sp_text_sha256")] + ([F.col(f"{found}.ids").alias("_sp_ids")] if ids else [])
+             F.col(f"{found}.text_sha256").alias("_sp_text_sha256")] + ([written.alias("_sp_ids")] if ids else [])
     return docs.withColumn(found, encode("text")).select(*(F.col(f"`{c}`") for c in docs.columns if not c.startswith("_sp_")), *added)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from switchboard.functions import decode as X
+from switchboard.operators import intervals as IV
 from switchboard.operators import sessions as S
 from switchboard.sources.tables import table
 
@@ -34,9 +35,10 @@ SL_THRESHOLD_SEC = 20     # answered within service level when value < 20
 INTERVAL_MINUTES = 30     # fact_queue_interval bucket length
 QUEUE_SNAPSHOTS = (dt.date(2024, 1, 1), dt.date(2024, 1, 2))
 FEED_SPLIT_DATE = dt.date(2024, 1, 16)   # change feed: base before, delta from
-SCHEDULED_MINUTES = 480
-EXCEPTION_MINUTES_PER_ERROR = 5
-TIMEOFF_MINUTES_PER_SIGNUP = 5
+SHIFT_HOURS = 8                          # a shift on every day an agent has events, from 6 + agent % 12 o'clock
+OVERTIME_EVERY, OVERTIME_FROM, OVERTIME_TO = 3, 7, 10   # every third agent: overtime, in hours from the shift's start
+EXCEPTION_SEC = (900, 1800)              # an error is an exception from 15 minutes before it to 30 after it
+TIMEOFF_SEC = (3600, 3600)               # a signup is time off, an hour before and after it
 QA_MAX_POINTS = 50
 CHAT_TURN_MS = 30000
 SITE_PREFIX = "SITE_"
@@ -208,25 +210,27 @@ def fact_ticket(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def wfm_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    """Shifts, work, exceptions and time off as (agent_sk, kind, start_s, end_s)."""
+    ev = table(spark, sf, "events").select(
+        F.col("user_id").alias("agent_sk"), "event_type", X.epoch_seconds("ts").alias("t"), X.cents("value").alias("work"))
+
+    def of(kind: str, rows: DataFrame, start: Column, end: Column) -> DataFrame:
+        return rows.select("agent_sk", F.lit(kind).alias("kind"), start.alias("start_s"), end.alias("end_s"))
+
+    t, start = F.col("t"), F.col("_start")
+    shifts = ev.select("agent_sk", F.floor(t / IV.DAY).alias("_day")).distinct().withColumn(
+        "_start", F.col("_day") * IV.DAY + (6 + F.col("agent_sk") % 12) * 3600)
+    overtime = shifts.where(F.col("agent_sk") % OVERTIME_EVERY == 0)
+    return (of("scheduled", shifts, start, start + SHIFT_HOURS * 3600)
+            .unionByName(of("scheduled", overtime, start + OVERTIME_FROM * 3600, start + OVERTIME_TO * 3600))
+            .unionByName(of("worked", ev, t, t + F.col("work")))
+            .unionByName(of("exception", ev.where("event_type = 'error'"), t - EXCEPTION_SEC[0], t + EXCEPTION_SEC[1]))
+            .unionByName(of("timeoff", ev.where("event_type = 'signup'"), t - TIMEOFF_SEC[0], t + TIMEOFF_SEC[1])))
+
+
 def fact_adherence_daily(spark: SparkSession, sf: str) -> DataFrame:
-    fa = fact_agent_activity(spark, sf)
-    return (
-        fa.groupBy("agent_sk", "event_date")
-        .agg(
-            F.sum("state_seconds").alias("secs"),
-            F.sum(F.when(F.col("state_code") == "AVAIL", F.col("occurrence_count")).otherwise(0)).alias("errors"),
-            F.sum(F.when(F.col("state_code") == "AUX2", F.col("occurrence_count")).otherwise(0)).alias("signups"),
-        )
-        .select(
-            "agent_sk",
-            F.lit(SCHEDULED_MINUTES).cast("bigint").alias("scheduled_minutes"),
-            F.least(F.floor(F.col("secs") / 60).cast("bigint"), F.lit(SCHEDULED_MINUTES).cast("bigint"))
-            .alias("worked_minutes"),
-            (F.col("errors") * EXCEPTION_MINUTES_PER_ERROR).alias("exception_minutes"),
-            (F.col("signups") * TIMEOFF_MINUTES_PER_SIGNUP).alias("timeoff_minutes"),
-            "event_date",
-        )
-    )
+    return IV.adherence_minutes(wfm_intervals(spark, sf))
 
 
 # --------------------------------------------------------------------------

@@ -96,15 +96,29 @@ BINDINGS["fact_ticket"] = """
   FROM orders LEFT JOIN (SELECT l_orderkey, MIN(l_shipdate) AS resolved_ts FROM lineitem GROUP BY l_orderkey) fs
     ON o_orderkey = fs.l_orderkey"""
 
+# Stretches between neighbouring edges of an agent's day; active is what covers a whole stretch.
 BINDINGS["fact_adherence_daily"] = """
-  SELECT agent_sk, CAST(480 AS BIGINT) AS scheduled_minutes,
-         LEAST(CAST(floor(secs / 60) AS BIGINT), CAST(480 AS BIGINT)) AS worked_minutes,
-         CAST(errors * 5 AS BIGINT) AS exception_minutes, CAST(signups * 5 AS BIGINT) AS timeoff_minutes,
-         event_date
-  FROM (SELECT agent_sk, event_date, SUM(state_seconds) AS secs,
-               SUM(CASE WHEN state_code = 'AVAIL' THEN occurrence_count ELSE 0 END) AS errors,
-               SUM(CASE WHEN state_code = 'AUX2' THEN occurrence_count ELSE 0 END) AS signups
-        FROM fact_agent_activity GROUP BY agent_sk, event_date) a"""
+  WITH e AS (SELECT user_id AS a, event_type AS kind, epoch_us(ts) // 1000000 AS t, CAST(ROUND(value * 100) AS BIGINT) AS work
+             FROM events),
+  shift AS (SELECT a, d * 86400 + (6 + a % 12) * 3600 AS s FROM (SELECT DISTINCT a, t // 86400 AS d FROM e) x),
+  iv AS (SELECT a, 'S' AS kind, s, s + 28800 AS z FROM shift
+         UNION ALL SELECT a, 'S', s + 25200, s + 36000 FROM shift WHERE a % 3 = 0
+         UNION ALL SELECT a, 'W', t, t + work FROM e
+         UNION ALL SELECT a, 'X', t - 900, t + 1800 FROM e WHERE kind = 'error'
+         UNION ALL SELECT a, 'T', t - 3600, t + 3600 FROM e WHERE kind = 'signup'),
+  cut AS (SELECT a, kind, d, greatest(s, d * 86400) AS s, least(z, (d + 1) * 86400) AS z
+          FROM (SELECT *, unnest(range(s // 86400, (z - 1) // 86400 + 1)) AS d FROM iv WHERE z > s) x),
+  edge AS (SELECT a, d, s AS t FROM cut UNION SELECT a, d, z FROM cut),
+  seg AS (SELECT *, lead(t) OVER (PARTITION BY a, d ORDER BY t) AS u FROM edge),
+  act AS (SELECT seg.a, seg.d, u - t AS len, bool_or(kind = 'S') AS s, bool_or(kind = 'W') AS w, bool_or(kind = 'X') AS x,
+                 bool_or(kind = 'T') AS o
+          FROM seg JOIN cut ON seg.a = cut.a AND seg.d = cut.d AND cut.s <= t AND cut.z >= u GROUP BY seg.a, seg.d, t, u)
+  SELECT a AS agent_sk, CAST(coalesce(SUM(len) FILTER (s), 0) // 60 AS BIGINT) AS scheduled_minutes,
+         CAST(coalesce(SUM(len) FILTER (s AND w), 0) // 60 AS BIGINT) AS worked_minutes,
+         CAST(coalesce(SUM(len) FILTER (s AND x AND NOT o), 0) // 60 AS BIGINT) AS exception_minutes,
+         CAST(coalesce(SUM(len) FILTER (s AND o), 0) // 60 AS BIGINT) AS timeoff_minutes,
+         DATE '1970-01-01' + CAST(d AS INTEGER) AS event_date
+  FROM act GROUP BY a, d"""
 
 BINDINGS["stg_tel_call"] = """
   SELECT event_id AS call_id, '+1555' || lpad(CAST(user_id AS VARCHAR), 7, '0') AS ani,
@@ -136,7 +150,6 @@ BINDINGS["feed_base"] = "SELECT * FROM change_feed WHERE extract_ts < DATE '2024
 BINDINGS["feed_delta"] = "SELECT * FROM change_feed WHERE extract_ts >= DATE '2024-01-16'"
 
 DEPENDS = {
-    "fact_adherence_daily": ["fact_agent_activity"],
     "feed_base": ["change_feed"],
     "feed_delta": ["change_feed"],
 }

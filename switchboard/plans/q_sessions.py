@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from switchboard.functions import decode as X
 from switchboard.operators import dimensions as D
+from switchboard.operators import intervals as IV
 from switchboard.operators import sessions as S
 from switchboard.plans import bindings as B
 from switchboard.plans.catalog import register
@@ -230,9 +231,67 @@ def agent_activity_daily(spark, sf):
     return B.fact_agent_activity(spark, sf)
 
 
-@register("queue_interval", with_ctes("SELECT * FROM fact_queue_interval", "fact_queue_interval"))
+# A call waits ``value`` seconds and is handled for ``value`` * 40 more, which may take it over several half hours.
+HANDLE_PER_WAIT = 40
+C16_SQL = f"""
+WITH c AS (SELECT user_id % {B.QUEUE_COUNT} AS q, epoch_us(ts) // 1000000 AS t, event_type = 'error' AS lost,
+                  CAST(ROUND(value * 100) AS BIGINT) AS w FROM events),
+talk AS (SELECT q, t + w // 100 AS s, t + w // 100 + w * {HANDLE_PER_WAIT} // 100 AS z FROM c WHERE NOT lost),
+cut AS (SELECT q, slot, least(z, (slot + 1) * 1800) - greatest(s, slot * 1800) AS sec
+        FROM (SELECT *, unnest(range(s // 1800, (z - 1) // 1800 + 1)) AS slot FROM talk WHERE z > s) x),
+h AS (SELECT q, slot, SUM(sec) AS sec, COUNT(*) AS calls FROM cut GROUP BY ALL),
+o AS (SELECT q, t // 1800 AS slot, COUNT(*) AS offered, COUNT(*) FILTER (NOT lost) AS answered, COUNT(*) FILTER (lost) AS abandoned,
+             COUNT(*) FILTER (NOT lost AND w < {100 * B.SL_THRESHOLD_SEC}) AS in_sl, coalesce(SUM(w) FILTER (NOT lost), 0) AS wait
+      FROM c GROUP BY ALL)
+SELECT q AS queue_sk, make_timestamp(slot * 1800000000) AS interval_start_ts, coalesce(offered, 0) AS offered,
+       coalesce(answered, 0) AS answered, coalesce(abandoned, 0) AS abandoned, coalesce(in_sl, 0) AS answered_in_sl,
+       CAST({B.SL_THRESHOLD_SEC} AS BIGINT) AS sl_threshold_sec,
+       {exact_ratio("wait", "answered * 100", 2, 8)} AS avg_speed_answer_sec, {exact_ratio("sec", "calls", 2, 8)} AS avg_handle_sec,
+       CAST(make_timestamp(slot * 1800000000) AS DATE) AS event_date
+FROM o FULL JOIN h USING (q, slot)"""
+
+
+@register("queue_interval", C16_SQL)
 def queue_interval(spark, sf):
-    return B.fact_queue_interval(spark, sf)
+    wait, at = X.cents("value"), X.epoch_seconds("ts")
+    calls = table(spark, sf, "events").select(
+        (F.col("user_id") % B.QUEUE_COUNT).alias("queue_sk"), at.alias("call_s"), (F.col("event_type") == "error").alias("abandoned"),
+        wait.alias("wait_cents"), (at + F.floor(wait / 100) + F.floor(wait * HANDLE_PER_WAIT / 100)).alias("end_s"))
+    return IV.queue_interval_measures(calls, B.INTERVAL_MINUTES, B.SL_THRESHOLD_SEC)
+
+
+# ---------------------------------------------------------------- C14: replies and exceptions
+# A thread per user; purchases are the agent's messages, anything else the customer's.
+REPLY_SLA_MINUTES = 1440
+
+
+@register("reply_sla_minutes", f"""
+WITH m AS (SELECT user_id AS thread, event_id AS message_id, epoch_us(ts) // 1000000 AS sent_s, event_type <> 'purchase' AS asks FROM events),
+r AS (SELECT *, min(CASE WHEN NOT asks THEN sent_s END) OVER (PARTITION BY thread ORDER BY sent_s
+        RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS reply_s FROM m)
+SELECT thread, message_id, sent_s, reply_s, (reply_s - sent_s) // 60 AS reply_minutes,
+       (reply_s - sent_s) // 60 > {REPLY_SLA_MINUTES} AS sla_breached_flag
+FROM r WHERE asks""")
+def reply_sla_minutes(spark, sf):
+    messages = table(spark, sf, "events").select(
+        F.col("user_id").alias("thread"), F.col("event_id").alias("message_id"), X.epoch_seconds("ts").alias("sent_s"),
+        (F.col("event_type") != "purchase").alias("from_customer"))
+    return IV.reply_minutes(messages, REPLY_SLA_MINUTES)
+
+
+@register("exception_minutes", """
+SELECT event_id AS adherence_event_id, user_id AS agent_id, ts AS start_ts, ts + to_microseconds(CAST(ROUND(value * 100) AS BIGINT) * 1000000) AS end_ts,
+       (epoch_us(ts) // 1000000 + CAST(ROUND(value * 100) AS BIGINT) - epoch_us(ts) // 1000000) // 60 AS exception_minutes,
+       event_id % 2 = 0 AS approved_flag, CAST(ts AS DATE) AS event_date
+FROM events WHERE event_type = 'error'""")
+def exception_minutes(spark, sf):
+    """ods_adherence_event: an error is an exception for ``value`` * 100 seconds."""
+    ev = table(spark, sf, "events").where("event_type = 'error'").withColumn("start_ts", X.as_instant("ts"))
+    end = F.timestamp_micros(F.unix_micros("start_ts") + X.cents("value") * 1_000_000)
+    return ev.withColumn("end_ts", end).select(
+        F.col("event_id").alias("adherence_event_id"), F.col("user_id").alias("agent_id"), "start_ts", "end_ts",
+        S.minutes_between(F.col("start_ts"), F.col("end_ts")).alias("exception_minutes"),
+        (F.col("event_id") % 2 == 0).alias("approved_flag"), F.to_date("start_ts").alias("event_date"))
 
 
 @register("billing_lines", with_ctes("SELECT * FROM fact_billing_line", "fact_billing_line"))

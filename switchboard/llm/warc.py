@@ -34,7 +34,7 @@ import base64
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +45,7 @@ from switchboard.session import fresh_path
 
 MIN_REVISIT = 1000
 ARCHIVE_BYTES = 32 << 20
+MAX_HEAD = 1 << 20               # longer headers are damage
 MAGIC = b"\x1f\x8b\x08"
 CUT_OFF = "member is cut off"
 #: A gzip member without content: the separator between records in the files.
@@ -55,15 +56,34 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 # ---- reading ----
 
-def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int] | str:
+def head_ends(data: bytes) -> Callable[[int], int]:
+    """A function from a place to the next end of headers, or -1; it remembers that end for the places before it, so
+    that a search from every version line of damaged bytes reads them once."""
+    start, end = 0, -2
+
+    def find(at: int) -> int:
+        nonlocal start, end
+        if end == -2 or not (start <= at and (at <= end or end == -1)):
+            start, end = at, data.find(b"\r\n\r\n", at)
+        return end
+
+    return find
+
+
+def parse_record(data: bytes, at: int, head_end: Callable[[int], int] | None = None) -> tuple[dict[str, str], bytes, int] | str:
     """(headers, block, end) of the record at ``at``, or the reason why there is none."""
-    if not _VERSION.match(data, at):
+    first = _VERSION.match(data, at)
+    if not first:
         return "no version line"
-    end = data.find(b"\r\n\r\n", at)
-    if end < 0:
+    end = (head_end or head_ends(data))(at)
+    if end < 0 or end - at > MAX_HEAD:
         return "headers do not end"
     headers: dict[str, str] = {}
-    for line in data[at:end].split(b"\r\n")[1:]:
+    line_at = first.end()
+    while line_at < end:
+        # line by line: what is no header ends the attempt before the rest is read
+        stop = data.find(b"\r\n", line_at, end + 2)
+        line, line_at = data[line_at:stop], stop + 2
         name, colon, value = line.partition(b":")
         if not colon or not name.strip():
             return "malformed header"
@@ -106,9 +126,9 @@ def _digest_holds(stated: str, body: bytes) -> bool:
 
 def read_plain(data: bytes) -> Iterator[tuple]:
     """Records and gaps of uncompressed bytes: ("record", offset, length, headers, block) or ("gap", offset, length, reason)."""
-    at, bad, reason = 0, None, ""
+    at, bad, reason, head_end = 0, None, "", head_ends(data)
     while at < len(data):
-        found = parse_record(data, at)
+        found = parse_record(data, at, head_end)
         if isinstance(found, str):
             if bad is None:
                 bad, reason = at, found
@@ -174,11 +194,11 @@ def read_archive(data: bytes) -> Iterator[tuple]:
 
     After a failed check the nearer of the next gzip magic and the next version line is tried.
     """
-    at, bad, reason = 0, None, ""
+    at, bad, reason, head_end = 0, None, "", head_ends(data)
     magic = version = -1
     while at < len(data):
         zipped = data.startswith(MAGIC, at)
-        found = _member(data, at) if zipped else parse_record(data, at)
+        found = _member(data, at) if zipped else parse_record(data, at, head_end)
         inside = list(read_plain(found[0])) if zipped and not isinstance(found, str) else []
         if isinstance(found, str) or (inside and all(x[0] == "gap" for x in inside)):
             if bad is None:
@@ -190,7 +210,7 @@ def read_archive(data: bytes) -> Iterator[tuple]:
                 line = _VERSION.search(data, max(at, version) + 1)
                 version = line.start() if line else len(data)
                 # bytes that a broken member stores as they are belong to it
-                end = data.find(b"\r\n\r\n", version)
+                end = head_end(version) if line and head_end(version) - version <= MAX_HEAD else -1
                 seen = content.find(data[version:end + 4], seen) + 1 if line and content and end >= 0 else 0
             # after a sound member go on behind it; after a failed check at the next start
             following = min(magic, version) if isinstance(found, str) else found[1]

@@ -169,3 +169,20 @@ def test_the_table_and_a_damaged_archive(corpus, tmp_path):
     assert sum(r.kind == "record" for r in got) == pages.count() - 1
     (gap,) = [r for r in got if r.kind == "gap"]
     assert (gap.offset, gap.length) == (hit[1], hit[2]) and gap.path.endswith("a.warc.gz") and gap.reason
+
+
+def test_damage_full_of_version_lines_is_read_once():
+    import time
+    from switchboard.llm.warc import read_archive, read_plain
+    record = b"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    for junk in (b"WARC/1.0\r\n", b"WARC/1.1\r\nA: b\r\n", b"WARC/1.0\r\nx: WARC/1.1\r\n"):
+        took = []
+        for n in (50_000, 200_000):
+            data = junk * (n // len(junk)) + record
+            began = time.perf_counter()
+            for read in (read_plain, read_archive):
+                found = list(read(data))
+                assert [x[0] for x in found][-1] == "record" and found[-1][4] == b"abc"
+            took.append(time.perf_counter() - began)
+        assert took[1] < 8 * took[0] + 1
+    assert [x[0] for x in read_plain(b"WARC/1.1\r\n" * 100_000)] == ["gap"]

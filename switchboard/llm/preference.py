@@ -15,7 +15,7 @@ position and then per pair, which gathers no conversation.
 
 Defined results
   null role or text          like an empty one
-  null turn                  comes first; equal turn numbers are ordered by role and content
+  null turn                  comes first; equal turn numbers are ordered by role and digest of the rendered turn
   null pair id               part ``unpaired``, nothing to train on, position null
   one side only              no prompt, all turns are that side's completion, ``paired`` is false
   equal conversations        all turns are the prompt
@@ -27,7 +27,7 @@ Defined results
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from switchboard.llm.common import settle
@@ -41,7 +41,7 @@ def format_pairs(turns: DataFrame) -> DataFrame:
     """One row per rendered turn from the columns pair_id, rejected (boolean), turn, role, text."""
     own = turns.select("pair_id", F.coalesce("rejected", F.lit(False)).cast("int").alias("side"), "turn",
                        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rendered = F.concat(F.lit(OPEN), F.col("role"), F.lit(CLOSE), F.col("text"), F.lit(END))
+    rendered = _rendered(F.col("role"), F.col("text"))
     own = own.withColumn("rendered", rendered).withColumn("digest", F.sha2(rendered, 256)).withColumn(
         "head", F.char_length("role") + len(OPEN + CLOSE))
     ordered = settle(numbered(own.drop("text").where("pair_id IS NOT NULL"), ["pair_id", "side", "turn", "role", "digest"]),
@@ -83,6 +83,31 @@ def assemble(formatted: DataFrame) -> DataFrame:
                         spans.alias("spans"))
 
 
+def _rendered(role: Column, text: Column) -> Column:
+    return F.concat(F.lit(OPEN), F.coalesce(role, F.lit("")), F.lit(CLOSE), F.coalesce(text, F.lit("")), F.lit(END))
+
+
+def replaced_answers(conversations: DataFrame) -> DataFrame:
+    """Pairs that share their turns up to the last answer: a conversation, chosen, and the same turns with its last
+    assistant turn taken from the next conversation that has one (the last takes the first's), rejected.
+
+    The last of several assistant turns of one number is that with the largest digest; rows equal to it are replaced
+    with it. A conversation without an assistant turn has no rejected side.
+    """
+    turns = conversations.select(F.col("conv_id").cast("long").alias("pair_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    place = F.struct("turn", F.sha2(_rendered(F.col("role"), F.col("text")), 256).alias("digest"))
+    answers = settle(turns.where((F.col("role") == TRAINED_ROLE) & F.col("pair_id").isNotNull()).groupBy("pair_id").agg(
+        F.max(F.struct(place.alias("place"), "text")).alias("last")), "preference-answers")
+    ranked = settle(numbered(answers, ["pair_id"]), "preference-ranked")
+    n = F.lit(ranked.count())
+    taken = settle(ranked.select("pair_id", F.col("last.place").alias("place"), F.pmod(F.col("number") + 1, n).alias("number")).join(
+        ranked.select("number", F.col("last.text").alias("other")), "number").drop("number"), "preference-taken")
+    last = (F.col("role") == TRAINED_ROLE) & place.eqNullSafe(F.col("place"))
+    rejected = settle(turns, "preference-turns").join(taken, "pair_id").select(
+        "pair_id", F.lit(True).alias("rejected"), "turn", "role", F.when(last, F.col("other")).otherwise(F.col("text")).alias("text"))
+    return turns.select("pair_id", F.lit(False).alias("rejected"), "turn", "role", "text").unionByName(rejected)
+
+
 def adjacent_pairs(conversations: DataFrame) -> DataFrame:
     """Turns of conversations paired by id: 2k is the chosen one of pair k, 2k + 1 the rejected one."""
     conv = F.col("conv_id").cast("long")

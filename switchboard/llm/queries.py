@@ -70,10 +70,17 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _PREFERENCE_SQL = """
-WITH t AS (SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, coalesce(role, '') AS role,
-                  '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10) AS rendered,
-                  row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS position
-           FROM conversations),
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, text,
+                  '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10) AS rendered FROM conversations),
+answers AS (SELECT conv_id, turn, text, rendered FROM c WHERE role = 'assistant'
+            QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, sha256(rendered) DESC) = 1),
+taken AS (SELECT conv_id, turn, rendered, CASE WHEN row_number() OVER w < count(*) OVER () THEN lead(text) OVER w
+                 ELSE first_value(text) OVER w END AS other FROM answers WINDOW w AS (ORDER BY conv_id)),
+halves AS (SELECT conv_id AS pair_id, 0 AS side, turn, role, rendered FROM c
+         UNION ALL SELECT c.conv_id, 1, c.turn, role, CASE WHEN role = 'assistant' AND c.turn = t.turn AND c.rendered = t.rendered
+                   THEN '<|assistant|>' || chr(10) || coalesce(other, '') || chr(10) ELSE c.rendered END
+         FROM c JOIN taken t ON c.conv_id = t.conv_id),
+t AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn, role, sha256(rendered)) - 1 AS position FROM halves),
 places AS (SELECT pair_id, position, count(DISTINCT side) = 2 AND min(rendered) = max(rendered) AS agree FROM t GROUP BY ALL),
 prefix AS (SELECT pair_id, coalesce(min(position) FILTER (NOT agree), max(position) + 1) AS n FROM places GROUP BY ALL),
 sides AS (SELECT pair_id, count(DISTINCT side) = 2 AS paired FROM t GROUP BY ALL)
@@ -86,8 +93,9 @@ FROM t JOIN prefix USING (pair_id) JOIN sides USING (pair_id) WHERE position >=
 
 @query("op2_preference_pairs", _PREFERENCE_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations, paired by neighbouring ids, as prompts and masked completions, one row per rendered turn."""
-    return preference.format_pairs(preference.adjacent_pairs(table(spark, sf_dir, "conversations")))
+    """Every conversation with its last answer against that of the next one: prompts of all turns before it, and masked
+    completions, one row per rendered turn."""
+    return preference.format_pairs(preference.replaced_answers(table(spark, sf_dir, "conversations")))
 
 
 @query("op3_sentencepiece")

@@ -66,3 +66,21 @@ def test_assembled_parts_and_spans(corpus):
     for part, want in (("chosen", "good\n"), ("rejected", "bad\n")):
         (span,) = got[part].spans
         assert got[part].text[span.start:span.end] == want
+
+
+def test_last_answers_are_replaced(corpus):
+    own = [(1, 0, "user", "q"), (1, 1, "assistant", "a1"), (1, 2, "user", "r"), (1, 3, "assistant", "b1"), (1, 4, "user", "s"),
+           (3, 0, "user", "q3"), (5, 0, "user", "q"), (5, 1, "assistant", None), (7, 0, "user", "q7"), (7, 9, "assistant", "c7"),
+           (7, 9, "assistant", "d7"), (7, None, "assistant", "first"), (None, 0, "assistant", "nobody")]
+    pairs = P.replaced_answers(frame(corpus, own))
+    got = sorted(((r.pair_id, r.turn, r.role, r.text) for r in pairs.where("rejected").collect()), key=repr)
+    last = max(("c7", "d7"), key=lambda t: __import__("hashlib").sha256(f"<|assistant|>\n{t}\n".encode()).hexdigest())
+    other = ({"c7", "d7"} - {last}).pop()
+    assert got == sorted([(1, 0, "user", "q"), (1, 1, "assistant", "a1"), (1, 2, "user", "r"), (1, 3, "assistant", None), (1, 4, "user", "s"),
+                          (5, 0, "user", "q"), (5, 1, "assistant", last), (7, 0, "user", "q7"), (7, 9, "assistant", "b1"),
+                          (7, 9, "assistant", other), (7, None, "assistant", "first")], key=repr)
+    assert sorted(map(repr, pairs.where("NOT rejected").select("pair_id", "turn", "role", "text").collect())) == sorted(
+        map(repr, frame(corpus, own).select(*"conv_id turn role text".split()).withColumnRenamed("conv_id", "pair_id").collect()))
+    parts = {(r.pair_id, r.part, r.position) for r in P.format_pairs(pairs).where("pair_id = 1").collect()}
+    assert parts == {(1, "prompt", 0), (1, "prompt", 1), (1, "prompt", 2), (1, "chosen", 3), (1, "chosen", 4), (1, "rejected", 3), (1, "rejected", 4)}
+    assert P.format_pairs(P.replaced_answers(frame(corpus, []))).collect() == []

@@ -41,9 +41,9 @@ from switchboard.llm.common import free_names, lean
 SPACE = "▁"
 # Types of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHED_SEGMENTS = 300_000
+CACHED_SEGMENTS = 100_000
 CACHED_CHARS = 64
-CACHED_PAIRS = 300_000
+CACHED_PAIRS = 100_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:

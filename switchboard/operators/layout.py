@@ -164,14 +164,15 @@ def _publish(spark: SparkSession, pointer: str, build: str) -> str:
     return build
 
 
-def materialized_path(spark: SparkSession, name: str, sf_dir: str, sources: list[str], df: DataFrame,
+def materialized_path(spark: SparkSession, name: str, sf_dir: str, sources: list[str], build_rows,
                       partition_col: str | None, cluster_keys: list[str], grain: str = "day",
                       version: str = "") -> str:
     """Location of a warehouse table in the shared folder, written once per input and code version.
 
     Every build writes a folder of its own; a pointer file, created by one
     build only, names the folder that counts. Nothing is renamed or deleted,
-    so concurrent builds cannot disturb each other.
+    so concurrent builds cannot disturb each other. ``build_rows`` is the rows,
+    or a function that gives them and is called only where there is no table yet.
     """
     fp = source_fingerprint(spark, sf_dir, sources, f"{version}|{partition_col}|{grain}|{cluster_keys}")
     base = table_path(spark, "warehouse", f"{name}-{fp}")
@@ -180,18 +181,32 @@ def materialized_path(spark: SparkSession, name: str, sf_dir: str, sources: list
     if path is None:
         build = f"{base}-{uuid.uuid4().hex[:12]}"
         # static overwrite, so the committer leaves _SUCCESS at the root
-        write_layout(df, build, partition_col, cluster_keys, grain, dynamic=False)
+        write_layout(build_rows() if callable(build_rows) else build_rows, build, partition_col, cluster_keys, grain, dynamic=False)
         path = _publish(spark, pointer, build)
     return path
 
 
+_SCHEMAS: dict = {}  # declared schemas of the warehouse tables, by name and code version
+
+
 def materialized(spark: SparkSession, name: str, sf_dir: str, sources: list[str], build,
                  partition_col: str | None, cluster_keys: list[str], grain: str = "day",
                  version: str = "") -> DataFrame:
-    """A warehouse table laid out in the shared folder, written once per input and code version."""
-    df = build()
-    schema = df.schema
-    path = materialized_path(spark, name, sf_dir, sources, df, partition_col, cluster_keys, grain, version)
+    """A warehouse table laid out in the shared folder, written once per input and code version.
+
+    Some builds store rows of their own, so the rows are asked for only for a new table, and once for the schema.
+    """
+    made: list[DataFrame] = []
+
+    def rows() -> DataFrame:
+        if not made:
+            made.append(build())
+        return made[0]
+
+    path = materialized_path(spark, name, sf_dir, sources, rows, partition_col, cluster_keys, grain, version)
+    if (name, version) not in _SCHEMAS:
+        _SCHEMAS[name, version] = rows().schema
+    schema = _SCHEMAS[name, version]
     out = spark.read.parquet(path)
     # keep the declared column order; the derived partition column stays last
     extra = [c for c in out.columns if c not in schema.names]

@@ -102,7 +102,8 @@ GROUP BY x.path""", *KEY_PATHS, *[t for t, _ in PARENTS.values()]).replace("\n,
 def fk_orphans(spark, sf):
     children = parents = None
     for t, paths in KEY_PATHS.items():
-        rows = K.key_paths(getattr(B, t)(spark, sf) if hasattr(B, t) else wh(spark, sf, t), paths)
+        # the stored tables: only the key columns are read, and no binding is computed again
+        rows = K.key_paths(wh(spark, sf, t) if t in W.SPECS else getattr(B, t)(spark, sf), paths)
         children = rows if children is None else children.unionByName(rows)
     for p, paths in _parent_paths().items():
         name, key = PARENTS[p]

@@ -136,7 +136,7 @@ def _code_version() -> str:
 
         h = hashlib.sha1()
         for mod in ("switchboard.plans.bindings", "switchboard.plans.warehouse", "switchboard.operators.history",
-                    "switchboard.operators.aggregates", "switchboard.operators.sessions",
+                    "switchboard.operators.aggregates", "switchboard.operators.sessions", "switchboard.operators.intervals",
                     "switchboard.functions.decode", "switchboard.operators.layout"):
             try:
                 h.update(inspect.getsource(sys.modules[mod]).encode())
@@ -151,7 +151,7 @@ _CODE_VERSION: str | None = None
 
 def wh_path(spark: SparkSession, sf: str, name: str) -> str:
     s = SPECS[name]
-    return materialized_path(spark, name, sf, list(s.sources), s.build(spark, sf), s.partition,
+    return materialized_path(spark, name, sf, list(s.sources), lambda: s.build(spark, sf), s.partition,
                              list(s.cluster), s.grain, _code_version())
 
 

@@ -347,7 +347,7 @@ def _rows(name: str, with_ids: bool):
                 out.append((*row, ids) if with_ids else row)
             yield pd.DataFrame(out, columns=["n", "ids_sha256", "text_sha256"] + ["ids"] * with_ids)
 
-    rows = lean(rows)
+    rows = lean(rows, at_once=with_ids)  # rows with ids are large
     rows.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     return rows
 

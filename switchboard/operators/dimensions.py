@@ -3,7 +3,8 @@
 Surrogate keys are ``xxhash64`` of a namespace and the natural key rather
 than a global ``row_number()``: a global numbering needs one ordered
 partition (the whole dimension in one task), a hash is computed row by row
-and is stable across rebuilds. Collisions of a 64-bit hash are ignored.
+and is stable across rebuilds. Collisions of a 64-bit hash are ignored here;
+``key_registry`` gives keys without collisions from a stored registry.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from switchboard.operators.history import pick_max
+from switchboard.session import fresh_path
 
 
 def with_surrogate_key(dim: DataFrame, sk_col: str, natural_key: list[str], namespace: str) -> DataFrame:
@@ -65,25 +67,55 @@ def org_units(region: DataFrame, nation: DataFrame, supplier: DataFrame) -> Data
     return root.unionByName(regions).unionByName(nations).unionByName(sites)
 
 
+def org_paths(units: DataFrame, unit: str = "org_unit_id", parent: str = "parent_unit_id",
+              name: str = "unit_name", carry: list[str] | None = None) -> DataFrame:
+    """(unit, ``carry`` columns, path, is_cyclic): the names from the root down to each unit, at any depth.
+
+    Pointer doubling: a unit knows the names of a stretch above it and the unit
+    that stands above the stretch; each round puts the stretch of that unit in
+    front, so lengths double and a tree of depth d takes about log2(d) rounds,
+    where a join per level takes d. Every round is one join on the unit id and
+    is written to the shared folder, so the plan does not grow.
+
+    In every round the units that are nearest to the root among the open ones
+    end. A round in which no unit ends shows that the open ones stand on a
+    cycle of parents or below one: their ``path`` is NULL and ``is_cyclic`` true.
+    A parent that is not among the units ends a path, like a NULL parent. Unit
+    ids are unique, but for NULL ones, which no unit has as its parent.
+    """
+    spark, kept = units.sparkSession, [unit, *(carry or [])]
+
+    def stored(df: DataFrame) -> DataFrame:
+        path = fresh_path(spark, "org-paths")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    ids = units.select(F.col(unit).alias("_known"))
+    cur = stored(units.join(ids, F.col(parent) == F.col("_known"), "left")
+                 .select(*kept, F.col("_known").alias("_above"), F.array(name).alias("path")))
+    is_open = F.col("_above").isNotNull()
+    left = cur.where(is_open).count()
+    while left:
+        top = cur.select(F.col(unit).alias("_above"), F.col("_above").alias("_next"), F.col("path").alias("_front"))
+        # only open units meet the join; the others would all meet at NULL
+        longer = cur.where(is_open).join(top, "_above").select(
+            *kept, F.col("_next").alias("_above"), F.concat("_front", "path").alias("path"))
+        cur = stored(longer.unionByName(cur.where(~is_open)))
+        before, left = left, cur.where(is_open).count()
+        if left == before:
+            break
+    return cur.select(*kept, F.when(~is_open, F.col("path")).alias("path"), is_open.alias("is_cyclic"))
+
+
 def flatten_org(units: DataFrame, depth: int = 4) -> DataFrame:
     """Each unit with the names on its path from the root, as level1..levelN.
 
-    Fixed depth: N-1 self left joins on the parent pointer (no recursion).
-    Each join meets exactly one parent row per child, so a parent with a
-    huge number of children does not multiply rows.
+    Level 1 is the root whatever the unit's depth; names below level N are in
+    ``org_paths`` only. Units on or below a cycle have no levels.
     """
-    cur = units.select("org_unit_id", "unit_code", "unit_name", "unit_type",
-                       F.col("parent_unit_id").alias("_p1"), F.array("unit_name").alias("_path"))
-    for i in range(1, depth):
-        parent = units.select(F.col("org_unit_id").alias(f"_p{i}"),
-                              F.col("parent_unit_id").alias(f"_p{i + 1}"),
-                              F.col("unit_name").alias(f"_n{i}"))
-        cur = (cur.join(parent, f"_p{i}", "left")
-               .withColumn("_path", F.when(F.col(f"_n{i}").isNotNull(),
-                                           F.concat(F.array(f"_n{i}"), F.col("_path"))).otherwise(F.col("_path")))
-               .drop(f"_p{i}", f"_n{i}"))
-    levels = [F.get(F.col("_path"), i).alias(f"level{i + 1}_name") for i in range(depth)]
-    return cur.select("org_unit_id", "unit_code", "unit_name", "unit_type", *levels)
+    shown = ["unit_code", "unit_name", "unit_type"]
+    levels = [F.get(F.col("path"), i).alias(f"level{i + 1}_name") for i in range(depth)]
+    return org_paths(units, carry=shown).select("org_unit_id", *shown, *levels)
 
 
 def primary_contact(contacts: DataFrame, client_col: str, rank: list[Column]) -> DataFrame:

@@ -31,5 +31,5 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     # Importing the query modules fills the registry.
     from switchboard.plans import (  # noqa: F401
-        q_aggregates, q_conversions, q_history, q_incremental, q_joins, q_layout, q_rollups, q_sessions,
+        q_aggregates, q_conversions, q_history, q_incremental, q_joins, q_keys, q_layout, q_rollups, q_sessions,
     )

@@ -7,7 +7,7 @@ Each returns a small DataFrame of findings computed in one distributed pass
 from __future__ import annotations
 
 import datetime as dt
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,3 +96,60 @@ def pruned_count(full: DataFrame, predicate) -> DataFrame:
         F.max(F.when(F.col("side") == "a", F.col("n"))).alias("total_rows"),
         F.max(F.when(F.col("side") == "b", F.col("n"))).alias("filtered_rows"))
     return both.withColumn("filtered_le_total", F.col("filtered_rows") <= F.col("total_rows"))
+
+
+def zone_map(stored: DataFrame, cluster_key: str, partition_col: str | None = None) -> DataFrame:
+    """One row per file of a stored layout: rows, NULL keys, least and greatest cluster key.
+
+    ``stored`` is the table as read from its files. The scan reads the cluster
+    key only (a partition column comes from the folder), and every task
+    reduces its files to one row each before the shuffle.
+    """
+    part = F.col(partition_col) if partition_col else F.lit(None).cast("string")
+    key = F.col(cluster_key)
+    return (stored.select(part.alias("zone_partition"), F.col("_metadata.file_path").alias("file"), key.alias("_key"))
+            .groupBy("zone_partition", "file").agg(
+                F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("_key").isNull()).alias("null_keys"),
+                F.min("_key").alias("min_key"), F.max("_key").alias("max_key")))
+
+
+def overlap_depth(zones: DataFrame) -> DataFrame:
+    """Per partition of a zone map: files, and in how many files at most a key is inside the range.
+
+    A sweep: every file with two or more keys opens at its least key and closes
+    at its greatest; the depth is the greatest running sum. Files that only
+    meet at an end do not overlap, and neither do files of a single key: a hot
+    key may fill several files. Sorted files have a depth of 1 (0 where every
+    file has a single key). One partition's sweep has two rows per file.
+    """
+    wide = F.col("min_key") < F.col("max_key")
+    edges = zones.select("zone_partition", F.explode(F.when(wide, F.array(
+        F.struct(F.col("min_key").alias("at"), F.lit(1).alias("step")),
+        F.struct(F.col("max_key").alias("at"), F.lit(-1).alias("step"))))).alias("e")).select("zone_partition", "e.*")
+    sweep = Window.partitionBy("zone_partition").orderBy("at", "step").rowsBetween(Window.unboundedPreceding, 0)
+    depth = (edges.withColumn("open", F.sum("step").over(sweep)).groupBy("zone_partition")
+             .agg(F.max("open").alias("_depth")).withColumnRenamed("zone_partition", "_p"))
+    files = zones.groupBy("zone_partition").agg(F.count(F.lit(1)).alias("files"))
+    return files.join(depth, F.col("zone_partition").eqNullSafe(F.col("_p")), "left").select(
+        "zone_partition", "files", F.coalesce("_depth", F.lit(0).cast("bigint")).alias("depth"))
+
+
+def clustering_check(zones: DataFrame) -> DataFrame:
+    """One row: partitions, files, the greatest depth, and whether the layout is ``clustered`` (no two files of a partition overlap)."""
+    return overlap_depth(zones).agg(
+        F.count(F.lit(1)).alias("partitions"), F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
+        F.coalesce(F.max("depth"), F.lit(0)).alias("max_depth")).withColumn("clustered", F.col("max_depth") <= 1)
+
+
+def files_to_read(zones: DataFrame, low, high) -> DataFrame:
+    """One row: all files, and those that a filter ``low <= key <= high`` must read by their key ranges."""
+    hit = (F.col("max_key") >= F.lit(low)) & (F.col("min_key") <= F.lit(high))
+    return zones.agg(F.count(F.lit(1)).alias("files"), F.count_if(hit).alias("files_read"),
+                     F.coalesce(F.sum(F.when(hit, F.col("row_count"))), F.lit(0)).alias("rows_read"))
+
+
+def zone_profile(zones: DataFrame, as_of: dt.date, expiry_days: int = 90) -> DataFrame:
+    """``partition_profile`` of a layout partitioned by day, from its zone map (no distinct keys: files do not tell them)."""
+    return (zones.groupBy("zone_partition").agg(
+        F.sum("row_count").alias("row_count"), F.min("min_key").alias("min_cluster_key"), F.max("max_key").alias("max_cluster_key"))
+        .withColumn("expired", F.col("zone_partition") <= F.date_sub(F.lit(as_of), expiry_days)))

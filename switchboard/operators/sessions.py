@@ -99,13 +99,21 @@ def qa_totals_rows(sections: DataFrame) -> DataFrame:
 
 
 def qa_totals(forms: DataFrame) -> DataFrame:
-    """ods_qa_evaluation totals from ``sections`` ARRAY<STRUCT<section_code, max_points, scored_points>>."""
+    """ods_qa_evaluation totals from ``sections`` ARRAY<STRUCT<section_code, max_points, scored_points>>.
+
+    Points add up as SUM does: NULL points are skipped, and a form without any
+    has NULL totals. An absent array is a form without sections.
+    """
     s = F.col("sections")
-    scored = F.aggregate(s, F.lit(0).cast("bigint"), lambda acc, x: acc + x.scored_points)
-    maxp = F.aggregate(s, F.lit(0).cast("bigint"), lambda acc, x: acc + x.max_points)
+
+    def total(field: str):
+        points = F.filter(F.transform(s, lambda x: x[field]), lambda p: p.isNotNull())
+        return F.when(F.size(points) > 0, F.aggregate(points, F.lit(0).cast("bigint"), lambda acc, p: acc + p))
+
+    scored, maxp = total("scored_points"), total("max_points")
     return forms.select(
         "qa_form_id",
-        F.size(s).cast("bigint").alias("section_count"),
+        F.coalesce(F.size(s), F.lit(0)).cast("bigint").alias("section_count"),
         scored.alias("scored_points"),
         maxp.alias("max_points"),
         X.exact_ratio(scored * 100, maxp, 2, 5).alias("overall_pct"),

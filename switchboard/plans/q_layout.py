@@ -15,6 +15,7 @@ from switchboard.plans import warehouse as W
 from switchboard.plans.catalog import register
 from switchboard.plans.oracle import BINDINGS, with_ctes
 from switchboard.plans.q_aggregates import A1_SQL, A3_SQL
+from switchboard.plans.warehouse import wh
 from switchboard.session import fresh_path
 
 DAY = W.EVENT_DAY.isoformat()
@@ -100,6 +101,50 @@ def partition_profile(spark, sf):
     return K.partition_profile(_orders_by_day(spark, sf), "order_date", "o_custkey", RETENTION_AS_OF, 90)
 
 
+# From the files of the laid-out table, whose cluster key is the first of the declared ones.
+@register("partition_zone_profile", with_ctes(f"""
+SELECT event_date, CAST(COUNT(*) AS BIGINT) AS row_count, MIN(program_sk) AS min_cluster_key, MAX(program_sk) AS max_cluster_key,
+       event_date <= DATE '{RETENTION_KEEP_FROM.isoformat()}' AS expired
+FROM fact_ticket GROUP BY event_date""", "fact_ticket"))
+def partition_zone_profile(spark, sf):
+    zones = K.zone_map(wh(spark, sf, "fact_ticket"), "program_sk", "event_date")
+    return K.zone_profile(zones, RETENTION_AS_OF, 90).withColumnRenamed("zone_partition", "event_date")
+
+
+# ---------------------------------------------------------------- K4, from file statistics
+# Tables whose only layout is their cluster key, and a copy of one of them with its rows dealt out by a hash of the whole row,
+# for which the check turns false.
+CLUSTERED = {"ods_client_acid": "client_id", "ods_agent_acid": "agent_id", "ods_ticket_acid": "ticket_id",
+             "ods_invoice_acid": "invoice_id"}
+UNCLUSTERED_FILES = 8
+
+
+@register("clustering_check", """
+SELECT * FROM (VALUES ('ods_client_acid', TRUE), ('ods_agent_acid', TRUE), ('ods_ticket_acid', TRUE), ('ods_invoice_acid', TRUE),
+                      ('ods_ticket_acid, unclustered copy', FALSE)) t(table_name, clustered)
+CROSS JOIN LATERAL (SELECT CAST(CASE WHEN t.table_name IN ('ods_client_acid', 'ods_agent_acid')
+                                     THEN (SELECT COUNT(*) FROM customer) ELSE (SELECT COUNT(*) FROM orders) END AS BIGINT) AS row_count,
+                           CASE WHEN t.table_name IN ('ods_client_acid', 'ods_agent_acid')
+                                THEN (SELECT MIN(c_custkey) FROM customer) ELSE (SELECT MIN(o_orderkey) FROM orders) END AS min_key,
+                           CASE WHEN t.table_name IN ('ods_client_acid', 'ods_agent_acid')
+                                THEN (SELECT MAX(c_custkey) FROM customer) ELSE (SELECT MAX(o_orderkey) FROM orders) END AS max_key) r""")
+def clustering_check(spark, sf):
+    tickets = wh(spark, sf, "ods_ticket_acid")
+    copy = fresh_path(spark, "unclustered")
+    tickets.repartition(UNCLUSTERED_FILES, F.xxhash64(*tickets.columns)).write.parquet(copy)
+    stored = {name: (wh(spark, sf, name), key) for name, key in CLUSTERED.items()}
+    stored["ods_ticket_acid, unclustered copy"] = (spark.read.schema(tickets.schema).parquet(copy), "ticket_id")
+    zones = None
+    for name, (df, key) in stored.items():
+        # every table is one partition of a common zone map
+        own = K.zone_map(df, key).withColumn("zone_partition", F.lit(name))
+        zones = own if zones is None else zones.unionByName(own)
+    total = zones.groupBy(F.col("zone_partition").alias("table_name")).agg(
+        F.sum("row_count").alias("row_count"), F.min("min_key").alias("min_key"), F.max("max_key").alias("max_key"))
+    depth = K.overlap_depth(zones).select(F.col("zone_partition").alias("table_name"), (F.col("depth") <= 1).alias("clustered"))
+    return depth.join(total, "table_name")
+
+
 # ---------------------------------------------------------------- S12
 # The stored fact and aggregate cover days before the split; the delta
 # restates the split's previous day and brings the later days. Only touched

@@ -196,3 +196,38 @@ def test_retention_keeps_null_partition(spark):
     L.write_layout(df, path, "load_date", ["id"])
     assert L.drop_expired_partitions(spark, path, "load_date", as_of, 90) == [(as_of - dt.timedelta(days=200)).isoformat()]
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [2, 3]
+
+
+def test_zone_checks_turn_false_on_an_unclustered_copy(spark):
+    """Sorted files do not overlap, also where a hot key fills several of them; shuffled files do."""
+    rows = spark.range(6000).select(F.expr("CASE WHEN id % 3 = 0 THEN 50 WHEN id % 100 = 1 THEN NULL ELSE id % 1000 END").alias("k"),
+                                    F.col("id").alias("v"), F.expr("CASE WHEN id % 2 = 0 THEN 'a' END").alias("p"))
+    found = {}
+    for name, df in (("sorted", rows.repartitionByRange(6, "p", "k", "v")), ("shuffled", rows.repartition(6, "v"))):
+        path = fresh_path(spark, "zones")
+        df.write.partitionBy("p").parquet(path)
+        stored = spark.read.parquet(path)
+        zones = K.zone_map(stored, "k", "p").cache()
+        files = [(r.zone_partition, r.min_key, r.max_key, r.row_count) for r in zones.collect()]
+        for part, depth in ((r.zone_partition, r.depth) for r in K.overlap_depth(zones).collect()):
+            wide = [(lo, hi) for p, lo, hi, _ in files if p == part and lo is not None and lo < hi]
+            keys = sorted({x for lo, hi in wide for x in (lo, hi)})
+            assert depth == max([sum(lo <= a and b <= hi for lo, hi in wide) for a, b in zip(keys, keys[1:])] or [0])
+        found[name] = K.clustering_check(zones).first()
+        read = K.files_to_read(zones, 900, 910).first()
+        assert read.files == len(files) and read.files_read == sum(lo is not None and hi >= 900 and lo <= 910 for _, lo, hi, _ in files)
+        assert zones.agg(F.sum("row_count"), F.sum("null_keys")).first() == (6000, rows.where("k IS NULL").count())
+    assert found["sorted"].clustered and not found["shuffled"].clustered and found["shuffled"].max_depth > 1
+    assert K.clustering_check(zones.limit(0)).first().clustered
+
+
+def test_qa_totals_forms_agree_on_null_points(spark):
+    from switchboard.operators import sessions as S
+    forms = spark.createDataFrame(
+        [(1, [("a", 10, 5), ("b", 5, None)]), (2, [("a", None, None)]), (3, [("a", 4, 4), ("b", 6, 3)])],
+        "qa_form_id bigint, sections array<struct<section_code:string,max_points:bigint,scored_points:bigint>>")
+    rows = forms.select("qa_form_id", F.inline("sections"))
+    as_rows = sorted(map(tuple, S.qa_totals_rows(rows).collect()))
+    assert sorted(map(tuple, S.qa_totals(forms).collect())) == as_rows
+    absent = forms.limit(1).select(F.lit(4).alias("qa_form_id"), F.lit(None).cast(forms.schema["sections"].dataType).alias("sections"))
+    assert tuple(S.qa_totals(absent).first()) == (4, 0, None, None, None)

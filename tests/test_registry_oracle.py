@@ -48,7 +48,7 @@ def duck():
 
 
 def test_inventory_complete():
-    assert len(CATALOG) == 79 and set(CATALOG) <= set(QUERIES)
+    assert len(CATALOG) == 81 and set(CATALOG) <= set(QUERIES)
     assert set(catalog.ORACLE) <= set(CATALOG)
 
 

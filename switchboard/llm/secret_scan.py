@@ -12,10 +12,12 @@ secret is a token for which this does not look unlikely.
 How often ordinary text looks as random as that depends on its length and on
 whether it mixes cases, digits and signs. The null sample is made of the
 corpus's own words: in every document, words that stand together are joined
-in four ways (plainly, with hyphens, as a path, in camel case), and of each
-joined text a piece per length class is taken at every STEP-th character. So
-every length has a large null however rare long words are, and the least
-p-value is far below what the false-discovery step asks for. Tokens of letters
+in four ways (plainly, with hyphens, as a path, in camel case), and each
+joined text is cut whole into pieces of the length, once for every length
+class; where it does not come out even, the last piece ends with the text. No
+character is left out, unless the text is shorter than the class. So every
+length has a large null however rare long words are, and the least p-value is
+far below what the false-discovery step asks for. Tokens of letters
 of one case and all others are two families with a null each. Among the
 others the share of all null pieces of a length class that have a token's
 encoding and are at least as random is its p-value: words joined in some way
@@ -40,6 +42,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +57,9 @@ FDR = 0.01
 CELLS = 400                      # randomness in steps of a hundredth of a decade, down to 1e-4
 LENGTHS = [16, 18, 20, 24, 28, 32, 40, 64, 96]
 MIN_NULL = 200                   # pieces a length class needs for a null of its own; else shorter ones join in
-STEP = 512                       # characters of joined words between the starts of null pieces
+LONGEST_WORD = 40                # letters; keys of lower-case letters beyond it are not among the words they are held against
 PIECES = 8192                    # null pieces tested at once
+AT_ONCE = 4_000_000              # characters of texts whose pieces are cut at once (a longer text by itself)
 
 # The base patterns.
 _ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -74,51 +78,120 @@ _SETS = [frozenset(e) for e in _ENCODINGS]
 _INDEX = [{c: i for i, c in enumerate(e)} for e in _ENCODINGS]
 
 
-# By character code: the encodings that hold the character, as bits; and its place in each of them.
-_HOLDS = np.array([sum(1 << i for i, chars in enumerate(_SETS) if chr(c) in chars) for c in range(128)], dtype=np.int64)
-_PLACE = np.array([[_INDEX[i].get(chr(c), 0) for c in range(128)] for i in range(len(_SETS))], dtype=np.int64)
-_SIZE = np.array([len(e) for e in _ENCODINGS], dtype=float)
-_WIDE = int(_SIZE.max())
-_LETTER = np.array([chr(c) in _LOWER for c in range(128)])
-_DIGIT = np.array([chr(c) in _DIGITS for c in range(128)])
+# By character code: the encodings that hold the character, as bits (low and high byte); and its place in each of them.
+_HOLDS = [sum(1 << i for i, chars in enumerate(_SETS) if chr(c) in chars) for c in range(256)]
+_HOLDS_BYTES = [bytes(h >> shift & 255 for h in _HOLDS) for shift in (0, 8)]
+_PLACE = [bytes(places.get(chr(c), 0) for c in range(256)) for places in _INDEX]
+_FIRST = np.array([(h & -h).bit_length() - 1 if h else 0 for h in range(1 << len(_SETS))])
+_IS_DIGITS, _IS_LOWER = 1 << _ENCODINGS.index(_DIGITS), 1 << _ENCODINGS.index(_LOWER)
+_TABLE_ROWS = 64                 # rows from which on a test's values are looked up
 _erfc = np.frompyfunc(math.erfc, 1, 1)
 
 
+def _held(text: bytes) -> np.ndarray:
+    """Of each character the encodings that hold it, as bits."""
+    low, high = (np.frombuffer(text.translate(t), dtype=np.uint8) for t in _HOLDS_BYTES)
+    return low | high.astype(np.uint16) << 8
+
+
 def _normal_tail(z: np.ndarray) -> np.ndarray:
     return 0.5 * _erfc(z / math.sqrt(2)).astype(float)
 
 
-def _chi2_tail(x: np.ndarray, k: np.ndarray) -> np.ndarray:
+def _chi2_tail(x: np.ndarray, k: int) -> np.ndarray:
     """Upper tail of the chi-squared distribution (Wilson-Hilferty)."""
     return _normal_tail((np.cbrt(np.maximum(x, 0) / k) - (1 - 2 / (9 * k))) / np.sqrt(2 / (9 * k)))
 
 
+def _nats(p: np.ndarray) -> np.ndarray:
+    return -np.log(np.clip(p, 1e-30, 1.0))
+
+
+def _constant(n: int) -> float:
+    """Chance of n characters all alike, or all in one half of the alphabet."""
+    return 2.0 ** max(1 - n, -1000)
+
+
+def _uniform_nats(squares: np.ndarray, n: int, size: int) -> np.ndarray:
+    """Chi-squared test of n characters, from the sum of their squared counts."""
+    return _nats(_chi2_tail(size / n * squares - n, size - 1))
+
+
+def _run_nats(ups: np.ndarray, runs: np.ndarray, n: int) -> np.ndarray:
+    expected = 1 + 2 * ups * (n - ups) / n
+    variance = np.maximum(1e-9, (expected - 1) * (expected - 2) / (n - 1))
+    return _nats(np.where((ups > 0) & (ups < n),
+                          2 * _normal_tail(np.maximum(0.0, np.abs(runs - expected) - 0.5) / np.sqrt(variance)), _constant(n)))
+
+
+@lru_cache(maxsize=None)
+def _uniform_table(n: int, size: int) -> np.ndarray:
+    return _uniform_nats(np.arange(n * n + 1.0), n, size)
+
+
+@lru_cache(maxsize=None)
+def _run_table(n: int) -> np.ndarray:
+    at = np.arange(n + 1.0)
+    return _run_nats(np.repeat(at, n + 1), np.tile(at, n + 1), n)
+
+
+_FINE = 1000                     # serial correlation: steps per standard deviation between which is interpolated
+_SERIAL = _nats(2 * _normal_tail(np.arange(12 * _FINE + 2) / _FINE))
+
+
+def _serial_nats(z: np.ndarray) -> np.ndarray:
+    at = np.minimum(z, 12.0) * _FINE
+    low = at.astype(np.int64)
+    return _SERIAL[low] + (at - low) * (_SERIAL[low + 1] - _SERIAL[low])
+
+
+def _tests_nats(at: np.ndarray, size: int) -> np.ndarray:
+    """Half of Fisher's statistic, from the characters' places in an alphabet (a column a row of characters)."""
+    n, m = at.shape
+    many = m >= _TABLE_ROWS and n < 256
+    if many:        # squared counts add up to n and twice the pairs of equal characters
+        squares = np.full(m, n, dtype=np.int64)
+        for d in range(1, n):
+            squares += 2 * np.add.reduce((at[d:] == at[:-d]).view(np.uint8), axis=0, dtype=np.uint8).astype(np.int64)
+    else:
+        counts = np.bincount((at + np.arange(0, m * size, size)).ravel(), minlength=m * size).reshape(m, size)
+        squares = np.einsum("ij,ij->i", counts, counts)
+    high = at >= size / 2
+    wide = np.uint8 if n < 256 else np.int64
+    ups = np.add.reduce(high.view(np.uint8), axis=0, dtype=wide).astype(np.int64)
+    runs = 1 + np.add.reduce((high[1:] != high[:-1]).view(np.uint8), axis=0, dtype=wide).astype(np.int64)
+    if many:
+        half = _uniform_table(n, size)[squares] + _run_table(n)[ups * (n + 1) + runs]
+    else:
+        half = _uniform_nats(squares, n, size) + _run_nats(ups, runs, n)
+    # sums of whole numbers, exact in single precision up to 256 characters
+    x = at.astype(np.float32 if n < 256 else float)
+    total = np.add.reduce(x, axis=0).astype(float)
+    power = n * np.einsum("ij,ij->j", x, x).astype(float) - total ** 2
+    neighbours = np.einsum("ij,ij->j", x[1:], x[:-1]).astype(float)
+    lag = n * n * neighbours - n * total * (2 * total - x[0] - x[-1]) + (n - 1) * total ** 2
+    z = np.abs(lag) / np.where(power > 0, n * power, 1.0) * math.sqrt(n)
+    return half + np.where(power > 0, _serial_nats(z), float(_nats(np.array(_constant(n)))))
+
+
+def _combined(half: np.ndarray) -> np.ndarray:
+    return np.exp(-half) * (1 + half + half ** 2 / 2)
+
+
 def battery(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Combined p-value of the tests, and the encoding, of each row of character codes (rows of one length, of 2 or more characters).
 
-    The p-value is 0 for rows with characters of no encoding.
+    The encoding is the first that holds them all. The p-value is 0 for rows
+    with characters of no encoding.
     """
-    m, n = codes.shape
-    holds = np.bitwise_and.reduce(_HOLDS[codes], axis=1)
-    which = np.log2(np.maximum(holds & -holds, 1)).astype(int)      # the first encoding that holds them all
-    at = _PLACE[which[:, None], codes]
-    size = _SIZE[which]
-    counts = np.bincount((np.arange(m)[:, None] * _WIDE + at).ravel(), minlength=m * _WIDE).reshape(m, _WIDE).astype(float)
-    uniform = _chi2_tail(size / n * (counts ** 2).sum(axis=1) - n, size - 1)
-    constant = 2.0 ** max(1 - n, -1000)
-    high = at >= (size / 2)[:, None]
-    ups = high.sum(axis=1).astype(float)
-    expected = 1 + 2 * ups * (n - ups) / n
-    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(axis=1)
-    variance = np.maximum(1e-9, (expected - 1) * (expected - 2) / (n - 1))
-    run = np.where((ups > 0) & (ups < n),
-                   2 * _normal_tail(np.maximum(0.0, np.abs(runs - expected) - 0.5) / np.sqrt(variance)), constant)
-    centred = at - at.mean(axis=1, keepdims=True)
-    power = (centred ** 2).sum(axis=1)
-    lag = np.abs((centred[:, 1:] * centred[:, :-1]).sum(axis=1)) / np.where(power > 0, power, 1.0)
-    serial = np.where(power > 0, 2 * _normal_tail(lag * math.sqrt(n)), constant)
-    half = -np.log(np.clip([uniform, run, serial], 1e-30, 1.0)).sum(axis=0)     # half of Fisher's statistic
-    return np.where(holds > 0, np.exp(-half) * (1 + half + half ** 2 / 2), 0.0), which
+    codes = np.ascontiguousarray(codes, dtype=np.uint8)
+    holds = np.bitwise_and.reduce(_held(codes.tobytes()).reshape(codes.shape), axis=1)
+    which, p = _FIRST[holds], np.zeros(len(codes))
+    for w in np.unique(which[holds > 0]):
+        mine = np.flatnonzero((which == w) & (holds > 0))
+        places = np.frombuffer(codes[mine].tobytes().translate(_PLACE[w]), dtype=np.uint8).reshape(len(mine), -1)
+        p[mine] = _combined(_tests_nats(np.ascontiguousarray(places.T), len(_ENCODINGS[w])))
+    return p, which
 
 
 def judged(token: str) -> tuple[float, int]:
@@ -146,33 +219,61 @@ def one_case(token: str) -> bool:
 def joined_words(text: str) -> list[bytes]:
     """The words of a text joined in the four ways that ordinary long tokens are.
 
-    Long runs that are not plain letters, which may be secrets, are left out.
+    Long runs that are not plain letters, or too long for a word, may be secrets and are left out.
     """
     words = text.encode("ascii", "replace").translate(_APART).split()
     if words and len(max(words, key=len)) >= MIN_TOKEN:
-        words = [w for w in words if len(w) < MIN_TOKEN or _WORD.fullmatch(w)]
+        words = [w for w in words if len(w) < MIN_TOKEN or len(w) <= LONGEST_WORD and _WORD.fullmatch(w)]
     joined = b"-".join(words)
     low = joined.lower()
     return [low.replace(b"-", b""), joined, low.replace(b"-", b"/"), joined.title().replace(b"-", b"")]
 
 
-def null_counts(texts: list[str]) -> np.ndarray:
-    """Pieces of joined words by slot, length class and cell."""
-    out = np.zeros((SLOTS, len(LENGTHS), CELLS), dtype=np.int64)
-    streams = [stream for text in texts for stream in joined_words(text)]
+def piece_starts(begins: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
+    """Starts of the pieces that streams (from begin to end) are cut into: no character of a stream that is long enough is left out."""
+    fits = ends - begins >= length
+    begins, ends = begins[fits], ends[fits]
+    n = -(-(ends - begins) // length)
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return np.minimum(np.repeat(begins, n) + nth * length, np.repeat(ends - length, n))
+
+
+def _count_pieces(streams: list[bytes], out: np.ndarray) -> None:
     ends = np.cumsum([len(s) for s in streams], dtype=np.int64)
-    if not len(ends) or not ends[-1]:
-        return out
-    codes = np.frombuffer(b"".join(streams), dtype=np.uint8)
-    starts = np.concatenate([np.arange(end - len(s), end, STEP) for s, end in zip(streams, ends)])
-    limit = np.repeat(ends, [-(-len(s) // STEP) for s in streams])
+    begins = ends - [len(s) for s in streams]
+    text = b"".join(streams)
+    held, span = _held(text), 1             # the encodings of all ``span`` characters from each on
+    planes: dict[int, np.ndarray] = {}
     for k, length in enumerate(LENGTHS):
-        fits = starts[starts + length <= limit]
-        for first in range(0, len(fits), PIECES):
-            rows = codes[fits[first:first + PIECES, None] + np.arange(length)]
-            rows = rows[~_DIGIT[rows].all(axis=1)]
-            p, which = battery(rows)
-            np.add.at(out, (np.where(_LETTER[rows].all(axis=1), 0, 1 + which), k, cells(p)), 1)
+        starts = piece_starts(begins, ends, length)
+        while 2 * span <= length and 2 * span <= len(text):
+            held, span = held[:-span] & held[span:], 2 * span
+        holds = held[starts] & held[starts + length - span]
+        starts, holds = starts[holds & _IS_DIGITS == 0], holds[holds & _IS_DIGITS == 0]
+        which = _FIRST[holds]
+        slot = np.where(holds & _IS_LOWER, 0, 1 + which)
+        for w in np.flatnonzero(np.bincount(which, minlength=1)):
+            if w not in planes:
+                planes[w] = np.frombuffer(text.translate(_PLACE[w]), dtype=np.uint8)
+            rows = np.lib.stride_tricks.sliding_window_view(planes[w], length)
+            mine = np.flatnonzero(which == w)
+            for first in range(0, len(mine), PIECES):
+                some = mine[first:first + PIECES]
+                p = _combined(_tests_nats(np.ascontiguousarray(rows[starts[some]].T), len(_ENCODINGS[w])))
+                out[:, k] += np.bincount(slot[some] * CELLS + cells(p), minlength=SLOTS * CELLS).reshape(SLOTS, CELLS)
+
+
+def null_counts(texts: list[str]) -> np.ndarray:
+    """All pieces of joined words by slot, length class and cell."""
+    out = np.zeros((SLOTS, len(LENGTHS), CELLS), dtype=np.int64)
+    some, size = [], 0
+    for i, text in enumerate(texts):
+        some.append(joined_words(text))
+        size += len(text)
+        if size >= AT_ONCE or i == len(texts) - 1:
+            for streams in zip(*some):
+                _count_pieces(streams, out)
+            some, size = [], 0
     return out
 
 

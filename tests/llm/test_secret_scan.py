@@ -132,3 +132,19 @@ def test_battery_of_rows_equals_single_tokens():
     tokens = ["".join(rng.choice(a) for _ in range(24)) for a in ("01", "0123456789abcdef", string.ascii_letters, "aB3+/-_") for _ in range(5)]
     rows = np.array([[ord(c) for c in t] for t in tokens])
     assert np.allclose(S.battery(rows)[0], [S.randomness(t) for t in tokens])
+
+
+def test_null_pieces_are_all_pieces_of_the_joined_words():
+    rng = random.Random(11)
+    texts = [" ".join(rng.choice(["stone", "River", "42", "x", "DEF", "0a1f"]) for _ in range(n)) for n in (0, 4, 30, 400)] + ["7" * 50, "é"]
+    want, seen = np.zeros((S.SLOTS, len(S.LENGTHS), S.CELLS), dtype=np.int64), 0
+    for stream in (s for text in texts for s in S.joined_words(text)):
+        for k, n in enumerate(S.LENGTHS):
+            starts = {min(i, len(stream) - n) for i in range(0, len(stream), n)} if len(stream) >= n else set()
+            assert not starts or set(range(len(stream))) == {c for i in starts for c in range(i, i + n)}
+            for piece in (stream[i:i + n].decode() for i in starts):
+                if not piece.isdigit():
+                    p, which = S.battery(np.frombuffer(piece.encode(), dtype=np.uint8)[None, :])
+                    want[0 if re.fullmatch("[a-z]+", piece) else 1 + which[0], k, S.cell(p[0])] += 1
+                    seen += 1
+    assert (S.null_counts(texts) == want).all() and want.sum() == seen > 500

@@ -48,24 +48,37 @@ def derive_partition(df: DataFrame, column: str, grain: str) -> tuple[DataFrame,
 
 
 def cluster_order(df: DataFrame, partition_col: str | None, cluster_keys: list[str],
-                  num_partitions: int | None = None) -> DataFrame:
+                  num_partitions: int | None = None, once: bool = False) -> DataFrame:
+    """Rows dealt by ranges of (partition column, cluster keys, row hash) and sorted within them.
+
+    Spark finds the ranges by a pass of its own over the rows, so what they are
+    made of is computed twice. With ``once`` a shuffle by row hash comes first:
+    both passes read its result. That pays where the rows are few or cheap to
+    store beside what they cost to compute (windows, aggregates).
+    """
     keys = ([partition_col] if partition_col else []) + list(cluster_keys)
     if not keys:
         return df
-    spread = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_spread")
+    columns = df.columns
+    spread = F.xxhash64(*[F.col(c) for c in columns])
+    if once:
+        # the hash is a column of its own in between: Spark would merge two shuffles side by side
+        df = df.repartition(spread).withColumn("_spread", spread)
+        spread = F.col("_spread")
     rng = [F.col(k) for k in keys] + [spread]
     parts = (df.repartitionByRange(num_partitions, *rng) if num_partitions
              else df.repartitionByRange(*rng))
-    return parts.sortWithinPartitions(*keys)
+    return parts.select(*columns).sortWithinPartitions(*keys) if once else parts.sortWithinPartitions(*keys)
 
 
 def write_layout(df: DataFrame, path: str, partition_col: str | None = None,
                  cluster_keys: list[str] | None = None, grain: str = "day",
                  mode: str = "overwrite", num_partitions: int | None = None,
-                 dynamic: bool = True) -> str:
+                 dynamic: bool = True, once: bool = False) -> str:
     """Write ``df`` partitioned by ``partition_col`` (at ``grain``) and clustered by ``cluster_keys``.
 
     Returns the physical partition column name (None when unpartitioned).
+    ``once``: compute the rows once, see ``cluster_order``.
     With ``mode='overwrite'`` and dynamic partition overwrite only the
     partitions present in ``df`` are replaced.
     """
@@ -73,7 +86,7 @@ def write_layout(df: DataFrame, path: str, partition_col: str | None = None,
     phys = None
     if partition_col:
         df, phys = derive_partition(df, partition_col, grain)
-    ordered = cluster_order(df, phys, cluster_keys, num_partitions)
+    ordered = cluster_order(df, phys, cluster_keys, num_partitions, once)
     writer = ordered.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if phys:
         writer = writer.partitionBy(phys)
@@ -166,7 +179,7 @@ def _publish(spark: SparkSession, pointer: str, build: str) -> str:
 
 def materialized_path(spark: SparkSession, name: str, sf_dir: str, sources: list[str], build_rows,
                       partition_col: str | None, cluster_keys: list[str], grain: str = "day",
-                      version: str = "") -> str:
+                      version: str = "", once: bool = False) -> str:
     """Location of a warehouse table in the shared folder, written once per input and code version.
 
     Every build writes a folder of its own; a pointer file, created by one
@@ -181,7 +194,8 @@ def materialized_path(spark: SparkSession, name: str, sf_dir: str, sources: list
     if path is None:
         build = f"{base}-{uuid.uuid4().hex[:12]}"
         # static overwrite, so the committer leaves _SUCCESS at the root
-        write_layout(build_rows() if callable(build_rows) else build_rows, build, partition_col, cluster_keys, grain, dynamic=False)
+        write_layout(build_rows() if callable(build_rows) else build_rows, build, partition_col, cluster_keys, grain, dynamic=False,
+                     once=once)
         path = _publish(spark, pointer, build)
     return path
 
@@ -191,7 +205,7 @@ _SCHEMAS: dict = {}  # declared schemas of the warehouse tables, by name and cod
 
 def materialized(spark: SparkSession, name: str, sf_dir: str, sources: list[str], build,
                  partition_col: str | None, cluster_keys: list[str], grain: str = "day",
-                 version: str = "") -> DataFrame:
+                 version: str = "", once: bool = False) -> DataFrame:
     """A warehouse table laid out in the shared folder, written once per input and code version.
 
     Some builds store rows of their own, so the rows are asked for only for a new table, and once for the schema.
@@ -203,7 +217,7 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, sources: list[str]
             made.append(build())
         return made[0]
 
-    path = materialized_path(spark, name, sf_dir, sources, rows, partition_col, cluster_keys, grain, version)
+    path = materialized_path(spark, name, sf_dir, sources, rows, partition_col, cluster_keys, grain, version, once)
     if (name, version) not in _SCHEMAS:
         _SCHEMAS[name, version] = rows().schema
     schema = _SCHEMAS[name, version]

@@ -101,9 +101,10 @@ GROUP BY x.path""", *KEY_PATHS, *[t for t, _ in PARENTS.values()]).replace("\n,
 @register("fk_orphans", ORPHAN_SQL)
 def fk_orphans(spark, sf):
     children = parents = None
+    # the stored tables: only the key columns are read, and no binding is computed again
+    stored = W.wh_all(spark, sf, [t for t in KEY_PATHS if t in W.SPECS])
     for t, paths in KEY_PATHS.items():
-        # the stored tables: only the key columns are read, and no binding is computed again
-        rows = K.key_paths(wh(spark, sf, t) if t in W.SPECS else getattr(B, t)(spark, sf), paths)
+        rows = K.key_paths(stored[t] if t in stored else getattr(B, t)(spark, sf), paths)
         children = rows if children is None else children.unionByName(rows)
     for p, paths in _parent_paths().items():
         name, key = PARENTS[p]

@@ -9,8 +9,11 @@ so queries over it see real partition pruning and row-group skipping.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +22,12 @@ from switchboard.operators import aggregates as A
 from switchboard.operators import history as H
 from switchboard.operators.layout import materialized, materialized_path
 from switchboard.plans import bindings as B
+from switchboard.session import shared_dir
 from switchboard.sources.tables import table
 
+# Stored tables written at a time: enough that the short stages and commits of one leave no cores idle.
+WRITERS = 6
+
 
 def ods_client_acid(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer")
@@ -92,6 +99,7 @@ class Spec:
     partition: str | None
     grain: str
     cluster: tuple[str, ...]
+    once: bool = False      # dear rows: see layout.cluster_order
 
 
 def _agg_agent_daily(spark, sf):
@@ -113,12 +121,12 @@ SPECS: dict[str, Spec] = {
     "fact_csat_survey": Spec(B.fact_csat_survey, ("events",), "event_date", "day", ("program_sk", "agent_sk")),
     "fact_billing_line": Spec(B.fact_billing_line, ("lineitem", "orders"), "period_month_date", "month",
                               ("client_sk", "program_sk")),
-    "fact_adherence_daily": Spec(B.fact_adherence_daily, ("events",), "event_date", "day", ("agent_sk",)),
+    "fact_adherence_daily": Spec(B.fact_adherence_daily, ("events",), "event_date", "day", ("agent_sk",), once=True),
     "fact_ticket": Spec(B.fact_ticket, ("orders", "lineitem"), "event_date", "day", ("program_sk", "status")),
     "agg_agent_daily": Spec(_agg_agent_daily, ("events", "customer"), "event_date", "day",
                             ("agent_sk", "site_code")),
     "agg_queue_hourly": Spec(_agg_queue_hourly, ("events",), "event_date", "day", ("queue_sk", "hour_of_day")),
-    "ods_agent_scd2": Spec(ods_agent_scd2, ("orders",), "eff_from_ts", "year", ("agent_id",)),
+    "ods_agent_scd2": Spec(ods_agent_scd2, ("orders",), "eff_from_ts", "year", ("agent_id",), once=True),
     "ods_client_acid": Spec(ods_client_acid, ("customer",), None, "day", ("client_id",)),
     "ods_agent_acid": Spec(ods_agent_acid, ("customer",), None, "day", ("agent_id",)),
     "ods_ticket_acid": Spec(ods_ticket_acid, ("orders",), None, "day", ("ticket_id",)),
@@ -152,13 +160,22 @@ _CODE_VERSION: str | None = None
 def wh_path(spark: SparkSession, sf: str, name: str) -> str:
     s = SPECS[name]
     return materialized_path(spark, name, sf, list(s.sources), lambda: s.build(spark, sf), s.partition,
-                             list(s.cluster), s.grain, _code_version())
+                             list(s.cluster), s.grain, _code_version(), s.once)
 
 
 def wh(spark: SparkSession, sf: str, name: str) -> DataFrame:
     s = SPECS[name]
     return materialized(spark, name, sf, list(s.sources), lambda: s.build(spark, sf),
-                        s.partition, list(s.cluster), s.grain, _code_version())
+                        s.partition, list(s.cluster), s.grain, _code_version(), s.once)
+
+
+def wh_all(spark: SparkSession, sf: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    """``wh`` of several tables; those not yet stored are written ``WRITERS`` at a time, the ones of most steps first."""
+    names = sorted(names, key=lambda n: not SPECS[n].once)
+    shared_dir(spark)       # where there is no such folder yet, one thread makes it
+    with ThreadPoolExecutor(max_workers=WRITERS) as pool:
+        found = [pool.submit(inheritable_thread_target(spark)(wh), spark, sf, n) for n in names]
+    return {n: f.result() for n, f in zip(names, found, strict=True)}
 
 
 # Filter literals: the reference's 2026 dates moved into the test data's range.

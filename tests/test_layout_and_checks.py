@@ -163,6 +163,45 @@ def test_warehouse_table_written_once(spark):
     assert os.path.getmtime(os.path.join(p1.replace("file:", ""), "_SUCCESS")) == stamp
 
 
+def test_rows_of_a_dear_plan_are_computed_once(spark):
+    """The ranges are found and dealt from one shuffle: without ``once`` the rows are computed for each."""
+    made = {}
+    for once in (False, True):
+        seen = spark.sparkContext.accumulator(0)
+        rdd = spark.sparkContext.parallelize(range(200), 4).map(lambda i, seen=seen: (seen.add(1), (i % 7, i if i % 50 else None))[1])
+        df = spark.createDataFrame(rdd, "d int, k bigint")
+        path = fresh_path(spark, "once")
+        L.write_layout(df, path, "d", ["k"], once=once)
+        assert sorted(spark.read.parquet(path).select("d", "k").na.fill(-1).collect()) == sorted(df.na.fill(-1).collect())
+        made[once] = seen.value - 200                 # less the rows computed for the comparison
+    assert made == {False: 400, True: 200}
+
+
+def test_stored_tables_are_written_several_at_a_time(spark, monkeypatch):
+    """fk_orphans has its ten stored tables written side by side, each once."""
+    import threading
+
+    from switchboard.plans import q_joins as Q
+    from switchboard.plans import warehouse as W
+    together, asked = threading.Barrier(2), []
+
+    def build(name):
+        def rows(session, sf):
+            asked.append(name)
+            together.wait(timeout=60)             # breaks if one build waits for the other's end
+            return session.createDataFrame([(1, 2)], "k bigint, v bigint")
+        return rows
+
+    monkeypatch.setattr(W, "SPECS", {n: W.Spec(build(n), ("orders",), None, "day", ("k",)) for n in ("side_a", "side_b")})
+    monkeypatch.setattr(W, "_CODE_VERSION", os.urandom(6).hex())
+    out = W.wh_all(spark, "/root/testdata/sf0.001", ["side_a", "side_b"])
+    assert sorted(asked) == ["side_a", "side_b"] and {n: df.collect() for n, df in out.items()} == {n: [(1, 2)] for n in out}
+    monkeypatch.undo()
+    taken = []
+    monkeypatch.setattr(W, "wh_all", lambda s, sf, names, real=W.wh_all: (taken.extend(names), real(s, sf, names))[1])
+    assert Q.fk_orphans(spark, "/root/testdata/sf0.001").count() == 16 and taken == [t for t in Q.KEY_PATHS if t in W.SPECS]
+
+
 def test_scale_settings_bounds():
     from switchboard.session import scale_settings
     big = scale_settings(100 * 1024 ** 4, 8000)
